@@ -108,6 +108,118 @@ FROM cl GROUP BY user_id""",
 }
 
 
+# ---- text lines with faults, and validation (mirrors sources.testdata.raw_order_lines) ----
+
+COLUMNS = [
+    "order_id", "user_id", "order_number", "order_dow", "order_hour_of_day", "days_since_prior_order",
+    "product_id", "product_name", "aisle", "department", "quantity", "unit_price", "reordered", "order_date",
+]
+REQUIRED = ["order_id", "user_id", "product_id", "product_name", "department", "quantity", "unit_price",
+            "order_date"]
+
+RAW = """
+rw AS (
+  SELECT
+    CASE WHEN order_id % 41 = 0 THEN 'x' || CAST(order_id AS VARCHAR) ELSE CAST(order_id AS VARCHAR) END AS order_id,
+    CASE WHEN order_id % 19 = 0 THEN '' ELSE CAST(user_id AS VARCHAR) END AS user_id,
+    CAST(order_number AS VARCHAR) AS order_number,
+    CAST(order_dow AS VARCHAR) AS order_dow,
+    CAST(order_hour_of_day AS VARCHAR) AS order_hour_of_day,
+    CASE WHEN order_id % 53 = 0 AND days_since_prior_order IS NOT NULL
+         THEN CAST(days_since_prior_order AS VARCHAR) || '.0'
+         ELSE CAST(days_since_prior_order AS VARCHAR) END AS days_since_prior_order,
+    CAST(product_id AS VARCHAR) AS product_id,
+    CASE WHEN order_id % 67 = 0 THEN product_name || ', "quoted" name' ELSE product_name END AS product_name,
+    aisle,
+    CASE WHEN order_id % 29 = 0 THEN NULL ELSE department END AS department,
+    CASE WHEN order_id % 17 = 0 THEN '0' WHEN order_id % 43 = 0 THEN '2.5'
+         WHEN order_id % 71 = 0 THEN ' ' || CAST(quantity AS VARCHAR) || ' '
+         ELSE CAST(quantity AS VARCHAR) END AS quantity,
+    CASE WHEN order_id % 23 = 0 THEN 'abc' WHEN order_id % 37 = 0 THEN '-1' WHEN order_id % 59 = 0 THEN 'NaN'
+         WHEN order_id % 61 = 0 THEN 'Infinity'
+         ELSE CAST(CAST(unit_price AS DECIMAL(12,2)) AS VARCHAR) END AS unit_price,
+    CASE WHEN order_id % 47 = 0 THEN '' ELSE CAST(reordered AS VARCHAR) END AS reordered,
+    CASE WHEN order_id % 31 = 0 THEN 'notadate' ELSE CAST(order_date AS VARCHAR) END AS order_date
+  FROM ol)"""
+
+
+def p_long(x: str) -> str:
+    return f"(CASE WHEN regexp_matches(trim({x}), '^[+-]?[0-9]+$') THEN TRY_CAST(trim({x}) AS BIGINT) END)"
+
+
+def p_int(x: str) -> str:
+    v = p_long(x)
+    return f"(CASE WHEN {v} BETWEEN -2147483648 AND 2147483647 THEN CAST({v} AS INTEGER) END)"
+
+
+def p_dec(x: str, target: str = "DECIMAL(18,6)") -> str:
+    return (f"(CASE WHEN regexp_matches(trim({x}), '^[+-]?([0-9]+([.][0-9]+)?|[.][0-9]+)$')"
+            f" THEN TRY_CAST(trim({x}) AS {target}) END)")
+
+
+def p_trunc_int(x: str) -> str:
+    v = p_dec(x, "DECIMAL(38,6)")
+    return f"(CASE WHEN {v} BETWEEN -2147483648 AND 2147483647 THEN CAST(trunc({v}) AS INTEGER) END)"
+
+
+def p_date(x: str) -> str:
+    return f"(CASE WHEN regexp_matches(trim({x}), '^[0-9]{{4}}-[0-9]{{2}}-[0-9]{{2}}$') THEN TRY_CAST(trim({x}) AS DATE) END)"
+
+
+def blank(x: str) -> str:
+    return f"({x} IS NULL OR {x} = '')"
+
+
+TYPED = {
+    "order_id": p_long("order_id"),
+    "user_id": p_long("user_id"),
+    "order_number": p_int("order_number"),
+    "order_dow": p_int("order_dow"),
+    "order_hour_of_day": p_int("order_hour_of_day"),
+    "days_since_prior_order": p_trunc_int("days_since_prior_order"),
+    "product_id": p_long("product_id"),
+    "product_name": "product_name",
+    "aisle": "aisle",
+    "department": "department",
+    "quantity": p_int("quantity"),
+    "unit_price": p_dec("unit_price"),
+    "reordered": f"(CASE WHEN {blank('reordered')} THEN 0 ELSE {p_int('reordered')} END)",
+    "order_date": p_date("order_date"),
+}
+
+_missing = "concat_ws(',', " + ", ".join(f"CASE WHEN {blank(c)} THEN '{c}' END" for c in sorted(REQUIRED)) + ")"
+_ids = "\n".join(
+    f"         WHEN v_{c} IS NULL THEN 'invalid_integer:{c}'" for c in ("order_id", "user_id", "product_id", "reordered")
+)
+VALIDATED = (
+    "\nvt0 AS (SELECT rw.*, " + ", ".join(f"{e} AS v_{c}" for c, e in TYPED.items()) + ", " + _missing
+    + " AS missing FROM rw),\nvt AS (SELECT vt0.*, CASE WHEN missing <> '' THEN 'missing_required:' || missing\n"
+    "         WHEN v_quantity IS NULL OR v_unit_price IS NULL THEN 'invalid_numeric'\n"
+    "         WHEN v_quantity <= 0 OR v_unit_price < 0 THEN 'out_of_range'\n" + _ids + "\n"
+    f"         WHEN NOT {blank('days_since_prior_order')} AND v_days_since_prior_order IS NULL"
+    " THEN 'invalid_integer:days_since_prior_order'\n       END AS reject_reason FROM vt0)"
+)
+
+ACCEPTED_COLS = ", ".join(
+    (f"CAST(v_{c} AS DOUBLE) AS {c}" if c == "unit_price" else f"v_{c} AS {c}") for c in COLUMNS
+)
+RAW_COLS = ", ".join(COLUMNS)
+
+
+def with_validation(body: str, extra: str = "") -> str:
+    return with_base(body, RAW + "," + VALIDATED + ("," + extra if extra else ""))
+
+
+VALIDATION_SQL = {
+    "validate_accepted": f"SELECT {ACCEPTED_COLS} FROM vt WHERE reject_reason IS NULL",
+    "validate_rejected": f"SELECT {RAW_COLS}, reject_reason FROM vt WHERE reject_reason IS NOT NULL",
+    "reject_summary": "SELECT reject_reason, count(*) AS rejected_lines FROM vt WHERE reject_reason IS NOT NULL"
+                      " GROUP BY reject_reason",
+    "ingest_counts": "SELECT count(*) AS total_lines, count(*) FILTER (WHERE reject_reason IS NULL) AS accepted_lines,"
+                     " count(*) FILTER (WHERE reject_reason IS NOT NULL) AS rejected_lines FROM vt",
+}
+
+
 def oracle_sql() -> dict[str, str]:
     sql = {
         "clean_orders": with_base(
@@ -119,4 +231,6 @@ def oracle_sql() -> dict[str, str]:
     }
     for name, body in MART_SQL.items():
         sql[name] = with_base(body)
+    for name, body in VALIDATION_SQL.items():
+        sql[name] = with_validation(body)
     return sql

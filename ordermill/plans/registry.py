@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DecimalType
 
-from ..operators import marts
+from ..operators import marts, validate
 from ..operators.clean import clean_orders
 from ..sources import testdata
 
@@ -41,8 +41,40 @@ def _mart_query(fn: Callable[[DataFrame], DataFrame]) -> Query:
     return run
 
 
+# ---- validation ----------------------------------------------------------------------------
+
+
+def annotated_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return validate.annotate(testdata.raw_order_lines(spark, sf_dir))
+
+
+def q_validate_accepted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return as_result(validate.accepted(annotated_lines(spark, sf_dir)))
+
+
+def q_validate_rejected(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return validate.rejected(annotated_lines(spark, sf_dir))
+
+
+def q_reject_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return validate.reject_summary(validate.rejected(annotated_lines(spark, sf_dir)))
+
+
+def q_ingest_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return validate.ingest_counts(annotated_lines(spark, sf_dir))
+
+
+VALIDATION_QUERIES: dict[str, Query] = {
+    "validate_accepted": q_validate_accepted,
+    "validate_rejected": q_validate_rejected,
+    "reject_summary": q_reject_summary,
+    "ingest_counts": q_ingest_counts,
+}
+
+
 def queries() -> dict[str, Query]:
     registry: dict[str, Query] = {"clean_orders": q_clean_orders, "order_summary": _mart_query(marts.order_summary)}
     for name, fn in marts.MARTS.items():
         registry[name] = _mart_query(fn)
+    registry.update(VALIDATION_QUERIES)
     return registry
