@@ -220,6 +220,88 @@ VALIDATION_SQL = {
 }
 
 
+# ---- normalised baskets (mirrors sources.testdata basket tables and operators.baskets) ----
+
+BASKETS = """
+bo AS (
+  SELECT order_id, user_id, CASE WHEN order_status = 'P' THEN 'train' ELSE 'prior' END AS eval_set,
+         order_number, order_dow, order_hour_of_day, CAST(days_since_prior_order AS DOUBLE) AS days_since_prior_order
+  FROM cs),
+opu AS (
+  SELECT order_id, product_id, reordered, CASE WHEN order_status = 'P' THEN 'train' ELSE 'prior' END AS split
+  FROM pu),
+ai AS (SELECT CAST(dense_rank() OVER (ORDER BY aisle) AS INTEGER) AS aisle_id, aisle
+       FROM (SELECT DISTINCT p_type AS aisle FROM part)),
+de AS (SELECT CAST(dense_rank() OVER (ORDER BY department) AS INTEGER) AS department_id, department
+       FROM (SELECT DISTINCT p_brand AS department FROM part)),
+pr AS (SELECT p_partkey AS product_id, p_name AS product_name, ai.aisle_id, de.department_id
+       FROM part JOIN ai ON p_type = ai.aisle JOIN de ON p_brand = de.department),
+gaps AS (SELECT *, CASE WHEN order_number = 1 OR days_since_prior_order IS NULL THEN 0
+                        ELSE CAST(trunc(days_since_prior_order) AS INTEGER) END AS gap FROM bo),
+cal AS (
+  SELECT order_id, user_id, eval_set, order_number, order_dow, order_hour_of_day,
+         DATE '2025-01-01' + CAST(sum(gap) OVER (PARTITION BY user_id ORDER BY order_number, order_id
+                                                 ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS INTEGER)
+           AS order_date
+  FROM gaps),
+calm AS (SELECT *, CAST(date_trunc('month', order_date) AS DATE) AS sales_month FROM cal),
+bl AS (
+  SELECT opu.split, opu.order_id, calm.user_id, calm.eval_set, opu.product_id, pr.product_name, ai.aisle,
+         de.department, opu.reordered, calm.order_date, calm.sales_month
+  FROM opu JOIN calm ON opu.order_id = calm.order_id JOIN pr ON opu.product_id = pr.product_id
+       JOIN de ON pr.department_id = de.department_id JOIN ai ON pr.aisle_id = ai.aisle_id)"""
+
+_BASKET_PRODUCTS = f"""
+SELECT product_id, product_name, department, CAST(count(DISTINCT order_id) AS INTEGER) AS order_count,
+       CAST(count(*) AS INTEGER) AS item_count, {half_up('sum(reordered)', 'count(*)', 4)} AS reorder_rate
+FROM bl GROUP BY product_id, product_name, department"""
+
+_BASKET_CUSTOMERS = """
+SELECT user_id, CAST(count(DISTINCT order_id) AS INTEGER) AS order_count, CAST(count(*) AS INTEGER) AS item_count,
+       min(order_date) AS first_order_date, max(order_date) AS last_order_date,
+       CAST(count(DISTINCT sales_month) AS INTEGER) AS active_months, count(DISTINCT order_id) > 1 AS retention_flag
+FROM bl GROUP BY user_id"""
+
+_BASKET_FEATURES = f"""
+SELECT user_id, CAST(count(DISTINCT order_id) AS INTEGER) AS order_count, CAST(count(*) AS INTEGER) AS item_count,
+       {half_up('count(*)', 'count(DISTINCT order_id)', 2)} AS avg_basket_lines,
+       {half_up('sum(reordered)', 'count(*)', 4)} AS reorder_rate,
+       CAST(count(DISTINCT department) AS INTEGER) AS department_count,
+       CAST(count(DISTINCT sales_month) AS INTEGER) AS active_months,
+       max(order_date) AS last_order_date, count(DISTINCT order_id) > 1 AS repeat_customer_label
+FROM bl GROUP BY user_id"""
+
+BASKET_SQL = {
+    "dim_products": "SELECT product_id, product_name, aisle_id, department_id FROM pr",
+    "basket_union": "SELECT order_id, product_id, reordered, split FROM opu",
+    "order_calendar": "SELECT order_id, user_id, eval_set, order_number, order_dow, order_hour_of_day, order_date,"
+                      " sales_month FROM calm",
+    "basket_lines": "SELECT * FROM bl",
+    "orphan_products": "SELECT product_id, order_id, reordered, split FROM opu"
+                       " WHERE product_id NOT IN (SELECT product_id FROM pr)",
+    "orders_without_lines": "SELECT * FROM bo WHERE order_id NOT IN (SELECT order_id FROM opu)",
+    "sample_lines": "SELECT * FROM bl ORDER BY split, order_id, product_id LIMIT 250000",
+    "basket_monthly": f"""
+SELECT sales_month, CAST(count(*) AS INTEGER) AS order_count, CAST(count(DISTINCT user_id) AS INTEGER) AS customer_count,
+       CAST(sum(order_lines) AS INTEGER) AS item_count, {half_up('sum(order_lines)', 'count(*)', 2)} AS avg_basket_size
+FROM (SELECT sales_month, order_id, min(user_id) AS user_id, count(*) AS order_lines FROM bl
+      GROUP BY sales_month, order_id) po
+GROUP BY sales_month""",
+    "basket_top_products": f"SELECT * FROM ({_BASKET_PRODUCTS}) t ORDER BY item_count DESC, product_name, product_id"
+                           " LIMIT 100",
+    "basket_customer_metrics": f"SELECT * FROM ({_BASKET_CUSTOMERS}) t ORDER BY item_count DESC, user_id LIMIT 1000",
+    "basket_category": """
+SELECT department, CAST(count(DISTINCT order_id) AS INTEGER) AS order_count,
+       CAST(count(DISTINCT product_id) AS INTEGER) AS product_count, CAST(count(*) AS INTEGER) AS item_count
+FROM bl GROUP BY department""",
+    "basket_customer_features": f"SELECT * FROM ({_BASKET_FEATURES}) t ORDER BY user_id LIMIT 1000",
+}
+
+
+def with_baskets(body: str) -> str:
+    return with_base(body, BASKETS)
+
+
 def oracle_sql() -> dict[str, str]:
     sql = {
         "clean_orders": with_base(
@@ -233,4 +315,6 @@ def oracle_sql() -> dict[str, str]:
         sql[name] = with_base(body)
     for name, body in VALIDATION_SQL.items():
         sql[name] = with_validation(body)
+    for name, body in BASKET_SQL.items():
+        sql[name] = with_baskets(body)
     return sql

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DecimalType
 
-from ..operators import marts, validate
+from ..operators import baskets, marts, validate
 from ..operators.clean import clean_orders
 from ..sources import testdata
 
@@ -72,9 +72,61 @@ VALIDATION_QUERIES: dict[str, Query] = {
 }
 
 
+# ---- normalised baskets --------------------------------------------------------------------
+
+
+def basket_union(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return baskets.union_order_products(
+        testdata.order_products(spark, sf_dir, "prior"), testdata.order_products(spark, sf_dir, "train")
+    )
+
+
+def basket_calendar(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return baskets.order_calendar(testdata.basket_orders(spark, sf_dir))
+
+
+def all_basket_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return baskets.basket_lines(
+        basket_union(spark, sf_dir),
+        basket_calendar(spark, sf_dir),
+        testdata.basket_products(spark, sf_dir),
+        testdata.aisles(spark, sf_dir),
+        testdata.departments(spark, sf_dir),
+    )
+
+
+def _basket_query(fn: Callable[[DataFrame], DataFrame]) -> Query:
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        return as_result(fn(all_basket_lines(spark, sf_dir)))
+
+    run.__name__ = f"q_{fn.__name__}"
+    return run
+
+
+BASKET_QUERIES: dict[str, Query] = {
+    "dim_products": lambda spark, d: baskets.require_unique(testdata.basket_products(spark, d), "product_id"),
+    "basket_union": basket_union,
+    "order_calendar": basket_calendar,
+    "basket_lines": all_basket_lines,
+    "orphan_products": lambda spark, d: baskets.orphan_products(
+        basket_union(spark, d), testdata.basket_products(spark, d)
+    ),
+    "orders_without_lines": lambda spark, d: baskets.orders_without_lines(
+        testdata.basket_orders(spark, d), basket_union(spark, d)
+    ),
+    "sample_lines": lambda spark, d: baskets.limit_rows(all_basket_lines(spark, d), baskets.DEFAULT_MAX_ROWS),
+    "basket_monthly": _basket_query(baskets.basket_monthly),
+    "basket_top_products": _basket_query(baskets.top_basket_products),
+    "basket_customer_metrics": _basket_query(baskets.top_basket_customers),
+    "basket_category": _basket_query(baskets.basket_category),
+    "basket_customer_features": _basket_query(baskets.first_customer_features),
+}
+
+
 def queries() -> dict[str, Query]:
     registry: dict[str, Query] = {"clean_orders": q_clean_orders, "order_summary": _mart_query(marts.order_summary)}
     for name, fn in marts.MARTS.items():
         registry[name] = _mart_query(fn)
     registry.update(VALIDATION_QUERIES)
+    registry.update(BASKET_QUERIES)
     return registry
