@@ -302,6 +302,70 @@ def with_baskets(body: str) -> str:
     return with_base(body, BASKETS)
 
 
+# ---- connectors, contracts, streaming -------------------------------------------------------
+
+TYPED_COLS = ", ".join(
+    (f"CAST(v_{c} AS DOUBLE) AS {c}" if c == "unit_price" else f"v_{c} AS {c}") for c in COLUMNS
+)
+
+ACCEPTED_CLEAN = """
+acc AS (SELECT """ + ", ".join(f"v_{c} AS {c}" for c in COLUMNS) + """ FROM vt WHERE reject_reason IS NULL),
+acl AS (
+  SELECT *, CAST(round(quantity * unit_price, 2) AS DECIMAL(18,2)) AS line_revenue,
+         CAST(date_trunc('month', order_date) AS DATE) AS sales_month, coalesce(reordered, 0) AS is_reordered
+  FROM acc
+  WHERE order_id IS NOT NULL AND user_id IS NOT NULL AND product_id IS NOT NULL AND quantity IS NOT NULL
+    AND unit_price IS NOT NULL AND order_date IS NOT NULL AND quantity > 0 AND unit_price >= 0)"""
+
+CONTRACT_NOT_NULL = {
+    "monthly_sales": ("sales_month", ["sales_month", "order_count", "customer_count", "item_count", "gross_revenue",
+                                      "avg_order_value"]),
+    "top_products": ("product_id", ["product_id", "product_name", "department", "order_count", "total_quantity",
+                                    "gross_revenue", "reorder_rate"]),
+    "customer_metrics": ("user_id", ["user_id", "order_count", "item_count", "gross_revenue", "first_order_date",
+                                     "last_order_date", "active_months", "retention_flag"]),
+    "category_performance": ("department", ["department", "order_count", "product_count", "item_count",
+                                            "gross_revenue"]),
+    "ml_customer_features": ("user_id", ["user_id", "order_count", "item_count", "gross_revenue", "avg_line_revenue",
+                                         "avg_item_quantity", "reorder_rate", "department_count", "active_months",
+                                         "last_order_date", "repeat_customer_label"]),
+}
+
+
+def _violations_sql() -> str:
+    parts = []
+    for mart, (key, cols) in CONTRACT_NOT_NULL.items():
+        nulls = " OR ".join(f"{c} IS NULL" for c in cols)
+        parts.append(
+            f"SELECT '{mart}' AS mart, count(*) AS row_count, count(*) FILTER (WHERE {nulls}) AS null_rows,"
+            f" count({key}) - count(DISTINCT {key}) AS excess_key_rows FROM ({MART_SQL[mart]}) m"
+        )
+    return "\nUNION ALL\n".join(parts)
+
+
+CONNECTOR_SQL = {
+    "src_csv_orders": ("validation", f"SELECT {TYPED_COLS} FROM vt0"),
+    "sink_csv_roundtrip": ("base", MART_SQL["top_products"]),
+    "encode_messages": ("validation", f"SELECT CAST(v_order_id AS VARCHAR) AS key, {ACCEPTED_COLS},"
+                                      " true AS has_all_keys FROM vt WHERE reject_reason IS NULL"),
+    "decode_messages": ("validation", VALIDATION_SQL["validate_accepted"]),
+    "contract_violations": ("base", _violations_sql()),
+    "landing_by_month": ("base", None),
+    "stream_ingest": ("validation", VALIDATION_SQL["validate_accepted"]),
+    "stream_quarantine": ("validation", VALIDATION_SQL["validate_rejected"]),
+    "stream_monthly_sales": ("accepted", MART_SQL["monthly_sales"].replace("FROM cl ", "FROM acl ")),
+    "stream_dedup": ("validation", f"SELECT DISTINCT {ACCEPTED_COLS} FROM vt WHERE reject_reason IS NULL"),
+}
+
+
+def _connector_sql(kind: str, body: str | None, name: str) -> str:
+    if kind == "base":
+        return with_base(body) if body else None
+    if kind == "validation":
+        return with_validation(body)
+    return with_validation(body, ACCEPTED_CLEAN)
+
+
 def oracle_sql() -> dict[str, str]:
     sql = {
         "clean_orders": with_base(
@@ -317,4 +381,7 @@ def oracle_sql() -> dict[str, str]:
         sql[name] = with_validation(body)
     for name, body in BASKET_SQL.items():
         sql[name] = with_baskets(body)
+    for name, (kind, body) in CONNECTOR_SQL.items():
+        sql[name] = _connector_sql(kind, body, name)
+    sql["landing_by_month"] = sql["clean_orders"]
     return sql

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -10,7 +11,10 @@ from pyspark.sql.types import DecimalType
 
 from ..operators import baskets, marts, validate
 from ..operators.clean import clean_orders
-from ..sources import testdata
+from ..schema import MART_CONTRACTS, ORDER_COLUMNS, ORDER_SCHEMA
+from ..session import work_path
+from ..sources import contracts, files, messages, testdata
+from ..streaming import ingest
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -123,10 +127,108 @@ BASKET_QUERIES: dict[str, Query] = {
 }
 
 
+# ---- connectors, contracts, streaming ------------------------------------------------------
+
+
+def q_src_csv_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = work_path(spark, "orders-csv")
+    files.write_csv(testdata.raw_order_lines(spark, sf_dir), path, list(ORDER_COLUMNS))
+    return as_result(files.read_order_csv(spark, path))
+
+
+def q_sink_csv_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = work_path(spark, "top-products-csv")
+    mart = contracts.conform(marts.top_products(cleaned_lines(spark, sf_dir)), "top_products")
+    files.write_csv(mart, path)
+    return as_result(files.read_csv_table(spark, path, MART_CONTRACTS["top_products"][1]))
+
+
+def accepted_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return validate.accepted(annotated_lines(spark, sf_dir))
+
+
+def q_encode_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    encoded = messages.encode_messages(accepted_lines(spark, sf_dir))
+    keys = F.size(F.json_object_keys("value")) == len(ORDER_COLUMNS)
+    decoded = messages.decode_messages(encoded.withColumn("has_all_keys", keys), ORDER_SCHEMA)
+    return as_result(decoded.select("key", *ORDER_COLUMNS, "has_all_keys"))
+
+
+def q_decode_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    encoded = messages.encode_messages(accepted_lines(spark, sf_dir))
+    decoded = messages.decode_messages(encoded, ORDER_SCHEMA).filter(~F.col("corrupt"))
+    return as_result(decoded.select(*ORDER_COLUMNS))
+
+
+def q_contract_violations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cleaned = cleaned_lines(spark, sf_dir)
+    checks = [contracts.violations(contracts.conform(fn(cleaned), name), name) for name, fn in marts.MARTS.items()]
+    return reduce(DataFrame.unionByName, checks)
+
+
+def q_landing_by_month(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = work_path(spark, "landing")
+    files.write_landing(cleaned_lines(spark, sf_dir), path)
+    return as_result(files.read_landing(spark, path))
+
+
+def _run_stream(spark: SparkSession, sf_dir: str, replays: int = 1, dedup: bool = False,
+                with_mart: bool = False) -> ingest.IngestTargets:
+    root = work_path(spark, "stream")
+    inbox = f"{root}/inbox"
+    feed = messages.encode_messages(testdata.raw_order_lines(spark, sf_dir))
+    for _ in range(replays):
+        ingest.write_message_files(feed, inbox, files=4)
+    targets = ingest.IngestTargets(
+        landing=f"{root}/landing",
+        quarantine=f"{root}/quarantine",
+        monthly_sales=f"{root}/monthly_sales" if with_mart else None,
+        dedup=dedup,
+    )
+    stream = ingest.message_file_stream(spark, inbox, max_files_per_trigger=2)
+    query = ingest.start_ingest(stream, targets, checkpoint=f"{root}/checkpoint")
+    query.awaitTermination()
+    if query.exception():
+        raise query.exception()
+    return targets
+
+
+def q_stream_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return as_result(ingest.read_landed(spark, _run_stream(spark, sf_dir).landing))
+
+
+def q_stream_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ingest.read_quarantine(spark, _run_stream(spark, sf_dir).quarantine)
+
+
+def q_stream_monthly_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
+    targets = _run_stream(spark, sf_dir, with_mart=True)
+    return as_result(ingest.read_monthly_sales(spark, targets.monthly_sales))
+
+
+def q_stream_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return as_result(ingest.read_landed(spark, _run_stream(spark, sf_dir, replays=2, dedup=True).landing))
+
+
+CONNECTOR_QUERIES: dict[str, Query] = {
+    "src_csv_orders": q_src_csv_orders,
+    "sink_csv_roundtrip": q_sink_csv_roundtrip,
+    "encode_messages": q_encode_messages,
+    "decode_messages": q_decode_messages,
+    "contract_violations": q_contract_violations,
+    "landing_by_month": q_landing_by_month,
+    "stream_ingest": q_stream_ingest,
+    "stream_quarantine": q_stream_quarantine,
+    "stream_monthly_sales": q_stream_monthly_sales,
+    "stream_dedup": q_stream_dedup,
+}
+
+
 def queries() -> dict[str, Query]:
     registry: dict[str, Query] = {"clean_orders": q_clean_orders, "order_summary": _mart_query(marts.order_summary)}
     for name, fn in marts.MARTS.items():
         registry[name] = _mart_query(fn)
     registry.update(VALIDATION_QUERIES)
     registry.update(BASKET_QUERIES)
+    registry.update(CONNECTOR_QUERIES)
     return registry
