@@ -31,9 +31,15 @@ def half_up_ratio(num: Column, den: Column, scale: int) -> Column:
 
 
 def cents(amount: Column) -> Column:
-    """Money amount with scale 2 as an exact integral number of cents."""
-    return (amount * F.lit(100)).cast("decimal(38,0)")
+    """Money amount with scale 2 as an exact integral number of cents (bigint).
+
+    Sums of cents aggregate in 64-bit integers: above precision 18 a decimal sum
+    buffer is a BigDecimal per update. A bigint holds 9.2e16 currency units, far
+    beyond the numeric(12,2) mart contract, and ANSI mode fails loudly on overflow.
+    """
+    return (amount * F.lit(100)).cast("long")
 
 
-def to_money(amount: Column) -> Column:
-    return amount.cast(MONEY_SUM)
+def money_from_cents(total: Column) -> Column:
+    """Exact money value (decimal(38,2)) of a whole number of cents."""
+    return (total.cast("decimal(38,0)") / F.lit(100)).cast(MONEY_SUM)

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DecimalType
 
 from ..operators import baskets, marts, validate
-from ..operators.clean import clean_orders
+from ..operators.clean import clean_orders, mart_input
 from ..schema import MART_CONTRACTS, ORDER_COLUMNS, ORDER_SCHEMA
 from ..session import work_path
 from ..sources import contracts, files, messages, testdata
@@ -33,13 +33,19 @@ def cleaned_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return clean_orders(testdata.order_lines(spark, sf_dir))
 
 
+def mart_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Cleaned lines projected to the mart input; the marts never read the
+    per-customer sequence columns, so the adapter does not build them."""
+    return mart_input(clean_orders(testdata.order_lines(spark, sf_dir, sequence=False)))
+
+
 def q_clean_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     return as_result(cleaned_lines(spark, sf_dir))
 
 
 def _mart_query(fn: Callable[[DataFrame], DataFrame]) -> Query:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        return as_result(fn(cleaned_lines(spark, sf_dir)))
+        return as_result(fn(mart_lines(spark, sf_dir)))
 
     run.__name__ = f"q_{fn.__name__}"
     return run
@@ -138,7 +144,7 @@ def q_src_csv_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def q_sink_csv_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = work_path(spark, "top-products-csv")
-    mart = contracts.conform(marts.top_products(cleaned_lines(spark, sf_dir)), "top_products")
+    mart = contracts.conform(marts.top_products(mart_lines(spark, sf_dir)), "top_products")
     files.write_csv(mart, path)
     return as_result(files.read_csv_table(spark, path, MART_CONTRACTS["top_products"][1]))
 
@@ -161,7 +167,7 @@ def q_decode_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_contract_violations(spark: SparkSession, sf_dir: str) -> DataFrame:
-    cleaned = cleaned_lines(spark, sf_dir)
+    cleaned = mart_lines(spark, sf_dir)
     checks = [contracts.violations(contracts.conform(fn(cleaned), name), name) for name, fn in marts.MARTS.items()]
     return reduce(DataFrame.unionByName, checks)
 
@@ -225,7 +231,7 @@ CONNECTOR_QUERIES: dict[str, Query] = {
 
 
 def queries() -> dict[str, Query]:
-    registry: dict[str, Query] = {"clean_orders": q_clean_orders, "order_summary": _mart_query(marts.order_summary)}
+    registry: dict[str, Query] = {"clean_orders": q_clean_orders, "order_summary": _mart_query(marts.order_totals)}
     for name, fn in marts.MARTS.items():
         registry[name] = _mart_query(fn)
     registry.update(VALIDATION_QUERIES)

@@ -36,16 +36,23 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def customer_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One row per order with the customer-sequence columns."""
-    orders = table(spark, sf_dir, "orders").select(
+SEQUENCE_COLUMNS = ["order_number", "days_since_prior_order"]
+
+
+def base_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return table(spark, sf_dir, "orders").select(
         F.col("o_orderkey").alias("order_id"),
         F.col("o_custkey").alias("user_id"),
         F.col("o_orderstatus").alias("order_status"),
         F.col("o_orderdate").cast("date").alias("order_date"),
-        (F.dayofweek("o_orderdate") - 1).alias("order_dow"),
-        F.hour("o_orderdate").alias("order_hour_of_day"),
+        (F.dayofweek("o_orderdate") - 1).cast("int").alias("order_dow"),
+        F.hour("o_orderdate").cast("int").alias("order_hour_of_day"),
     )
+
+
+def customer_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One row per order with the customer-sequence columns."""
+    orders = base_orders(spark, sf_dir)
     # Orders per (customer, day): partial aggregation, no hot-key concentration.
     days = orders.groupBy("user_id", "order_date").agg(F.count(F.lit(1)).alias("orders_that_day"))
     # One row per calendar day the customer ordered on: bounded per customer.
@@ -67,8 +74,8 @@ def customer_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
         "user_id",
         "order_status",
         (F.col("orders_before") + F.col("rank_in_day")).cast("int").alias("order_number"),
-        F.col("order_dow").cast("int").alias("order_dow"),
-        F.col("order_hour_of_day").cast("int").alias("order_hour_of_day"),
+        "order_dow",
+        "order_hour_of_day",
         F.when(F.col("rank_in_day") > 1, F.lit(0))
         .when(F.col("previous_date").isNotNull(), F.least(F.lit(30), F.datediff("order_date", "previous_date")))
         .cast("int")
@@ -77,14 +84,19 @@ def customer_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def purchases(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Line items with their order's customer columns and the ``reordered`` flag."""
+def purchases(spark: SparkSession, sf_dir: str, sequence: bool = True) -> DataFrame:
+    """Line items with their order's customer columns and the ``reordered`` flag.
+
+    ``sequence=False`` leaves out order_number and days_since_prior_order, which
+    need a per-customer pass over all orders; callers that never read them skip it.
+    """
     lines = table(spark, sf_dir, "lineitem").select(
         F.col("l_orderkey").alias("order_id"),
         F.col("l_partkey").alias("product_id"),
         F.col("l_quantity").cast("int").alias("quantity"),
     )
-    bought = lines.join(customer_orders(spark, sf_dir), "order_id")
+    orders = customer_orders(spark, sf_dir) if sequence else base_orders(spark, sf_dir)
+    bought = lines.join(orders, "order_id")
     first = bought.groupBy("user_id", "product_id").agg(F.min("order_date").alias("first_bought"))
     return bought.join(first, ["user_id", "product_id"]).withColumn(
         "reordered", (F.col("order_date") > F.col("first_bought")).cast("int")
@@ -101,9 +113,15 @@ def products(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def order_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Typed denormalised order lines (the batch job's input)."""
-    return purchases(spark, sf_dir).join(products(spark, sf_dir), "product_id").select(*ORDER_COLUMNS)
+def order_lines(spark: SparkSession, sf_dir: str, sequence: bool = True) -> DataFrame:
+    """Typed denormalised order lines (the batch job's input).
+
+    With ``sequence=False`` the two sequence columns are NULL (see ``purchases``).
+    """
+    rows = purchases(spark, sf_dir, sequence).join(products(spark, sf_dir), "product_id")
+    if not sequence:
+        rows = rows.select("*", *[F.lit(None).cast("int").alias(c) for c in SEQUENCE_COLUMNS])
+    return rows.select(*ORDER_COLUMNS)
 
 
 def raw_order_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -165,7 +183,7 @@ def basket_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def order_products(spark: SparkSession, sf_dir: str, split: str) -> DataFrame:
     """order_products__prior / order_products__train: (order_id, product_id, reordered)."""
-    rows = purchases(spark, sf_dir)
+    rows = purchases(spark, sf_dir, sequence=False)
     status = F.col("order_status") == "P"
     rows = rows.filter(status if split == "train" else ~status)
     return rows.select("order_id", "product_id", "reordered")
