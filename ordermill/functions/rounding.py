@@ -43,3 +43,8 @@ def cents(amount: Column) -> Column:
 def money_from_cents(total: Column) -> Column:
     """Exact money value (decimal(38,2)) of a whole number of cents."""
     return (total.cast("decimal(38,0)") / F.lit(100)).cast(MONEY_SUM)
+
+
+def money_ratio(total_cents: Column, den: Column) -> Column:
+    """Money amount ``total_cents / den`` (cents -> currency), 2 dp half-up."""
+    return half_up_ratio(total_cents, den.cast("decimal(38,0)") * F.lit(100), 2)

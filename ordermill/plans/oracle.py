@@ -73,7 +73,7 @@ SELECT sales_month, CAST(count(*) AS INTEGER) AS order_count,
        CAST(count(DISTINCT user_id) AS INTEGER) AS customer_count,
        CAST(sum(order_items) AS INTEGER) AS item_count,
        CAST(sum(order_revenue) AS DOUBLE) AS gross_revenue,
-       {half_up(cents('sum(order_revenue)'), 'count(*)', 2)} AS avg_order_value
+       {half_up(cents('sum(order_revenue)'), 'count(*) * 100', 2)} AS avg_order_value
 FROM (SELECT sales_month, order_id, min(user_id) AS user_id, sum(quantity) AS order_items,
              sum(line_revenue) AS order_revenue
       FROM cl GROUP BY sales_month, order_id) po
@@ -98,7 +98,7 @@ FROM cl GROUP BY department""",
     "ml_customer_features": f"""
 SELECT user_id, CAST(count(DISTINCT order_id) AS INTEGER) AS order_count,
        CAST(sum(quantity) AS INTEGER) AS item_count, CAST(sum(line_revenue) AS DOUBLE) AS gross_revenue,
-       {half_up(cents('sum(line_revenue)'), 'count(*)', 2)} AS avg_line_revenue,
+       {half_up(cents('sum(line_revenue)'), 'count(*) * 100', 2)} AS avg_line_revenue,
        {half_up('sum(quantity)', 'count(*)', 2)} AS avg_item_quantity,
        {half_up('sum(is_reordered)', 'count(*)', 4)} AS reorder_rate,
        CAST(count(DISTINCT department) AS INTEGER) AS department_count,
