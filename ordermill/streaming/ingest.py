@@ -86,29 +86,45 @@ def process_batch(targets: IngestTargets):
             if targets.dedup:
                 accepted = accepted.dropDuplicates(["message_id"])
                 if landed_before:
-                    # Messages landed by earlier batches; only the months this batch touches are read.
+                    # Messages landed by earlier batches, read only from the months this batch touches.
                     earlier = spark.read.parquet(targets.landing).filter(F.col("batch_id") != batch_id)
-                    touched = accepted.select(F.col("sales_month").alias("touched_month")).distinct()
-                    # NULL-safe: lines without a usable date share the NULL month partition.
-                    earlier = earlier.join(
-                        touched, earlier["sales_month"].eqNullSafe(touched["touched_month"]), "left_semi"
-                    )
+                    earlier = earlier.filter(month_filter(touched_months(accepted)))
                     accepted = accepted.join(earlier.select("message_id"), "message_id", "left_anti")
-            _overwrite_partitions(accepted, targets.landing, ["sales_month", "batch_id"])
-
-            if targets.monthly_sales:
-                refresh_monthly_sales(spark, targets.landing, targets.monthly_sales, accepted)
+            accepted = accepted.persist()
+            try:
+                _overwrite_partitions(accepted, targets.landing, ["sales_month", "batch_id"])
+                if targets.monthly_sales:
+                    refresh_monthly_sales(spark, targets.landing, targets.monthly_sales, touched_months(accepted))
+            finally:
+                accepted.unpersist()
         finally:
             annotated.unpersist()
 
     return run
 
 
-def refresh_monthly_sales(spark: SparkSession, landing: str, mart_path: str, batch_lines: DataFrame) -> None:
-    """Recompute the monthly sales rows of the months present in ``batch_lines`` from the
-    whole landing table and replace just those month partitions of the mart."""
-    touched = batch_lines.select(F.trunc("order_date", "month").alias("sales_month")).distinct()
-    landed = spark.read.parquet(landing).join(touched, "sales_month", "left_semi").select(*ORDER_COLUMNS)
+def touched_months(lines: DataFrame) -> list:
+    """Distinct ``sales_month`` values of a micro-batch (NULL for lines without a date).
+
+    Months form a calendar-bounded set, so the list stays small however large the
+    batch; as literals they prune the landing table's partitions statically.
+    """
+    return [r.sales_month for r in lines.select("sales_month").distinct().collect()]
+
+
+def month_filter(months: list):
+    known = [m for m in months if m is not None]
+    cond = F.col("sales_month").isin(known) if known else F.lit(False)
+    return cond | F.col("sales_month").isNull() if None in months else cond
+
+
+def refresh_monthly_sales(spark: SparkSession, landing: str, mart_path: str, months: list) -> None:
+    """Recompute the monthly sales rows of ``months`` from the whole landing table and
+    replace just those month partitions of the mart."""
+    known = [m for m in months if m is not None]
+    if not known:
+        return
+    landed = spark.read.parquet(landing).filter(F.col("sales_month").isin(known)).select(*ORDER_COLUMNS)
     mart = monthly_sales(clean_orders(landed))
     _overwrite_partitions(mart, mart_path, ["sales_month"])
 
