@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions.rounding import half_up_ratio
 from .running import blocked_running_sum
+from .topn import first_n
 
 # First order date of every customer's reconstructed calendar (fixed value).
 CALENDAR_START = "2025-01-01"
@@ -86,12 +87,20 @@ def require_unique(dim: DataFrame, key: str) -> DataFrame:
 
 
 def limit_rows(lines: DataFrame, max_rows: int | None = DEFAULT_MAX_ROWS) -> DataFrame:
-    """The first ``max_rows`` lines in (split, order_id, product_id) order; None = all."""
+    """The first ``max_rows`` lines in (split, order_id, product_id) order; None = all.
+
+    Runs small counting jobs to locate the cut-off (see ``topn.first_n``), so no
+    single task merges candidates from every partition.
+    """
     if max_rows is None:
         return lines
     if max_rows < 0:
         raise ValueError("max_rows must be >= 0 or None")
-    return lines.orderBy("split", "order_id", "product_id").limit(max_rows)
+    split_rank = F.lit(None).cast("int")
+    for rank, name in reversed(list(enumerate(SPLITS))):
+        split_rank = F.when(F.col("split") == name, F.lit(rank)).otherwise(split_rank)
+    ranked = lines.withColumn("_split_rank", split_rank)
+    return first_n(ranked, ["_split_rank", "order_id", "product_id"], max_rows).drop("_split_rank")
 
 
 def _rows() -> Column:

@@ -1,0 +1,116 @@
+"""First ``n`` rows in key order without funnelling candidates through one task.
+
+``orderBy(keys).limit(n)`` keeps the top ``n`` rows of every partition and merges
+all of them in a single task: with a large ``n`` and many partitions that task
+sees partitions x n rows. Here the cut-off row is located by counting rows per
+quantile bucket of the leading key (one aggregation per step, a few dozen
+numbers to the driver), narrowing to the bucket that holds the cut-off, and
+moving to the next key once the leading key is fixed. Rows before the cut-off
+bucket are kept whole by a filter; only a remainder of at most ``exact_rows``
+rows is ranked with a window. Rows equal on every key are interchangeable.
+"""
+
+from __future__ import annotations
+
+from functools import reduce
+
+from pyspark import StorageLevel
+from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import functions as F
+
+BUCKETS = 32
+EXACT_ROWS = 200_000
+MAX_STEPS = 200
+
+
+def _bucket_of(col: Column, bounds: list) -> Column:
+    expr = F.lit(len(bounds))
+    for i in reversed(range(len(bounds))):
+        expr = F.when(col <= F.lit(bounds[i]), F.lit(i)).otherwise(expr)
+    return expr
+
+
+def _or(conds: list[Column]) -> Column:
+    return reduce(lambda a, b: a | b, conds) if conds else F.lit(False)
+
+
+def first_n(df: DataFrame, keys: list[str], n: int, buckets: int = BUCKETS, exact_rows: int = EXACT_ROWS) -> DataFrame:
+    """The first ``n`` rows of ``df`` ordered by numeric ``keys`` ascending (NULLs first).
+
+    The search reads only the key columns, kept (memory, then disk) while it runs;
+    the returned frame is lazy and filters ``df`` itself.
+    """
+    if n <= 0:
+        return df.limit(0)
+    keyed = df.select(*keys).persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        return _search(df, keyed, keys, n, buckets, exact_rows)
+    finally:
+        keyed.unpersist()
+
+
+def _search(df: DataFrame, keyed: DataFrame, keys: list[str], n: int, buckets: int, exact_rows: int) -> DataFrame:
+    kept: list[Column] = []  # conditions selecting rows that are certainly in the result
+    region = F.lit(True)  # rows that may still straddle the cut-off
+    remaining = n
+    steps = 0
+    for depth, key in enumerate(keys):
+        col = F.col(key)
+        while True:
+            steps += 1
+            if steps > MAX_STEPS:
+                raise RuntimeError("cut-off search did not converge")
+            stats = keyed.filter(region).agg(
+                F.count(F.lit(1)).alias("rows"),
+                F.count_if(col.isNull()).alias("nulls"),
+                F.min(col).alias("lo"),
+                F.max(col).alias("hi"),
+            ).first()
+            if stats.rows <= remaining:
+                kept.append(region)
+                return df.filter(_or(kept))
+            if stats.rows <= exact_rows:
+                return _finish_exact(df, kept, region, keys, remaining)
+            if stats.nulls:
+                if remaining <= stats.nulls:
+                    region = region & col.isNull()
+                    break
+                kept.append(region & col.isNull())
+                remaining -= stats.nulls
+                region = region & col.isNotNull()
+                continue
+            if stats.lo == stats.hi:
+                region = region & (col == F.lit(stats.lo))
+                break
+            probs = [i / buckets for i in range(1, buckets)]
+            bounds = sorted(set(keyed.filter(region).approxQuantile(key, probs, 1.0 / (4 * buckets))))
+            bounds = [b for b in bounds if b < stats.hi] or [stats.lo]
+            counts = dict(
+                (r[0], r[1]) for r in keyed.filter(region).groupBy(_bucket_of(col, bounds)).count().collect()
+            )
+            before = 0
+            for i in range(len(bounds) + 1):
+                c = counts.get(i, 0)
+                if before + c >= remaining:
+                    break
+                before += c
+            lower = bounds[i - 1] if i > 0 else None
+            upper = bounds[i] if i < len(bounds) else None
+            if lower is not None:
+                kept.append(region & (col <= F.lit(lower)))
+                region = region & (col > F.lit(lower))
+            if upper is not None:
+                region = region & (col <= F.lit(upper))
+            remaining -= before
+        if depth == len(keys) - 1:
+            # Every key is fixed: the rows left are ties; any ``remaining`` of them will do.
+            return df.filter(_or(kept)).unionByName(df.filter(region).limit(remaining))
+    raise AssertionError("unreachable")
+
+
+def _finish_exact(df: DataFrame, kept: list[Column], region: Column, keys: list[str], remaining: int) -> DataFrame:
+    """Rank the bounded remainder (at most ``exact_rows`` rows) in one window."""
+    order = Window.orderBy(*[F.col(k).asc_nulls_first() for k in keys])
+    rest = df.filter(region).withColumn("_pos", F.row_number().over(order))
+    rest = rest.filter(F.col("_pos") <= remaining).drop("_pos")
+    return df.filter(_or(kept)).unionByName(rest)

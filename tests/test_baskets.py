@@ -74,3 +74,17 @@ def test_joins_marts_and_audits(spark):
     assert [r.order_id for r in baskets.orders_without_lines(orders, union).collect()] == [3]
     assert baskets.orphan_products(union, products).isEmpty()
     assert baskets.limit_rows(lines, 2).count() == 2 and baskets.limit_rows(lines, None).count() == 3
+
+
+def test_first_n_matches_sort_and_limit(spark):
+    from ordermill.operators.topn import first_n
+
+    rnd = random.Random(3)
+    rows = [(rnd.choice([None, 1, 2, 2, 3]) if i % 7 else 2, rnd.randint(0, 40), i % 5) for i in range(3000)]
+    rows += [(2, 17, 1)] * 900  # one hot key combination
+    df = spark.createDataFrame(rows, "a int, b long, c int")
+    ordered = sorted(rows, key=lambda r: (r[0] is not None, r[0] or 0, r[1], r[2]))
+    for n in [0, 1, 5, 333, 1500, 2000, 3100, 3899, 3900, 5000]:
+        got = first_n(df, ["a", "b", "c"], n, buckets=4, exact_rows=50)
+        want = ordered[:n]
+        assert sorted(map(tuple, got.collect()), key=str) == sorted(want, key=str), n
