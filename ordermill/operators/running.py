@@ -34,11 +34,14 @@ def blocked_running_sum(
     position = F.floor((F.col(seq) - F.lit(1)) / F.lit(block))
     blocked = df.withColumn("_block", F.coalesce(position, F.lit(-1)))
     keys = [*group, "_block"]
-    totals = blocked.groupBy(*keys).agg(F.sum(value).alias("_block_total"))
+    # Inside-block running sum first: its exchange on (group, block) also serves the
+    # block totals below, which then aggregate without another shuffle.
+    inside = Window.partitionBy(*keys).orderBy(seq, *tie).rowsBetween(Window.unboundedPreceding, 0)
+    local = blocked.withColumn("_local", F.sum(value).over(inside))
+    totals = local.groupBy(*keys).agg(F.sum(value).alias("_block_total"))
     before = Window.partitionBy(*group).orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
     offsets = totals.select(*keys, F.coalesce(F.sum("_block_total").over(before), F.lit(0)).alias("_offset"))
-    inside = Window.partitionBy(*keys).orderBy(seq, *tie).rowsBetween(Window.unboundedPreceding, 0)
-    local = blocked.withColumn("_local", F.sum(value).over(inside)).alias("_l")
+    local = local.alias("_l")
     offsets = offsets.alias("_o")
     # NULL-safe keys: a group whose key is NULL is still one group, as in the window.
     on = [F.col(f"_l.{k}").eqNullSafe(F.col(f"_o.{k}")) for k in keys]

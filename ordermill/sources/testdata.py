@@ -53,8 +53,11 @@ def base_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
 def customer_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One row per order with the customer-sequence columns."""
     orders = base_orders(spark, sf_dir)
-    # Orders per (customer, day): partial aggregation, no hot-key concentration.
-    days = orders.groupBy("user_id", "order_date").agg(F.count(F.lit(1)).alias("orders_that_day"))
+    # Position among the same customer's orders of the same day.
+    same_day = Window.partitionBy("user_id", "order_date").orderBy("order_id")
+    ranked = orders.withColumn("rank_in_day", F.row_number().over(same_day))
+    # Orders per (customer, day), aggregated where the ranking already placed them.
+    days = ranked.groupBy("user_id", "order_date").agg(F.count(F.lit(1)).alias("orders_that_day"))
     # One row per calendar day the customer ordered on: bounded per customer.
     by_day = Window.partitionBy("user_id").orderBy("order_date")
     days = days.select(
@@ -65,9 +68,6 @@ def customer_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
         ).alias("orders_before"),
         F.lag("order_date").over(by_day).alias("previous_date"),
     )
-    # Position among the same customer's orders of the same day.
-    same_day = Window.partitionBy("user_id", "order_date").orderBy("order_id")
-    ranked = orders.withColumn("rank_in_day", F.row_number().over(same_day))
     seq = ranked.join(days, ["user_id", "order_date"])
     return seq.select(
         "order_id",
