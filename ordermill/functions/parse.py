@@ -15,7 +15,6 @@ INT_TEXT = r"^[+-]?[0-9]+$"
 DECIMAL_TEXT = r"^[+-]?([0-9]+([.][0-9]+)?|[.][0-9]+)$"
 DATE_TEXT = r"^[0-9]{4}-[0-9]{2}-[0-9]{2}$"
 
-INT_MIN, INT_MAX = -(2**31), 2**31 - 1
 PRICE = "decimal(18,6)"
 
 
@@ -30,8 +29,10 @@ def parse_long(col: Column) -> Column:
 
 
 def parse_int(col: Column) -> Column:
-    value = parse_long(col)
-    return F.when(value.between(INT_MIN, INT_MAX), value.cast("int"))
+    """Integer text; NULL when not an integer or outside the 32-bit range
+    (``try_cast`` yields NULL on overflow, so the text is parsed once)."""
+    text = F.trim(col)
+    return F.when(text.rlike(INT_TEXT), text.try_cast("int"))
 
 
 def parse_decimal(col: Column, target: str = PRICE) -> Column:
@@ -41,8 +42,7 @@ def parse_decimal(col: Column, target: str = PRICE) -> Column:
 
 def parse_truncated_int(col: Column) -> Column:
     """Decimal text truncated toward zero ("15.0" -> 15); NULL when not numeric."""
-    value = parse_decimal(col, "decimal(38,6)")
-    return F.when(value.between(INT_MIN, INT_MAX), value.cast("int"))
+    return parse_decimal(col, "decimal(38,6)").try_cast("int")
 
 
 def parse_date(col: Column) -> Column:

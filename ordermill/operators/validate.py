@@ -68,11 +68,9 @@ def annotate(raw: DataFrame) -> DataFrame:
     Columns other than the 14 order-line columns (file name, message id) are carried along.
     """
     typed = typed_columns()
-    return raw.select(
-        "*",
-        *[expr.alias(f"v_{name}") for name, expr in typed.items()],
-        reject_reason(typed).alias(REASON),
-    )
+    with_typed = raw.select("*", *[expr.alias(f"v_{name}") for name, expr in typed.items()])
+    # The reason refers to the typed columns by name, so each text is parsed once.
+    return with_typed.withColumn(REASON, reject_reason({name: F.col(f"v_{name}") for name in typed}))
 
 
 def _carried(frame: DataFrame) -> list[str]:
