@@ -32,8 +32,18 @@ from ..functions.parse import PRICE
 from ..schema import ORDER_COLUMNS
 
 
+_READS: dict[tuple[int, str], tuple[SparkSession, DataFrame]] = {}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    """One driver table. The tables are read-only, so the scan (file listing and
+    Parquet footer) is set up once per session and path and then reused."""
+    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
+    hit = _READS.get((id(spark), path))
+    if hit is None or hit[0] is not spark:
+        hit = (spark, spark.read.parquet(path))
+        _READS[(id(spark), path)] = hit
+    return hit[1]
 
 
 SEQUENCE_COLUMNS = ["order_number", "days_since_prior_order"]
