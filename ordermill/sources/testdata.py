@@ -78,7 +78,9 @@ def customer_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
         ).alias("orders_before"),
         F.lag("order_date").over(by_day).alias("previous_date"),
     )
-    seq = ranked.join(days, ["user_id", "order_date"])
+    # Each (customer, day) of ``ranked`` has its row in ``days``: a left join keeps the
+    # same orders and lets Catalyst drop it where the sequence columns go unread.
+    seq = ranked.join(days, ["user_id", "order_date"], "left")
     return seq.select(
         "order_id",
         "user_id",
@@ -108,7 +110,10 @@ def purchases(spark: SparkSession, sf_dir: str, sequence: bool = True) -> DataFr
     orders = customer_orders(spark, sf_dir) if sequence else base_orders(spark, sf_dir)
     bought = lines.join(orders, "order_id")
     first = bought.groupBy("user_id", "product_id").agg(F.min("order_date").alias("first_bought"))
-    return bought.join(first, ["user_id", "product_id"]).withColumn(
+    # Every (user, product) of ``bought`` has its row in ``first``, so a left join
+    # keeps the same lines; unlike an inner join, Catalyst removes it (aggregate
+    # and exchanges included) from plans that never read ``reordered``.
+    return bought.join(first, ["user_id", "product_id"], "left").withColumn(
         "reordered", (F.col("order_date") > F.col("first_bought")).cast("int")
     ).drop("first_bought")
 
