@@ -52,6 +52,20 @@ def test_blocked_running_sum_equals_window(spark):
     assert got.exceptAll(want).isEmpty() and want.exceptAll(got).isEmpty()
 
 
+def test_blocked_count_numbers_a_hot_group_like_row_number(spark):
+    # One (customer, day) holds most rows, with sparse unique keys spread over many blocks.
+    rnd = random.Random(11)
+    keys = rnd.sample(range(1, 20_000), 700)
+    day = dt.date(2025, 1, 1)
+    rows = [(1, day, k) for k in keys[:600]] + [(u, day, k) for u, k in zip([2, 2, 3, None], keys[600:604])]
+    rows += [(4, dt.date(2025, 1, 2 + i % 3), k) for i, k in enumerate(keys[604:])]
+    df = spark.createDataFrame(rows, "u long, d date, k long").withColumn("one", F.lit(1))
+    got = blocked_running_sum(df, ["u", "d"], "k", [], "one", "n", block=16).drop("one")
+    want = df.drop("one").withColumn("n", F.row_number().over(Window.partitionBy("u", "d").orderBy("k")).cast("long"))
+    assert got.count() == len(rows)
+    assert got.exceptAll(want).isEmpty() and want.exceptAll(got).isEmpty()
+
+
 def test_joins_marts_and_audits(spark):
     orders = spark.createDataFrame(
         [(1, 7, "prior", 1, 0, 8, None), (2, 7, "train", 2, 0, 8, 40.0), (3, 8, "test", 1, 0, 8, None)], ORDERS
