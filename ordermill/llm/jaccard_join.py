@@ -73,8 +73,8 @@ def _sets_of(shingle: int):
         hasher = WordHashes()
         for rows in chunked(frames, lambda r: len(r[1] or "") // 6 + 1, CHUNK_SHINGLES):
             seen: dict[int, np.ndarray] = {}
-            ids, sizes, keys = [], [], []
-            for doc_id, text in rows:
+            ids, sizes, keys, own = [], [], [], []
+            for doc_id, text, row_key in rows:
                 found = shingle_set(words(text), hasher, shingle)
                 key = xxhash.xxh64_intdigest(found.tobytes())
                 if len(found):
@@ -82,6 +82,7 @@ def _sets_of(shingle: int):
                 ids.append(doc_id)
                 sizes.append(len(found))
                 keys.append(key)
+                own.append(row_key)
             hot, counts = _hot_in_chunk(list(seen.values()))
             yield pd.DataFrame(
                 {
@@ -89,6 +90,7 @@ def _sets_of(shingle: int):
                     "doc_id": pd.array([None if pd.isna(i) else int(i) for i in ids], dtype="Int64"),
                     "n": np.array(sizes, np.int64),
                     "key": signed(np.array(keys, np.uint64)),
+                    "row_key": np.array(own, np.int64),
                 }
             )
             if len(hot):
@@ -98,6 +100,7 @@ def _sets_of(shingle: int):
                         "doc_id": pd.array([None] * len(hot), dtype="Int64"),
                         "n": counts.astype(np.int64),
                         "key": hot.astype(np.int64),
+                        "row_key": np.zeros(len(hot), np.int64),
                     }
                 )
 
@@ -105,9 +108,12 @@ def _sets_of(shingle: int):
 
 
 def shingle_classes(docs: DataFrame, shingle: int = 5) -> DataFrame:
-    """Staged rows (kind, doc_id, n, key): kind 0 one per row of ``docs``, kind 1 reports of hot shingles."""
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    return staged(rows.mapInPandas(_sets_of(shingle), "kind int, doc_id long, n long, key long"), "sets")
+    """Staged rows (kind, doc_id, n, key, row_key): kind 0 one per row of ``docs``, kind 1 reports of hot shingles."""
+    text = F.coalesce(F.col("text").cast("string"), F.lit(""))
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text.alias("text"), F.xxhash64(text).alias("own"))
+    return staged(
+        rows.mapInPandas(_sets_of(shingle), "kind int, doc_id long, n long, key long, row_key long"), "sets"
+    )
 
 
 def _dealt(shingle: int, ranges: int, hot: np.ndarray):
@@ -321,28 +327,34 @@ def class_links(shared: DataFrame, percent: int) -> DataFrame:
 
 
 def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80) -> DataFrame:
-    """One row per row of ``docs``: doc_id, n_shingles, component_id, class_key.
+    """One row per row of ``docs``: doc_id, n_shingles, component_id, class_key, component_key, row_key.
 
-    ``class_key`` is equal for equal shingle sets; rows without shingles have a
-    null one and their own doc_id as component_id.
+    ``class_key`` is equal for equal shingle sets, ``component_key`` for linked
+    ones; rows without shingles have null ones and their own doc_id as
+    component_id. ``row_key`` is xxhash64 of the text (null as empty).
     """
     sets = shingle_classes(docs, shingle)
     shared = shared_shingles(docs, sets, shingle, percent)
     links = class_links(shared, percent)
     roots = connected_components(links, "a", "b")
     rows = sets.filter("kind = 0").select(
-        "doc_id", F.col("n").alias("n_shingles"), F.when(F.col("n") > 0, F.col("key")).alias("class_key")
+        "doc_id",
+        F.col("n").alias("n_shingles"),
+        F.when(F.col("n") > 0, F.col("key")).alias("class_key"),
+        "row_key",
     )
     classes = (
         rows.filter("class_key is not null").groupBy("class_key").agg(F.min("doc_id").alias("least"))
         .join(roots, F.col("class_key") == F.col("node"), "left")
-        .select("class_key", "least", F.coalesce("root", "class_key").alias("root"))
+        .select("class_key", "least", F.coalesce("root", "class_key").alias("component_key"))
     )
-    least = classes.groupBy("root").agg(F.min("least").alias("component"))
-    of_class = staged(classes.join(least, "root").select("class_key", "component"), "classes")
+    least = classes.groupBy("component_key").agg(F.min("least").alias("component"))
+    of_class = staged(classes.join(least, "component_key").select("class_key", "component_key", "component"), "classes")
     return rows.join(of_class, "class_key", "left").select(
         "doc_id",
         "n_shingles",
         F.when(F.col("class_key").isNull(), F.col("doc_id")).otherwise(F.col("component")).alias("component_id"),
         "class_key",
+        "component_key",
+        "row_key",
     )

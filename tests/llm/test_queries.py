@@ -1,0 +1,47 @@
+"""Registered queries: names, DuckDB SQL on the smallest tables, and result columns."""
+
+from __future__ import annotations
+
+import os
+
+import duckdb
+import pytest
+
+from ordermill.llm.queries import ORACLE_SQL, QUERIES
+from tools.oracle_check import TABLES, rows_of
+
+SF_DIR = "/root/testdata/sf0.001"
+pytestmark = pytest.mark.skipif(not os.path.isdir(SF_DIR), reason="driver tables not present")
+
+COLUMNS = {
+    2: "doc_id n_shingles component_id",
+    3: "doc_id held_out score predicted",
+    4: "doc_id held_out score predicted",
+    6: "page_id host path rule verdict",
+    7: "doc_id n_lines n_dropped kept_sha256",
+    8: "doc_id n_bytes n_removed n_spans kept_sha256",
+    9: "query_id rank vec_id score",
+}
+
+
+def test_one_query_for_each_operator():
+    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 11))
+
+
+@pytest.mark.parametrize("name", sorted(ORACLE_SQL))
+def test_query_equals_sql(spark, name):
+    con = duckdb.connect()
+    for t in TABLES:
+        con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{SF_DIR}/{t}.parquet')")
+    df = QUERIES[name](spark, SF_DIR)
+    rel = con.sql(ORACLE_SQL[name])
+    cols = sorted(df.columns)
+    assert sorted(rel.columns) == cols
+    want = [dict(zip(rel.columns, r, strict=True)) for r in rel.fetchall()]
+    assert rows_of([r.asDict() for r in df.collect()], cols) == rows_of(want, cols)
+
+
+@pytest.mark.parametrize("n", sorted(COLUMNS))
+def test_columns(spark, n):
+    name = next(q for q in QUERIES if q.startswith(f"op{n}_"))
+    assert set(COLUMNS[n].split()) <= set(QUERIES[name](spark, SF_DIR).columns)
