@@ -192,7 +192,7 @@ def vocabulary_of(sample: DataFrame, max_features: int, least_z: float, swaps: S
     z = F.abs(F.col("n1") / F.lit(ones) - F.col("n0") / F.lit(zeros)) / error
     chosen = (
         counts.withColumn("z", z)
-        .filter((F.col("z") >= least_z) & (F.col("n0") + F.col("n1") >= 5))
+        .filter((F.col("z") >= least_z) & (F.col("n0") + F.col("n1") >= 3))
         .orderBy(F.desc("z"), "feature")
         .limit(max_features)
         .select("feature")
@@ -211,7 +211,7 @@ def fit_toxicity(
     learn: Column | None = None,
     max_rows: int = 20_000,
     max_features: int = 20_000,
-    least_z: float = 5.0,
+    least_z: float = 4.0,
     penalty: float = 5.0,
     groups=IDENTITY_GROUPS,
 ) -> ToxicityModel:

@@ -33,7 +33,7 @@ def test_held_out_accuracy(spark):
     right, wrong = accuracy(spark, op3_quality_nbsvm, "quality")
     assert right >= 0.97 and wrong <= 0.1
     right, wrong = accuracy(spark, op4_counterfactual_toxicity, "toxic")
-    assert right >= 0.75 and wrong <= 0.02
+    assert right >= 0.75 and wrong <= 0.05
 
 
 def small(spark):
