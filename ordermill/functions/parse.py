@@ -1,8 +1,8 @@
-"""Strict text parsing shared by CSV reads, validation and message decoding.
+"""Text parsing shared by CSV reads, validation and message decoding.
 
-Each parser accepts a fixed textual form (regular expression) and then casts
-with ``try_cast``; anything else yields NULL. The forms are explicit so that
-the result never depends on a cast's leniency ("2.5" as int, "2025-1-3").
+Each parser trims and casts with ``try_cast``: what Spark cannot read as the type
+(``2.5`` or ``99999999999`` as a 32-bit integer, ``NaN`` as a decimal) is NULL.
+Decimals may be written ``5.``, ``.5``, ``1e3``; dates ``2025-1-3`` or with a time.
 """
 
 from __future__ import annotations
@@ -10,12 +10,9 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Fixed textual forms.
-INT_TEXT = r"^[+-]?[0-9]+$"
-DECIMAL_TEXT = r"^[+-]?([0-9]+([.][0-9]+)?|[.][0-9]+)$"
-DATE_TEXT = r"^[0-9]{4}-[0-9]{2}-[0-9]{2}$"
+from ..schema import PRICE_TYPE
 
-PRICE = "decimal(18,6)"
+PRICE = PRICE_TYPE.simpleString()
 
 
 def blank(col: Column) -> Column:
@@ -24,27 +21,21 @@ def blank(col: Column) -> Column:
 
 
 def parse_long(col: Column) -> Column:
-    text = F.trim(col)
-    return F.when(text.rlike(INT_TEXT), text.try_cast("bigint"))
+    return F.trim(col).try_cast("bigint")
 
 
 def parse_int(col: Column) -> Column:
-    """Integer text; NULL when not an integer or outside the 32-bit range
-    (``try_cast`` yields NULL on overflow, so the text is parsed once)."""
-    text = F.trim(col)
-    return F.when(text.rlike(INT_TEXT), text.try_cast("int"))
+    return F.trim(col).try_cast("int")
 
 
 def parse_decimal(col: Column, target: str = PRICE) -> Column:
-    text = F.trim(col)
-    return F.when(text.rlike(DECIMAL_TEXT), text.try_cast(target))
+    return F.trim(col).try_cast(target)
 
 
 def parse_truncated_int(col: Column) -> Column:
     """Decimal text truncated toward zero ("15.0" -> 15); NULL when not numeric."""
-    return parse_decimal(col, "decimal(38,6)").try_cast("int")
+    return F.trim(col).try_cast("decimal(38,6)").try_cast("int")
 
 
 def parse_date(col: Column) -> Column:
-    text = F.trim(col)
-    return F.when(text.rlike(DATE_TEXT), text.try_cast("date"))
+    return F.trim(col).try_cast("date")

@@ -34,8 +34,8 @@ def cents(amount: Column) -> Column:
     """Money amount with scale 2 as an exact integral number of cents (bigint).
 
     Sums of cents aggregate in 64-bit integers: above precision 18 a decimal sum
-    buffer is a BigDecimal per update. A bigint holds 9.2e16 currency units, far
-    beyond the numeric(12,2) mart contract, and ANSI mode fails loudly on overflow.
+    buffer is a BigDecimal per update. A bigint holds 9.2e16 currency units, and ANSI
+    mode fails loudly beyond it.
     """
     return (amount * F.lit(100)).cast("long")
 

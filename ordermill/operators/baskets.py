@@ -1,34 +1,46 @@
 """Basket-volume variant over normalised tables (orders, order products, products,
-aisles, departments), which carry no prices: item counts are order-product rows.
+aisles, departments), which carry no prices: every order product counts as one item.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.rounding import half_up_ratio
+from ..functions.parse import blank, parse_truncated_int
 from .running import blocked_running_sum
-from .topn import first_n
 
 # First order date of every customer's reconstructed calendar (fixed value).
 CALENDAR_START = "2025-01-01"
-# Default cap of order-product rows for a quick preview (fixed value); None = all rows.
-DEFAULT_MAX_ROWS = 250_000
-SPLITS = ("prior", "train")
 
+LINE_COLUMNS = [
+    "split", "order_id", "user_id", "eval_set", "product_id", "product_name", "aisle", "department",
+    "reordered", "order_date", "sales_month",
+]
 
-def order_calendar(orders: DataFrame) -> DataFrame:
-    """Rebuild each order's date from day gaps: every customer starts on CALENDAR_START
-    and each later order adds its whole-day ``days_since_prior_order`` (decimals
-    truncated; the first order and blank gaps add nothing), in order_number order."""
-    gap = (
-        F.when((F.col("order_number") == 1) | F.col("days_since_prior_order").isNull(), F.lit(0))
-        .otherwise(F.col("days_since_prior_order").try_cast("int"))
+
+def with_gap_days(orders: DataFrame) -> DataFrame:
+    """Adds ``gap_days``: whole days (decimals truncated) from the customer's order before, 0 on the first order
+    and where no gap is given, NULL where a gap is given that is no number. Gaps may be text or numbers."""
+    text = F.col("days_since_prior_order").cast("string")
+    return orders.withColumn(
+        "gap_days",
+        F.when((F.col("order_number") == 1) | blank(F.trim(text)), F.lit(0)).otherwise(parse_truncated_int(text)),
     )
-    with_gap = orders.withColumn("_gap", F.coalesce(gap, F.lit(0)))
-    summed = blocked_running_sum(with_gap, ["user_id"], "order_number", ["order_id"], "_gap", "_days")
-    order_date = F.date_add(F.lit(CALENDAR_START).cast("date"), F.col("_days").cast("int"))
+
+
+def unreadable_gaps(orders: DataFrame) -> DataFrame:
+    """Orders whose gap is given but is no number: the dates of that customer's later orders rest on it."""
+    return with_gap_days(orders).filter(F.col("gap_days").isNull()).drop("gap_days")
+
+
+def order_calendar(orders: DataFrame) -> DataFrame:
+    """Rebuild each order's date from day gaps: every customer starts on CALENDAR_START and each later order
+    adds its gap, in order_number order. An unreadable gap adds nothing; ``unreadable_gaps`` reports them,
+    and ``check_references`` callers treat them as faults."""
+    with_gap = with_gap_days(orders).withColumn("gap_days", F.coalesce("gap_days", F.lit(0)))
+    summed = blocked_running_sum(with_gap, ["user_id"], "order_number", ["order_id"], "gap_days", "day")
+    order_date = F.date_add(F.lit(CALENDAR_START).cast("date"), F.col("day").cast("int"))
     return summed.select(
         "order_id",
         "user_id",
@@ -46,38 +58,6 @@ def union_order_products(prior: DataFrame, train: DataFrame) -> DataFrame:
     return prior.withColumn("split", F.lit("prior")).unionByName(train.withColumn("split", F.lit("train")))
 
 
-def basket_lines(
-    order_products: DataFrame,
-    calendar: DataFrame,
-    products: DataFrame,
-    aisles: DataFrame,
-    departments: DataFrame,
-) -> DataFrame:
-    """Order products with their order's calendar and product names.
-
-    Lines of unknown orders are skipped (inner join); products, aisles and
-    departments must all resolve, which ``orphan_products`` audits.
-    """
-    named = products.join(departments, "department_id").join(aisles, "aisle_id")
-    return (
-        order_products.join(calendar.select("order_id", "user_id", "eval_set", "order_date", "sales_month"), "order_id")
-        .join(named.select("product_id", "product_name", "aisle", "department"), "product_id")
-        .select(
-            "split", "order_id", "user_id", "eval_set", "product_id", "product_name", "aisle", "department",
-            "reordered", "order_date", "sales_month",
-        )
-    )
-
-
-def orphan_products(order_products: DataFrame, products: DataFrame) -> DataFrame:
-    """Order products whose product id has no product row."""
-    return order_products.join(products.select("product_id"), "product_id", "left_anti")
-
-
-def orders_without_lines(orders: DataFrame, order_products: DataFrame) -> DataFrame:
-    return orders.join(order_products.select("order_id"), "order_id", "left_anti")
-
-
 def require_unique(dim: DataFrame, key: str) -> DataFrame:
     """Fail when a dimension key repeats: 'last row wins' has no meaning on a split read."""
     dup = dim.groupBy(key).count().filter(F.col("count") > 1)
@@ -86,106 +66,69 @@ def require_unique(dim: DataFrame, key: str) -> DataFrame:
     return dim
 
 
-def limit_rows(lines: DataFrame, max_rows: int | None = DEFAULT_MAX_ROWS) -> DataFrame:
-    """The first ``max_rows`` lines in (split, order_id, product_id) order; None = all.
-
-    Runs small counting jobs to locate the cut-off (see ``topn.first_n``), so no
-    single task merges candidates from every partition.
-    """
-    if max_rows is None:
-        return lines
-    if max_rows < 0:
-        raise ValueError("max_rows must be >= 0 or None")
-    split_rank = F.lit(None).cast("int")
-    for rank, name in reversed(list(enumerate(SPLITS))):
-        split_rank = F.when(F.col("split") == name, F.lit(rank)).otherwise(split_rank)
-    ranked = lines.withColumn("_split_rank", split_rank)
-    return first_n(ranked, ["_split_rank", "order_id", "product_id"], max_rows).drop("_split_rank")
-
-
-def _rows() -> Column:
-    return F.count(F.lit(1))
-
-
-def basket_monthly(lines: DataFrame) -> DataFrame:
-    per_order = lines.groupBy("sales_month", "order_id").agg(
-        F.min("user_id").alias("user_id"), _rows().alias("order_lines")
-    )
-    return per_order.groupBy("sales_month").agg(
-        _rows().cast("int").alias("order_count"),
-        F.countDistinct("user_id").cast("int").alias("customer_count"),
-        F.sum("order_lines").cast("int").alias("item_count"),
-        half_up_ratio(F.sum("order_lines"), _rows(), 2).alias("avg_basket_size"),
-    )
-
-
-def basket_products(lines: DataFrame) -> DataFrame:
-    return lines.groupBy("product_id", "product_name", "department").agg(
-        F.countDistinct("order_id").cast("int").alias("order_count"),
-        _rows().cast("int").alias("item_count"),
-        half_up_ratio(F.sum("reordered"), _rows(), 4).alias("reorder_rate"),
+def named_products(products: DataFrame, aisles: DataFrame, departments: DataFrame) -> DataFrame:
+    """Products with aisle, department and ``missing``: the first reference that does not resolve, or NULL."""
+    aisle = aisles.select("aisle_id", "aisle", F.lit(True).alias("has_aisle"))
+    department = departments.select("department_id", "department", F.lit(True).alias("has_department"))
+    return (
+        products.join(aisle, "aisle_id", "left")
+        .join(department, "department_id", "left")
+        .select(
+            "product_id",
+            "product_name",
+            "aisle",
+            "department",
+            F.when(F.col("has_department").isNull(), F.lit("department"))
+            .when(F.col("has_aisle").isNull(), F.lit("aisle"))
+            .alias("missing"),
+        )
     )
 
 
-def basket_customers(lines: DataFrame) -> DataFrame:
-    return lines.groupBy("user_id").agg(
-        F.countDistinct("order_id").cast("int").alias("order_count"),
-        _rows().cast("int").alias("item_count"),
-        F.min("order_date").alias("first_order_date"),
-        F.max("order_date").alias("last_order_date"),
-        F.countDistinct("sales_month").cast("int").alias("active_months"),
-    ).withColumn("retention_flag", F.col("order_count") > 1)
-
-
-def basket_category(lines: DataFrame) -> DataFrame:
-    return lines.groupBy("department").agg(
-        F.countDistinct("order_id").cast("int").alias("order_count"),
-        F.countDistinct("product_id").cast("int").alias("product_count"),
-        _rows().cast("int").alias("item_count"),
+def resolved_lines(order_products: DataFrame, calendar: DataFrame, named: DataFrame) -> DataFrame:
+    """Order products of known orders (others are skipped), with calendar, names and ``missing``: the reference
+    (product, department or aisle) that does not resolve, NULL where all do. No line is lost on the way."""
+    known = named.withColumn("has_product", F.lit(True))
+    return (
+        order_products.join(
+            calendar.select("order_id", "user_id", "eval_set", "order_date", "sales_month"), "order_id"
+        )
+        .join(known, "product_id", "left")
+        .withColumn("missing", F.when(F.col("has_product").isNull(), F.lit("product")).otherwise(F.col("missing")))
+        .select(*LINE_COLUMNS, "missing")
     )
 
 
-def basket_customer_features(lines: DataFrame) -> DataFrame:
-    """Plain aggregates and the three distinct counts as two aggregations joined on
-    user_id (as ``marts.ml_customer_features``): both come out hash-partitioned by
-    user_id, so the join adds no shuffle, and the plain sums skip the distinct
-    rewrite that repeats every line once per distinct column."""
-    sums = lines.groupBy("user_id").agg(
-        _rows().alias("_rows"),
-        F.sum("reordered").alias("_reordered"),
-        F.max("order_date").alias("last_order_date"),
-    )
-    distincts = lines.groupBy("user_id").agg(
-        F.countDistinct("order_id").alias("_orders"),
-        F.countDistinct("department").cast("int").alias("department_count"),
-        F.countDistinct("sales_month").cast("int").alias("active_months"),
+def orphan_lines(resolved: DataFrame) -> DataFrame:
+    """Lines with an unknown product, department or aisle, and which of them."""
+    return resolved.filter(F.col("missing").isNotNull()).select(
+        "split", "order_id", "product_id", F.col("missing").alias("missing_reference")
     )
-    return sums.join(distincts, "user_id").select(
-        "user_id",
-        F.col("_orders").cast("int").alias("order_count"),
-        F.col("_rows").cast("int").alias("item_count"),
-        half_up_ratio(F.col("_rows"), F.col("_orders"), 2).alias("avg_basket_lines"),
-        half_up_ratio(F.col("_reordered"), F.col("_rows"), 4).alias("reorder_rate"),
-        "department_count",
-        "active_months",
-        "last_order_date",
-        (F.col("_orders") > 1).alias("repeat_customer_label"),
-    )
-
 
-# Report sizes of the preview (fixed values).
-TOP_PRODUCTS = 100
-TOP_CUSTOMERS = 1000
-FEATURE_ROWS = 1000
 
+def basket_lines(resolved: DataFrame, strict: bool = False) -> DataFrame:
+    """Lines of which every reference resolves.
 
-def top_basket_products(lines: DataFrame, k: int = TOP_PRODUCTS) -> DataFrame:
-    return basket_products(lines).orderBy(F.desc("item_count"), "product_name", "product_id").limit(k)
+    ``strict`` fails when any line has an unknown product, department or aisle;
+    otherwise those lines are left to ``orphan_lines`` (the quarantine).
+    """
+    if strict:
+        found = orphan_lines(resolved).groupBy("missing_reference").count().collect()
+        if found:
+            raise ValueError(
+                "lines with unknown references: "
+                + ", ".join(f"{r.missing_reference} {r['count']}" for r in sorted(found))
+            )
+    return resolved.filter(F.col("missing").isNull()).select(*LINE_COLUMNS)
 
 
-def top_basket_customers(lines: DataFrame, k: int = TOP_CUSTOMERS) -> DataFrame:
-    return basket_customers(lines).orderBy(F.desc("item_count"), "user_id").limit(k)
+def orders_without_lines(orders: DataFrame, order_products: DataFrame) -> DataFrame:
+    return orders.join(order_products.select("order_id"), "order_id", "left_anti")
 
 
-def first_customer_features(lines: DataFrame, k: int = FEATURE_ROWS) -> DataFrame:
-    return basket_customer_features(lines).orderBy("user_id").limit(k)
+def mart_input(lines: DataFrame) -> DataFrame:
+    """Basket lines with the columns the measures read: one item each."""
+    return lines.select(
+        "order_id", "user_id", "product_id", "product_name", "department", "order_date", "sales_month",
+        F.lit(1).alias("quantity"), F.coalesce("reordered", F.lit(0)).alias("is_reordered"),
+    )

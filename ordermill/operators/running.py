@@ -4,8 +4,10 @@
 puts a whole group in one task. Here the sequence is cut into blocks of
 ``block`` consecutive positions: block totals come from a partial aggregation,
 block offsets from a window over one row per block, and the running total inside
-a block from a window over at most ``block`` positions. No task ever holds more
-than one block of a group, however large the group.
+a block from a window over at most ``block`` positions. With positions that are
+unique and not NULL, as an order number or an order id of one customer is, no
+task holds more than one block of a group, however large. Rows that share a
+position, or have none, share a block.
 """
 
 from __future__ import annotations

@@ -1,13 +1,14 @@
-"""The batch job: read order lines, clean once, build the marts, write each one.
+"""The batch jobs: order lines to revenue marts, and normalised baskets to basket marts.
 
-The cleaned lines are written once as Parquet partitioned by month under the
-shared folder (``spark.checkpoint.dir``) and every mart reads that table. This
-cuts the lineage (a lost executor re-reads Parquet instead of re-running the
-read and cleaning), prunes to the columns each mart uses, and avoids holding
-the whole cleaned input in executor memory.
+Lines are written once, as Parquet partitioned by month under the shared folder
+(``spark.checkpoint.dir``), and every mart reads that table: a lost executor
+re-reads Parquet instead of re-running reads and joins, and each mart prunes to
+its columns. The stage is replaced as a whole and removed at the end. A mart's
+contract is checked before anything of it is written.
 
 usage: python -m ordermill.plans.batch --source PATH [--format csv|parquet]
                                       [--sink parquet|csv|jdbc] [--out DIR] [--marts a,b]
+       python -m ordermill.plans.batch --baskets FOLDER [--lenient] [--sink parquet|csv] [--out DIR]
 """
 
 from __future__ import annotations
@@ -16,13 +17,13 @@ import argparse
 import logging
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..operators import baskets
 from ..operators.clean import clean_orders, mart_input
-from ..operators.marts import MARTS
-from ..operators.validate import REASON, annotate
-from ..session import build_session, work_path
+from ..operators.marts import ALL_MARTS, BASKET_MARTS, REVENUE_MARTS, build, present
+from ..session import build_session, remove_path, work_path
 from ..sources import contracts, files, jdbc
 
 log = logging.getLogger("ordermill.batch")
@@ -38,8 +39,10 @@ def parquet_sink(root: str) -> Sink:
 
 
 def csv_sink(root: str) -> Sink:
+    """A CSV folder per mart, in the mart's display order: its files, by name, follow each other."""
+
     def write(name: str, mart: DataFrame) -> None:
-        files.write_csv(mart, f"{root}/{name}", files=1)
+        files.write_csv(present(name, mart) if name in ALL_MARTS else mart, f"{root}/{name}")
 
     return write
 
@@ -51,67 +54,119 @@ def jdbc_sink(conn: dict[str, str] | None = None) -> Sink:
     return write
 
 
-def observe_ingest(raw: DataFrame) -> tuple[DataFrame, Observation]:
-    """Annotated lines plus an observation of lines read / accepted / rejected,
-    filled in by whichever action consumes the frame first."""
-    obs = Observation("ingest")
-    bad = F.col(REASON).isNotNull()
-    annotated = annotate(raw).observe(
-        obs,
-        F.count(F.lit(1)).alias("total_lines"),
-        F.count_if(~bad).alias("accepted_lines"),
-        F.count_if(bad).alias("rejected_lines"),
-    )
-    return annotated, obs
+def _write_marts(staged: DataFrame, names: list[str], sink: Sink, stage: str) -> dict[str, int]:
+    """Build each mart from staged lines, check it, write it; rows per mart."""
+    spark = staged.sparkSession
+    rows = {}
+    for name in names:
+        log.info("building mart %s", name)
+        mart = build(staged, ALL_MARTS[name])
+        path = f"{stage}-{name}"
+        try:
+            if name in REVENUE_MARTS:
+                contracts.conform(mart, name).write.mode("overwrite").parquet(path)
+                mart = spark.read.parquet(path)
+                rows[name] = contracts.require_contract(mart, name)
+            sink(name, mart)
+        finally:
+            remove_path(spark, path)
+    return rows
+
+
+def run_batch(spark: SparkSession, lines: DataFrame, sink: Sink, marts: list[str] | None = None) -> dict[str, object]:
+    """Clean ``lines`` once and write each requested mart through ``sink``.
+
+    Returns lines read, kept and dropped by cleaning, revenue, and rows per mart.
+    """
+    stage = work_path(spark, "cleaned")
+    try:
+        files.write_landing(mart_input(clean_orders(lines)), stage, only_present=False)
+        staged = files.read_landing(spark, stage)
+        kept = staged.agg(F.count(F.lit(1)).alias("n"), F.sum("line_revenue").alias("revenue")).first()
+        read = lines.count()
+        metrics = {
+            "lines": read, "clean_lines": kept.n, "dropped_lines": read - kept.n, "clean_revenue": kept.revenue,
+        }
+        log.info("cleaned lines: %s", metrics)
+        metrics["marts"] = _write_marts(staged, marts or list(REVENUE_MARTS), sink, stage)
+    finally:
+        remove_path(spark, stage)
+    return metrics
 
 
-def stage_cleaned(spark: SparkSession, lines: DataFrame, stage_path: str | None = None) -> tuple[DataFrame, dict]:
-    """Write the cleaned mart input once; return the staged table and clean metrics."""
-    obs = Observation("clean")
-    cleaned = mart_input(clean_orders(lines)).observe(
-        obs, F.count(F.lit(1)).alias("clean_lines"), F.sum("line_revenue").alias("clean_revenue")
+def stage_basket_lines(spark: SparkSession, tables: dict[str, DataFrame], path: str, strict: bool) -> dict[str, DataFrame]:
+    """Resolve all basket lines once; lines, orphans, unreadable gaps and orders without lines."""
+    named = baskets.named_products(tables["products"], tables["aisles"], tables["departments"])
+    calendar = baskets.order_calendar(tables["orders"])
+    files.by_partition(baskets.resolved_lines(tables["order_products"], calendar, named)).write.parquet(path)
+    resolved = spark.read.parquet(path)
+    gaps = baskets.unreadable_gaps(tables["orders"])
+    if strict and not gaps.isEmpty():
+        raise ValueError("orders with days_since_prior_order that is no number")
+    return {
+        "lines": baskets.basket_lines(resolved, strict),
+        "orphan_lines": baskets.orphan_lines(resolved),
+        "unreadable_gaps": gaps,
+        "orders_without_lines": baskets.orders_without_lines(tables["orders"], tables["order_products"]),
+    }
+
+
+def basket_tables(files_by_name: dict[str, DataFrame]) -> dict[str, DataFrame]:
+    """The six files as five tables: both order-product files in one."""
+    out = {k: v for k, v in files_by_name.items() if not k.startswith("order_products")}
+    out["order_products"] = baskets.union_order_products(
+        files_by_name["order_products__prior"], files_by_name["order_products__train"]
     )
-    path = stage_path or work_path(spark, "cleaned")
-    files.write_landing(cleaned, path)
-    return files.read_landing(spark, path), dict(obs.get)
-
-
-def run_batch(
-    spark: SparkSession,
-    lines: DataFrame,
-    sink: Sink,
-    marts: list[str] | None = None,
-    stage_path: str | None = None,
-) -> dict:
-    """Clean ``lines`` once and write each requested mart through ``sink``."""
-    staged, metrics = stage_cleaned(spark, lines, stage_path)
-    log.info("cleaned lines: %s", metrics)
-    for name in marts or list(MARTS):
-        log.info("writing mart %s", name)
-        sink(name, contracts.conform(MARTS[name](staged), name))
+    return out
+
+
+def run_baskets(
+    spark: SparkSession, tables: dict[str, DataFrame], sink: Sink, strict: bool = True, marts: list[str] | None = None
+) -> dict[str, object]:
+    """Resolve the basket lines and write each basket mart through ``sink``.
+
+    ``strict`` fails on unknown references and unreadable gaps; otherwise these
+    lines and orders are written through ``sink`` as well, under their own names.
+    """
+    stage = work_path(spark, "basket-lines")
+    try:
+        parts = stage_basket_lines(spark, tables, stage, strict)
+        metrics: dict[str, object] = {name: part.count() for name, part in parts.items()}
+        if not strict:
+            for name in ("orphan_lines", "unreadable_gaps"):
+                sink(name, parts[name])
+        _write_marts(baskets.mart_input(parts["lines"]), marts or list(BASKET_MARTS), sink, stage)
+    finally:
+        remove_path(spark, stage)
+    log.info("baskets: %s", metrics)
     return metrics
 
 
 def main(argv: list[str] | None = None) -> None:
     parser = argparse.ArgumentParser(description="order-line marts")
-    parser.add_argument("--source", required=True)
+    parser.add_argument("--source", help="order lines")
+    parser.add_argument("--baskets", help="folder with the six normalised basket files")
+    parser.add_argument("--lenient", action="store_true", help="quarantine unknown references instead of failing")
     parser.add_argument("--format", choices=["csv", "parquet"], default="csv")
     parser.add_argument("--sink", choices=["parquet", "csv", "jdbc"], default="parquet")
     parser.add_argument("--out", default=None, help="output folder for parquet/csv sinks")
     parser.add_argument("--marts", default=None, help="comma-separated subset")
     args = parser.parse_args(argv)
+    if bool(args.source) == bool(args.baskets):
+        parser.error("give either --source or --baskets")
     logging.basicConfig(level=logging.INFO, format="%(asctime)s %(levelname)s %(message)s")
 
     spark = build_session()
-    if args.format == "csv":
-        files.require_sources(spark, [args.source], "csv")
-        lines = files.read_order_csv(spark, args.source)
-    else:
-        lines = spark.read.parquet(args.source)
     out = args.out or work_path(spark, "marts")
     sink = {"parquet": lambda: parquet_sink(out), "csv": lambda: csv_sink(out), "jdbc": jdbc_sink}[args.sink]()
     chosen = args.marts.split(",") if args.marts else None
-    metrics = run_batch(spark, lines, sink, chosen)
+    if args.baskets:
+        tables = basket_tables(files.read_baskets(spark, args.baskets))
+        metrics = run_baskets(spark, tables, sink, not args.lenient, chosen)
+    else:
+        files.require_sources(spark, [args.source], args.format)
+        read = files.read_order_csv if args.format == "csv" else lambda s, path: s.read.parquet(path)
+        metrics = run_batch(spark, read(spark, args.source), sink, chosen)
     log.info("batch finished: %s", metrics)
     spark.stop()
 

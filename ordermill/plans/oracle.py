@@ -2,11 +2,16 @@
 
 The SQL states each query from first principles over the driver's tables; the
 Spark side is built from the library's operators. Both alias every column the
-same way. Money leaves both engines as DOUBLE.
+same way. Exact decimals leave both engines as text. What a faulty cell is worth follows
+from the arithmetic that placed the fault, never from parsing its text.
 """
 
 from __future__ import annotations
 
+from ..schema import MART_COLUMNS
+from ..schema import ORDER_COLUMNS as COLUMNS
+from ..schema import REQUIRED_AT_INGEST as REQUIRED
+
 # Customer sequence, purchases and typed order lines (mirrors sources.testdata).
 BASE = """
 co AS (
@@ -46,63 +51,65 @@ cl AS (
 
 
 def half_up(num: str, den: str, scale: int) -> str:
-    """SQL for round(num/den, scale) half away from zero on integers, as DOUBLE."""
+    """SQL for round(num/den, scale) half away from zero on integers, as decimal text."""
     k = 10**scale
-    return (
-        f"CAST(sign({num}) * ((2 * {k} * abs(CAST({num} AS HUGEINT)) + {den}) // (2 * CAST({den} AS HUGEINT)))"
-        f" AS DOUBLE) / {k}.0"
-    )
+    whole = f"sign({num}) * ((2 * {k} * abs(CAST({num} AS HUGEINT)) + {den}) // (2 * CAST({den} AS HUGEINT)))"
+    return f"CAST(CAST({whole} AS DECIMAL(24,0)) * CAST('{1 / k:.{scale}f}' AS DECIMAL({scale},{scale})) AS VARCHAR)"
 
 
 def cents(expr: str) -> str:
     return f"CAST({expr} * 100 AS HUGEINT)"
 
 
+def money(expr: str) -> str:
+    return f"CAST(CAST({expr} AS DECIMAL(38,2)) AS VARCHAR)"
+
+
 def with_base(body: str, extra: str = "") -> str:
     ctes = BASE + ("," + extra if extra else "")
     return f"WITH {ctes}\n{body}"
 
 
 MART_SQL = {
-    "order_summary": """
+    "order_summary": f"""
 SELECT sales_month, order_id, min(user_id) AS user_id, CAST(sum(quantity) AS BIGINT) AS order_items,
-       CAST(sum(line_revenue) AS DOUBLE) AS order_revenue
+       {money('sum(line_revenue)')} AS order_revenue
 FROM cl GROUP BY sales_month, order_id""",
     "monthly_sales": f"""
-SELECT sales_month, CAST(count(*) AS INTEGER) AS order_count,
-       CAST(count(DISTINCT user_id) AS INTEGER) AS customer_count,
-       CAST(sum(order_items) AS INTEGER) AS item_count,
-       CAST(sum(order_revenue) AS DOUBLE) AS gross_revenue,
+SELECT sales_month, count(*) AS order_count,
+       count(DISTINCT user_id) AS customer_count,
+       CAST(sum(order_items) AS BIGINT) AS item_count,
+       {money('sum(order_revenue)')} AS gross_revenue,
        {half_up(cents('sum(order_revenue)'), 'count(*) * 100', 2)} AS avg_order_value
 FROM (SELECT sales_month, order_id, min(user_id) AS user_id, sum(quantity) AS order_items,
              sum(line_revenue) AS order_revenue
       FROM cl GROUP BY sales_month, order_id) po
 GROUP BY sales_month""",
     "top_products": f"""
-SELECT product_id, product_name, department, CAST(count(DISTINCT order_id) AS INTEGER) AS order_count,
-       CAST(sum(quantity) AS INTEGER) AS total_quantity, CAST(sum(line_revenue) AS DOUBLE) AS gross_revenue,
+SELECT product_id, product_name, department, count(DISTINCT order_id) AS order_count,
+       CAST(sum(quantity) AS BIGINT) AS total_quantity, {money('sum(line_revenue)')} AS gross_revenue,
        {half_up('sum(is_reordered)', 'count(*)', 4)} AS reorder_rate
 FROM cl GROUP BY product_id, product_name, department""",
-    "customer_metrics": """
-SELECT user_id, CAST(count(DISTINCT order_id) AS INTEGER) AS order_count,
-       CAST(sum(quantity) AS INTEGER) AS item_count, CAST(sum(line_revenue) AS DOUBLE) AS gross_revenue,
+    "customer_metrics": f"""
+SELECT user_id, count(DISTINCT order_id) AS order_count,
+       CAST(sum(quantity) AS BIGINT) AS item_count, {money('sum(line_revenue)')} AS gross_revenue,
        min(order_date) AS first_order_date, max(order_date) AS last_order_date,
-       CAST(count(DISTINCT sales_month) AS INTEGER) AS active_months,
+       count(DISTINCT sales_month) AS active_months,
        count(DISTINCT order_id) > 1 AS retention_flag
 FROM cl GROUP BY user_id""",
-    "category_performance": """
-SELECT department, CAST(count(DISTINCT order_id) AS INTEGER) AS order_count,
-       CAST(count(DISTINCT product_id) AS INTEGER) AS product_count,
-       CAST(sum(quantity) AS INTEGER) AS item_count, CAST(sum(line_revenue) AS DOUBLE) AS gross_revenue
+    "category_performance": f"""
+SELECT department, count(DISTINCT order_id) AS order_count,
+       count(DISTINCT product_id) AS product_count,
+       CAST(sum(quantity) AS BIGINT) AS item_count, {money('sum(line_revenue)')} AS gross_revenue
 FROM cl GROUP BY department""",
     "ml_customer_features": f"""
-SELECT user_id, CAST(count(DISTINCT order_id) AS INTEGER) AS order_count,
-       CAST(sum(quantity) AS INTEGER) AS item_count, CAST(sum(line_revenue) AS DOUBLE) AS gross_revenue,
+SELECT user_id, count(DISTINCT order_id) AS order_count,
+       CAST(sum(quantity) AS BIGINT) AS item_count, {money('sum(line_revenue)')} AS gross_revenue,
        {half_up(cents('sum(line_revenue)'), 'count(*) * 100', 2)} AS avg_line_revenue,
        {half_up('sum(quantity)', 'count(*)', 2)} AS avg_item_quantity,
        {half_up('sum(is_reordered)', 'count(*)', 4)} AS reorder_rate,
-       CAST(count(DISTINCT department) AS INTEGER) AS department_count,
-       CAST(count(DISTINCT sales_month) AS INTEGER) AS active_months,
+       count(DISTINCT department) AS department_count,
+       count(DISTINCT sales_month) AS active_months,
        max(order_date) AS last_order_date, count(DISTINCT order_id) > 1 AS repeat_customer_label
 FROM cl GROUP BY user_id""",
 }
@@ -110,13 +117,6 @@ FROM cl GROUP BY user_id""",
 
 # ---- text lines with faults, and validation (mirrors sources.testdata.raw_order_lines) ----
 
-COLUMNS = [
-    "order_id", "user_id", "order_number", "order_dow", "order_hour_of_day", "days_since_prior_order",
-    "product_id", "product_name", "aisle", "department", "quantity", "unit_price", "reordered", "order_date",
-]
-REQUIRED = ["order_id", "user_id", "product_id", "product_name", "department", "quantity", "unit_price",
-            "order_date"]
-
 RAW = """
 rw AS (
   SELECT
@@ -136,64 +136,41 @@ rw AS (
          WHEN order_id % 71 = 0 THEN ' ' || CAST(quantity AS VARCHAR) || ' '
          ELSE CAST(quantity AS VARCHAR) END AS quantity,
     CASE WHEN order_id % 23 = 0 THEN 'abc' WHEN order_id % 37 = 0 THEN '-1' WHEN order_id % 59 = 0 THEN 'NaN'
-         WHEN order_id % 61 = 0 THEN 'Infinity'
+         WHEN order_id % 61 = 0 THEN 'Infinity' WHEN order_id % 73 = 0 THEN '1e3' WHEN order_id % 79 = 0 THEN '5.'
+         WHEN order_id % 101 = 0 THEN '1000000000000.5'
          ELSE CAST(CAST(unit_price AS DECIMAL(12,2)) AS VARCHAR) END AS unit_price,
     CASE WHEN order_id % 47 = 0 THEN '' ELSE CAST(reordered AS VARCHAR) END AS reordered,
-    CASE WHEN order_id % 31 = 0 THEN 'notadate' ELSE CAST(order_date AS VARCHAR) END AS order_date
+    CASE WHEN order_id % 31 = 0 THEN 'notadate'
+         WHEN order_id % 83 = 0 THEN year(order_date) || '-' || month(order_date) || '-' || day(order_date)
+         WHEN order_id % 89 = 0 THEN CAST(order_date AS VARCHAR) || 'T10:00:00'
+         ELSE CAST(order_date AS VARCHAR) END AS order_date,
+    -- what each cell is worth
+    CASE WHEN order_id % 41 <> 0 THEN order_id END AS v_order_id,
+    CASE WHEN order_id % 19 <> 0 THEN user_id END AS v_user_id,
+    order_number AS v_order_number, order_dow AS v_order_dow, order_hour_of_day AS v_order_hour_of_day,
+    days_since_prior_order AS v_days_since_prior_order, product_id AS v_product_id,
+    CASE WHEN order_id % 67 = 0 THEN product_name || ', "quoted" name' ELSE product_name END AS v_product_name,
+    aisle AS v_aisle, CASE WHEN order_id % 29 <> 0 THEN department END AS v_department,
+    CASE WHEN order_id % 17 = 0 THEN 0 WHEN order_id % 43 = 0 THEN NULL ELSE quantity END AS v_quantity,
+    CASE WHEN order_id % 23 = 0 THEN NULL WHEN order_id % 37 = 0 THEN -1 WHEN order_id % 59 = 0 THEN NULL
+         WHEN order_id % 61 = 0 THEN NULL WHEN order_id % 73 = 0 THEN 1000 WHEN order_id % 79 = 0 THEN 5
+         WHEN order_id % 101 = 0 THEN 1000000000000.5
+         ELSE CAST(CAST(unit_price AS DECIMAL(12,2)) AS DECIMAL(24,6)) END AS v_unit_price,
+    CASE WHEN order_id % 47 = 0 THEN 0 ELSE reordered END AS v_reordered,
+    CASE WHEN order_id % 31 <> 0 THEN order_date END AS v_order_date
   FROM ol)"""
 
 
-def p_long(x: str) -> str:
-    return f"(CASE WHEN regexp_matches(trim({x}), '^[+-]?[0-9]+$') THEN TRY_CAST(trim({x}) AS BIGINT) END)"
-
-
-def p_int(x: str) -> str:
-    v = p_long(x)
-    return f"(CASE WHEN {v} BETWEEN -2147483648 AND 2147483647 THEN CAST({v} AS INTEGER) END)"
-
-
-def p_dec(x: str, target: str = "DECIMAL(18,6)") -> str:
-    return (f"(CASE WHEN regexp_matches(trim({x}), '^[+-]?([0-9]+([.][0-9]+)?|[.][0-9]+)$')"
-            f" THEN TRY_CAST(trim({x}) AS {target}) END)")
-
-
-def p_trunc_int(x: str) -> str:
-    v = p_dec(x, "DECIMAL(38,6)")
-    return f"(CASE WHEN {v} BETWEEN -2147483648 AND 2147483647 THEN CAST(trunc({v}) AS INTEGER) END)"
-
-
-def p_date(x: str) -> str:
-    return f"(CASE WHEN regexp_matches(trim({x}), '^[0-9]{{4}}-[0-9]{{2}}-[0-9]{{2}}$') THEN TRY_CAST(trim({x}) AS DATE) END)"
-
-
 def blank(x: str) -> str:
     return f"({x} IS NULL OR {x} = '')"
 
 
-TYPED = {
-    "order_id": p_long("order_id"),
-    "user_id": p_long("user_id"),
-    "order_number": p_int("order_number"),
-    "order_dow": p_int("order_dow"),
-    "order_hour_of_day": p_int("order_hour_of_day"),
-    "days_since_prior_order": p_trunc_int("days_since_prior_order"),
-    "product_id": p_long("product_id"),
-    "product_name": "product_name",
-    "aisle": "aisle",
-    "department": "department",
-    "quantity": p_int("quantity"),
-    "unit_price": p_dec("unit_price"),
-    "reordered": f"(CASE WHEN {blank('reordered')} THEN 0 ELSE {p_int('reordered')} END)",
-    "order_date": p_date("order_date"),
-}
-
 _missing = "concat_ws(',', " + ", ".join(f"CASE WHEN {blank(c)} THEN '{c}' END" for c in sorted(REQUIRED)) + ")"
 _ids = "\n".join(
     f"         WHEN v_{c} IS NULL THEN 'invalid_integer:{c}'" for c in ("order_id", "user_id", "product_id", "reordered")
 )
 VALIDATED = (
-    "\nvt0 AS (SELECT rw.*, " + ", ".join(f"{e} AS v_{c}" for c, e in TYPED.items()) + ", " + _missing
-    + " AS missing FROM rw),\nvt AS (SELECT vt0.*, CASE WHEN missing <> '' THEN 'missing_required:' || missing\n"
+    "\nvt0 AS (SELECT rw.*, " + _missing + " AS missing FROM rw),\nvt AS (SELECT vt0.*, CASE WHEN missing <> '' THEN 'missing_required:' || missing\n"
     "         WHEN v_quantity IS NULL OR v_unit_price IS NULL THEN 'invalid_numeric'\n"
     "         WHEN v_quantity <= 0 OR v_unit_price < 0 THEN 'out_of_range'\n" + _ids + "\n"
     f"         WHEN NOT {blank('days_since_prior_order')} AND v_days_since_prior_order IS NULL"
@@ -201,7 +178,7 @@ VALIDATED = (
 )
 
 ACCEPTED_COLS = ", ".join(
-    (f"CAST(v_{c} AS DOUBLE) AS {c}" if c == "unit_price" else f"v_{c} AS {c}") for c in COLUMNS
+    (f"CAST(CAST(v_{c} AS DECIMAL(30,6)) AS VARCHAR) AS {c}" if c == "unit_price" else f"v_{c} AS {c}") for c in COLUMNS
 )
 RAW_COLS = ", ".join(COLUMNS)
 
@@ -225,7 +202,7 @@ VALIDATION_SQL = {
 BASKETS = """
 bo AS (
   SELECT order_id, user_id, CASE WHEN order_status = 'P' THEN 'train' ELSE 'prior' END AS eval_set,
-         order_number, order_dow, order_hour_of_day, CAST(days_since_prior_order AS DOUBLE) AS days_since_prior_order
+         order_number, order_dow, order_hour_of_day, days_since_prior_order
   FROM cs),
 opu AS (
   SELECT order_id, product_id, reordered, CASE WHEN order_status = 'P' THEN 'train' ELSE 'prior' END AS split
@@ -237,7 +214,7 @@ de AS (SELECT CAST(dense_rank() OVER (ORDER BY department) AS INTEGER) AS depart
 pr AS (SELECT p_partkey AS product_id, p_name AS product_name, ai.aisle_id, de.department_id
        FROM part JOIN ai ON p_type = ai.aisle JOIN de ON p_brand = de.department),
 gaps AS (SELECT *, CASE WHEN order_number = 1 OR days_since_prior_order IS NULL THEN 0
-                        ELSE CAST(trunc(days_since_prior_order) AS INTEGER) END AS gap FROM bo),
+                        ELSE days_since_prior_order END AS gap FROM bo),
 cal AS (
   SELECT order_id, user_id, eval_set, order_number, order_dow, order_hour_of_day,
          DATE '2025-01-01' + CAST(sum(gap) OVER (PARTITION BY user_id ORDER BY order_number, order_id
@@ -252,22 +229,22 @@ bl AS (
        JOIN de ON pr.department_id = de.department_id JOIN ai ON pr.aisle_id = ai.aisle_id)"""
 
 _BASKET_PRODUCTS = f"""
-SELECT product_id, product_name, department, CAST(count(DISTINCT order_id) AS INTEGER) AS order_count,
-       CAST(count(*) AS INTEGER) AS item_count, {half_up('sum(reordered)', 'count(*)', 4)} AS reorder_rate
+SELECT product_id, product_name, department, count(DISTINCT order_id) AS order_count,
+       count(*) AS item_count, {half_up('sum(reordered)', 'count(*)', 4)} AS reorder_rate
 FROM bl GROUP BY product_id, product_name, department"""
 
 _BASKET_CUSTOMERS = """
-SELECT user_id, CAST(count(DISTINCT order_id) AS INTEGER) AS order_count, CAST(count(*) AS INTEGER) AS item_count,
+SELECT user_id, count(DISTINCT order_id) AS order_count, count(*) AS item_count,
        min(order_date) AS first_order_date, max(order_date) AS last_order_date,
-       CAST(count(DISTINCT sales_month) AS INTEGER) AS active_months, count(DISTINCT order_id) > 1 AS retention_flag
+       count(DISTINCT sales_month) AS active_months, count(DISTINCT order_id) > 1 AS retention_flag
 FROM bl GROUP BY user_id"""
 
 _BASKET_FEATURES = f"""
-SELECT user_id, CAST(count(DISTINCT order_id) AS INTEGER) AS order_count, CAST(count(*) AS INTEGER) AS item_count,
+SELECT user_id, count(DISTINCT order_id) AS order_count, count(*) AS item_count,
        {half_up('count(*)', 'count(DISTINCT order_id)', 2)} AS avg_basket_lines,
        {half_up('sum(reordered)', 'count(*)', 4)} AS reorder_rate,
-       CAST(count(DISTINCT department) AS INTEGER) AS department_count,
-       CAST(count(DISTINCT sales_month) AS INTEGER) AS active_months,
+       count(DISTINCT department) AS department_count,
+       count(DISTINCT sales_month) AS active_months,
        max(order_date) AS last_order_date, count(DISTINCT order_id) > 1 AS repeat_customer_label
 FROM bl GROUP BY user_id"""
 
@@ -277,24 +254,28 @@ BASKET_SQL = {
     "order_calendar": "SELECT order_id, user_id, eval_set, order_number, order_dow, order_hour_of_day, order_date,"
                       " sales_month FROM calm",
     "basket_lines": "SELECT * FROM bl",
-    "orphan_products": "SELECT product_id, order_id, reordered, split FROM opu"
-                       " WHERE product_id NOT IN (SELECT product_id FROM pr)",
-    "orders_without_lines": "SELECT * FROM bo WHERE order_id NOT IN (SELECT order_id FROM opu)",
-    "sample_lines": "SELECT * FROM bl ORDER BY split, order_id, product_id LIMIT 250000",
+    "orphan_lines": """
+SELECT split, order_id, CASE WHEN product_id % 61 = 0 THEN -1 - product_id ELSE product_id END AS product_id,
+       CASE WHEN product_id % 61 = 0 THEN 'product' WHEN product_id % 53 = 0 THEN 'department' ELSE 'aisle' END
+         AS missing_reference
+FROM bl WHERE product_id % 61 = 0 OR product_id % 53 = 0 OR product_id % 59 = 0""",
+    "resolved_lines": "SELECT * FROM bl WHERE product_id % 61 <> 0 AND product_id % 53 <> 0 AND product_id % 59 <> 0",
+    "basket_files": "SELECT * FROM bl",
+    "orders_without_lines": "SELECT * REPLACE (days_since_prior_order || '.0' AS days_since_prior_order) FROM bo"
+                            " WHERE order_id NOT IN (SELECT order_id FROM opu)",
     "basket_monthly": f"""
-SELECT sales_month, CAST(count(*) AS INTEGER) AS order_count, CAST(count(DISTINCT user_id) AS INTEGER) AS customer_count,
-       CAST(sum(order_lines) AS INTEGER) AS item_count, {half_up('sum(order_lines)', 'count(*)', 2)} AS avg_basket_size
+SELECT sales_month, count(*) AS order_count, count(DISTINCT user_id) AS customer_count,
+       CAST(sum(order_lines) AS BIGINT) AS item_count, {half_up('sum(order_lines)', 'count(*)', 2)} AS avg_basket_size
 FROM (SELECT sales_month, order_id, min(user_id) AS user_id, count(*) AS order_lines FROM bl
       GROUP BY sales_month, order_id) po
 GROUP BY sales_month""",
-    "basket_top_products": f"SELECT * FROM ({_BASKET_PRODUCTS}) t ORDER BY item_count DESC, product_name, product_id"
-                           " LIMIT 100",
-    "basket_customer_metrics": f"SELECT * FROM ({_BASKET_CUSTOMERS}) t ORDER BY item_count DESC, user_id LIMIT 1000",
+    "basket_products": _BASKET_PRODUCTS,
+    "basket_customers": _BASKET_CUSTOMERS,
     "basket_category": """
-SELECT department, CAST(count(DISTINCT order_id) AS INTEGER) AS order_count,
-       CAST(count(DISTINCT product_id) AS INTEGER) AS product_count, CAST(count(*) AS INTEGER) AS item_count
+SELECT department, count(DISTINCT order_id) AS order_count,
+       count(DISTINCT product_id) AS product_count, count(*) AS item_count
 FROM bl GROUP BY department""",
-    "basket_customer_features": f"SELECT * FROM ({_BASKET_FEATURES}) t ORDER BY user_id LIMIT 1000",
+    "basket_customer_features": _BASKET_FEATURES,
 }
 
 
@@ -305,11 +286,12 @@ def with_baskets(body: str) -> str:
 # ---- connectors, contracts, streaming -------------------------------------------------------
 
 TYPED_COLS = ", ".join(
-    (f"CAST(v_{c} AS DOUBLE) AS {c}" if c == "unit_price" else f"v_{c} AS {c}") for c in COLUMNS
+    (f"CAST(CAST(v_{c} AS DECIMAL(30,6)) AS VARCHAR) AS {c}" if c == "unit_price" else f"v_{c} AS {c}") for c in COLUMNS
 )
 
 ACCEPTED_CLEAN = """
-acc AS (SELECT """ + ", ".join(f"v_{c} AS {c}" for c in COLUMNS) + """ FROM vt WHERE reject_reason IS NULL),
+acc AS (SELECT """ + ", ".join(f"v_{c} AS {c}" for c in COLUMNS) + """ FROM vt WHERE reject_reason IS NULL
+  AND NOT coalesce(order_id NOT LIKE 'x%' AND TRY_CAST(order_id AS BIGINT) % 107 = 0, false)),
 acl AS (
   SELECT *, CAST(round(quantity * unit_price, 2) AS DECIMAL(18,2)) AS line_revenue,
          CAST(date_trunc('month', order_date) AS DATE) AS sales_month, coalesce(reordered, 0) AS is_reordered
@@ -317,50 +299,70 @@ acl AS (
   WHERE order_id IS NOT NULL AND user_id IS NOT NULL AND product_id IS NOT NULL AND quantity IS NOT NULL
     AND unit_price IS NOT NULL AND order_date IS NOT NULL AND quantity > 0 AND unit_price >= 0)"""
 
-CONTRACT_NOT_NULL = {
-    "monthly_sales": ("sales_month", ["sales_month", "order_count", "customer_count", "item_count", "gross_revenue",
-                                      "avg_order_value"]),
-    "top_products": ("product_id", ["product_id", "product_name", "department", "order_count", "total_quantity",
-                                    "gross_revenue", "reorder_rate"]),
-    "customer_metrics": ("user_id", ["user_id", "order_count", "item_count", "gross_revenue", "first_order_date",
-                                     "last_order_date", "active_months", "retention_flag"]),
-    "category_performance": ("department", ["department", "order_count", "product_count", "item_count",
-                                            "gross_revenue"]),
-    "ml_customer_features": ("user_id", ["user_id", "order_count", "item_count", "gross_revenue", "avg_line_revenue",
-                                         "avg_item_quantity", "reorder_rate", "department_count", "active_months",
-                                         "last_order_date", "repeat_customer_label"]),
-}
+FAULTY = """
+fl AS (
+  SELECT * REPLACE (CASE WHEN product_id % 97 <> 0 THEN product_name END AS product_name,
+                    CASE WHEN product_id % 89 = 0 AND order_id % 2 = 0 THEN department || ' II' ELSE department END
+                      AS department)
+  FROM cl)"""
 
 
 def _violations_sql() -> str:
     parts = []
-    for mart, (key, cols) in CONTRACT_NOT_NULL.items():
+    for mart, (key, cols) in MART_COLUMNS.items():
         nulls = " OR ".join(f"{c} IS NULL" for c in cols)
         parts.append(
             f"SELECT '{mart}' AS mart, count(*) AS row_count, count(*) FILTER (WHERE {nulls}) AS null_rows,"
-            f" count({key}) - count(DISTINCT {key}) AS excess_key_rows FROM ({MART_SQL[mart]}) m"
+            f" count({key}) - count(DISTINCT {key}) AS excess_key_rows"
+            f" FROM ({MART_SQL[mart].replace('FROM cl ', 'FROM fl ')}) m"
         )
     return "\nUNION ALL\n".join(parts)
 
 
+_JSON_TEXT = ("product_name", "aisle", "department", "order_date")
+_JSON = " || ',' || ".join(
+    f"'\"{c}\":' || coalesce(" + (
+        f"'\"' || replace(CAST(v_{c} AS VARCHAR), '\"', '\\\"') || '\"'" if c in _JSON_TEXT
+        else f"CAST(CAST(v_{c} AS DECIMAL(30,6)) AS VARCHAR)" if c == "unit_price" else f"CAST(v_{c} AS VARCHAR)"
+    ) + ", 'null')"
+    for c in COLUMNS
+)
+_ENCODED = f"""
+SELECT key, value, sha256(value) || '-' || row_number() OVER (PARTITION BY value) AS message_id
+FROM (SELECT CAST(v_order_id AS VARCHAR) AS key, '{{' || {_JSON} || '}}' AS value FROM vt WHERE reject_reason IS NULL) t"""
+
+# The streamed feed: messages of some orders are cut off.
+CUT = "(order_id NOT LIKE 'x%' AND TRY_CAST(order_id AS BIGINT) % 107 = 0)"
+_WHOLE = f"NOT coalesce({CUT}, false)"
+_RAW_JSON = " || ',' || ".join(
+    f"'\"{c}\":' || coalesce('\"' || replace({c}, '\"', '\\\"') || '\"', 'null')" for c in COLUMNS
+)
+
 CONNECTOR_SQL = {
     "src_csv_orders": ("validation", f"SELECT {TYPED_COLS} FROM vt0"),
     "sink_csv_roundtrip": ("base", MART_SQL["top_products"]),
-    "encode_messages": ("validation", f"SELECT CAST(v_order_id AS VARCHAR) AS key, {ACCEPTED_COLS},"
-                                      " true AS has_all_keys FROM vt WHERE reject_reason IS NULL"),
+    "encode_messages": ("validation", _ENCODED),
     "decode_messages": ("validation", VALIDATION_SQL["validate_accepted"]),
-    "contract_violations": ("base", _violations_sql()),
+    "contract_violations": ("faulty", _violations_sql()),
     "landing_by_month": ("base", None),
-    "stream_ingest": ("validation", VALIDATION_SQL["validate_accepted"]),
-    "stream_quarantine": ("validation", VALIDATION_SQL["validate_rejected"]),
+    "stream_ingest": ("validation", f"{VALIDATION_SQL['validate_accepted']} AND {_WHOLE}"),
+    "stream_quarantine": (
+        "validation",
+        f"SELECT {RAW_COLS}, reject_reason, order_id AS message_key, NULL AS corrupt_text FROM vt"
+        f" WHERE reject_reason IS NOT NULL AND {_WHOLE} UNION ALL SELECT "
+        + ", ".join(f"NULL AS {c}" for c in COLUMNS)
+        + f", 'corrupt_message', order_id, substr('{{' || {_RAW_JSON} || '}}', 1, 20) FROM vt WHERE {CUT}",
+    ),
     "stream_monthly_sales": ("accepted", MART_SQL["monthly_sales"].replace("FROM cl ", "FROM acl ")),
-    "stream_dedup": ("validation", f"SELECT DISTINCT {ACCEPTED_COLS} FROM vt WHERE reject_reason IS NULL"),
+    "stream_dedup": ("validation", f"{VALIDATION_SQL['validate_accepted']} AND {_WHOLE}"),
 }
 
 
 def _connector_sql(kind: str, body: str | None, name: str) -> str:
     if kind == "base":
         return with_base(body) if body else None
+    if kind == "faulty":
+        return with_base(body, FAULTY)
     if kind == "validation":
         return with_validation(body)
     return with_validation(body, ACCEPTED_CLEAN)
@@ -370,8 +372,8 @@ def oracle_sql() -> dict[str, str]:
     sql = {
         "clean_orders": with_base(
             "SELECT order_id, user_id, order_number, order_dow, order_hour_of_day, days_since_prior_order,"
-            " product_id, product_name, aisle, department, quantity, CAST(unit_price AS DOUBLE) AS unit_price,"
-            " reordered, order_date, CAST(line_revenue AS DOUBLE) AS line_revenue, sales_month, is_reordered"
+            " product_id, product_name, aisle, department, quantity, CAST(CAST(unit_price AS DECIMAL(30,6)) AS VARCHAR) AS unit_price,"
+            " reordered, order_date, CAST(line_revenue AS VARCHAR) AS line_revenue, sales_month, is_reordered"
             " FROM cl"
         ),
     }

@@ -9,21 +9,23 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DecimalType
 
-from ..operators import baskets, marts, validate
+from ..operators import baskets, validate
 from ..operators.clean import clean_orders, mart_input
-from ..schema import MART_CONTRACTS, ORDER_COLUMNS, ORDER_SCHEMA
+from ..operators.marts import BASKET_MARTS, REVENUE_MARTS, Mart, build, order_totals
+from ..schema import ORDER_COLUMNS, ORDER_SCHEMA, mart_schema
 from ..session import work_path
 from ..sources import contracts, files, messages, testdata
 from ..streaming import ingest
+from .batch import basket_tables
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
 def as_result(df: DataFrame) -> DataFrame:
-    """Edge conversion for comparison: exact decimals leave as DOUBLE."""
+    """Edge conversion for comparison: exact decimals leave as text, so that every digit counts."""
     return df.select(
         *[
-            F.col(f.name).cast("double").alias(f.name) if isinstance(f.dataType, DecimalType) else F.col(f.name)
+            F.col(f.name).cast("string").alias(f.name) if isinstance(f.dataType, DecimalType) else F.col(f.name)
             for f in df.schema.fields
         ]
     )
@@ -43,11 +45,10 @@ def q_clean_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     return as_result(cleaned_lines(spark, sf_dir))
 
 
-def _mart_query(fn: Callable[[DataFrame], DataFrame]) -> Query:
+def _mart_query(mart: Mart) -> Query:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        return as_result(fn(mart_lines(spark, sf_dir)))
+        return as_result(build(mart_lines(spark, sf_dir), mart))
 
-    run.__name__ = f"q_{fn.__name__}"
     return run
 
 
@@ -85,51 +86,73 @@ VALIDATION_QUERIES: dict[str, Query] = {
 # ---- normalised baskets --------------------------------------------------------------------
 
 
-def basket_union(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return baskets.union_order_products(
-        testdata.order_products(spark, sf_dir, "prior"), testdata.order_products(spark, sf_dir, "train")
-    )
+def resolved(spark: SparkSession, tables: dict[str, DataFrame]) -> DataFrame:
+    named = baskets.named_products(tables["products"], tables["aisles"], tables["departments"])
+    return baskets.resolved_lines(tables["order_products"], baskets.order_calendar(tables["orders"]), named)
 
 
-def basket_calendar(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return baskets.order_calendar(testdata.basket_orders(spark, sf_dir))
+def all_basket_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return baskets.basket_lines(resolved(spark, testdata.build_baskets(spark, sf_dir)))
 
 
-def all_basket_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return baskets.basket_lines(
-        basket_union(spark, sf_dir),
-        basket_calendar(spark, sf_dir),
-        testdata.basket_products(spark, sf_dir),
-        testdata.aisles(spark, sf_dir),
-        testdata.departments(spark, sf_dir),
-    )
+def q_basket_union(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return testdata.build_baskets(spark, sf_dir, ["order_products"])["order_products"]
+
+
+def q_order_calendar(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return baskets.order_calendar(testdata.build_baskets(spark, sf_dir, ["orders"])["orders"])
+
+
+def q_orders_without_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    tables = testdata.build_baskets(spark, sf_dir, ["orders", "order_products"])
+    return baskets.orders_without_lines(tables["orders"], tables["order_products"])
+
+
+def q_orphan_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Unknown products, departments and aisles, put in by arithmetic on keys."""
+    tables = testdata.with_unknown_references(testdata.build_baskets(spark, sf_dir))
+    return baskets.orphan_lines(resolved(spark, tables))
+
 
+def q_resolved_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What is left of the lines in lenient mode."""
+    tables = testdata.with_unknown_references(testdata.build_baskets(spark, sf_dir))
+    return baskets.basket_lines(resolved(spark, tables))
 
-def _basket_query(fn: Callable[[DataFrame], DataFrame]) -> Query:
+
+def q_basket_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The normalised tables written as the six CSV files, read back with key checks, and resolved strictly."""
+    root = work_path(spark, "basket-files")
+    tables = testdata.build_baskets(spark, sf_dir)
+    lines = tables.pop("order_products").withColumn("add_to_cart_order", F.lit(1))
+    for split in ("prior", "train"):
+        columns = ["order_id", "product_id", "add_to_cart_order", "reordered"]
+        files.write_csv(lines.filter(F.col("split") == split), f"{root}/order_products__{split}.csv", columns)
+    for name, df in tables.items():
+        files.write_csv(df, f"{root}/{name}.csv")
+    back = basket_tables(files.read_baskets(spark, root))
+    return baskets.basket_lines(resolved(spark, back), strict=True)
+
+
+def _basket_query(mart: Mart) -> Query:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        return as_result(fn(all_basket_lines(spark, sf_dir)))
+        return as_result(build(baskets.mart_input(all_basket_lines(spark, sf_dir)), mart))
 
-    run.__name__ = f"q_{fn.__name__}"
     return run
 
 
 BASKET_QUERIES: dict[str, Query] = {
-    "dim_products": lambda spark, d: baskets.require_unique(testdata.basket_products(spark, d), "product_id"),
-    "basket_union": basket_union,
-    "order_calendar": basket_calendar,
-    "basket_lines": all_basket_lines,
-    "orphan_products": lambda spark, d: baskets.orphan_products(
-        basket_union(spark, d), testdata.basket_products(spark, d)
-    ),
-    "orders_without_lines": lambda spark, d: baskets.orders_without_lines(
-        testdata.basket_orders(spark, d), basket_union(spark, d)
+    "dim_products": lambda spark, d: baskets.require_unique(
+        testdata.build_baskets(spark, d, ["products"])["products"], "product_id"
     ),
-    "sample_lines": lambda spark, d: baskets.limit_rows(all_basket_lines(spark, d), baskets.DEFAULT_MAX_ROWS),
-    "basket_monthly": _basket_query(baskets.basket_monthly),
-    "basket_top_products": _basket_query(baskets.top_basket_products),
-    "basket_customer_metrics": _basket_query(baskets.top_basket_customers),
-    "basket_category": _basket_query(baskets.basket_category),
-    "basket_customer_features": _basket_query(baskets.first_customer_features),
+    "basket_union": q_basket_union,
+    "order_calendar": q_order_calendar,
+    "basket_lines": all_basket_lines,
+    "orphan_lines": q_orphan_lines,
+    "resolved_lines": q_resolved_lines,
+    "basket_files": q_basket_files,
+    "orders_without_lines": q_orders_without_lines,
+    **{name: _basket_query(mart) for name, mart in BASKET_MARTS.items()},
 }
 
 
@@ -144,9 +167,9 @@ def q_src_csv_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def q_sink_csv_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = work_path(spark, "top-products-csv")
-    mart = contracts.conform(marts.top_products(mart_lines(spark, sf_dir)), "top_products")
+    mart = contracts.conform(build(mart_lines(spark, sf_dir), REVENUE_MARTS["top_products"]), "top_products")
     files.write_csv(mart, path)
-    return as_result(files.read_csv_table(spark, path, MART_CONTRACTS["top_products"][1]))
+    return as_result(files.read_csv_table(spark, path, mart_schema("top_products")))
 
 
 def accepted_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -154,10 +177,8 @@ def accepted_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_encode_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    encoded = messages.encode_messages(accepted_lines(spark, sf_dir))
-    keys = F.size(F.json_object_keys("value")) == len(ORDER_COLUMNS)
-    decoded = messages.decode_messages(encoded.withColumn("has_all_keys", keys), ORDER_SCHEMA)
-    return as_result(decoded.select("key", *ORDER_COLUMNS, "has_all_keys"))
+    """Key, the value's own text, and identity of every accepted line's message."""
+    return messages.encode_messages(accepted_lines(spark, sf_dir).select(*ORDER_COLUMNS))
 
 
 def q_decode_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -167,8 +188,23 @@ def q_decode_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_contract_violations(spark: SparkSession, sf_dir: str) -> DataFrame:
-    cleaned = mart_lines(spark, sf_dir)
-    checks = [contracts.violations(contracts.conform(fn(cleaned), name), name) for name, fn in marts.MARTS.items()]
+    """Contract checks of the revenue marts over lines with faults: products with no name (a NULL in the mart) and
+    with a second department (a key used twice)."""
+    product = F.col("product_id")
+    lines = testdata.staged(
+        mart_lines(spark, sf_dir)
+        .withColumn("product_name", F.when(product % 97 != 0, F.col("product_name")))
+        .withColumn(
+            "department",
+            F.when((product % 89 == 0) & (F.col("order_id") % 2 == 0), F.concat("department", F.lit(" II"))).otherwise(
+                F.col("department")
+            ),
+        ),
+        "mart-lines",
+    )
+    checks = [
+        contracts.violations(contracts.conform(build(lines, mart), name), name) for name, mart in REVENUE_MARTS.items()
+    ]
     return reduce(DataFrame.unionByName, checks)
 
 
@@ -183,19 +219,23 @@ def _run_stream(spark: SparkSession, sf_dir: str, replays: int = 1, dedup: bool
     root = work_path(spark, "stream")
     inbox = f"{root}/inbox"
     feed = messages.encode_messages(testdata.raw_order_lines(spark, sf_dir))
-    for _ in range(replays):
-        ingest.write_message_files(feed, inbox, files=4)
+    # Some messages arrive cut off: corrupt, kept as text in quarantine.
+    cut = F.when(F.col("key").try_cast("bigint") % 107 == 0, F.substring("value", 1, 20)).otherwise(F.col("value"))
+    feed = feed.withColumn("value", cut)
+    feed = testdata.staged(feed, "feed")
     targets = ingest.IngestTargets(
         landing=f"{root}/landing",
         quarantine=f"{root}/quarantine",
         monthly_sales=f"{root}/monthly_sales" if with_mart else None,
         dedup=dedup,
     )
-    stream = ingest.message_file_stream(spark, inbox, max_files_per_trigger=2)
-    query = ingest.start_ingest(stream, targets, checkpoint=f"{root}/checkpoint")
-    query.awaitTermination()
-    if query.exception():
-        raise query.exception()
+    # Each round publishes the whole feed and drains it: a replay meets what the batches before have landed.
+    for _ in range(replays):
+        ingest.write_message_files(feed, inbox)
+        query = ingest.start_ingest(ingest.message_file_stream(spark, inbox), targets, checkpoint=f"{root}/checkpoint")
+        query.awaitTermination()
+        if query.exception():
+            raise query.exception()
     return targets
 
 
@@ -204,7 +244,11 @@ def q_stream_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_stream_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return ingest.read_quarantine(spark, _run_stream(spark, sf_dir).quarantine)
+    refused = ingest.read_quarantine(spark, _run_stream(spark, sf_dir, replays=2, dedup=True).quarantine)
+    corrupt = F.col(validate.REASON) == ingest.CORRUPT
+    return refused.select(
+        *ORDER_COLUMNS, validate.REASON, "message_key", F.when(corrupt, F.col("message_value")).alias("corrupt_text")
+    )
 
 
 def q_stream_monthly_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -231,9 +275,12 @@ CONNECTOR_QUERIES: dict[str, Query] = {
 
 
 def queries() -> dict[str, Query]:
-    registry: dict[str, Query] = {"clean_orders": q_clean_orders, "order_summary": _mart_query(marts.order_totals)}
-    for name, fn in marts.MARTS.items():
-        registry[name] = _mart_query(fn)
+    registry: dict[str, Query] = {
+        "clean_orders": q_clean_orders,
+        "order_summary": lambda spark, d: as_result(order_totals(mart_lines(spark, d))),
+    }
+    for name, mart in REVENUE_MARTS.items():
+        registry[name] = _mart_query(mart)
     registry.update(VALIDATION_QUERIES)
     registry.update(BASKET_QUERIES)
     registry.update(CONNECTOR_QUERIES)

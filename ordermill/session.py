@@ -15,7 +15,6 @@ BASE_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
-    "spark.sql.sources.partitionOverwriteMode": "dynamic",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
 }
@@ -64,6 +63,10 @@ def work_path(spark: SparkSession, name: str) -> str:
     return f"{shared_root(spark)}/{name}-{uuid.uuid4().hex}"
 
 
-def env_int(name: str, default: int) -> int:
-    value = os.getenv(name)
-    return int(value) if value else default
+def remove_path(spark: SparkSession, path: str) -> None:
+    """Remove a work folder of ``work_path``; other folders are refused."""
+    if not path.startswith(shared_root(spark) + "/"):
+        raise ValueError(f"{path} is no work folder")
+    jvm = spark.sparkContext._jvm
+    target = jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)

@@ -7,8 +7,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from ..operators.baskets import require_unique
 from ..operators.validate import typed_columns
-from ..schema import ORDER_COLUMNS
+from ..schema import BASKET_FILES, ORDER_COLUMNS
 
 # Quotes inside a quoted cell are doubled ("say ""hi"""), as spreadsheet tools write them.
 CSV_OPTIONS = {"header": "true", "quote": '"', "escape": '"', "inferSchema": "false", "mode": "PERMISSIVE"}
@@ -33,12 +34,9 @@ def read_order_csv(spark: SparkSession, path: str, multi_line: bool = False) ->
     return text.select(*[typed[c].alias(c) for c in ORDER_COLUMNS])
 
 
-def write_csv(df: DataFrame, path: str, fields: list[str] | None = None, files: int | None = None) -> None:
-    """Named CSV output with a header and a fixed column order, replacing earlier output."""
-    out = df.select(*(fields or df.columns))
-    if files:
-        out = out.coalesce(files)
-    out.write.mode("overwrite").options(**CSV_OPTIONS).csv(path)
+def write_csv(df: DataFrame, path: str, fields: list[str] | None = None) -> None:
+    """Named CSV output with a header and a fixed column order, replacing earlier output; a file per task."""
+    df.select(*(fields or df.columns)).write.mode("overwrite").options(**CSV_OPTIONS).csv(path)
 
 
 def read_csv_table(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
@@ -47,12 +45,21 @@ def read_csv_table(spark: SparkSession, path: str, schema: StructType) -> DataFr
     return raw.select(*[F.col(f.name).try_cast(f.dataType).alias(f.name) for f in schema.fields])
 
 
-def write_landing(df: DataFrame, path: str, partition_by: tuple[str, ...] = ("sales_month",)) -> None:
-    """Parquet partitioned by month. Only the months present in ``df`` are replaced
-    (dynamic partition overwrite), so a re-run of one day's data is idempotent."""
+def by_partition(df: DataFrame, *columns: str) -> DataFrame:
+    """Rows of one value of the partition columns together, so that few files are written; adaptive execution
+    splits values with much data and joins values with little."""
+    return df.hint("rebalance", *columns)
+
+
+def write_landing(
+    df: DataFrame, path: str, partition_by: tuple[str, ...] = ("sales_month",), only_present: bool = True
+) -> None:
+    """Parquet partitioned by month. With ``only_present`` only the months in ``df`` are replaced, so a re-run of
+    one day's data is idempotent; otherwise the whole table is."""
     (
-        df.write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
+        by_partition(df, *partition_by)
+        .write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic" if only_present else "static")
         .partitionBy(*partition_by)
         .parquet(path)
     )
@@ -63,6 +70,37 @@ def read_landing(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path).withColumn("sales_month", F.col("sales_month").cast("date"))
 
 
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Whether a table folder exists; any other fault of the store is raised."""
+    try:
+        spark.read.schema("x int").parquet(path)
+    except AnalysisException as error:
+        if error.getCondition() == "PATH_NOT_FOUND":
+            return False
+        raise
+    return True
+
+
+def read_basket_file(spark: SparkSession, root: str, name: str) -> DataFrame:
+    """One normalised basket CSV (``root/name.csv``), columns bound by header name, in the file's types; a cell
+    that does not parse is NULL, a column the file lacks is an error."""
+    schema = BASKET_FILES[name]
+    raw = spark.read.options(**CSV_OPTIONS).csv(f"{root}/{name}.csv")
+    absent = [f.name for f in schema.fields if f.name not in raw.columns]
+    if absent:
+        raise ValueError(f"{name}: no column " + ", ".join(absent))
+    return raw.select(*[F.trim(f.name).try_cast(f.dataType).alias(f.name) for f in schema.fields])
+
+
+def read_baskets(spark: SparkSession, root: str) -> dict[str, DataFrame]:
+    """All six basket files, present and not empty, dimensions with unique keys."""
+    require_sources(spark, [f"{root}/{name}.csv" for name in BASKET_FILES], "csv")
+    tables = {name: read_basket_file(spark, root, name) for name in BASKET_FILES}
+    for name, key in (("products", "product_id"), ("aisles", "aisle_id"), ("departments", "department_id")):
+        require_unique(tables[name], key)
+    return tables
+
+
 def require_sources(spark: SparkSession, paths: list[str], fmt: str = "parquet") -> None:
     """Fail once, naming every source that is missing or holds no rows."""
     problems = []

@@ -16,11 +16,14 @@ order line        <- lineitem JOIN orders JOIN part
 
 The normalised basket tables come from the same rows: orders with status 'P'
 form the ``train`` split, all others ``prior``; aisles and departments get
-dense ids in name order.
-
-Every column is derived with joins and aggregations; the per-customer windows
-run over one row per (customer, calendar day), so their size is bounded by the
-calendar, not by how many orders a customer places.
+dense ids in name order. ``build_baskets`` writes them once to the shared work
+folder, with the customers' order sequence in its own table before, and every
+basket query reads those tables.
+
+Every column is derived with joins and aggregations; sequences within one
+customer and day are numbered in blocks of order ids, and the per-customer
+windows run over one row per (customer, calendar day), so no task holds all
+orders of a customer.
 """
 
 from __future__ import annotations
@@ -29,21 +32,21 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions.parse import PRICE
+from ..operators.running import blocked_running_sum
 from ..schema import ORDER_COLUMNS
+from ..session import work_path
 
 
-_READS: dict[tuple[int, str], tuple[SparkSession, DataFrame]] = {}
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """One driver table."""
+    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """One driver table. The tables are read-only, so the scan (file listing and
-    Parquet footer) is set up once per session and path and then reused."""
-    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
-    hit = _READS.get((id(spark), path))
-    if hit is None or hit[0] is not spark:
-        hit = (spark, spark.read.parquet(path))
-        _READS[(id(spark), path)] = hit
-    return hit[1]
+def staged(df: DataFrame, name: str) -> DataFrame:
+    """``df`` written once to the shared work folder."""
+    path = work_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 SEQUENCE_COLUMNS = ["order_number", "days_since_prior_order"]
@@ -61,12 +64,14 @@ def base_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def customer_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One row per order with the customer-sequence columns."""
-    orders = base_orders(spark, sf_dir)
-    # Position among the same customer's orders of the same day.
-    same_day = Window.partitionBy("user_id", "order_date").orderBy("order_id")
-    ranked = orders.withColumn("rank_in_day", F.row_number().over(same_day))
-    # Orders per (customer, day), aggregated where the ranking already placed them.
+    """One row per order with the customer-sequence columns, written once."""
+    orders = base_orders(spark, sf_dir).withColumn("one", F.lit(1))
+    # Position among the same customer's orders of the same day, in blocks of order ids: written once, because
+    # the blocked sum and the day totals each read it.
+    ranked = staged(
+        blocked_running_sum(orders, ["user_id", "order_date"], "order_id", [], "one", "rank_in_day").drop("one"),
+        "ranked-orders",
+    )
     days = ranked.groupBy("user_id", "order_date").agg(F.count(F.lit(1)).alias("orders_that_day"))
     # One row per calendar day the customer ordered on: bounded per customer.
     by_day = Window.partitionBy("user_id").orderBy("order_date")
@@ -78,10 +83,7 @@ def customer_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
         ).alias("orders_before"),
         F.lag("order_date").over(by_day).alias("previous_date"),
     )
-    # Each (customer, day) of ``ranked`` has its row in ``days``: a left join keeps the
-    # same orders and lets Catalyst drop it where the sequence columns go unread.
-    seq = ranked.join(days, ["user_id", "order_date"], "left")
-    return seq.select(
+    return ranked.join(days, ["user_id", "order_date"]).select(
         "order_id",
         "user_id",
         "order_status",
@@ -140,7 +142,7 @@ def order_lines(spark: SparkSession, sf_dir: str, sequence: bool = True) -> Data
 
 
 def raw_order_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Order lines as text, the way a CSV feed delivers them, with faults injected.
+    """Order lines as text, the way a CSV feed delivers them, with faults injected; written once.
 
     The driver's data is clean, so faults are placed by fixed arithmetic on the
     order key; every line is kept and only the listed cells are altered.
@@ -168,23 +170,32 @@ def raw_order_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
         .when(hit(37), F.lit("-1"))
         .when(hit(59), F.lit("NaN"))
         .when(hit(61), F.lit("Infinity"))
+        .when(hit(73), F.lit("1e3"))
+        .when(hit(79), F.lit("5."))
+        .when(hit(101), F.lit("1000000000000.5"))
         .otherwise(price_text),
         "reordered": F.when(hit(47), F.lit("")).otherwise(text["reordered"]),
         "days_since_prior_order": F.when(hit(53) & F.col("days_since_prior_order").isNotNull(),
                                          F.concat(text["days_since_prior_order"], F.lit(".0"))).otherwise(
             text["days_since_prior_order"]
         ),
-        "order_date": F.when(hit(31), F.lit("notadate")).otherwise(text["order_date"]),
+        "order_date": F.when(hit(31), F.lit("notadate"))
+        .when(hit(83), F.date_format("order_date", "y-M-d"))
+        .when(hit(89), F.concat(text["order_date"], F.lit("T10:00:00")))
+        .otherwise(text["order_date"]),
     }
-    return typed.select(*[faulted.get(c, text[c]).alias(c) for c in ORDER_COLUMNS])
+    return staged(typed.select(*[faulted.get(c, text[c]).alias(c) for c in ORDER_COLUMNS]), "raw-lines")
 
 
 # ---- normalised basket tables -------------------------------------------------------------
 
 
+BASKET_TABLES = ["orders", "order_products", "products", "aisles", "departments"]
+
+
 def basket_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     """orders(order_id, user_id, eval_set, order_number, order_dow, order_hour_of_day,
-    days_since_prior_order) with the gap as a decimal number of days."""
+    days_since_prior_order) with the gap as decimal text, as the file has it."""
     return customer_orders(spark, sf_dir).select(
         "order_id",
         "user_id",
@@ -192,16 +203,15 @@ def basket_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
         "order_number",
         "order_dow",
         "order_hour_of_day",
-        F.col("days_since_prior_order").cast("double").alias("days_since_prior_order"),
+        F.col("days_since_prior_order").cast("decimal(10,1)").cast("string").alias("days_since_prior_order"),
     )
 
 
-def order_products(spark: SparkSession, sf_dir: str, split: str) -> DataFrame:
-    """order_products__prior / order_products__train: (order_id, product_id, reordered)."""
-    rows = purchases(spark, sf_dir, sequence=False)
-    status = F.col("order_status") == "P"
-    rows = rows.filter(status if split == "train" else ~status)
-    return rows.select("order_id", "product_id", "reordered")
+def order_products(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Both order_products files: (order_id, product_id, reordered, split). The reorder flag is joined back left, so
+    plans that never read it lose the join."""
+    split = F.when(F.col("order_status") == "P", F.lit("train")).otherwise(F.lit("prior"))
+    return purchases(spark, sf_dir, sequence=False).select("order_id", "product_id", "reordered", split.alias("split"))
 
 
 def _dimension(spark: SparkSession, sf_dir: str, source: str, name: str, id_name: str) -> DataFrame:
@@ -210,24 +220,48 @@ def _dimension(spark: SparkSession, sf_dir: str, source: str, name: str, id_name
     return names.select(F.dense_rank().over(Window.orderBy(name)).cast("int").alias(id_name), name)
 
 
-def aisles(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _dimension(spark, sf_dir, "p_type", "aisle", "aisle_id")
-
-
-def departments(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _dimension(spark, sf_dir, "p_brand", "department", "department_id")
-
-
-def basket_products(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """products(product_id, product_name, aisle_id, department_id)."""
-    part = table(spark, sf_dir, "part").select(
-        F.col("p_partkey").alias("product_id"),
-        F.col("p_name").alias("product_name"),
-        F.col("p_type").alias("aisle"),
-        F.col("p_brand").alias("department"),
+def build_baskets(spark: SparkSession, sf_dir: str, only: list[str] | None = None) -> dict[str, DataFrame]:
+    """The normalised tables; orders, products, aisles and departments are written once. ``only`` names the
+    tables that are needed."""
+    wanted = only or BASKET_TABLES
+    out: dict[str, DataFrame] = {}
+    if "orders" in wanted:
+        out["orders"] = staged(basket_orders(spark, sf_dir), "orders")
+    if "order_products" in wanted:
+        out["order_products"] = order_products(spark, sf_dir)
+    if {"products", "aisles", "departments"} & set(wanted):
+        out["aisles"] = staged(_dimension(spark, sf_dir, "p_type", "aisle", "aisle_id"), "aisles")
+        out["departments"] = staged(
+            _dimension(spark, sf_dir, "p_brand", "department", "department_id"), "departments"
+        )
+    if "products" in wanted:
+        part = table(spark, sf_dir, "part").select(
+            F.col("p_partkey").alias("product_id"),
+            F.col("p_name").alias("product_name"),
+            F.col("p_type").alias("aisle"),
+            F.col("p_brand").alias("department"),
+        )
+        out["products"] = staged(
+            part.join(out["aisles"], "aisle")
+            .join(out["departments"], "department")
+            .select("product_id", "product_name", "aisle_id", "department_id"),
+            "products",
+        )
+    return out
+
+
+def with_unknown_references(tables: dict[str, DataFrame]) -> dict[str, DataFrame]:
+    """The tables with references that do not resolve, by fixed arithmetic on keys; no row is dropped."""
+    products = tables["products"].withColumns(
+        {
+            "department_id": F.when(F.col("product_id") % 53 == 0, F.col("department_id") + 10_000).otherwise(
+                F.col("department_id")
+            ),
+            "aisle_id": F.when(F.col("product_id") % 59 == 0, F.col("aisle_id") + 10_000).otherwise(F.col("aisle_id")),
+        }
     )
-    return (
-        part.join(aisles(spark, sf_dir), "aisle")
-        .join(departments(spark, sf_dir), "department")
-        .select("product_id", "product_name", "aisle_id", "department_id")
+    lines = tables["order_products"].withColumn(
+        "product_id",
+        F.when(F.col("product_id") % 61 == 0, -1 - F.col("product_id")).otherwise(F.col("product_id")),
     )
+    return {**tables, "products": products, "order_products": lines}

@@ -2,28 +2,51 @@
 with the monthly sales mart refreshed for the months each micro-batch touches.
 
 Every micro-batch is processed with batch DataFrame operations in
-``foreachBatch``. Writes are idempotent per batch id (dynamic partition
-overwrite of that batch's partitions), so a batch replayed after a failure
-replaces its own output instead of adding to it.
+``foreachBatch``. Writes replace the partitions of their own batch id, so a batch
+replayed after a failure replaces its output instead of adding to it. With
+``dedup`` a message whose identity was landed or quarantined before is dropped.
+
+The mart is not recomputed from lines: each batch writes its sums per (month,
+order), and a refresh merges the sums of the touched months.
+
+usage: python -m ordermill.streaming.ingest --inbox DIR --out DIR [--files-per-trigger N] [--dedup]
+       python -m ordermill.streaming.ingest --source CSV --inbox DIR    (publish order lines as message files)
 """
 
 from __future__ import annotations
 
+import argparse
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.types import LongType, StringType, StructField, StructType
 
 from ..operators.clean import clean_orders
-from ..operators.marts import monthly_sales
+from ..operators.marts import REVENUE_MARTS, from_orders, merged_orders, orders_of
 from ..operators.validate import REASON, annotate
-from ..schema import ORDER_COLUMNS, RAW_SCHEMA
-from ..sources.messages import MESSAGE_SCHEMA, decode_messages
+from ..schema import ORDER_COLUMNS, ORDER_SCHEMA, RAW_SCHEMA
+from ..session import build_session
+from ..sources.contracts import conform
+from ..sources.files import by_partition, path_exists, read_order_text
+from ..sources.messages import MESSAGE_SCHEMA, decode_messages, encode_messages
+
+CORRUPT = "corrupt_message"
+
+_TEXT = [StructField(c, StringType()) for c in ("message_id", "sales_month")]
+LANDED_SCHEMA = StructType([*ORDER_SCHEMA.fields, *_TEXT, StructField("batch_id", LongType())])
+QUARANTINE_SCHEMA = StructType(
+    [
+        *RAW_SCHEMA.fields,
+        *(StructField(c, StringType()) for c in (REASON, "message_key", "message_value", "message_id")),
+        StructField("batch_id", LongType()),
+    ]
+)
 
 
 def message_file_stream(spark: SparkSession, path: str, max_files_per_trigger: int | None = None) -> DataFrame:
-    """(key, value) messages from JSON-lines files arriving in ``path``.
+    """(key, value, message_id) messages from JSON-lines files arriving in ``path``.
 
     ``max_files_per_trigger`` throttles intake per micro-batch.
     """
@@ -33,9 +56,9 @@ def message_file_stream(spark: SparkSession, path: str, max_files_per_trigger: i
     return reader.json(path)
 
 
-def write_message_files(messages: DataFrame, path: str, files: int = 4) -> None:
-    """Append messages as JSON-lines files, the file-based stand-in for a topic."""
-    messages.repartition(files).write.mode("append").json(path)
+def write_message_files(messages: DataFrame, path: str) -> None:
+    """Append messages as JSON-lines files, the file-based stand-in for a topic; a file per task."""
+    messages.write.mode("append").json(path)
 
 
 @dataclass
@@ -45,17 +68,29 @@ class IngestTargets:
     monthly_sales: str | None = None
     dedup: bool = False
 
+    @property
+    def orders(self) -> str:
+        """Sums per (month, order) of each batch, from which the mart is refreshed."""
+        return f"{self.monthly_sales}-orders"
+
 
 def _overwrite_partitions(df: DataFrame, path: str, by: list[str]) -> None:
-    df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*by).parquet(path)
+    (
+        by_partition(df, *by)
+        .write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")
+        .partitionBy(*by)
+        .parquet(path)
+    )
 
 
-def _path_exists(spark: SparkSession, path: str) -> bool:
-    try:
-        spark.read.parquet(path).schema  # noqa: B018
-        return True
-    except Exception:  # noqa: BLE001 - absent or empty folder
-        return False
+def _unseen(rows: DataFrame, path: str, schema: StructType, batch_id: int) -> DataFrame:
+    """Rows, one per message identity, whose identity no earlier batch wrote to ``path``."""
+    rows = rows.dropDuplicates(["message_id"])
+    if not path_exists(rows.sparkSession, path):
+        return rows
+    earlier = rows.sparkSession.read.schema(schema).parquet(path).filter(F.col("batch_id") != batch_id)
+    return rows.join(earlier.select("message_id"), "message_id", "left_anti")
 
 
 def process_batch(targets: IngestTargets):
@@ -64,39 +99,30 @@ def process_batch(targets: IngestTargets):
     def run(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         decoded = decode_messages(batch, RAW_SCHEMA)
-        annotated = annotate(decoded.filter(~F.col("corrupt"))).withColumn("batch_id", F.lit(batch_id))
-        annotated = annotated.persist()
+        annotated = annotate(decoded).withColumn(REASON, F.when(F.col("corrupt"), F.lit(CORRUPT)).otherwise(F.col(REASON)))
+        annotated = annotated.withColumn("batch_id", F.lit(batch_id).cast("long")).persist()
         try:
-            rejected = annotated.filter(F.col(REASON).isNotNull()).select(
-                *ORDER_COLUMNS, REASON, "message_id", "batch_id"
-            )
-            corrupt = decoded.filter(F.col("corrupt")).select(
-                *[F.lit(None).cast("string").alias(c) for c in ORDER_COLUMNS],
-                F.lit("corrupt_message").alias(REASON),
-                "message_id",
-                F.lit(batch_id).alias("batch_id"),
-            )
-            _overwrite_partitions(rejected.unionByName(corrupt), targets.quarantine, ["batch_id"])
-
+            refused = annotated.filter(F.col(REASON).isNotNull()).select(
+                *ORDER_COLUMNS, REASON, F.col("key").alias("message_key"), F.col("value").alias("message_value"),
+                "message_id", "batch_id",
+            )
             accepted = annotated.filter(F.col(REASON).isNull()).select(
                 *[F.col(f"v_{c}").alias(c) for c in ORDER_COLUMNS], "message_id", "batch_id"
             )
-            accepted = accepted.withColumn("sales_month", F.trunc("order_date", "month"))
-            landed_before = _path_exists(spark, targets.landing)
             if targets.dedup:
-                accepted = accepted.dropDuplicates(["message_id"])
-                if landed_before:
-                    # Messages landed by earlier batches, read only from the months this batch touches.
-                    earlier = spark.read.parquet(targets.landing).filter(F.col("batch_id") != batch_id)
-                    earlier = earlier.filter(month_filter(touched_months(accepted)))
-                    accepted = accepted.join(earlier.select("message_id"), "message_id", "left_anti")
-            accepted = accepted.persist()
-            try:
-                _overwrite_partitions(accepted, targets.landing, ["sales_month", "batch_id"])
-                if targets.monthly_sales:
-                    refresh_monthly_sales(spark, targets.landing, targets.monthly_sales, touched_months(accepted))
-            finally:
-                accepted.unpersist()
+                refused = _unseen(refused, targets.quarantine, QUARANTINE_SCHEMA, batch_id)
+                accepted = _unseen(accepted, targets.landing, LANDED_SCHEMA, batch_id)
+            _overwrite_partitions(refused, targets.quarantine, ["batch_id"])
+            accepted = accepted.withColumn("sales_month", F.trunc("order_date", "month"))
+            _overwrite_partitions(accepted, targets.landing, ["sales_month", "batch_id"])
+            if targets.monthly_sales:
+                landed = _landed(spark, targets.landing).filter(F.col("batch_id") == batch_id)
+                months = touched_months(landed)
+                sums = orders_of(clean_orders(landed.select(*ORDER_COLUMNS))).withColumn(
+                    "batch_id", F.lit(batch_id).cast("long")
+                )
+                _overwrite_partitions(sums, targets.orders, ["sales_month", "batch_id"])
+                refresh_monthly_sales(spark, targets.orders, targets.monthly_sales, months)
         finally:
             annotated.unpersist()
 
@@ -104,29 +130,38 @@ def process_batch(targets: IngestTargets):
 
 
 def touched_months(lines: DataFrame) -> list:
-    """Distinct ``sales_month`` values of a micro-batch (NULL for lines without a date).
+    """Distinct ``sales_month`` values of a micro-batch that have a date.
 
     Months form a calendar-bounded set, so the list stays small however large the
-    batch; as literals they prune the landing table's partitions statically.
+    batch; as literals they prune tables partitioned by month.
     """
-    return [r.sales_month for r in lines.select("sales_month").distinct().collect()]
+    known = lines.filter(F.col("order_date").isNotNull())
+    return [r.m for r in known.select(F.trunc("order_date", "month").alias("m")).distinct().collect()]
 
 
-def month_filter(months: list):
-    known = [m for m in months if m is not None]
-    cond = F.col("sales_month").isin(known) if known else F.lit(False)
-    return cond | F.col("sales_month").isNull() if None in months else cond
+def month_in(months: list) -> Column:
+    return F.col("sales_month").isin([m.isoformat() for m in months]) if months else F.lit(False)
 
 
-def refresh_monthly_sales(spark: SparkSession, landing: str, mart_path: str, months: list) -> None:
-    """Recompute the monthly sales rows of ``months`` from the whole landing table and
-    replace just those month partitions of the mart."""
-    known = [m for m in months if m is not None]
-    if not known:
+def refresh_monthly_sales(spark: SparkSession, orders_path: str, mart_path: str, months: list) -> None:
+    """Rebuild the monthly sales rows of ``months`` from the batches' sums per order, and replace just those
+    month partitions of the mart."""
+    if not months or not path_exists(spark, orders_path):
         return
-    landed = spark.read.parquet(landing).filter(F.col("sales_month").isin(known)).select(*ORDER_COLUMNS)
-    mart = monthly_sales(clean_orders(landed))
-    _overwrite_partitions(mart, mart_path, ["sales_month"])
+    schema = StructType(
+        [
+            StructField("order_id", LongType()),
+            StructField("user_id", LongType()),
+            StructField("order_items", LongType()),
+            StructField("order_cents", LongType()),
+            StructField("sales_month", StringType()),
+            StructField("batch_id", LongType()),
+        ]
+    )
+    sums = spark.read.schema(schema).parquet(orders_path).filter(month_in(months))
+    sums = sums.withColumn("sales_month", F.col("sales_month").cast("date"))
+    mart = from_orders(merged_orders(sums), REVENUE_MARTS["monthly_sales"])
+    _overwrite_partitions(conform(mart, "monthly_sales"), mart_path, ["sales_month"])
 
 
 def start_ingest(
@@ -145,13 +180,47 @@ def start_ingest(
     return writer.start()
 
 
+def _landed(spark: SparkSession, landing: str) -> DataFrame:
+    return spark.read.schema(LANDED_SCHEMA).parquet(landing)
+
+
 def read_landed(spark: SparkSession, landing: str) -> DataFrame:
-    return spark.read.parquet(landing).select(*ORDER_COLUMNS)
+    """All accepted lines; none if no batch accepted any."""
+    if not path_exists(spark, landing):
+        return spark.createDataFrame([], ORDER_SCHEMA)
+    return _landed(spark, landing).select(*ORDER_COLUMNS)
 
 
 def read_quarantine(spark: SparkSession, quarantine: str) -> DataFrame:
-    return spark.read.parquet(quarantine).select(*ORDER_COLUMNS, REASON)
+    """All refused messages with their text; none if no batch refused any."""
+    if not path_exists(spark, quarantine):
+        return spark.createDataFrame([], QUARANTINE_SCHEMA)
+    return spark.read.schema(QUARANTINE_SCHEMA).parquet(quarantine)
 
 
 def read_monthly_sales(spark: SparkSession, mart_path: str) -> DataFrame:
     return spark.read.parquet(mart_path).withColumn("sales_month", F.col("sales_month").cast("date"))
+
+
+def main(argv: list[str] | None = None) -> None:
+    parser = argparse.ArgumentParser(description="order-line ingest")
+    parser.add_argument("--inbox", required=True, help="folder of message files")
+    parser.add_argument("--source", help="order-line CSV to publish to the inbox")
+    parser.add_argument("--out", help="folder of landing, quarantine, mart and checkpoint")
+    parser.add_argument("--files-per-trigger", type=int, default=None)
+    parser.add_argument("--dedup", action="store_true")
+    args = parser.parse_args(argv)
+    spark = build_session()
+    if args.source:
+        write_message_files(encode_messages(read_order_text(spark, args.source)), args.inbox)
+    if args.out:
+        targets = IngestTargets(
+            f"{args.out}/landing", f"{args.out}/quarantine", f"{args.out}/monthly_sales", args.dedup
+        )
+        stream = message_file_stream(spark, args.inbox, args.files_per_trigger)
+        start_ingest(stream, targets, f"{args.out}/checkpoint").awaitTermination()
+    spark.stop()
+
+
+if __name__ == "__main__":
+    main()

@@ -1,20 +1,28 @@
-"""Basket variant: calendar reconstruction, the blocked running sum, joins, marts."""
+"""Basket variant: calendar reconstruction, the blocked running sum, references, marts, the six files."""
 
 from __future__ import annotations
 
 import datetime as dt
 import random
 
+import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from ordermill.operators import baskets
+from ordermill.operators.marts import BASKET_MARTS, build, present
 from ordermill.operators.running import blocked_running_sum
+from ordermill.plans.batch import basket_tables, csv_sink, run_baskets
+from ordermill.sources import files
 
-ORDERS = "order_id long, user_id long, eval_set string, order_number int, order_dow int, order_hour_of_day int, days_since_prior_order double"
+ORDERS = "order_id long, user_id long, eval_set string, order_number int, order_dow int, order_hour_of_day int, days_since_prior_order {}"
+LINES = "order_id long, product_id long, reordered int"
+d = dt.date.fromisoformat
 
 
-def test_calendar_small_case(spark):
+@pytest.mark.parametrize("kind", ["double", "string"])
+def test_calendar_small_case(spark, kind):
+    text = (lambda x: x) if kind == "double" else (lambda x: x if x is None else str(x))
     rows = [
         (11, 1, "prior", 1, 0, 8, None),
         (12, 1, "prior", 2, 1, 9, 15.0),
@@ -23,9 +31,8 @@ def test_calendar_small_case(spark):
         (21, 2, "prior", 1, 0, 8, 7.0),  # a gap on the first order is ignored
         (22, 2, "prior", 2, 0, 8, 2.9),  # decimals truncate
     ]
-    cal = baskets.order_calendar(spark.createDataFrame(rows, ORDERS))
-    got = {r.order_id: (r.order_date, r.sales_month) for r in cal.collect()}
-    d = dt.date.fromisoformat
+    df = spark.createDataFrame([(*r[:6], text(r[6])) for r in rows], ORDERS.format(kind))
+    got = {r.order_id: (r.order_date, r.sales_month) for r in baskets.order_calendar(df).collect()}
     assert got == {
         11: (d("2025-01-01"), d("2025-01-01")),
         12: (d("2025-01-16"), d("2025-01-01")),
@@ -34,6 +41,13 @@ def test_calendar_small_case(spark):
         21: (d("2025-01-01"), d("2025-01-01")),
         22: (d("2025-01-03"), d("2025-01-01")),
     }
+    assert baskets.unreadable_gaps(df).isEmpty()
+
+
+def test_unreadable_gap_is_reported(spark):
+    rows = [(1, 1, "prior", 1, 0, 8, "x"), (2, 1, "prior", 2, 0, 8, "soon"), (3, 1, "prior", 3, 0, 8, " ")]
+    df = spark.createDataFrame(rows, ORDERS.format("string"))
+    assert [(r.order_id, r.days_since_prior_order) for r in baskets.unreadable_gaps(df).collect()] == [(2, "soon")]
 
 
 def test_blocked_running_sum_equals_window(spark):
@@ -66,39 +80,100 @@ def test_blocked_count_numbers_a_hot_group_like_row_number(spark):
     assert got.exceptAll(want).isEmpty() and want.exceptAll(got).isEmpty()
 
 
-def test_joins_marts_and_audits(spark):
-    orders = spark.createDataFrame(
-        [(1, 7, "prior", 1, 0, 8, None), (2, 7, "train", 2, 0, 8, 40.0), (3, 8, "test", 1, 0, 8, None)], ORDERS
-    )
-    prior = spark.createDataFrame([(1, 100, 0), (1, 101, 0), (9, 100, 0)], "order_id long, product_id long, reordered int")
-    train = spark.createDataFrame([(2, 100, 1)], "order_id long, product_id long, reordered int")
-    products = spark.createDataFrame([(100, "Milk", 1, 1), (101, "Eggs", 1, 2)],
-                                     "product_id long, product_name string, aisle_id int, department_id int")
-    aisles = spark.createDataFrame([(1, "dairy")], "aisle_id int, aisle string")
-    departments = spark.createDataFrame([(1, "fridge"), (2, "pantry")], "department_id int, department string")
-    union = baskets.union_order_products(prior, train)
-    lines = baskets.basket_lines(union, baskets.order_calendar(orders), products, aisles, departments)
+@pytest.fixture
+def six(spark):
+    make = spark.createDataFrame
+    return {
+        "orders": make(
+            [(1, 7, "prior", 1, 0, 8, None), (2, 7, "train", 2, 0, 8, "40.0"), (3, 8, "test", 1, 0, 8, None)],
+            ORDERS.format("string"),
+        ),
+        "order_products__prior": make([(1, 100, 0), (1, 101, 0), (9, 100, 0)], LINES),
+        "order_products__train": make([(2, 100, 1)], LINES),
+        "products": make(
+            [(100, "Milk", 1, 1), (101, "Eggs", 1, 2)],
+            "product_id long, product_name string, aisle_id int, department_id int",
+        ),
+        "aisles": make([(1, "dairy")], "aisle_id int, aisle string"),
+        "departments": make([(1, "fridge"), (2, "pantry")], "department_id int, department string"),
+    }
+
+
+def resolve(six):
+    t = basket_tables(six)
+    named = baskets.named_products(t["products"], t["aisles"], t["departments"])
+    return baskets.resolved_lines(t["order_products"], baskets.order_calendar(t["orders"]), named)
+
+
+def test_marts_of_resolved_lines(six):
+    lines = baskets.basket_lines(resolve(six), strict=True)
     assert lines.count() == 3  # order 9 has no order row: skipped
-    monthly = {r.sales_month: tuple(r)[1:] for r in baskets.basket_monthly(lines).collect()}
-    assert monthly[dt.date(2025, 1, 1)][:3] == (1, 1, 2) and monthly[dt.date(2025, 2, 1)][:3] == (1, 1, 1)
-    top = baskets.top_basket_products(lines).collect()
-    assert [(r.product_name, r.item_count, float(r.reorder_rate)) for r in top] == [("Milk", 2, 0.5), ("Eggs", 1, 0.0)]
-    feats = baskets.first_customer_features(lines).first()
-    assert (feats.user_id, feats.order_count, feats.item_count, float(feats.avg_basket_lines)) == (7, 2, 3, 1.5)
+    made = {n: present(n, build(baskets.mart_input(lines), m)).collect() for n, m in BASKET_MARTS.items()}
+    assert [(str(r[0]), *r[1:4], float(r[4])) for r in made["basket_monthly"]] == [
+        ("2025-01-01", 1, 1, 2, 2.0),
+        ("2025-02-01", 1, 1, 1, 1.0),
+    ]
+    assert [(r.product_name, r.item_count, float(r.reorder_rate)) for r in made["basket_products"]] == [
+        ("Milk", 2, 0.5),
+        ("Eggs", 1, 0.0),
+    ]
+    assert [tuple(r) for r in made["basket_customers"]] == [(7, 2, 3, d("2025-01-01"), d("2025-02-10"), 2, True)]
+    assert [tuple(r) for r in made["basket_category"]] == [("fridge", 2, 1, 2), ("pantry", 1, 1, 1)]
+    f = made["basket_customer_features"][0]
+    assert (f.user_id, f.order_count, f.item_count, float(f.avg_basket_lines), f.department_count) == (7, 2, 3, 1.5, 2)
+    orders, union = six["orders"], basket_tables(six)["order_products"]
     assert [r.order_id for r in baskets.orders_without_lines(orders, union).collect()] == [3]
-    assert baskets.orphan_products(union, products).isEmpty()
-    assert baskets.limit_rows(lines, 2).count() == 2 and baskets.limit_rows(lines, None).count() == 3
-
-
-def test_first_n_matches_sort_and_limit(spark):
-    from ordermill.operators.topn import first_n
-
-    rnd = random.Random(3)
-    rows = [(rnd.choice([None, 1, 2, 2, 3]) if i % 7 else 2, rnd.randint(0, 40), i % 5) for i in range(3000)]
-    rows += [(2, 17, 1)] * 900  # one hot key combination
-    df = spark.createDataFrame(rows, "a int, b long, c int")
-    ordered = sorted(rows, key=lambda r: (r[0] is not None, r[0] or 0, r[1], r[2]))
-    for n in [0, 1, 5, 333, 1500, 2000, 3100, 3899, 3900, 5000]:
-        got = first_n(df, ["a", "b", "c"], n, buckets=4, exact_rows=50)
-        want = ordered[:n]
-        assert sorted(map(tuple, got.collect()), key=str) == sorted(want, key=str), n
+
+
+def test_unknown_references_are_named_or_fail(spark, six):
+    six["products"] = spark.createDataFrame(
+        [(100, "Milk", 1, 1), (101, "Eggs", 1, 5), (102, "Tea", 8, 1)],
+        "product_id long, product_name string, aisle_id int, department_id int",
+    )
+    six["order_products__train"] = spark.createDataFrame([(2, 100, 1), (2, 102, 0), (2, 999, 0)], LINES)
+    resolved = resolve(six)
+    assert resolved.count() == 5
+    got = {r.product_id: r.missing_reference for r in baskets.orphan_lines(resolved).collect()}
+    assert got == {101: "department", 102: "aisle", 999: "product"}
+    assert baskets.basket_lines(resolved).count() == 2
+    with pytest.raises(ValueError, match="aisle 1, department 1, product 1"):
+        baskets.basket_lines(resolved, strict=True)
+
+
+def write_six(six, root):
+    for name, df in six.items():
+        if name.startswith("order_products"):
+            df = df.withColumn("add_to_cart_order", F.lit(1))
+        files.write_csv(df, f"{root}/{name}.csv")
+
+
+def test_files_job_writes_sorted_marts(spark, six, scratch):
+    write_six(six, scratch)
+    back = files.read_baskets(spark, scratch)
+    out = f"{scratch}/out"
+    metrics = run_baskets(spark, basket_tables(back), csv_sink(out))
+    assert metrics == {"lines": 3, "orphan_lines": 0, "unreadable_gaps": 0, "orders_without_lines": 1}
+    names = [r.product_name for r in spark.read.option("header", True).csv(f"{out}/basket_products").collect()]
+    assert names == ["Milk", "Eggs"]
+
+
+def test_files_job_strict_and_lenient(spark, six, scratch):
+    six["order_products__train"] = spark.createDataFrame([(2, 999, 0)], LINES)
+    write_six(six, scratch)
+    tables = basket_tables(files.read_baskets(spark, scratch))
+    written = {}
+    with pytest.raises(ValueError, match="product 1"):
+        run_baskets(spark, tables, lambda n, df: written.update({n: df.collect()}))
+    assert written == {}
+    run_baskets(spark, tables, lambda n, df: written.update({n: df.collect()}), strict=False)
+    assert [r.product_id for r in written["orphan_lines"]] == [999] and len(written["basket_products"]) == 2
+
+
+def test_files_are_checked(spark, six, scratch):
+    write_six(six, scratch)
+    files.write_csv(six["aisles"].unionByName(six["aisles"]), f"{scratch}/aisles.csv")
+    with pytest.raises(ValueError, match="aisle_id"):
+        files.read_baskets(spark, scratch)
+    files.write_csv(six["aisles"].select("aisle"), f"{scratch}/aisles.csv")
+    with pytest.raises(ValueError, match="no column aisle_id"):
+        files.read_baskets(spark, scratch)
