@@ -16,14 +16,12 @@ order line        <- lineitem JOIN orders JOIN part
 
 The normalised basket tables come from the same rows: orders with status 'P'
 form the ``train`` split, all others ``prior``; aisles and departments get
-dense ids in name order. ``build_baskets`` writes them once to the shared work
-folder, with the customers' order sequence in its own table before, and every
-basket query reads those tables.
-
-Every column is derived with joins and aggregations; sequences within one
-customer and day are numbered in blocks of order ids, and the per-customer
-windows run over one row per (customer, calendar day), so no task holds all
-orders of a customer.
+dense ids in name order. ``build_baskets`` writes the orders with their sequence
+once to the shared work folder.
+
+Every column is derived with joins and aggregations; orders of one customer and
+day are numbered in blocks of order ids, and the per-customer window runs over
+one row per (customer, day, block), so no task holds all orders of a customer.
 """
 
 from __future__ import annotations
@@ -32,7 +30,6 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions.parse import PRICE
-from ..operators.running import blocked_running_sum
 from ..schema import ORDER_COLUMNS
 from ..session import work_path
 
@@ -63,37 +60,40 @@ def base_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+#: Order ids that share a block when one customer's orders of one day are numbered.
+ID_BLOCK = 4096
+
+
 def customer_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One row per order with the customer-sequence columns, written once."""
-    orders = base_orders(spark, sf_dir).withColumn("one", F.lit(1))
-    # Position among the same customer's orders of the same day, in blocks of order ids: written once, because
-    # the blocked sum and the day totals each read it.
-    ranked = staged(
-        blocked_running_sum(orders, ["user_id", "order_date"], "order_id", [], "one", "rank_in_day").drop("one"),
-        "ranked-orders",
-    )
-    days = ranked.groupBy("user_id", "order_date").agg(F.count(F.lit(1)).alias("orders_that_day"))
-    # One row per calendar day the customer ordered on: bounded per customer.
-    by_day = Window.partitionBy("user_id").orderBy("order_date")
-    days = days.select(
-        "user_id",
-        "order_date",
-        F.coalesce(
-            F.sum("orders_that_day").over(by_day.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)
-        ).alias("orders_before"),
-        F.lag("order_date").over(by_day).alias("previous_date"),
+    """One row per order with the customer-sequence columns.
+
+    A customer's orders are numbered by (day, order id): inside one (customer, day,
+    block of order ids) by a window over at most ID_BLOCK orders, across them by a
+    window over one row per such block. The block sums come from the same exchange.
+    """
+    block = ["user_id", "order_date", "id_block"]
+    orders = base_orders(spark, sf_dir).withColumn("id_block", F.floor(F.col("order_id") / ID_BLOCK))
+    local = orders.withColumn("place", F.row_number().over(Window.partitionBy(*block).orderBy("order_id")))
+    of_user = Window.partitionBy("user_id").orderBy("order_date", "id_block")
+    blocks = (
+        local.groupBy(*block)
+        .agg(F.count(F.lit(1)).alias("orders"))
+        .select(
+            *block,
+            F.coalesce(F.sum("orders").over(of_user.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("before"),
+            F.lag("order_date").over(of_user).alias("date_before"),
+        )
     )
-    return ranked.join(days, ["user_id", "order_date"]).select(
+    # In a block's first place the order before is the last of the block before; elsewhere it is of the same day.
+    gap = F.when(F.col("place") > 1, F.lit(0)).otherwise(F.datediff("order_date", "date_before"))
+    return local.join(blocks, block).select(
         "order_id",
         "user_id",
         "order_status",
-        (F.col("orders_before") + F.col("rank_in_day")).cast("int").alias("order_number"),
+        (F.col("before") + F.col("place")).cast("int").alias("order_number"),
         "order_dow",
         "order_hour_of_day",
-        F.when(F.col("rank_in_day") > 1, F.lit(0))
-        .when(F.col("previous_date").isNotNull(), F.least(F.lit(30), F.datediff("order_date", "previous_date")))
-        .cast("int")
-        .alias("days_since_prior_order"),
+        F.when(gap.isNotNull(), F.least(F.lit(30), gap)).cast("int").alias("days_since_prior_order"),
         "order_date",
     )
 
@@ -221,8 +221,8 @@ def _dimension(spark: SparkSession, sf_dir: str, source: str, name: str, id_name
 
 
 def build_baskets(spark: SparkSession, sf_dir: str, only: list[str] | None = None) -> dict[str, DataFrame]:
-    """The normalised tables; orders, products, aisles and departments are written once. ``only`` names the
-    tables that are needed."""
+    """The normalised tables; orders, which the calendar reads twice, are written once. ``only`` names the tables
+    that are needed."""
     wanted = only or BASKET_TABLES
     out: dict[str, DataFrame] = {}
     if "orders" in wanted:
@@ -230,10 +230,8 @@ def build_baskets(spark: SparkSession, sf_dir: str, only: list[str] | None = Non
     if "order_products" in wanted:
         out["order_products"] = order_products(spark, sf_dir)
     if {"products", "aisles", "departments"} & set(wanted):
-        out["aisles"] = staged(_dimension(spark, sf_dir, "p_type", "aisle", "aisle_id"), "aisles")
-        out["departments"] = staged(
-            _dimension(spark, sf_dir, "p_brand", "department", "department_id"), "departments"
-        )
+        out["aisles"] = _dimension(spark, sf_dir, "p_type", "aisle", "aisle_id")
+        out["departments"] = _dimension(spark, sf_dir, "p_brand", "department", "department_id")
     if "products" in wanted:
         part = table(spark, sf_dir, "part").select(
             F.col("p_partkey").alias("product_id"),
@@ -241,11 +239,10 @@ def build_baskets(spark: SparkSession, sf_dir: str, only: list[str] | None = Non
             F.col("p_type").alias("aisle"),
             F.col("p_brand").alias("department"),
         )
-        out["products"] = staged(
+        out["products"] = (
             part.join(out["aisles"], "aisle")
             .join(out["departments"], "department")
-            .select("product_id", "product_name", "aisle_id", "department_id"),
-            "products",
+            .select("product_id", "product_name", "aisle_id", "department_id")
         )
     return out
 
