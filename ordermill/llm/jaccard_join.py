@@ -18,11 +18,13 @@ The work, as Spark jobs:
    go. Hot shingles are dealt by chunk instead, so none fills a task.
 3. Windows per class order what remains by (frequency, hash), sum the cost of
    each l and cut the prefix.
-4. Candidates: within a shingle's posting list first only pairs with one centre
+4. Candidates: within a shingle's posting list first only pairs with three centres
    (linear in the list); the links found join classes into components. Then
    all pairs of *different* components that share enough prefix shingles, the
    largest component of a list only against the others, so that a group of
-   thousands of near copies is never expanded into its pairs.
+   thousands of near copies is never expanded into its pairs. Exact bounds by
+   the shingles' places and by parity bitmaps of the sets drop pairs that
+   cannot link while the lists are joined.
 5. Every candidate is verified exactly on whole sets.
 
 Defined cases: null or empty texts have no shingle and link with nothing; fewer
@@ -36,12 +38,13 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pandas as pd
 import xxhash
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import WordHashes, chunked, shingle_set, signed, staged, words
@@ -54,6 +57,9 @@ CHUNK_SHINGLES = 1_500_000
 RANGE_SHINGLES = 3_000_000
 #: Share of a chunk's documents from which a shingle is reported as hot, and of all classes from which it is.
 CHUNK_SHARE, HOT_SHARE = 0.01, 0.005
+#: 64-bit words of a set's parity bitmap.
+BITMAP = 16
+BITS = [f"b{i}" for i in range(BITMAP)]
 #: Prefix extensions tried, and cost of verifying one shingle of a pair against listing one posting.
 MAX_EXTENSION, VERIFY_COST = 6, 0.05
 
@@ -66,14 +72,21 @@ def _hot_in_chunk(arrays: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
     return tokens[counts >= least], counts[counts >= least]
 
 
+def parity_bitmap(found: np.ndarray) -> np.ndarray:
+    """Bit i is set when an odd number of shingles fall on it: two bitmaps differ in at most as many bits as
+    their sets differ in shingles."""
+    odd = np.bincount((found & np.uint64(64 * BITMAP - 1)).astype(np.int64), minlength=64 * BITMAP) & 1
+    return np.packbits(odd.astype(np.uint8)).view(np.int64)
+
+
 def _sets_of(shingle: int):
-    """doc_id, text -> doc_id, n, key; and the chunk's hot shingles as rows with kind 1."""
+    """doc_id, text -> doc_id, n, key, bitmap; and the chunk's hot shingles as rows with kind 1."""
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         hasher = WordHashes()
         for rows in chunked(frames, lambda r: len(r[1] or "") // 6 + 1, CHUNK_SHINGLES):
             seen: dict[int, np.ndarray] = {}
-            ids, sizes, keys, own = [], [], [], []
+            ids, sizes, keys, own, maps = [], [], [], [], []
             for doc_id, text, row_key in rows:
                 found = shingle_set(words(text), hasher, shingle)
                 key = xxhash.xxh64_intdigest(found.tobytes())
@@ -83,6 +96,7 @@ def _sets_of(shingle: int):
                 sizes.append(len(found))
                 keys.append(key)
                 own.append(row_key)
+                maps.append(parity_bitmap(found))
             hot, counts = _hot_in_chunk(list(seen.values()))
             yield pd.DataFrame(
                 {
@@ -91,6 +105,7 @@ def _sets_of(shingle: int):
                     "n": np.array(sizes, np.int64),
                     "key": signed(np.array(keys, np.uint64)),
                     "row_key": np.array(own, np.int64),
+                    **dict(zip(BITS, np.array(maps).T, strict=True)),
                 }
             )
             if len(hot):
@@ -101,6 +116,7 @@ def _sets_of(shingle: int):
                         "n": counts.astype(np.int64),
                         "key": hot.astype(np.int64),
                         "row_key": np.zeros(len(hot), np.int64),
+                        **{b: np.zeros(len(hot), np.int64) for b in BITS},
                     }
                 )
 
@@ -108,12 +124,11 @@ def _sets_of(shingle: int):
 
 
 def shingle_classes(docs: DataFrame, shingle: int = 5) -> DataFrame:
-    """Staged rows (kind, doc_id, n, key, row_key): kind 0 one per row of ``docs``, kind 1 reports of hot shingles."""
+    """Staged rows (kind, doc_id, n, key, row_key, bitmap): kind 0 one per row of ``docs``, kind 1 reports of hot shingles."""
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text.alias("text"), F.xxhash64(text).alias("own"))
-    return staged(
-        rows.mapInPandas(_sets_of(shingle), "kind int, doc_id long, n long, key long, row_key long"), "sets"
-    )
+    columns = ["kind int", "doc_id long", "n long", "key long", "row_key long", *(f"{b} long" for b in BITS)]
+    return staged(rows.mapInPandas(_sets_of(shingle), ", ".join(columns)), "sets")
 
 
 def _dealt(shingle: int, ranges: int, hot: np.ndarray):
@@ -242,12 +257,25 @@ def prefixes(shared: DataFrame) -> DataFrame:
     return (
         rows.withColumn("best", best["l"])
         .filter(F.col("l") <= F.col("best"))
-        .select("key", "n", F.col("best").alias("l"), "token")
+        .select("key", "n", "m", "place", F.col("best").alias("l"), "token")
     )
 
 
-def _long_enough(a: str, b: str, percent: int):
-    return (F.least(a, b) * 100) >= (F.greatest(a, b) * percent)
+def _may_link(a: str, b: str, percent: int) -> Column:
+    """Bounds on two postings of one shingle, with columns n, m, place and bitmap of suffixes ``a`` and ``b``.
+
+    The intersection is at most the lesser number of shared shingles m, at most
+    what both can share before this shingle, itself, and after it, and at most half
+    of what the sizes exceed the differing bits of the bitmaps; it must reach
+    percent * (na + nb) / (100 + percent).
+    """
+    col = lambda name, side: F.col(name + side)
+    before = lambda side: col("place", side) - (col("n", side) - col("m", side)) - 1
+    after = lambda side: col("n", side) - col("place", side)
+    most = F.least(col("m", a), col("m", b), F.least(before(a), before(b)) + 1 + F.least(after(a), after(b)))
+    both = col("n", a) + col("n", b)
+    differ = reduce(Column.__add__, [F.bit_count(col(bit, a).bitwiseXOR(col(bit, b))) for bit in BITS])
+    return (most * (100 + percent) >= both * percent) & ((both - differ) * (100 + percent) >= both * (2 * percent))
 
 
 def verified(pairs: DataFrame, shared: DataFrame, percent: int) -> DataFrame:
@@ -274,24 +302,40 @@ def verified(pairs: DataFrame, shared: DataFrame, percent: int) -> DataFrame:
     )
 
 
-def class_links(shared: DataFrame, percent: int) -> DataFrame:
+def class_links(shared: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """Staged verified links (a, b) that connect all classes which any links connect."""
-    prefix = staged(prefixes(shared), "prefixes")
-    centre = prefix.groupBy("token").agg(
-        F.count(F.lit(1)).alias("held"), F.max(F.struct("n", "key")).alias("c")
-    ).filter("held > 1").select("token", F.col("c.key").alias("b"), F.col("c.n").alias("nb"))
+    listed = prefixes(shared)
+    bitmaps = sets.filter("kind = 0 and n > 0").groupBy("key").agg(*[F.min(b).alias(b) for b in BITS])
+    prefix = staged(listed.join(bitmaps, "key"), "prefixes")
+    # Centres of a posting list: the class with the largest share of shared shingles (the text that copies
+    # were made from), the largest, and one by hash.
+    row = ["key", "n", "m", "place", *BITS]
+    share = F.col("m") / F.col("n")
+    centres = [
+        F.max(F.struct(share.alias("by"), *row)),
+        F.max(F.struct(F.col("n").cast("double").alias("by"), *row)),
+        F.min(F.struct(F.xxhash64("key").cast("double").alias("by"), *row)),
+    ]
+    some = F.array(*[F.struct(*[F.col(f"c{i}.{x}").alias(x) for x in row]) for i in range(len(centres))])
+    centre = (
+        prefix.groupBy("token")
+        .agg(F.count(F.lit(1)).alias("held"), *[c.alias(f"c{i}") for i, c in enumerate(centres)])
+        .filter("held > 1")
+        .select("token", F.explode(F.array_distinct(some)).alias("c"))
+        .select("token", *[F.col(f"c.{x}").alias(f"{x}_b") for x in row])
+    )
     star = (
-        prefix.join(centre, "token")
-        .filter(F.col("key") != F.col("b"))
-        .filter(_long_enough("n", "nb", percent))
-        .select(F.least("key", "b").alias("a"), F.greatest("key", "b").alias("b"))
+        prefix.select("token", *[F.col(x).alias(f"{x}_a") for x in row])
+        .join(centre, "token")
+        .filter((F.col("key_a") != F.col("key_b")) & _may_link("_a", "_b", percent))
+        .select(F.least("key_a", "key_b").alias("a"), F.greatest("key_a", "key_b").alias("b"))
         .distinct()
     )
     first = staged(verified(star, shared, percent).select("a", "b"), "star-links")
     roots = connected_components(first, "a", "b")
     held = staged(
         prefix.join(roots, prefix["key"] == roots["node"], "left").select(
-            "key", "n", "l", "token", F.coalesce("root", "key").alias("root")
+            *row, "l", "token", F.coalesce("root", "key").alias("root")
         ),
         "postings",
     )
@@ -303,23 +347,15 @@ def class_links(shared: DataFrame, percent: int) -> DataFrame:
         .select("token", F.col("top.root").alias("top"))
     )
     open_lists = held.join(lists, "token")
-    left = open_lists.filter("root <> top").select(
-        "token", F.col("key").alias("ka"), F.col("n").alias("na"), F.col("l").alias("la"), F.col("root").alias("ra")
-    )
-    right = open_lists.select(
-        "token",
-        F.col("key").alias("kb"),
-        F.col("n").alias("nb"),
-        F.col("l").alias("lb"),
-        F.col("root").alias("rb"),
-        (F.col("root") == F.col("top")).alias("in_top"),
-    )
+    side = lambda x: [*[F.col(c).alias(f"{c}_{x}") for c in [*row, "l", "root"]]]
+    left = open_lists.filter("root <> top").select("token", *side("a"))
+    right = open_lists.select("token", *side("b"), (F.col("root") == F.col("top")).alias("in_top"))
     rest = (
         left.join(right, "token")
-        .filter("ra <> rb and (in_top or ka < kb)")
-        .filter(_long_enough("na", "nb", percent))
-        .groupBy(F.least("ka", "kb").alias("a"), F.greatest("ka", "kb").alias("b"))
-        .agg(F.count(F.lit(1)).alias("met"), F.min(F.least("la", "lb")).alias("asked"))
+        .filter("root_a <> root_b and (in_top or key_a < key_b)")
+        .filter(_may_link("_a", "_b", percent))
+        .groupBy(F.least("key_a", "key_b").alias("a"), F.greatest("key_a", "key_b").alias("b"))
+        .agg(F.count(F.lit(1)).alias("met"), F.min(F.least("l_a", "l_b")).alias("asked"))
         .filter("met >= asked")
     )
     second = verified(staged(rest.select("a", "b"), "rest"), shared, percent).select("a", "b")
@@ -335,7 +371,7 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80) -> Dat
     """
     sets = shingle_classes(docs, shingle)
     shared = shared_shingles(docs, sets, shingle, percent)
-    links = class_links(shared, percent)
+    links = class_links(shared, sets, percent)
     roots = connected_components(links, "a", "b")
     rows = sets.filter("kind = 0").select(
         "doc_id",
