@@ -36,14 +36,15 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the counterfactual classifier, learned from all labels, does not call toxic."""
     model = fit_toxicity(docs, table(spark, sf_dir, "labels"))
     names = fresh_names(docs, ["score", "predicted"])
-    if names != {"score": "score", "predicted": "predicted"}:
-        raise ValueError("documents must not have columns named score or predicted")
-    return score_toxicity(docs, model, TOXIC).filter("predicted = 0").select(*docs.columns)
+    scored = score_toxicity(docs, model, TOXIC, (names["score"], names["predicted"]))
+    return scored.filter(F.col(names["predicted"]) == 0).select(*docs.columns)
 
 
 def drop_common_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without the lines that three or more of them hold (the largest doc_id keeps them)."""
-    kept = dedup_lines(docs).select(*docs.columns)
+    own = {c: f"{c}__own" for c in ("n_lines", "n_dropped") if c in docs.columns}
+    kept = dedup_lines(docs.withColumnsRenamed(own)).drop("n_lines", "n_dropped")
+    kept = kept.withColumnsRenamed({v: k for k, v in own.items()}).select(*docs.columns)
     if "n_chars" in docs.columns:
         size = F.char_length("text").cast(docs.schema["n_chars"].dataType)
         kept = kept.withColumn("n_chars", size)

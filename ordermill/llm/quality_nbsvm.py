@@ -16,8 +16,8 @@ every task gets.
 Defined cases: null or empty texts have the single indicator "empty"; without
 labelled rows of both classes every score is the share of label 1 (0.5 without
 any); documents with null or repeated ids are scored row by row; an empty table
-gives an empty result; other columns pass through, columns named score or
-predicted are replaced.
+gives an empty result; other columns pass through, columns of the added
+names are replaced.
 """
 
 from __future__ import annotations
@@ -197,19 +197,22 @@ def fit_quality(
     return QualityModel(ids, np.array(rows.column("label").to_pylist(), np.int64))
 
 
-def score_quality(docs: DataFrame, model: QualityModel, threshold: float = 0.3) -> DataFrame:
-    """``docs`` with score (double) and predicted (int)."""
-    docs = docs.drop("score", "predicted")
+def score_quality(
+    docs: DataFrame, model: QualityModel, threshold: float = 0.3, names: tuple[str, str] = ("score", "predicted")
+) -> DataFrame:
+    """``docs`` with the columns ``names``: score (double) and predicted (int)."""
+    score, predicted = names
+    docs = docs.drop(score, predicted)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         made = Indicators()
         for batch in batches:
             scores = [model.score(made.of(t.as_py())) for t in batch.column("text")]
             yield pa.RecordBatch.from_arrays(
-                [*batch.columns, pa.array(scores, pa.float64())], names=[*batch.schema.names, "score"]
+                [*batch.columns, pa.array(scores, pa.float64())], names=[*batch.schema.names, score]
             )
 
-    schema = StructType([*docs.schema.fields, StructField("score", DoubleType())])
+    schema = StructType([*docs.schema.fields, StructField(score, DoubleType())])
     return docs.mapInArrow(run, schema).withColumn(
-        "predicted", F.when(F.col("score") >= threshold, 1).otherwise(0).cast("int")
+        predicted, F.when(F.col(score) >= threshold, 1).otherwise(0).cast("int")
     )

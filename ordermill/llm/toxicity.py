@@ -17,7 +17,7 @@ whole, where it lies, with a model of ``max_features`` weights that every task g
 Defined cases: null or empty texts score the model's bias; without labelled rows
 of both classes every score is the share of label 1 (0 without any); null and
 repeated ids are scored row by row; an empty table gives an empty result; other
-columns pass through, columns named score or predicted are replaced.
+columns pass through, columns of the added names are replaced.
 """
 
 from __future__ import annotations
@@ -246,19 +246,22 @@ def fit_toxicity(
     return ToxicityModel(vocabulary, weights, bias)
 
 
-def score_toxicity(docs: DataFrame, model: ToxicityModel, threshold: float = 0.7) -> DataFrame:
-    """``docs`` with score (double) and predicted (int)."""
-    docs = docs.drop("score", "predicted")
+def score_toxicity(
+    docs: DataFrame, model: ToxicityModel, threshold: float = 0.7, names: tuple[str, str] = ("score", "predicted")
+) -> DataFrame:
+    """``docs`` with the columns ``names``: score (double) and predicted (int)."""
+    score, predicted = names
+    docs = docs.drop(score, predicted)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         made = WordFeatures(model.vocabulary)
         for batch in batches:
             scores = [model.score(made.of(plain_words(t.as_py()))) for t in batch.column("text")]
             yield pa.RecordBatch.from_arrays(
-                [*batch.columns, pa.array(scores, pa.float64())], names=[*batch.schema.names, "score"]
+                [*batch.columns, pa.array(scores, pa.float64())], names=[*batch.schema.names, score]
             )
 
-    schema = StructType([*docs.schema.fields, StructField("score", DoubleType())])
+    schema = StructType([*docs.schema.fields, StructField(score, DoubleType())])
     return docs.mapInArrow(run, schema).withColumn(
-        "predicted", F.when(F.col("score") >= threshold, 1).otherwise(0).cast("int")
+        predicted, F.when(F.col(score) >= threshold, 1).otherwise(0).cast("int")
     )

@@ -14,6 +14,8 @@ from .test_packing import check as check_bins
 from .test_string_tiling import brute as contaminated
 
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long"
+#: Columns named like those that operators add.
+CLASHES = "score string, predicted int, n_lines string, row_key string, kept_id int, copy string, words string"
 LABELS = "doc_id long, quality int, toxic int"
 
 
@@ -109,3 +111,18 @@ def test_empty_tables(spark, scratch):
     spark.createDataFrame([], LABELS).write.parquet(f"{scratch}/labels.parquet")
     spark.createDataFrame([], "item_id long, text string").write.parquet(f"{scratch}/benchmark.parquet")
     assert corpus_pipeline.run(spark, scratch).collect() == []
+
+
+def test_clashing_columns_pass_through(spark, scratch):
+    rows, labels, items = corpus()
+    extra = ("s", 1, "n", "r", 2, "c", "w")
+    spark.createDataFrame([(*r, *extra) for r in rows], f"{SCHEMA}, {CLASHES}").write.parquet(f"{scratch}/documents.parquet")
+    spark.createDataFrame(labels, LABELS).write.parquet(f"{scratch}/labels.parquet")
+    spark.createDataFrame(items, "item_id long, text string").write.parquet(f"{scratch}/benchmark.parquet")
+    docs = spark.read.parquet(f"{scratch}/documents.parquet")
+    columns = docs.columns
+    for _, stage in STAGES[:4]:
+        docs = spark.createDataFrame(stage(spark, docs, scratch).collect(), docs.schema)
+        assert docs.columns == columns and docs.count() > 50
+        assert {tuple(r)[5:] for r in docs.collect()} == {extra}
+    assert STAGES[4][1](spark, docs, scratch).count() > 50
