@@ -20,7 +20,7 @@ component takes no part; a null id takes no part; equal rows (id and vector)
 count once; rows that share an id with a query are its own and no candidates; a
 query meets the candidates of its own dimension; with fewer than k candidates
 all are returned; an empty table gives an empty result; ties go to the smaller
-id. Scaled components must fit 32 bits.
+id. Vectors with a scaled component of 2^28 or more take no part either.
 """
 
 from __future__ import annotations
@@ -37,6 +37,9 @@ from .common import staged
 #: Rows of a candidate and of a query block on average, and candidates evaluated between two looks at the bound.
 BLOCK_CANDIDATES, BLOCK_QUERIES, STEP = 8192, 2048, 128
 
+#: Scaled components stay below this, so that products of 64 dimensions fit 64 bits.
+LARGEST = float(1 << 28)
+
 BEST = "query_id long, vec_id long, score long, evaluated long"
 
 
@@ -44,7 +47,7 @@ def scaled_vectors(rows: DataFrame, id_column: str, vector_column: str, scale: i
     """(vec_id, v): distinct usable vectors as floor(scale * x) integers."""
     x = F.col(vector_column).cast("array<double>")
     whole = F.transform(x, lambda c: F.floor(c * F.lit(float(scale))).cast("int"))
-    usable = F.forall(x, lambda c: c.isNotNull() & ~F.isnan(c) & (F.abs(c) < F.lit(math.inf)))
+    usable = F.forall(x, lambda c: c.isNotNull() & ~F.isnan(c) & (F.abs(c) < F.lit(LARGEST / scale)))
     return (
         rows.filter(F.col(id_column).isNotNull() & (F.size(x) > 0))
         .filter(usable)

@@ -18,7 +18,7 @@ def brute(rows, k):
     usable = {
         (i, tuple(math.floor(1024 * float(np.float32(x))) for x in v))
         for i, v in rows
-        if i is not None and v and all(x is not None and math.isfinite(x) for x in v)
+        if i is not None and v and all(x is not None and math.isfinite(x) and abs(x) < 1e5 for x in v)
     }
     out = []
     for q in sorted({i for i, _ in usable if i % 10 == 0}):
@@ -44,7 +44,7 @@ def corpus():
     centres = [[rnd.gauss(0, 1) for _ in range(8)] for _ in range(4)]
     rows = [(i, [x + rnd.gauss(0, 0.2) for x in rnd.choice(centres)]) for i in range(150)]
     rows += [(i, rows[20][1]) for i in range(200, 230)]
-    rows += [(300, None), (301, []), (302, [1.0, None]), (303, [float("nan")] * 8), (304, [float("inf")] * 8)]
+    rows += [(300, None), (301, []), (302, [1.0, None]), (303, [float("nan")] * 8), (304, [float("inf")] * 8), (305, [1e30] * 8)]
     return rows + [(310, [0.5, 0.5]), (311, [1.0, -1.0]), (None, rows[0][1]), rows[10], rows[11], (10, rows[12][1])]
 
 
