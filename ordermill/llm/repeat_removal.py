@@ -12,11 +12,13 @@ times the input, so positions are sampled first, by content:
    anchor. Windows with the same anchor form a run of consecutive starts.
 1. *Round one* sorts anchors by the rank (Karp-Rabin name) of their ``gram`` bytes;
    windows of anchors with a unique rank are unique.
-2. *Round two* sorts the pair (anchor's rank, rank of the run's whole context).
+2. *Round two* sorts the pairs (anchor's rank, rank of the run's whole context).
    Contexts found twice are repeated as a whole. If all contexts of an anchor's
-   rank are equal it is settled.
-3. *Round three* ranks every window of the contexts that are left, one
-   representative of each repeated context included, by all ``least`` bytes.
+   rank are equal it is settled. Of the others, the pairs (anchor's rank, rank of
+   a *core*) decide: windows whose anchors lie at similar distances share a core of
+   some 158 bytes, and only those whose core two contexts hold stay open.
+3. *Round three* ranks every open window, and those of one representative of each
+   repeated context, by all ``least`` bytes.
 
 In each round names are dealt by range, packed as bytes; what repeats inside a
 chunk is settled there and sent on once, so a string that a third of all
@@ -47,7 +49,9 @@ from .common import chunked, fresh_names, mix, signed, staged
 
 #: Bytes of an anchor; window starts ranked at once; bytes of text a chunk gathers; rows of a dealt range.
 GRAM = 32
-SEGMENT, CHUNK_BYTES, RANGE_ROWS = 1 << 19, 6 << 20, 600_000
+SEGMENT, CHUNK_BYTES, RANGE_ROWS = 1 << 18, 3 << 20, 600_000
+#: Ranges of the distance from a window's start to its anchor; each has a core that all its windows share.
+CORES = 4
 COVERED, OPEN, SAMPLE = 0, 1, 2
 
 BASE = 0x5851F42D4C957F2D
@@ -79,8 +83,15 @@ def sliding_minimum(values: np.ndarray, width: int) -> np.ndarray:
     return np.minimum(have[: len(have) - rest], have[rest:]) if rest else have
 
 
+def core_bounds(least: int) -> list[tuple[int, int]]:
+    """Least and greatest distance from window start to anchor of each core."""
+    width = -(-(least - GRAM + 1) // CORES)
+    return [(low, min(low + width, least - GRAM + 1) - 1) for low in range(0, least - GRAM + 1, width)]
+
+
 def runs_of(data: np.ndarray, names: Names, least: int) -> tuple[np.ndarray, ...]:
-    """(anchor name, context name, first window start, windows) of every run of a text."""
+    """Of every run of a text: anchor's name, context's name, first window start, windows, distance of the first
+    start to the anchor, and 32-bit names of the cores (0 where no window of the run has it)."""
     parts = []
     for low in range(0, max(0, len(data) - least + 1), SEGMENT):
         piece = data[low : low + SEGMENT + least - 1]
@@ -95,10 +106,15 @@ def runs_of(data: np.ndarray, names: Names, least: int) -> tuple[np.ndarray, ...
         at = anchor[first]
         context = names.of(prefix, first, count + least - 1)
         context = mix(context + (at - first).astype(np.uint64) * np.uint64(1 << 20) + count.astype(np.uint64))
-        parts.append((gram[at], context, first + low, count))
+        cores = np.zeros((len(first), CORES), np.uint32)
+        for n, (near, far) in enumerate(core_bounds(least)):
+            held = np.flatnonzero((at - first >= near) & (at - (first + count - 1) <= far))
+            name = names.of(prefix, at[held] - near, least - far + near)
+            cores[held, n] = (name >> np.uint64(32)).astype(np.uint32) | np.uint32(1)
+        parts.append((gram[at], context, first + low, count, at - first, cores))
     if not parts:
         none = np.empty(0, np.int64)
-        return none.astype(np.uint64), none.astype(np.uint64), none, none
+        return none.astype(np.uint64), none.astype(np.uint64), none, none, none, np.zeros((0, CORES), np.uint32)
     return tuple(np.concatenate(x) for x in zip(*parts, strict=True))
 
 
@@ -131,10 +147,12 @@ def _by_part(part: np.ndarray, columns: dict[str, np.ndarray]) -> pd.DataFrame:
 
 
 def _part_of(name: np.ndarray, ranges: int) -> np.ndarray:
+    """Range of a name. Anchors are the least names of their windows, so names are mixed anew."""
+    name = mix(name)
     return ((name >> np.uint64(40)) * np.uint64(ranges) >> np.uint64(24)).astype(np.int32)
 
 
-RUNS = "part int, gram binary, context binary, owner binary, first binary, count binary, seen binary"
+RUNS = "part int, gram binary, context binary, owner binary, first binary, count binary, ahead binary, cores binary, seen binary"
 
 
 def _deal_runs(least: int, ranges: int):
@@ -147,15 +165,15 @@ def _deal_runs(least: int, ranges: int):
             for key, text in rows:
                 copies[key] = copies.get(key, 0) + 1
                 if copies[key] == 1:
-                    gram, context, first, count = runs_of(_bytes(text), names, least)
-                    parts.append((gram, context, np.full(len(gram), key, np.int64).view(np.uint64), first, count))
+                    gram, *rest = runs_of(_bytes(text), names, least)
+                    parts.append((gram, np.full(len(gram), key, np.int64).view(np.uint64), *rest))
             if not sum(len(p[0]) for p in parts):
                 continue
-            gram, context, owner, first, count = (np.concatenate(x) for x in zip(*parts, strict=True))
+            gram, owner, context, first, count, ahead, cores = (np.concatenate(x) for x in zip(*parts, strict=True))
             times = np.repeat([min(2, copies[k]) for k in copies], [len(p[0]) for p in parts])
             order = np.lexsort((context, gram))
-            gram, context, owner, first, count, times = (
-                x[order] for x in (gram, context, owner, first, count, times)
+            gram, context, owner, first, count, ahead, cores, times = (
+                x[order] for x in (gram, context, owner, first, count, ahead, cores, times)
             )
             edge = np.flatnonzero(np.r_[True, (gram[1:] != gram[:-1]) | (context[1:] != context[:-1])])
             seen = np.minimum(np.add.reduceat(times, edge), 2)
@@ -172,6 +190,8 @@ def _deal_runs(least: int, ranges: int):
                     "owner": owner[pick],
                     "first": first[pick].astype(np.uint32),
                     "count": count[pick].astype(np.uint16),
+                    "ahead": ahead[pick].astype(np.uint16),
+                    "cores": cores[pick],
                     "seen": np.r_[seen, np.full(known.sum(), 2)].astype(np.uint8),
                 },
             )
@@ -190,8 +210,12 @@ def _settle_runs(least: int, ranges: int):
         seen = join("seen", np.uint8)
         if int(frame["part"].iloc[0]) >= ranges:
             return _pack_spans(owner, first, first + count - 1 + least).assign(kind=COVERED)[["tkey", "kind", "spans"]]
+        ahead = join("ahead", np.uint16).astype(np.int64)
+        cores = join("cores", np.uint32).reshape(-1, CORES)
         order = np.lexsort((context, gram))
-        gram, context, owner, first, count, seen = (x[order] for x in (gram, context, owner, first, count, seen))
+        gram, context, owner, first, count, seen, ahead, cores = (
+            x[order] for x in (gram, context, owner, first, count, seen, ahead, cores)
+        )
         of_gram = np.flatnonzero(np.r_[True, gram[1:] != gram[:-1]])
         of_context = np.flatnonzero(np.r_[True, (gram[1:] != gram[:-1]) | (context[1:] != context[:-1])])
         spread = lambda v, edge: np.repeat(v, np.diff(np.r_[edge, len(gram)]))
@@ -203,8 +227,20 @@ def _settle_runs(least: int, ranges: int):
         sampled = (total > 1) & (contexts > 1) & lead
         uncertain = (total == 1) & (contexts > 1)
         out = [_pack_spans(owner[covered], first[covered], (first + count - 1 + least)[covered]).assign(kind=COVERED)]
-        for kind, chosen in ((OPEN, uncertain), (SAMPLE, sampled)):
-            out.append(_pack_spans(owner[chosen], first[chosen], (first + count)[chosen]).assign(kind=kind))
+        # Windows stay open where two contexts of the anchor's rank hold their core.
+        left = np.flatnonzero(uncertain | sampled)
+        for n, (near, far) in enumerate(core_bounds(least)):
+            held = left[cores[left, n] > 0]
+            order = np.lexsort((cores[held, n], gram[held]))
+            held = held[order]
+            new = np.r_[True, (gram[held[1:]] != gram[held[:-1]]) | (cores[held[1:], n] != cores[held[:-1], n])]
+            edge = np.flatnonzero(new[: len(held)])
+            held = held[np.repeat(np.diff(np.r_[edge, len(held)]) > 1, np.diff(np.r_[edge, len(held)]))]
+            start = np.maximum(first[held], first[held] + ahead[held] - far)
+            end = np.minimum(first[held] + count[held], first[held] + ahead[held] - near + 1)
+            for kind in (OPEN, SAMPLE):
+                mine = uncertain[held] if kind == OPEN else sampled[held]
+                out.append(_pack_spans(owner[held[mine]], start[mine], end[mine]).assign(kind=kind))
         return pd.concat(out)[["tkey", "kind", "spans"]]
 
     return run
