@@ -199,6 +199,32 @@ ORACLE_SQL: dict[str, str] = {
                sha256(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (NOT gone), '')) AS kept_sha256
         FROM m GROUP BY doc_id
     """,
+    "op8_repeat_removal": """
+        WITH d AS (
+            SELECT doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents
+        ), w AS (
+            SELECT doc_id, s, md5(substr(h, CAST(2 * s + 1 AS BIGINT), 400)) AS k
+            FROM (SELECT doc_id, h, unnest(range(0, length(h) // 2 - 199)) AS s FROM d WHERE length(h) >= 400)
+        ), r AS (
+            SELECT doc_id, s FROM w WHERE k IN (SELECT k FROM w GROUP BY k HAVING count(*) > 1)
+        ), i AS (
+            SELECT doc_id, s, s > lag(s) OVER (PARTITION BY doc_id ORDER BY s) + 200 IS NOT FALSE AS first FROM r
+        ), g AS (
+            SELECT doc_id, s, sum(CAST(first AS INTEGER)) OVER (PARTITION BY doc_id ORDER BY s) AS run FROM i
+        ), p AS (
+            SELECT doc_id, run, min(s) AS a, max(s) + 200 AS b FROM g GROUP BY doc_id, run
+        ), q AS (
+            SELECT doc_id, run, a, b, lag(b, 1, 0) OVER (PARTITION BY doc_id ORDER BY a) AS before FROM p
+        ), k AS (
+            SELECT q.doc_id, count(*) AS n_spans, sum(b - a) AS n_removed, max(b) AS last,
+                   string_agg(substr(h, CAST(2 * before + 1 AS BIGINT), CAST(2 * (a - before) AS BIGINT)), '' ORDER BY a) AS kept
+            FROM q JOIN d ON d.doc_id = q.doc_id GROUP BY q.doc_id
+        )
+        SELECT d.doc_id, CAST(length(h) // 2 AS BIGINT) AS n_bytes, CAST(coalesce(n_removed, 0) AS BIGINT) AS n_removed,
+               CAST(coalesce(n_spans, 0) AS BIGINT) AS n_spans,
+               sha256(unhex(coalesce(kept || substr(h, CAST(2 * last + 1 AS BIGINT)), h))) AS kept_sha256
+        FROM d LEFT JOIN k ON d.doc_id = k.doc_id
+    """,
     "op9_pivot_topk": """
         WITH v AS (
             SELECT vec_id, [CAST(floor(1024 * CAST(x AS DOUBLE)) AS DOUBLE) FOR x IN embedding] AS v
