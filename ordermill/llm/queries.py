@@ -169,11 +169,11 @@ ORACLE_SQL: dict[str, str] = {
             FROM (SELECT doc_id, words, unnest(range(1, greatest(len(words) - 4, 1) + 1)) AS i
                   FROM w WHERE len(words) > 0)
         ), n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id
-        ), both AS (
+        ), meet AS (
             SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS c FROM s a JOIN s b ON a.g = b.g AND a.doc_id <> b.doc_id
             GROUP BY ALL
         ), links AS (
-            SELECT a, b FROM both JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b
+            SELECT a, b FROM meet JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b
             WHERE 100 * c >= 80 * (x.n + y.n - c)
         ), reach AS (
             SELECT doc_id AS node, doc_id AS root FROM documents
