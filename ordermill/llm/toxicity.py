@@ -3,7 +3,7 @@
 A text becomes the set of its words' features: the word itself and its inner
 letter n-grams (3 to 5, with word ends marked), A-Z lower-cased, ASCII
 punctuation removed. From a bounded labelled sample Spark counts each feature's
-documents per class; features of significant association, and those of identity
+documents per class; features of significant association, and the identity
 terms, form a vocabulary of at most ``max_features``. A logistic model over it
 is fitted by accelerated gradient descent with a second penalty: in each
 labelled sentence that holds identity terms, these are swapped for other terms
@@ -23,12 +23,12 @@ columns pass through, columns of the added names are replaced.
 from __future__ import annotations
 
 import re
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
@@ -49,38 +49,58 @@ IDENTITY_GROUPS: tuple[tuple[str, ...], ...] = (
     ("old", "young", "elderly", "teenage"),
     ("blind", "deaf", "disabled", "paralyzed"),
 )
-#: Cached words of a worker, and the bits of a feature's hash.
-CACHED_WORDS, FEATURE_BITS = 200_000, 40
+#: Cached words of a worker: with their positions in the vocabulary (mostly none), and with all their features.
+CACHED_WORDS, CACHED_GRAMS = 200_000, 10_000
+#: Documents counted at once.
+COUNTED_ROWS = 500
 SENTENCE = re.compile(r"[.!?\n]+")
 
 
-def word_features(word: bytes) -> list[int]:
-    """Hashes of a word and of its letter 3- to 5-grams with the ends marked."""
+def word_features(word: bytes) -> set[str]:
+    """A word, and its letter 3- to 5-grams, with the ends marked."""
     marked = "<" + word.decode("utf-8", "replace")[:256] + ">"
-    grams = {marked}
-    for n in (3, 4, 5):
-        grams.update(marked[i : i + n] for i in range(len(marked) - n + 1))
-    return [xxhash.xxh64_intdigest(g) >> (64 - FEATURE_BITS) for g in grams]
+    grams = {marked[i : i + n] for n in (3, 4, 5) for i in range(len(marked) - n + 1)}
+    grams.add(marked)
+    return grams
+
+
+class WordGrams(dict):
+    """word -> its features, with a bounded cache."""
+
+    def __missing__(self, word: bytes) -> tuple[str, ...]:
+        if len(self) >= CACHED_GRAMS:
+            self.clear()
+        self[word] = found = tuple(word_features(word))
+        return found
+
+    def of(self, words: list[bytes]) -> set[str]:
+        return set().union(*map(self.__getitem__, set(words)))
 
 
 class WordFeatures(dict):
-    """word -> positions of its features in the vocabulary (or all hashes without one)."""
+    """word -> positions of its features in the vocabulary, with a bounded cache."""
 
-    def __init__(self, vocabulary: dict[int, int] | None = None):
+    def __init__(self, vocabulary: dict[str, int]):
         super().__init__()
         self.vocabulary = vocabulary
 
     def __missing__(self, word: bytes) -> tuple:
         if len(self) >= CACHED_WORDS:
             self.clear()
-        found = word_features(word)
-        if self.vocabulary is not None:
-            found = [self.vocabulary[f] for f in found if f in self.vocabulary]
-        self[word] = out = tuple(found)
-        return out
+        known = self.vocabulary
+        marked = "<" + word.decode("utf-8", "replace")[:256] + ">"
+        size = len(marked)
+        out = [known[marked]] if marked in known else []
+        for n in (3, 4, 5):
+            for i in range(size - n + 1):
+                gram = marked[i : i + n]
+                if gram in known:
+                    out.append(known[gram])
+        self[word] = found = tuple(out)
+        return found
 
     def of(self, words: list[bytes]) -> np.ndarray:
-        """Sorted distinct features of a list of words."""
+        """Sorted distinct positions of a list of words."""
         got: set[int] = set()
         for word in set(words):
             some = self[word]
@@ -110,9 +130,9 @@ class Swaps:
 
 
 class ToxicityModel:
-    """Vocabulary (hash -> position), weights and bias."""
+    """Vocabulary (feature -> position), weights and bias."""
 
-    def __init__(self, vocabulary: dict[int, int], weights: np.ndarray, bias: float):
+    def __init__(self, vocabulary: dict[str, int], weights: np.ndarray, bias: float):
         self.vocabulary, self.weights, self.bias = vocabulary, weights, bias
 
     def score(self, positions: np.ndarray) -> float:
@@ -165,25 +185,28 @@ def fit_counterfactual(
 
 
 def _counted(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    made = WordFeatures()
+    """Documents of each class that hold a feature; at most COUNTED_ROWS of them are counted at once."""
+    made = WordGrams()
     for frame in frames:
-        held = {c: [made.of(plain_words(t)) for t in frame["text"][frame["label"] == c]] for c in (0, 1)}
-        both = [np.concatenate([*held[c], np.empty(0, np.int64)]) for c in (0, 1)]
-        features, at = np.unique(np.concatenate(both), return_inverse=True)
-        toxic = np.bincount(at[len(both[0]) :], minlength=len(features))
-        yield pd.DataFrame(
-            {"feature": features, "n0": np.bincount(at, minlength=len(features)) - toxic, "n1": toxic}
-        )
+        for low in range(0, len(frame), COUNTED_ROWS):
+            part = frame.iloc[low : low + COUNTED_ROWS]
+            held: tuple[Counter, Counter] = (Counter(), Counter())
+            for kind, text in zip(part["label"], part["text"], strict=True):
+                held[kind].update(made.of(plain_words(text)))
+            features = list(held[0].keys() | held[1].keys())
+            yield pd.DataFrame(
+                {"feature": features, "n0": [held[0][f] for f in features], "n1": [held[1][f] for f in features]}
+            )
 
 
-def vocabulary_of(sample: DataFrame, max_features: int, least_z: float, swaps: Swaps) -> dict[int, int]:
+def vocabulary_of(sample: DataFrame, max_features: int, least_z: float, swaps: Swaps) -> dict[str, int]:
     """Features whose shares in the two classes differ by ``least_z`` standard errors or more, the most
-    significant first, and all features of identity terms."""
+    significant first, and the identity terms themselves."""
     totals = sample.agg(F.sum(1 - F.col("label")), F.sum("label")).first()
     zeros, ones = max(1, totals[0] or 0), max(1, totals[1] or 0)
     counts = (
         sample.select("text", "label")
-        .mapInPandas(_counted, "feature long, n0 long, n1 long")
+        .mapInPandas(_counted, "feature string, n0 long, n1 long")
         .groupBy("feature")
         .agg(F.sum("n0").alias("n0"), F.sum("n1").alias("n1"))
     )
@@ -200,7 +223,7 @@ def vocabulary_of(sample: DataFrame, max_features: int, least_z: float, swaps: S
     )
     features = dict.fromkeys(chosen.column("feature").to_pylist())
     for term in swaps.next:
-        features.update(dict.fromkeys(word_features(term)))
+        features[f"<{term.decode()}>"] = None
     return {f: at for at, f in enumerate(features)}
 
 
