@@ -4,7 +4,7 @@ Rules decide first: the longest rule (its text's length) whose host is the
 url's host or a parent domain of it and whose path starts the url's path. All
 other urls are judged by a multinomial naive Bayes model over words:
 
-1. a unigram model of the ``max_words`` most frequent words of the pages' text
+1. a unigram model of at most ``max_words`` most frequent words of the pages' text
    (counted over all pages) splits the labels of a host and the names in a path
    into words by Viterbi search: ``thering`` -> ``the ring``;
 2. the urls that rules decide are the labelled examples: Spark counts each word
@@ -30,9 +30,10 @@ from collections import Counter
 from collections.abc import Iterator
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .common import staged
 from .line_dedup import LOWER, UPPER
 
 UNKNOWN = "<unknown>"
@@ -116,16 +117,28 @@ class Segmenter:
 
 
 def word_counts(pages: DataFrame, max_words: int) -> dict[str, int]:
-    """The ``max_words`` most frequent words of the pages' text, markup removed, with their counts."""
+    """The most frequent words of the pages' text, markup removed, with their counts: all words of the greatest
+    counts that together are ``max_words`` at most. The least such count is found from the numbers of words per
+    count, so no task and not the driver ever sees more words than that."""
     plain = F.lower(F.regexp_replace(F.col("html").cast("string"), "<[^>]*>", " "))
-    found = (
+    counted = staged(
         pages.select(F.explode(F.regexp_extract_all(plain, F.lit(r"(\p{L}{2,})"), F.lit(1))).alias("word"))
         .groupBy("word")
-        .agg(F.count(F.lit(1)).alias("n"))
-        .orderBy(F.desc("n"), "word")
-        .limit(max_words)
+        .agg(F.count(F.lit(1)).alias("n")),
+        "page-words",
     )
-    return {r.word: r.n for r in found.collect()}
+    above = Window.orderBy(F.desc("n")).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    least = (
+        counted.groupBy("n")
+        .agg(F.count(F.lit(1)).alias("words"))
+        .withColumn("upto", F.sum("words").over(above))
+        .filter(F.col("upto") <= max_words)
+        .agg(F.min("n"))
+        .first()[0]
+    )
+    if least is None:
+        return {}
+    return {r.word: r.n for r in counted.filter(F.col("n") >= least).collect()}
 
 
 def _class_counts(segmenter):
