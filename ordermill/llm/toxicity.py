@@ -227,6 +227,26 @@ def vocabulary_of(sample: DataFrame, max_features: int, least_z: float, swaps: S
     return {f: at for at, f in enumerate(features)}
 
 
+def _fitted(size: int, penalty: float):
+    """Weights and bias from the features of all labelled documents (label 0 or 1) and sentence pairs (label -1)."""
+
+    def run(frame: pd.DataFrame) -> pd.DataFrame:
+        frame = frame.sort_values(["doc_id", "label", "ids", "swapped"], kind="stable")
+        ids = [np.frombuffer(x, np.int64) for x in frame["ids"]]
+        swapped = [np.frombuffer(x, np.int64) for x in frame["swapped"]]
+        kinds = frame["label"].to_numpy(np.int64)
+        own = np.flatnonzero(kinds >= 0)
+        known = kinds[own]
+        if len(set(known.tolist())) < 2:
+            weights, bias = np.zeros(size), 30.0 * (2 * float(known.mean()) - 1)
+        else:
+            pairs = [(ids[i], swapped[i]) for i in np.flatnonzero(kinds < 0)]
+            weights, bias = fit_counterfactual([ids[i] for i in own], known, pairs, size, penalty)
+        return pd.DataFrame({"weights": [weights.tobytes()], "bias": [float(bias)]})
+
+    return run
+
+
 def fit_toxicity(
     docs: DataFrame,
     labels: DataFrame,
@@ -255,18 +275,12 @@ def fit_toxicity(
 
     rows = sample.select("doc_id", "label", "text").mapInPandas(
         features, "doc_id long, label int, ids binary, swapped binary"
-    ).orderBy("doc_id", "label", "ids", "swapped").toArrow()
-    ids = [np.frombuffer(x.as_py(), np.int64) for x in rows.column("ids")]
-    swapped = [np.frombuffer(x.as_py(), np.int64) for x in rows.column("swapped")]
-    kinds = np.array(rows.column("label").to_pylist(), np.int64)
-    own = np.flatnonzero(kinds >= 0)
-    pairs = [(ids[i], swapped[i]) for i in np.flatnonzero(kinds < 0)]
-    known = kinds[own]
-    if len(set(known.tolist())) < 2:
-        share = float(known.mean()) if len(known) else 0.0
-        return ToxicityModel(vocabulary, np.zeros(len(vocabulary)), 30.0 * (2 * share - 1))
-    weights, bias = fit_counterfactual([ids[i] for i in own], known, pairs, len(vocabulary), penalty)
-    return ToxicityModel(vocabulary, weights, bias)
+    )
+    # The sample is bounded by max_rows, so one task can hold it; the driver gets the weights only.
+    fitted = rows.withColumn("one", F.lit(0)).groupBy("one").applyInPandas(_fitted(len(vocabulary), penalty), "weights binary, bias double").first()
+    if fitted is None:
+        return ToxicityModel(vocabulary, np.zeros(len(vocabulary)), -30.0)
+    return ToxicityModel(vocabulary, np.frombuffer(bytes(fitted.weights), np.float64), fitted.bias)
 
 
 def score_toxicity(
