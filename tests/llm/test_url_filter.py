@@ -107,6 +107,26 @@ def test_segmentation_is_the_most_probable(spark):
     assert len("".join(model.split("z" * 3000))) == 3000
 
 
+def test_all_words_count_however_many_and_long(spark):
+    rare = ["".join(w) for w in itertools.islice(itertools.product("abcdefghijklmnopqrstuvwxyz", repeat=4), 60_000)]
+    long = "donaudampfschifffahrtsgesellschaft"
+    html = " ".join([*rare, "zebra", "house", long])
+    urls = ["http://zebrahouse.example.org/es/1", f"http://{long}house.org/", "http://q.net/zebra", f"http://q.net/{long}", "http://q.net/house"]
+    rows = [(i, url, html if not i else None, "", "") for i, url in enumerate(urls)]
+    out = {r.page_id: r for r in judge_urls(spark.createDataFrame(rows, SCHEMA), URL_RULES).collect()}
+    model = Segmenter(dict.fromkeys(html.split(), 1))
+    assert model.words(long + "house", "") == ["h:" + long, "h:house"]
+    assert model.split("é" * 30) == ["é" * 30]
+    counts = []
+    for i, verdict in ((0, "block"), (1, "allow")):
+        counts += [("", verdict, 1), *((w, verdict, 1) for w in model.words(*parts(urls[i])))]
+    bayes = NaiveBayes(counts)
+    assert "h:zebra" in bayes.odds and "h:" + long in bayes.odds
+    for r in out.values():
+        assert abs(r.score - bayes.score(model.words(r.host, r.path))) < 1e-9
+    assert out[0].score > 0 > out[1].score
+
+
 def test_empty_table_and_no_examples(spark):
     assert judge_urls(spark.createDataFrame([], SCHEMA), URL_RULES).collect() == []
     out = judge_urls(spark.createDataFrame([(1, "http://x.net/a", "b", "", "")], SCHEMA), URL_RULES).collect()
