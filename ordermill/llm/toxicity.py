@@ -2,7 +2,8 @@
 
 A text becomes the set of its words' features: the word itself and its inner
 letter n-grams (3 to 5, with word ends marked), A-Z lower-cased, ASCII
-punctuation removed. From a bounded labelled sample Spark counts each feature's
+punctuation removed. Words of any length give all their n-grams; one of more
+than LONG_WORD characters is named by its hash as a whole word. From a bounded labelled sample Spark counts each feature's
 documents per class; features of significant association, and the identity
 terms, form a vocabulary of at most ``max_features``. A logistic model over it
 is fitted by accelerated gradient descent with a second penalty: in each
@@ -25,6 +26,7 @@ from __future__ import annotations
 import re
 from collections import Counter
 from collections.abc import Iterator
+from hashlib import blake2b
 
 import numpy as np
 import pandas as pd
@@ -51,23 +53,32 @@ IDENTITY_GROUPS: tuple[tuple[str, ...], ...] = (
 )
 #: Cached words of a worker: with their positions in the vocabulary (mostly none), and with all their features.
 CACHED_WORDS, CACHED_GRAMS = 200_000, 10_000
-#: Documents counted at once.
-COUNTED_ROWS = 500
+#: Characters above which a word is named by a hash and not cached.
+LONG_WORD = 256
+#: Documents counted at once, and features after which counts are sent on.
+COUNTED_ROWS, COUNTED_FEATURES = 500, 500_000
 SENTENCE = re.compile(r"[.!?\n]+")
 
 
+def whole_word(marked: str) -> str:
+    """The feature of a marked word itself; plain words have no #, so a hash is never taken for a word."""
+    return marked if len(marked) <= LONG_WORD + 2 else f"<#{blake2b(marked.encode('utf-8', 'replace'), digest_size=16).hexdigest()}>"
+
+
 def word_features(word: bytes) -> set[str]:
     """A word, and its letter 3- to 5-grams, with the ends marked."""
-    marked = "<" + word.decode("utf-8", "replace")[:256] + ">"
+    marked = "<" + word.decode("utf-8", "replace") + ">"
     grams = {marked[i : i + n] for n in (3, 4, 5) for i in range(len(marked) - n + 1)}
-    grams.add(marked)
+    grams.add(whole_word(marked))
     return grams
 
 
 class WordGrams(dict):
-    """word -> its features, with a bounded cache."""
+    """word -> its features, with a bounded cache of words that are not long."""
 
-    def __missing__(self, word: bytes) -> tuple[str, ...]:
+    def __missing__(self, word: bytes) -> tuple[str, ...] | set[str]:
+        if len(word) > LONG_WORD:
+            return word_features(word)
         if len(self) >= CACHED_GRAMS:
             self.clear()
         self[word] = found = tuple(word_features(word))
@@ -78,18 +89,22 @@ class WordGrams(dict):
 
 
 class WordFeatures(dict):
-    """word -> positions of its features in the vocabulary, with a bounded cache."""
+    """word -> positions of its features in the vocabulary, with a bounded cache of words that are not long."""
 
     def __init__(self, vocabulary: dict[str, int]):
         super().__init__()
         self.vocabulary = vocabulary
 
-    def __missing__(self, word: bytes) -> tuple:
-        if len(self) >= CACHED_WORDS:
-            self.clear()
+    def __missing__(self, word: bytes) -> tuple | set[int]:
         known = self.vocabulary
-        marked = "<" + word.decode("utf-8", "replace")[:256] + ">"
+        marked = "<" + word.decode("utf-8", "replace") + ">"
         size = len(marked)
+        if len(word) > LONG_WORD:
+            hits = {known[gram] for n in (3, 4, 5) for i in range(size - n + 1) if (gram := marked[i : i + n]) in known}
+            whole = whole_word(marked)
+            return hits | {known[whole]} if whole in known else hits
+        if len(self) >= CACHED_WORDS:
+            self.clear()
         out = [known[marked]] if marked in known else []
         for n in (3, 4, 5):
             for i in range(size - n + 1):
@@ -185,18 +200,26 @@ def fit_counterfactual(
 
 
 def _counted(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Documents of each class that hold a feature; at most COUNTED_ROWS of them are counted at once."""
+    """Documents of each class that hold a feature; counts are sent on after COUNTED_ROWS of them, or sooner if
+    they hold COUNTED_FEATURES."""
     made = WordGrams()
+
+    def sent(held: tuple[Counter, Counter]) -> pd.DataFrame:
+        features = list(held[0].keys() | held[1].keys())
+        return pd.DataFrame(
+            {"feature": features, "n0": [held[0][f] for f in features], "n1": [held[1][f] for f in features]}
+        )
+
     for frame in frames:
         for low in range(0, len(frame), COUNTED_ROWS):
             part = frame.iloc[low : low + COUNTED_ROWS]
             held: tuple[Counter, Counter] = (Counter(), Counter())
             for kind, text in zip(part["label"], part["text"], strict=True):
                 held[kind].update(made.of(plain_words(text)))
-            features = list(held[0].keys() | held[1].keys())
-            yield pd.DataFrame(
-                {"feature": features, "n0": [held[0][f] for f in features], "n1": [held[1][f] for f in features]}
-            )
+                if len(held[0]) + len(held[1]) >= COUNTED_FEATURES:
+                    yield sent(held)
+                    held = (Counter(), Counter())
+            yield sent(held)
 
 
 def vocabulary_of(sample: DataFrame, max_features: int, least_z: float, swaps: Swaps) -> dict[str, int]:

@@ -11,7 +11,15 @@ from pyspark.sql import functions as F
 
 from ordermill.llm.quality_nbsvm import Indicators, dual_coordinate_descent, fit_quality, log_count_ratios, score_quality
 from ordermill.llm.queries import op3_quality_nbsvm, op4_counterfactual_toxicity
-from ordermill.llm.toxicity import Swaps, fit_counterfactual, fit_toxicity, score_toxicity
+from ordermill.llm.toxicity import (
+    Swaps,
+    WordFeatures,
+    WordGrams,
+    fit_counterfactual,
+    fit_toxicity,
+    score_toxicity,
+    word_features,
+)
 
 SF_DIR = "/root/testdata/sf0.01"
 DOCS = "doc_id long, text string, score string, predicted int, label int"
@@ -145,3 +153,18 @@ def test_swaps():
     assert (b"men and women".split(), b"girls and men".split()) in found
     assert all(b"nobody" not in a for a, _ in found)
     assert fit_counterfactual([], np.empty(0), [], 0)[0].size == 0
+
+
+def test_long_words_count_whole(spark):
+    docs, labels = small(spark)
+    model = fit_toxicity(docs, labels)
+    filler = ",".join(["one1", "two2"] * 100)
+    probe = spark.createDataFrame([(1, filler), (2, filler + ",moron" * 3), (3, "\u3000" * 300 + "moron")], "doc_id long, text string")
+    score = {r.doc_id: r.score for r in score_toxicity(probe, model).collect()}
+    assert score[2] > score[1] and score[3] > score[1]
+    word = ("ab" * 150 + "xyz").encode()
+    assert {"xyz", "yz>"} <= word_features(word)
+    assert word_features(word) != word_features(("ab" * 150 + "ab" + "xyz").encode())
+    known = {f: i for i, f in enumerate(sorted(word_features(word)))}
+    assert WordFeatures(known).of([word]).tolist() == list(range(len(known)))
+    assert WordGrams().of([word]) == word_features(word)
