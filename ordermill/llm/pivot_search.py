@@ -7,7 +7,7 @@ A table holds each vector's distances to ``n_pivots`` pivots. By the triangle
 inequality max over pivots of |d(q, p) - d(x, p)| is a lower bound of d(q, x);
 a query evaluates candidates in the order of that bound and stops as soon as
 the next bound excludes every product that could enter its k best. Bounds are
-relaxed by more than their rounding error and products are computed in 64-bit
+relaxed by more than their rounding error and products are computed in
 integers, so the result is exact.
 
 Candidates and queries are dealt by hash into blocks of bounded size; every
@@ -20,7 +20,9 @@ component takes no part; a null id takes no part; equal rows (id and vector)
 count once; rows that share an id with a query are its own and no candidates; a
 query meets the candidates of its own dimension; with fewer than k candidates
 all are returned; an empty table gives an empty result; ties go to the smaller
-id. Vectors with a scaled component of 2^28 or more take no part either.
+id. Scaled components are bigints: a vector with one of 2^63 or more takes no part.
+Products that may not fit 64 bits in their dimension are computed in integers of
+any size; a block's best score that does not fit its bigint column fails.
 """
 
 from __future__ import annotations
@@ -37,8 +39,8 @@ from .common import staged
 #: Rows of a candidate and of a query block on average, and candidates evaluated between two looks at the bound.
 BLOCK_CANDIDATES, BLOCK_QUERIES, STEP = 8192, 2048, 128
 
-#: Scaled components stay below this, so that products of 64 dimensions fit 64 bits.
-LARGEST = float(1 << 28)
+#: Scaled components are below this; sums of products below half of it fit 64 bits, whatever the rounding of their bound.
+LARGEST = float(1 << 63)
 
 BEST = "query_id long, vec_id long, score long, evaluated long"
 
@@ -46,7 +48,7 @@ BEST = "query_id long, vec_id long, score long, evaluated long"
 def scaled_vectors(rows: DataFrame, id_column: str, vector_column: str, scale: int) -> DataFrame:
     """(vec_id, v): distinct usable vectors as floor(scale * x) integers."""
     x = F.col(vector_column).cast("array<double>")
-    whole = F.transform(x, lambda c: F.floor(c * F.lit(float(scale))).cast("int"))
+    whole = F.transform(x, lambda c: F.floor(c * F.lit(float(scale))))
     usable = F.forall(x, lambda c: c.isNotNull() & ~F.isnan(c) & (F.abs(c) < F.lit(LARGEST / scale)))
     return (
         rows.filter(F.col(id_column).isNotNull() & (F.size(x) > 0))
@@ -65,11 +67,24 @@ def distances(points: np.ndarray, extra: np.ndarray, pivots: np.ndarray, pivot_e
     return np.sqrt(np.maximum(square, 0))
 
 
+def exact_products(vectors: np.ndarray, largest: np.ndarray, query: np.ndarray) -> np.ndarray:
+    """Inner products of int64 rows, of magnitudes ``largest`` (doubles): Python integers if any may not fit 64 bits."""
+    scores = vectors @ query
+    wide = np.flatnonzero(largest * np.abs(query.astype(np.float64)).max() * len(query) >= LARGEST / 2)
+    if len(wide):
+        exact = query.tolist()
+        scores = scores.astype(object)
+        for at in wide:
+            scores[at] = sum(c * q for c, q in zip(vectors[at].tolist(), exact, strict=True))
+    return scores
+
+
 def best_of_block(
     ids: np.ndarray, vectors: np.ndarray, table: np.ndarray, query_id: int, query: np.ndarray, to_pivots: np.ndarray,
-    most: float, k: int,
+    most: float, k: int, largest: np.ndarray | None = None,
 ) -> tuple[list[tuple[int, int]], int]:
     """The k best (score, id) of one block for one query, and how many candidates were evaluated."""
+    largest = np.abs(vectors.astype(np.float64)).max(1) if largest is None else largest
     bound = np.abs(table - to_pivots).max(1)
     order = np.argsort(bound, kind="stable")
     square = float((query.astype(np.float64) ** 2).sum()) + most
@@ -82,9 +97,12 @@ def best_of_block(
         chosen = order[done : done + STEP]
         done += len(chosen)
         chosen = chosen[ids[chosen] != query_id]
-        scores = np.r_[best_scores, vectors[chosen] @ query]
+        scores = np.r_[best_scores, exact_products(vectors[chosen], largest[chosen], query)]
         owners = np.r_[best_ids, ids[chosen]]
-        top = np.lexsort((owners, -scores))[:k]
+        if scores.dtype == object:
+            top = np.array(sorted(range(len(scores)), key=lambda i: (-scores[i], owners[i]))[:k], np.int64)
+        else:
+            top = np.lexsort((owners, -scores))[:k]
         best_scores, best_ids = scores[top], owners[top]
     return list(zip(best_scores.tolist(), best_ids.tolist(), strict=True)), done
 
@@ -99,6 +117,7 @@ def _search(pivots: dict[int, np.ndarray], most: float, k: int):
             vectors = np.array(here["v"].tolist(), np.int64)
             ids = here["vec_id"].to_numpy(np.int64)
             points = vectors.astype(np.float64)
+            largest = np.abs(points).max(1)
             extra = np.sqrt(np.maximum(most - (points**2).sum(1), 0))
             centre = pivots[size].astype(np.float64)
             centre_extra = np.sqrt(np.maximum(most - (centre**2).sum(1), 0))
@@ -107,7 +126,9 @@ def _search(pivots: dict[int, np.ndarray], most: float, k: int):
             q = np.array(asked["query"].tolist(), np.int64)
             to_pivots = distances(q.astype(np.float64), np.zeros(len(q)), centre, centre_extra)
             for n, query_id in enumerate(asked["query_id"].to_numpy(np.int64)):
-                best, seen = best_of_block(ids, vectors, table, query_id, q[n], to_pivots[n], most, k)
+                best, seen = best_of_block(ids, vectors, table, query_id, q[n], to_pivots[n], most, k, largest)
+                if any(not -(1 << 63) <= s < 1 << 63 for s, _ in best):
+                    raise OverflowError(f"a best score of query {query_id} does not fit a bigint")
                 out += [(query_id, i, s, seen) for s, i in best]
         return pd.DataFrame(out, columns=["query_id", "vec_id", "score", "evaluated"]).astype("int64")
 
@@ -128,10 +149,14 @@ def top_inner_products(
     vectors = staged(scaled_vectors(rows, id_column, vector_column, scale), "vectors")
     square = F.aggregate("v", F.lit(0.0), lambda a, c: a + c.cast("double") * c.cast("double"))
     by_size = vectors.groupBy(F.size("v").alias("size")).agg(
-        F.count(F.lit(1)).alias("rows"), F.max(square).alias("most")
+        F.count(F.lit(1)).alias("rows"),
+        F.max(square).alias("most"),
+        F.max(F.array_max(F.transform("v", F.abs))).alias("largest"),
     )
-    facts = by_size.agg(F.sum("rows"), F.max("most")).first()
+    facts = by_size.agg(F.sum("rows"), F.max("most"), F.max("largest")).first()
     count, most = facts[0] or 0, facts[1] or 0.0
+    if (facts[2] or 0) < 1 << 31:  # half as many bytes to deal
+        vectors = vectors.select("vec_id", F.col("v").cast("array<int>").alias("v"))
     # Pivots: per dimension the n_pivots rows of least hash; as many values as there are dimensions.
     least = Window.partitionBy(F.size("v")).orderBy(F.xxhash64("vec_id", "v"), "vec_id")
     chosen = vectors.withColumn("place", F.row_number().over(least)).filter(F.col("place") <= n_pivots).collect()

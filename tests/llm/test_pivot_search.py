@@ -78,3 +78,23 @@ def test_bounds_stop_early():
     scores[5] = -(10**12)
     assert best == [(int(scores[i]), int(i)) for i in np.lexsort((np.arange(4000), -scores))[:10]]
     assert seen < 4000
+
+
+def test_large_components_are_exact(spark):
+    rnd = random.Random(8)
+    rows = [(i, [float(rnd.randrange(-(2**9), 2**9)) for _ in range(8)]) for i in range(60)]
+    rows += [(61, [300_000.0] * 8), (70, [float(2**18)] + [0.0] * 7), (72, [0.0] * 7 + [float(2**30)])]
+    want = []
+    for q, v in rows:
+        if q % 10 == 0:
+            products = [(-sum(int(a * 1024) * int(b * 1024) for a, b in zip(v, w)), i) for i, w in rows if i != q]
+            want += [(q, n, i, -s) for n, (s, i) in enumerate(sorted(products)[:5], 1)]
+    assert {i for _, _, i, _ in want} >= {61, 72}
+    assert got(spark, rows, 5) == sorted(want)
+
+
+def test_products_beyond_64_bits_do_not_wrap():
+    vectors = np.array([[2**28 - 1] * 256, [1] * 256, [-(2**28)] * 256], np.int64)
+    best, _ = best_of_block(np.arange(3), vectors, np.zeros((3, 1)), 9, vectors[0], np.zeros(1), 1e30, 3)
+    exact = sum(c * c for c in vectors[0].tolist())
+    assert exact > 2**63 and best[0] == (exact, 0) and [i for _, i in best] == [0, 1, 2]
