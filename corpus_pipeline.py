@@ -7,8 +7,8 @@ return the columns of ``documents``; the last returns where each document lies.
 Stages are written as Parquet to the shared work folder and read again.
 
 Defined cases, beyond those of the operators: documents without words are
-near duplicates of nothing and stay; of equal rows one stays; the near
-duplicate that stays is the one of least doc_id (a null one last); n_chars, if
+near duplicates of nothing and stay, row by row; of equal rows with words one
+stays; the near duplicate that stays is the one of least doc_id (a null one last); n_chars, if
 there is such a column, follows the text.
 """
 
@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from ordermill.llm.common import fresh_names, staged, table
 from ordermill.llm.jaccard_join import near_duplicates
 from ordermill.llm.line_dedup import dedup_lines
-from ordermill.llm.packing import pack_documents
+from ordermill.llm.packing import count_words, pack_documents
 from ordermill.llm.string_tiling import decontaminate
 from ordermill.llm.toxicity import fit_toxicity, score_toxicity
 
@@ -54,7 +54,6 @@ def drop_common_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 def one_of_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near duplicates: the least doc_id."""
     found = near_duplicates(docs)
-    wordless = found.filter("class_key is null")
     least = (
         found.filter("class_key is not null")
         .groupBy("component_key")
@@ -62,18 +61,17 @@ def one_of_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
     )
     names = fresh_names(docs, ["row_key", "kept_id"])
     chosen = staged(
-        least.select("first.doc_id", "first.row_key")
-        .unionByName(wordless.select("doc_id", "row_key"))
-        .distinct()
-        .select(F.col("doc_id").alias(names["kept_id"]), F.col("row_key").alias(names["row_key"])),
+        least.select(F.col("first.doc_id").alias(names["kept_id"]), F.col("first.row_key").alias(names["row_key"])),
         "kept-documents",
     )
     key = F.xxhash64(F.coalesce(F.col("text").cast("string"), F.lit("")))
-    rows = docs.withColumn(names["row_key"], key)
+    has_words = count_words(F.coalesce(F.col("text").cast("string"), F.lit(""))) > 0
+    rows = docs.filter(has_words).withColumn(names["row_key"], key)
     same = rows["doc_id"].cast("long").eqNullSafe(chosen[names["kept_id"]]) & (
         rows[names["row_key"]] == chosen[names["row_key"]]
     )
-    return rows.join(chosen, same, "left_semi").dropDuplicates(["doc_id", names["row_key"]]).select(*docs.columns)
+    kept = rows.join(chosen, same, "left_semi").dropDuplicates(["doc_id", names["row_key"]]).select(*docs.columns)
+    return kept.unionByName(docs.filter(~has_words))
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -126,3 +126,11 @@ def test_clashing_columns_pass_through(spark, scratch):
         assert docs.columns == columns and docs.count() > 50
         assert {tuple(r)[5:] for r in docs.collect()} == {extra}
     assert STAGES[4][1](spark, docs, scratch).count() > 50
+
+
+def test_documents_without_words_stay_row_by_row(spark):
+    bare = [(None, "", "en", "a", 0), (None, "", "de", "b", 0), (None, None, "en", "a", None), (7, " \n", "en", "a", 2), (7, " \n", "fr", "a", 2), (7, "", "en", "a", 0)]
+    worded = [(1, "one text", "en", "a", 8), (2, "one text", "en", "a", 8)]
+    docs = spark.createDataFrame(bare + worded + worded[:1], SCHEMA)
+    out = corpus_pipeline.one_of_near_duplicates(spark, docs, "").collect()
+    assert sorted(map(tuple, out), key=str) == sorted(bare + worded[:1], key=str)
