@@ -37,22 +37,25 @@ from .common import CACHE_WORDS
 from .labelled import labelled_sample
 
 BITS = 18
+#: Bytes of a word, or letters of a shape, above which it is not cached.
+LONG_WORD = 4096
 RUN = re.compile(r"(.)\1\1+")
 LETTER_RUN = re.compile(r"([aA0])\1+")
 
 
 class Shapes(dict):
-    """word -> shape, with a bounded cache."""
+    """word -> shape, with a bounded cache of words of at most LONG_WORD bytes."""
 
     def __missing__(self, word: bytes) -> str:
-        if len(self) >= CACHE_WORDS:
-            self.clear()
         shape = "".join(
             ("A" if c.isupper() else "a") if c.isalpha() else "0" if c.isdigit() else c
-            for c in word[:4096].decode("utf-8", "replace")
+            for c in word.decode("utf-8", "replace")
         )
         shape = RUN.sub(r"\1\1\1", LETTER_RUN.sub(r"\1", shape))
-        self[word] = shape
+        if len(word) <= LONG_WORD:
+            if len(self) >= CACHE_WORDS:
+                self.clear()
+            self[word] = shape
         return shape
 
 
@@ -66,9 +69,11 @@ class Indicators:
     def _id(self, gram) -> int:
         got = self.ids.get(gram)
         if got is None:
-            if len(self.ids) >= CACHE_WORDS:
-                self.ids.clear()
-            got = self.ids[gram] = xxhash.xxh64_intdigest("\x00".join(gram)) >> (64 - BITS)
+            got = xxhash.xxh64_intdigest("\x00".join(gram)) >> (64 - BITS)
+            if all(len(shape) <= LONG_WORD for shape in gram):
+                if len(self.ids) >= CACHE_WORDS:
+                    self.ids.clear()
+                self.ids[gram] = got
         return got
 
     def of(self, text: str | None) -> np.ndarray:

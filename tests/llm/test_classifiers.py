@@ -168,3 +168,11 @@ def test_long_words_count_whole(spark):
     known = {f: i for i, f in enumerate(sorted(word_features(word)))}
     assert WordFeatures(known).of([word]).tolist() == list(range(len(known)))
     assert WordGrams().of([word]) == word_features(word)
+
+
+def test_shapes_of_long_words_are_whole():
+    made = Indicators()
+    long = "ab,12-" * 1000
+    assert set(made.of(long + "x")) != set(made.of(long + "(X)"))
+    assert Indicators().shapes[(long + "!!!!!").encode()] == "a,0-" * 1000 + "!!!"
+    assert not made.shapes and not any(len(s) > 4096 for gram in made.ids for s in gram)
