@@ -17,6 +17,9 @@ MULTIPLIERS = np.array(
     [0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F],
     dtype=np.uint64,
 )
+#: Base of the running hash, and its inverse modulo 2^64.
+BASE = 0x9E3779B97F4A7C15
+UNBASE = pow(BASE, -1, 1 << 64)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -56,14 +59,22 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
+def _powers(base: int, size: int) -> np.ndarray:
+    """base^0, base^1, ... modulo 2^64."""
+    return np.cumprod(np.r_[np.uint64(1), np.full(size - 1, base, np.uint64)], dtype=np.uint64)
+
+
 def gram_hashes(hashes: np.ndarray, n: int) -> np.ndarray:
-    """Hash of every run of ``n`` consecutive word hashes, in order."""
+    """Hash of every run of ``n`` consecutive word hashes, in order; long runs are differences of sums of powers."""
     size = len(hashes) - n + 1
     if size <= 0:
         return np.empty(0, np.uint64)
+    if n > len(MULTIPLIERS):
+        sums = np.r_[np.uint64(0), np.cumsum(hashes * _powers(BASE, len(hashes)), dtype=np.uint64)]
+        return mix((sums[n:] - sums[:-n]) * _powers(UNBASE, size) + np.uint64(n))
     total = np.full(size, np.uint64(n), np.uint64)
     for j in range(n):
-        total += hashes[j : j + size] * MULTIPLIERS[j % 5] + np.uint64(j // 5)
+        total += hashes[j : j + size] * MULTIPLIERS[j]
     return mix(total)
 
 

@@ -4,7 +4,10 @@ from __future__ import annotations
 
 import random
 
+import numpy as np
+
 from ordermill.llm import string_tiling
+from ordermill.llm.common import gram_hashes
 from ordermill.llm.string_tiling import benchmark_matches, decontaminate, plain_words
 
 DOCS = "doc_id long, text string, item_id string, coverage int"
@@ -100,3 +103,15 @@ def test_reordered_passage_is_found(spark):
 def test_empty_tables(spark):
     assert got(spark, [], [(1, "a b c d e f")]) == []
     assert got(spark, [(1, "a b c d e f")], []) == []
+
+
+def test_running_hashes_tell_word_order():
+    rng = np.random.default_rng(5)
+    words = rng.integers(0, 1 << 63, 40).astype(np.uint64)
+    for n in (1, 5, 6, 9, 40):
+        hashes = gram_hashes(np.r_[words, words], n)
+        assert len(hashes) == 81 - n
+        assert (hashes[: 41 - n] == hashes[40 : 81 - n]).all() and len(set(hashes[:40].tolist())) == min(40, 81 - n)
+    swapped = words[:6].copy()
+    swapped[[0, 5]] = swapped[[5, 0]]
+    assert gram_hashes(words[:6], 6) != gram_hashes(swapped, 6)
