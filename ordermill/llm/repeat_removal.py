@@ -1,10 +1,11 @@
-"""Operator 8: exact repeated-substring removal by sampled distributed prefix doubling.
+"""Operator 8: repeated-substring removal by content-anchor fingerprints, in place of prefix doubling.
 
 A byte goes when a string of ``least`` (200) bytes that covers it starts anywhere
-else as well, in the same document or another. Suffix positions are ranked by
-growing prefixes, those with a unique rank drop out, and ranking ends past the
-threshold. Sorting every byte position once a round would shuffle over a hundred
-times the input, so positions are sampled first, by content:
+else as well, in the same document or another. No rank pairs are formed and no
+offset doubles: sorting every byte position once a round would shuffle over a
+hundred times the input by computation. Instead positions are sampled by content
+and compared by names of fixed strings around them ("rank" below is such a name);
+those with a unique name drop out:
 
 0. *Anchors.* Of the ``gram``-byte strings inside a window of ``least`` bytes, the
    one of least hash (leftmost of ties) is the window's anchor. Equal windows
