@@ -7,7 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .alignment import align_documents, read_file
 from .common import staged, table
+from .importance import resample
 from .jaccard_join import near_duplicates
 from .labelled import id_crc
 from .line_dedup import dedup_lines
@@ -115,6 +117,20 @@ def op10_string_tiling(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "item_id", "item_words", "covered_words", "n_tiles", "coverage")
 
 
+def op12_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Draw of 10 % of the longer ``documents`` towards the words of ``benchmark``."""
+    return resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+#: Vocabulary files of op13: a byte-level one and a piece model.
+TOKENIZERS = ("/opt/tokenizers/byte_bpe_50k.json", "/opt/tokenizers/piece_bpe_32k.model")
+
+
+def op13_tokenizer_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Alignment of two tokenizers over ``documents``."""
+    return align_documents(table(spark, sf_dir, "documents"), *map(read_file, TOKENIZERS))
+
+
 QUERIES: dict[str, Query] = {
     q.__name__: q
     for q in (
@@ -128,6 +144,8 @@ QUERIES: dict[str, Query] = {
         op8_repeat_removal,
         op9_pivot_topk,
         op10_string_tiling,
+        op12_importance_resampling,
+        op13_tokenizer_alignment,
     )
 }
 
@@ -225,6 +243,51 @@ ORACLE_SQL: dict[str, str] = {
                sha256(unhex(coalesce(kept || substr(h, CAST(2 * last + 1 AS BIGINT)), h))) AS kept_sha256
         FROM d LEFT JOIN k ON d.doc_id = k.doc_id
     """,
+    "op12_importance_resampling": f"""
+        WITH tab AS (
+            SELECT [list_reduce([b, 0, 0, 0, 0, 0, 0, 0, 0], lambda x, y: CASE WHEN x & 1 = 1
+                    THEN xor(x >> 1, 3988292384) ELSE x >> 1 END) FOR b IN range(256)] AS crc
+        ), f AS (
+            SELECT 'd' AS side, doc_id, unnest(regexp_extract_all({LOWER.format("coalesce(text, '')")},
+                   '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')) AS w FROM documents
+            UNION ALL
+            SELECT 'b', NULL, unnest(regexp_extract_all({LOWER.format("coalesce(text, '')")},
+                   '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')) FROM benchmark
+        ), h AS (
+            SELECT w, [16 * (instr('0123456789ABCDEF', substr(x, 2 * i - 1, 1)) - 1)
+                       + instr('0123456789ABCDEF', substr(x, 2 * i, 1)) - 1 FOR i IN range(1, length(x) // 2 + 1)] AS bytes
+            FROM (SELECT w, hex(encode(w)) AS x FROM (SELECT DISTINCT w FROM f))
+        ), k AS (
+            SELECT w, xor(list_reduce(list_prepend(4294967295, bytes),
+                   lambda c, x: xor(c >> 8, crc[CAST((xor(c, x) & 255) + 1 AS BIGINT)])), 4294967295) % 10000 AS bucket
+            FROM h, tab
+        ), n AS (
+            SELECT bucket, count(*) FILTER (side = 'd') AS s, count(*) FILTER (side = 'b') AS t
+            FROM f JOIN k ON f.w = k.w GROUP BY bucket
+        ), a AS (SELECT CAST(sum(s) AS DOUBLE) AS s, CAST(sum(t) AS DOUBLE) AS t FROM n
+        ), g AS (
+            SELECT bucket, CAST(floor(1000.0::DOUBLE * ln(((n.t + 1)::DOUBLE * (a.s + 10000))
+                                      / ((n.s + 1)::DOUBLE * (a.t + 10000)))) AS BIGINT) AS gain
+            FROM n, a
+        ), d AS (
+            SELECT doc_id, count(*) AS n_features, CAST(sum(gain) AS BIGINT) AS weight
+            FROM f JOIN k ON f.w = k.w JOIN g ON g.bucket = k.bucket WHERE side = 'd' GROUP BY doc_id
+        ), u AS (
+            SELECT doc_id, list_reduce(list_prepend(0, [instr('0123456789abcdef', substr(sha256('2024:' || doc_id), i, 1)) - 1
+                                                        FOR i IN range(1, 9)]), lambda x, y: 16 * x + y) AS h
+            FROM documents
+        ), o AS (
+            SELECT u.doc_id, coalesce(n_features, 0) AS n_features, coalesce(weight, 0) AS weight,
+                   coalesce(weight, 0) + CAST(floor(-1000.0::DOUBLE * ln(-ln((h + 0.5::DOUBLE) / 4294967296.0::DOUBLE)))
+                                              AS BIGINT) AS score
+            FROM u LEFT JOIN d ON d.doc_id = u.doc_id
+        ), r AS (
+            SELECT doc_id, row_number() OVER (ORDER BY score DESC, doc_id) AS rank, count(*) OVER () AS n
+            FROM o WHERE n_features >= 20
+        )
+        SELECT o.doc_id, n_features, weight, score, CASE WHEN rank <= 10 * n // 100 THEN rank END AS rank
+        FROM o LEFT JOIN r ON r.doc_id = o.doc_id
+    """,
     "op9_pivot_topk": """
         WITH v AS (
             SELECT vec_id, [CAST(floor(1024 * CAST(x AS DOUBLE)) AS DOUBLE) FOR x IN embedding] AS v
