@@ -41,8 +41,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .blocks import PIECE_BYTES, block_numbers, doc_texts, from_planes, gather, looked_up, planes, segment_sums
-from .blocks import spans, text_blocks
+from .blocks import (
+    PIECE_BYTES, arrow_schema, block_numbers, doc_texts, from_planes, gather, looked_up, one_row, planes, segment_sums,
+    spans, text_blocks,
+)
 from .common import staged
 
 #: How a byte-level vocabulary cuts text before merging (fixed value of the format).
@@ -356,7 +358,7 @@ RESULT_SCHEMA = (
     "doc_id long, n_a long, n_b long, n_groups long, n_links long, n_best long, count_sum long, groups_sha256 string"
 )
 #: Bytes of a place among a block's pairs, and of how often a document holds one.
-PLACE, TIMES = 3, 4
+PLACE, TIMES = 4, 4
 
 
 def _block_row(block: int, table: pa.Table, a: ByteLevel, b: Pieces, writer: GroupText) -> dict:
@@ -403,19 +405,9 @@ def _block_row(block: int, table: pa.Table, a: ByteLevel, b: Pieces, writer: Gro
     }
 
 
-_ARROW = {
-    "long": pa.int64(), "int": pa.int32(), "string": pa.string(), "binary": pa.binary(),
-    "array<long>": pa.list_(pa.int64()), "array<int>": pa.list_(pa.int32()), "array<string>": pa.list_(pa.string()),
-}
-
-
-def _arrow_schema(ddl: str) -> pa.Schema:
-    return pa.schema([(name, _ARROW[kind]) for name, kind in (c.split() for c in ddl.split(", "))])
-
-
 def _finish(block: pa.Table, found: pa.Table) -> pa.Table:
     """Figures of a block's documents, once the corpus-wide counts of its pairs are there."""
-    schema = _arrow_schema(RESULT_SCHEMA)
+    schema = arrow_schema(RESULT_SCHEMA)
     if not block.num_rows:
         return schema.empty_table()
     row = {name: block.column(name)[0] for name in block.column_names if name != "block"}
@@ -454,10 +446,9 @@ def align_documents(docs: DataFrame, byte_level: bytes, piece_model: bytes) -> D
 
     def blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         a, b = ByteLevel(byte_level), Pieces(piece_model)
-        writer, schema = GroupText(a, b), _arrow_schema(BLOCK_SCHEMA)
+        writer, schema = GroupText(a, b), arrow_schema(BLOCK_SCHEMA)
         for number, table in zip(block_numbers(), text_blocks(batches)):
-            row = _block_row(number, table, a, b, writer)
-            yield pa.RecordBatch.from_arrays([pa.array([row[f.name]], f.type) for f in schema], schema=schema)
+            yield one_row(_block_row(number, table, a, b, writer), schema)
 
     held = staged(doc_texts(docs).mapInArrow(blocks, BLOCK_SCHEMA), "aligned-blocks")
     counts = (

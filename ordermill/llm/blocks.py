@@ -92,6 +92,22 @@ def from_planes(data: bytes, width: int) -> np.ndarray:
     return out.view("<u4").ravel().astype(np.int64)
 
 
+_ARROW = {
+    "long": pa.int64(), "int": pa.int32(), "double": pa.float64(), "boolean": pa.bool_(), "string": pa.string(),
+    "binary": pa.binary(), "array<long>": pa.list_(pa.int64()), "array<int>": pa.list_(pa.int32()),
+    "array<boolean>": pa.list_(pa.bool_()), "array<string>": pa.list_(pa.string()),
+    "array<binary>": pa.list_(pa.binary()),
+}
+
+
+def arrow_schema(ddl: str) -> pa.Schema:
+    return pa.schema([(name, _ARROW[kind]) for name, kind in (c.split() for c in ddl.split(", "))])
+
+
+def one_row(row: dict, schema: pa.Schema) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array([row[f.name]], f.type) for f in schema], schema=schema)
+
+
 def looked_up(
     blocks: DataFrame, keys: str, table: DataFrame, key: str, finish: Callable[[pa.Table, pa.Table], pa.Table], schema
 ) -> DataFrame:

@@ -13,6 +13,7 @@ from .importance import resample
 from .jaccard_join import near_duplicates
 from .labelled import id_crc
 from .line_dedup import dedup_lines
+from .logbilinear import score_documents
 from .merkle_audit import audit, digested, warc_layout, warc_payload
 from .packing import pack_documents
 from .pivot_search import top_inner_products
@@ -117,6 +118,11 @@ def op10_string_tiling(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "item_id", "item_words", "covered_words", "n_tiles", "coverage")
 
 
+def op11_log_bilinear(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Log-probabilities of ``documents``, learned from those whose crc32(doc_id) mod 10 is not 0."""
+    return score_documents(table(spark, sf_dir, "documents"), learn=id_crc() % 10 != 0)
+
+
 def op12_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Draw of 10 % of the longer ``documents`` towards the words of ``benchmark``."""
     return resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
@@ -144,6 +150,7 @@ QUERIES: dict[str, Query] = {
         op8_repeat_removal,
         op9_pivot_topk,
         op10_string_tiling,
+        op11_log_bilinear,
         op12_importance_resampling,
         op13_tokenizer_alignment,
     )
