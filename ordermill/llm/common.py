@@ -6,7 +6,8 @@ from collections.abc import Iterator
 
 import numpy as np
 import xxhash
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ..session import work_path
 
@@ -34,6 +35,11 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def id_text(column: str) -> Column:
+    """A bigint id as text: pandas holds bigints beside nulls as floats, which lose ids from 2^53 on."""
+    return F.col(column).cast("long").cast("string").alias(column)
+
+
 def words(text: str | None) -> list[bytes]:
     """Lower-cased (A-Z only) words between characters \\x20 and \\x09-\\x0D."""
     return text.encode("utf-8", "replace").lower().split() if text else []

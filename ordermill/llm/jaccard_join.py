@@ -47,7 +47,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import WordHashes, chunked, shingle_set, signed, staged, words
+from .common import WordHashes, chunked, id_text, shingle_set, signed, staged, words
 from .components import connected_components
 
 #: Bits of a shingle's hash that are dealt: the upper 48.
@@ -80,7 +80,7 @@ def parity_bitmap(found: np.ndarray) -> np.ndarray:
 
 
 def _sets_of(shingle: int):
-    """doc_id, text -> doc_id, n, key, bitmap; and the chunk's hot shingles as rows with kind 1."""
+    """doc_id (as text), text -> doc_id, n, key, bitmap; and the chunk's hot shingles as rows with kind 1."""
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         hasher = WordHashes()
@@ -101,7 +101,7 @@ def _sets_of(shingle: int):
             yield pd.DataFrame(
                 {
                     "kind": np.zeros(len(ids), np.int32),
-                    "doc_id": pd.array([None if pd.isna(i) else int(i) for i in ids], dtype="Int64"),
+                    "doc_id": pd.array(ids, dtype="string"),
                     "n": np.array(sizes, np.int64),
                     "key": signed(np.array(keys, np.uint64)),
                     "row_key": np.array(own, np.int64),
@@ -112,7 +112,7 @@ def _sets_of(shingle: int):
                 yield pd.DataFrame(
                     {
                         "kind": np.ones(len(hot), np.int32),
-                        "doc_id": pd.array([None] * len(hot), dtype="Int64"),
+                        "doc_id": pd.array([None] * len(hot), dtype="string"),
                         "n": counts.astype(np.int64),
                         "key": hot.astype(np.int64),
                         "row_key": np.zeros(len(hot), np.int64),
@@ -126,9 +126,10 @@ def _sets_of(shingle: int):
 def shingle_classes(docs: DataFrame, shingle: int = 5) -> DataFrame:
     """Staged rows (kind, doc_id, n, key, row_key, bitmap): kind 0 one per row of ``docs``, kind 1 reports of hot shingles."""
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text.alias("text"), F.xxhash64(text).alias("own"))
-    columns = ["kind int", "doc_id long", "n long", "key long", "row_key long", *(f"{b} long" for b in BITS)]
-    return staged(rows.mapInPandas(_sets_of(shingle), ", ".join(columns)), "sets")
+    rows = docs.select(id_text("doc_id"), text.alias("text"), F.xxhash64(text).alias("own"))
+    columns = ["kind int", "doc_id string", "n long", "key long", "row_key long", *(f"{b} long" for b in BITS)]
+    found = rows.mapInPandas(_sets_of(shingle), ", ".join(columns))
+    return staged(found.withColumn("doc_id", F.col("doc_id").cast("long")), "sets")
 
 
 def _dealt(shingle: int, ranges: int, hot: np.ndarray):

@@ -27,11 +27,14 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .common import id_text
+
 #: Rows of a shard on average.
 SHARD_ROWS = 4096
 SPACE = " \t\n\x0b\f\r"
 
-PACKED = "doc_id long, copy long, piece int, words long, bin_id long, bin_offset long"
+#: Columns that may be null leave pandas as text.
+PACKED = "doc_id string, copy long, piece int, words long, bin_id string, bin_offset string"
 
 
 def count_words(text: Column) -> Column:
@@ -69,38 +72,46 @@ def best_fit(items: list[tuple[int, int, int]], capacity: int) -> list[tuple[int
     return placed
 
 
-def _bits(values: pd.Series) -> list[int]:
+def _text_numbers(values: pd.Series) -> list[int | None]:
+    """Bigints from their texts; pandas would make floats of bigints beside nulls."""
+    return [None if pd.isna(v) else int(v) for v in values]
+
+
+def _bits(values: list) -> list[int]:
     seen: dict = {}
-    return [0 if pd.isna(v) else 1 << seen.setdefault(v, len(seen)) for v in values]
+    return [0 if v is None else 1 << seen.setdefault(v, len(seen)) for v in values]
+
+
+def _longest_first(row: tuple) -> tuple:
+    doc, copy, words, tail, _, cluster = row
+    return -tail, doc is None, doc or 0, cluster is None, cluster or 0, words, copy
 
 
 def _pack(capacity: int):
     def run(shard: pd.DataFrame) -> pd.DataFrame:
-        shard = shard.assign(tail=(shard["words"] % capacity)).sort_values(
-            ["tail", "doc_id", "cluster", "words", "copy"], ascending=[False, True, True, True, True], kind="stable"
-        )
+        words = shard["words"].tolist()
+        sources = [None if pd.isna(s) else s for s in shard["source"]]
+        columns = _text_numbers(shard["doc_id"]), shard["copy"].tolist(), words, [w % capacity for w in words]
+        rows = sorted(zip(*columns, sources, _text_numbers(shard["cluster"]), strict=True), key=_longest_first)
         first = int(shard["shard"].iloc[0]) << 32
-        rest = shard[shard["tail"] > 0]
-        bits = list(zip(rest["tail"].astype(int), _bits(rest["source"]), _bits(rest["cluster"]), strict=True))
+        rest = [r for r in rows if r[3]]
+        bits = list(zip([r[3] for r in rest], _bits([r[4] for r in rest]), _bits([r[5] for r in rest]), strict=True))
         placed = best_fit(bits, capacity)
         bins = 1 + max((b for b, _ in placed), default=-1)
         out = []
         tails = iter(placed)
-        for doc, copy, words, tail in zip(shard["doc_id"], shard["copy"], shard["words"], shard["tail"], strict=True):
-            doc = None if pd.isna(doc) else int(doc)
-            full = int(words // capacity)
+        for doc, copy, size, tail, *_ in rows:
+            doc = None if doc is None else str(doc)
+            full = size // capacity
             for piece in range(full):
-                out.append((doc, copy, piece, capacity, first + bins, 0))
+                out.append((doc, copy, piece, capacity, str(first + bins), "0"))
                 bins += 1
             if tail:
                 chosen, offset = next(tails)
-                out.append((doc, copy, full, int(tail), first + chosen, offset))
-            elif not words:
+                out.append((doc, copy, full, tail, str(first + chosen), str(offset)))
+            elif not size:
                 out.append((doc, copy, 0, 0, None, None))
-        frame = pd.DataFrame(out, columns=["doc_id", "copy", "piece", "words", "bin_id", "bin_offset"])
-        for c in ("doc_id", "bin_id", "bin_offset"):
-            frame[c] = pd.array(frame[c].tolist(), dtype="Int64")
-        return frame
+        return pd.DataFrame(out, columns=["doc_id", "copy", "piece", "words", "bin_id", "bin_offset"])
 
     return run
 
@@ -127,6 +138,7 @@ def pack_documents(docs: DataFrame, capacity: int = 2048, words=None, source="so
     dealt = (
         rows.withColumn("copy", F.explode(F.sequence(F.lit(0).cast("long"), F.col("copies") - 1)))
         .withColumn("shard", F.pmod(F.xxhash64("doc_id", "words", "source", "cluster", "copy"), F.lit(shards)))
-        .drop("copies")
+        .select("shard", id_text("doc_id"), "words", "source", id_text("cluster"), "copy")
     )
-    return dealt.groupBy("shard").applyInPandas(_pack(capacity), PACKED)
+    packed = dealt.groupBy("shard").applyInPandas(_pack(capacity), PACKED)
+    return packed.withColumns({c: F.col(c).cast("long") for c in ("doc_id", "bin_id", "bin_offset")})

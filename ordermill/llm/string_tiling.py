@@ -36,13 +36,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import WordHashes, chunked, gram_hashes
+from .common import WordHashes, chunked, gram_hashes, id_text
 
 PUNCTUATION = b"!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
 #: Bytes of item text in one block sent to all tasks (on average).
 BLOCK_BYTES = 8 << 20
 
-MATCHES = "doc_id long, item_id long, item_words int, covered_words int, n_tiles int, coverage double, tiles array<struct<item_start:int,doc_start:int,words:int>>"
+MATCHES = "doc_id string, item_id string, item_words int, covered_words int, n_tiles int, coverage double, tiles array<struct<item_start:int,doc_start:int,words:int>>"
 
 
 def plain_words(text: str | None) -> list[bytes]:
@@ -168,15 +168,13 @@ def _matching(block):
         for rows in chunked(frames, lambda r: len(r[1] or ""), 4 << 20):
             out = []
             for doc_id, text in rows:
-                doc = None if pd.isna(doc_id) else int(doc_id)
+                doc = None if pd.isna(doc_id) else doc_id
                 for item_id, size, covered, tiles in block.found(hasher.of(plain_words(text))):
-                    out.append((doc, item_id, size, covered, len(tiles), covered / size, tiles))
-            frame = pd.DataFrame(
+                    item = None if item_id is None else str(item_id)
+                    out.append((doc, item, size, covered, len(tiles), covered / size, tiles))
+            yield pd.DataFrame(
                 out, columns=["doc_id", "item_id", "item_words", "covered_words", "n_tiles", "coverage", "tiles"]
             )
-            for c in ("doc_id", "item_id"):
-                frame[c] = pd.array(frame[c].tolist(), dtype="Int64")
-            yield frame
 
     return run
 
@@ -196,12 +194,12 @@ def _unmatched(block):
 
 def benchmark_matches(docs: DataFrame, benchmark: DataFrame, min_match: int = 5, percent: int = 60) -> DataFrame:
     """A row per document and item it covers: doc_id, item_id, item_words, covered_words, n_tiles, coverage, tiles."""
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    rows = docs.select(id_text("doc_id"), F.col("text").cast("string").alias("text"))
     out = None
     for block in item_blocks(benchmark, min_match, percent):
         found = rows.mapInPandas(_matching(block), MATCHES)
         out = found if out is None else out.unionByName(found)
-    return out
+    return out.withColumns({c: F.col(c).cast("long") for c in ("doc_id", "item_id")})
 
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame, min_match: int = 5, percent: int = 60) -> DataFrame:
