@@ -42,12 +42,13 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def drop_common_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without the lines that three or more of them hold (the largest doc_id keeps them)."""
-    own = {c: f"{c}__own" for c in ("n_lines", "n_dropped") if c in docs.columns}
-    kept = dedup_lines(docs.withColumnsRenamed(own)).drop("n_lines", "n_dropped")
+    # Names match without case, as in Spark.
+    added = ("n_lines", "n_dropped")
+    own = {c: f"{c}__own" for c in docs.columns if c.lower() in added}
+    kept = dedup_lines(docs.withColumnsRenamed(own)).drop(*added)
     kept = kept.withColumnsRenamed({v: k for k, v in own.items()}).select(*docs.columns)
-    if "n_chars" in docs.columns:
-        size = F.char_length("text").cast(docs.schema["n_chars"].dataType)
-        kept = kept.withColumn("n_chars", size)
+    for size in [f for f in docs.schema.fields if f.name.lower() == "n_chars"]:
+        kept = kept.withColumn(size.name, F.char_length("text").cast(size.dataType))
     return kept
 
 
