@@ -32,6 +32,7 @@ import hashlib
 import itertools
 import json
 import re
+from array import array
 from collections import defaultdict
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -42,7 +43,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .blocks import (
-    PIECE_BYTES, arrow_schema, block_numbers, doc_texts, from_planes, gather, looked_up, one_row, planes, segment_sums,
+    arrow_schema, block_numbers, doc_texts, from_planes, gather, looked_up, one_row, planes, segment_sums,
     spans, text_blocks,
 )
 from .common import staged
@@ -54,9 +55,9 @@ BYTE_LEVEL_PATTERN = (
 #: The piece vocabulary's sign for a space (fixed value of the format).
 PIECE_SPACE = "▁"
 #: Entries and bytes a worker's piece cache may hold before it starts anew.
-CACHE_ENTRIES, CACHE_BYTES = 1 << 18, 32 << 20
-#: Products expanded at a time.
-STEP = 1 << 20
+CACHE_ENTRIES, CACHE_BYTES = 1 << 17, 8 << 20
+#: Text that is worked on, and products that are expanded, at a time.
+PIECE_BYTES, STEP = 1 << 18, 1 << 18
 LINK_KINDS = ("overlap", "end", "group")
 
 
@@ -141,7 +142,7 @@ class Vocabulary:
 
     def _renew(self) -> None:
         self.places: defaultdict[str, int] = defaultdict(itertools.count().__next__)
-        self.ids, self.bounds, self.held = [], [0], 0
+        self.ids, self.bounds, self.held = array("i"), array("q", [0]), 0
 
     def runs(self, text: str) -> list[str]:
         """The runs of space + text, each without its first space."""
@@ -161,13 +162,13 @@ class Vocabulary:
             new = list(itertools.islice(self.places, known, None))
             self.held += sum(map(len, new))
             for ids in self.encode_runs(new):
-                self.ids += ids
+                self.ids.extend(ids)
                 self.bounds.append(len(self.ids))
-            self.run_ids, self.run_starts = np.array(self.ids, np.int64), np.array(self.bounds, np.int64)
+            self.run_ids, self.run_starts = np.array(self.ids), np.array(self.bounds)
         run = np.fromiter(itertools.chain.from_iterable(rows), np.int64)
         of_text = np.repeat(np.arange(len(texts)), [len(r) for r in rows])
         sizes = segment_sums(self.run_starts[run + 1] - self.run_starts[run], of_text, len(texts))
-        return gather(self.run_ids, self.run_starts, run), sizes
+        return gather(self.run_ids, self.run_starts, run).astype(np.int64), sizes
 
 
 class ByteLevel(Vocabulary):

@@ -20,9 +20,9 @@ log shares, that is, at the unigram model. Each task trains on the blocks it
 holds, in one pass over all its training tokens; the tasks' models are averaged
 by tokens, in ``rounds`` rounds, each over its own part of the blocks.
 
-**Scoring.** For the distinct contexts of a block, one matrix product gives the
-scores of all units, so the normaliser is exact; log-probabilities are natural
-inside and base 10 outside.
+**Scoring.** For contexts that a task has not met yet, batched matrix products
+give the scores of all units, so the normaliser is exact; it is kept in a table of
+the model's size. Log-probabilities are natural inside and base 10 outside.
 
 **At scale.** Texts become rows of blocks (``blocks``); a block's distinct words
 meet the counts once. Later passes read unit numbers only. What is collected is
@@ -61,6 +61,8 @@ BATCH, NOISE, RATE = 1024, 32, 0.2
 CONTEXTS, POSITIONS = 512, 1 << 18
 #: Reducers of the tasks' models.
 REDUCERS = 16
+#: Text bytes of a block: larger ones repeat fewer words.
+WORD_BLOCK = 16 << 20
 #: Bytes at a word's end that name its class.
 ENDING = 3
 SMOOTH = 0.1
@@ -106,22 +108,36 @@ class Model:
         out = np.empty(len(first), np.float64)
         for at in range(0, len(first), CONTEXTS):
             part = slice(at, at + CONTEXTS)
-            scores = self.predicted(first[part], second[part]) @ self.w.T + self.b
+            scores = self.predicted(first[part], second[part]) @ self.w.T
+            scores += self.b
             top = scores.max(1, keepdims=True)
-            out[part] = (top[:, 0] + np.log(np.exp(scores - top).sum(1, dtype=np.float64))).astype(np.float64)
+            scores -= top
+            out[part] = top[:, 0] + np.log(np.exp(scores, out=scores).sum(1))
         return out
 
+
+class Scorer:
+    """Exact log-probabilities; the normaliser of each context is worked out once and kept in a table of the
+    model's own size (contexts are pairs of units)."""
+
+    def __init__(self, model: Model):
+        self.model, self.side = model, len(model.r)
+        self.known = np.full(self.side**2, np.nan)
+
     def log_probabilities(self, unit: np.ndarray, first: np.ndarray, second: np.ndarray) -> np.ndarray:
         """Natural log-probability of each unit after its two units before (``first`` is the nearer one)."""
-        start = len(self.b)
-        keys, place = np.unique(first.astype(np.int64) * (start + 1) + second, return_inverse=True)
-        z = self.log_normaliser(keys // (start + 1), keys % (start + 1))
+        model, context = self.model, first.astype(np.int64) * self.side + second
+        z = self.known[context]
+        unknown = np.unique(context[np.isnan(z)])
+        if len(unknown):
+            self.known[unknown] = model.log_normaliser(unknown // self.side, unknown % self.side)
+            z = self.known[context]
         out = np.empty(len(unit), np.float64)
-        for at in range(0, len(unit), 1 << 16):
-            part = slice(at, at + (1 << 16))
-            q = self.predicted(first[part], second[part])
-            out[part] = np.einsum("ij,ij->i", q, self.w[unit[part]]) + self.b[unit[part]]
-        return out - z[place]
+        for at in range(0, len(unit), 1 << 14):
+            part = slice(at, at + (1 << 14))
+            q = model.predicted(first[part], second[part])
+            out[part] = np.einsum("ij,ij->i", q, model.w[unit[part]]) + model.b[unit[part]]
+        return out - z
 
 
 def contexts(units: np.ndarray, end: int) -> tuple[np.ndarray, np.ndarray]:
@@ -381,7 +397,7 @@ def encoded(docs: DataFrame, learn: Column, rounds: int) -> tuple[Counts, DataFr
     schema = arrow_schema(WORDS_SCHEMA)
 
     def blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for number, table in zip(block_numbers(), text_blocks(batches)):
+        for number, table in zip(block_numbers(), text_blocks(batches, WORD_BLOCK)):
             yield one_row(_block_row(number, table), schema)
 
     texts = docs.select(
@@ -447,9 +463,10 @@ def score(units: DataFrame, counts: Counts, model: Model) -> DataFrame:
     schema, end = arrow_schema(SCORE_SCHEMA), WORDS + CLASSES
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        scorer = Scorer(model)
         for table, row in _unit_batches(batches):
             size = np.asarray(table.column("n_tokens"))
-            natural = model.log_probabilities(row, *contexts(row, end))
+            natural = scorer.log_probabilities(row, *contexts(row, end))
             of_doc = np.bincount(np.repeat(np.arange(len(size)), size), natural, len(size))
             out = table.append_column("train_tokens", pa.array(np.full(len(size), counts.tokens)))
             out = out.append_column("score", pa.array(of_doc / LOG10 + np.asarray(table.column("inner"))))
