@@ -10,7 +10,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-MONEY = "decimal(18,2)"
+#: Revenue of a line: any quantity (32 bits) times any price that PRICE_TYPE holds fits.
+MONEY = "decimal(33,2)"
 MONEY_SUM = "decimal(38,2)"
 
 
@@ -31,18 +32,8 @@ def half_up_ratio(num: Column, den: Column, scale: int) -> Column:
 
 
 def cents(amount: Column) -> Column:
-    """Money amount with scale 2 as an exact integral number of cents (bigint).
-
-    Sums of cents aggregate in 64-bit integers: above precision 18 a decimal sum
-    buffer is a BigDecimal per update. A bigint holds 9.2e16 currency units, and ANSI
-    mode fails loudly beyond it.
-    """
-    return (amount * F.lit(100)).cast("long")
-
-
-def money_from_cents(total: Column) -> Column:
-    """Exact money value (decimal(38,2)) of a whole number of cents."""
-    return (total.cast("decimal(38,0)") / F.lit(100)).cast(MONEY_SUM)
+    """Money amount with scale 2 as an exact integral number of cents."""
+    return (amount * F.lit(100)).cast("decimal(38,0)")
 
 
 def money_ratio(total_cents: Column, den: Column) -> Column:

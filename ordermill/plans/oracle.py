@@ -37,11 +37,11 @@ pu AS (
 ol AS (
   SELECT pu.order_id, pu.user_id, pu.order_number, pu.order_dow, pu.order_hour_of_day,
          pu.days_since_prior_order, pu.product_id, p.p_name AS product_name, p.p_type AS aisle,
-         p.p_brand AS department, pu.quantity, CAST(p.p_retailprice AS DECIMAL(18,6)) AS unit_price,
+         p.p_brand AS department, pu.quantity, CAST(p.p_retailprice AS DECIMAL(26,6)) AS unit_price,
          pu.reordered, pu.order_date
   FROM pu JOIN part p ON pu.product_id = p.p_partkey),
 cl AS (
-  SELECT *, CAST(round(quantity * unit_price, 2) AS DECIMAL(18,2)) AS line_revenue,
+  SELECT *, CAST(round(quantity * unit_price, 2) AS DECIMAL(33,2)) AS line_revenue,
          CAST(date_trunc('month', order_date) AS DATE) AS sales_month,
          coalesce(reordered, 0) AS is_reordered
   FROM ol
@@ -155,7 +155,7 @@ rw AS (
     CASE WHEN order_id % 23 = 0 THEN NULL WHEN order_id % 37 = 0 THEN -1 WHEN order_id % 59 = 0 THEN NULL
          WHEN order_id % 61 = 0 THEN NULL WHEN order_id % 73 = 0 THEN 1000 WHEN order_id % 79 = 0 THEN 5
          WHEN order_id % 101 = 0 THEN 1000000000000.5
-         ELSE CAST(CAST(unit_price AS DECIMAL(12,2)) AS DECIMAL(24,6)) END AS v_unit_price,
+         ELSE CAST(CAST(unit_price AS DECIMAL(12,2)) AS DECIMAL(26,6)) END AS v_unit_price,
     CASE WHEN order_id % 47 = 0 THEN 0 ELSE reordered END AS v_reordered,
     CASE WHEN order_id % 31 <> 0 THEN order_date END AS v_order_date
   FROM ol)"""
@@ -178,7 +178,7 @@ VALIDATED = (
 )
 
 ACCEPTED_COLS = ", ".join(
-    (f"CAST(CAST(v_{c} AS DECIMAL(30,6)) AS VARCHAR) AS {c}" if c == "unit_price" else f"v_{c} AS {c}") for c in COLUMNS
+    (f"CAST(CAST(v_{c} AS DECIMAL(26,6)) AS VARCHAR) AS {c}" if c == "unit_price" else f"v_{c} AS {c}") for c in COLUMNS
 )
 RAW_COLS = ", ".join(COLUMNS)
 
@@ -286,14 +286,15 @@ def with_baskets(body: str) -> str:
 # ---- connectors, contracts, streaming -------------------------------------------------------
 
 TYPED_COLS = ", ".join(
-    (f"CAST(CAST(v_{c} AS DECIMAL(30,6)) AS VARCHAR) AS {c}" if c == "unit_price" else f"v_{c} AS {c}") for c in COLUMNS
+    (f"CAST(CAST(v_{c} AS DECIMAL(26,6)) AS VARCHAR) AS {c}" if c == "unit_price" else f"v_{c} AS {c}") for c in COLUMNS
 )
 
 ACCEPTED_CLEAN = """
 acc AS (SELECT """ + ", ".join(f"v_{c} AS {c}" for c in COLUMNS) + """ FROM vt WHERE reject_reason IS NULL
-  AND NOT coalesce(order_id NOT LIKE 'x%' AND TRY_CAST(order_id AS BIGINT) % 107 = 0, false)),
+  AND NOT coalesce(order_id NOT LIKE 'x%' AND (TRY_CAST(order_id AS BIGINT) % 107 = 0
+    OR TRY_CAST(order_id AS BIGINT) % 109 = 0 OR TRY_CAST(order_id AS BIGINT) % 113 = 0), false)),
 acl AS (
-  SELECT *, CAST(round(quantity * unit_price, 2) AS DECIMAL(18,2)) AS line_revenue,
+  SELECT *, CAST(round(quantity * unit_price, 2) AS DECIMAL(33,2)) AS line_revenue,
          CAST(date_trunc('month', order_date) AS DATE) AS sales_month, coalesce(reordered, 0) AS is_reordered
   FROM acc
   WHERE order_id IS NOT NULL AND user_id IS NOT NULL AND product_id IS NOT NULL AND quantity IS NOT NULL
@@ -323,7 +324,7 @@ _JSON_TEXT = ("product_name", "aisle", "department", "order_date")
 _JSON = " || ',' || ".join(
     f"'\"{c}\":' || coalesce(" + (
         f"'\"' || replace(CAST(v_{c} AS VARCHAR), '\"', '\\\"') || '\"'" if c in _JSON_TEXT
-        else f"CAST(CAST(v_{c} AS DECIMAL(30,6)) AS VARCHAR)" if c == "unit_price" else f"CAST(v_{c} AS VARCHAR)"
+        else f"CAST(CAST(v_{c} AS DECIMAL(26,6)) AS VARCHAR)" if c == "unit_price" else f"CAST(v_{c} AS VARCHAR)"
     ) + ", 'null')"
     for c in COLUMNS
 )
@@ -331,8 +332,9 @@ _ENCODED = f"""
 SELECT key, value, sha256(value) || '-' || row_number() OVER (PARTITION BY value) AS message_id
 FROM (SELECT CAST(v_order_id AS VARCHAR) AS key, '{{' || {_JSON} || '}}' AS value FROM vt WHERE reject_reason IS NULL) t"""
 
-# The streamed feed: messages of some orders are cut off.
-CUT = "(order_id NOT LIKE 'x%' AND TRY_CAST(order_id AS BIGINT) % 107 = 0)"
+# The streamed feed: messages of some orders are cut off, followed by text, or hold two objects.
+_KEY = "TRY_CAST(order_id AS BIGINT)"
+CUT = f"(order_id NOT LIKE 'x%' AND ({_KEY} % 107 = 0 OR {_KEY} % 109 = 0 OR {_KEY} % 113 = 0))"
 _WHOLE = f"NOT coalesce({CUT}, false)"
 _RAW_JSON = " || ',' || ".join(
     f"'\"{c}\":' || coalesce('\"' || replace({c}, '\"', '\\\"') || '\"', 'null')" for c in COLUMNS
@@ -351,9 +353,17 @@ CONNECTOR_SQL = {
         f"SELECT {RAW_COLS}, reject_reason, order_id AS message_key, NULL AS corrupt_text FROM vt"
         f" WHERE reject_reason IS NOT NULL AND {_WHOLE} UNION ALL SELECT "
         + ", ".join(f"NULL AS {c}" for c in COLUMNS)
-        + f", 'corrupt_message', order_id, substr('{{' || {_RAW_JSON} || '}}', 1, 20) FROM vt WHERE {CUT}",
+        + f", 'corrupt_message', order_id, CASE WHEN {_KEY} % 107 = 0 THEN substr(body, 1, 20)"
+        f" WHEN {_KEY} % 109 = 0 THEN body || ' trailing' ELSE body || body END"
+        f" FROM (SELECT *, '{{' || {_RAW_JSON} || '}}' AS body FROM vt WHERE {CUT})",
     ),
-    "stream_monthly_sales": ("accepted", MART_SQL["monthly_sales"].replace("FROM cl ", "FROM acl ")),
+    "stream_batch_counts": (
+        "validation",
+        "SELECT CAST(2 AS BIGINT) AS batches, count(*) AS read_messages, CAST(0 AS BIGINT) AS repeated_messages,"
+        f" count(*) FILTER (WHERE reject_reason IS NULL AND {_WHOLE}) AS accepted_lines,"
+        f" count(*) FILTER (WHERE reject_reason IS NOT NULL OR NOT {_WHOLE}) AS rejected_lines FROM vt",
+    ),
+    **{f"stream_{name}": ("accepted", MART_SQL[name].replace("FROM cl ", "FROM acl ")) for name in MART_COLUMNS},
     "stream_dedup": ("validation", f"{VALIDATION_SQL['validate_accepted']} AND {_WHOLE}"),
 }
 
@@ -372,7 +382,7 @@ def oracle_sql() -> dict[str, str]:
     sql = {
         "clean_orders": with_base(
             "SELECT order_id, user_id, order_number, order_dow, order_hour_of_day, days_since_prior_order,"
-            " product_id, product_name, aisle, department, quantity, CAST(CAST(unit_price AS DECIMAL(30,6)) AS VARCHAR) AS unit_price,"
+            " product_id, product_name, aisle, department, quantity, CAST(CAST(unit_price AS DECIMAL(26,6)) AS VARCHAR) AS unit_price,"
             " reordered, order_date, CAST(line_revenue AS VARCHAR) AS line_revenue, sales_month, is_reordered"
             " FROM cl"
         ),

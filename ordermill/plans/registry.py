@@ -11,7 +11,7 @@ from pyspark.sql.types import DecimalType
 
 from ..operators import baskets, validate
 from ..operators.clean import clean_orders, mart_input
-from ..operators.marts import BASKET_MARTS, REVENUE_MARTS, Mart, build, order_totals
+from ..operators.marts import BASKET_MARTS, REVENUE_MARTS, Mart, build, distinct_measures, orders_of
 from ..schema import ORDER_COLUMNS, ORDER_SCHEMA, mart_schema
 from ..session import work_path
 from ..sources import contracts, files, messages, testdata
@@ -214,50 +214,64 @@ def q_landing_by_month(spark: SparkSession, sf_dir: str) -> DataFrame:
     return as_result(files.read_landing(spark, path))
 
 
-def _run_stream(spark: SparkSession, sf_dir: str, replays: int = 1, dedup: bool = False,
-                with_mart: bool = False) -> ingest.IngestTargets:
+def _run_stream(
+    spark: SparkSession, sf_dir: str, replays: int = 1, dedup: bool = False, marts: tuple[str, ...] = (), batches: int = 1
+) -> str:
+    """Folder of a stream's tables, fed with the raw lines as messages: published in ``batches`` parts, each drained
+    before the next, and all of it ``replays`` times. Some messages are cut off, some have text after the object,
+    some hold two objects: all three are corrupt and kept as text in quarantine."""
     root = work_path(spark, "stream")
     inbox = f"{root}/inbox"
     feed = messages.encode_messages(testdata.raw_order_lines(spark, sf_dir))
-    # Some messages arrive cut off: corrupt, kept as text in quarantine.
-    cut = F.when(F.col("key").try_cast("bigint") % 107 == 0, F.substring("value", 1, 20)).otherwise(F.col("value"))
-    feed = feed.withColumn("value", cut)
-    feed = testdata.staged(feed, "feed")
-    targets = ingest.IngestTargets(
-        landing=f"{root}/landing",
-        quarantine=f"{root}/quarantine",
-        monthly_sales=f"{root}/monthly_sales" if with_mart else None,
-        dedup=dedup,
+    order, value = F.col("key").try_cast("bigint"), F.col("value")
+    damaged = (
+        F.when(order % 107 == 0, F.substring("value", 1, 20))
+        .when(order % 109 == 0, F.concat(value, F.lit(" trailing")))
+        .when(order % 113 == 0, F.concat(value, value))
+        .otherwise(value)
     )
-    # Each round publishes the whole feed and drains it: a replay meets what the batches before have landed.
-    for _ in range(replays):
-        ingest.write_message_files(feed, inbox)
+    part = F.pmod(F.xxhash64("message_id"), F.lit(batches)).alias("part")
+    feed = testdata.staged(feed.withColumn("value", damaged).select("key", "value", "message_id", part), "feed")
+    targets = ingest.IngestTargets(f"{root}/tables", marts, dedup)
+    # Each part is published and drained: a replay meets what the batches before have landed.
+    for number in [*range(batches)] * replays:
+        ingest.write_message_files(feed.filter(F.col("part") == number).drop("part"), inbox)
         query = ingest.start_ingest(ingest.message_file_stream(spark, inbox), targets, checkpoint=f"{root}/checkpoint")
         query.awaitTermination()
         if query.exception():
             raise query.exception()
-    return targets
+    return targets.root
 
 
 def q_stream_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return as_result(ingest.read_landed(spark, _run_stream(spark, sf_dir).landing))
+    return as_result(ingest.read_landed(spark, _run_stream(spark, sf_dir)))
 
 
 def q_stream_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
-    refused = ingest.read_quarantine(spark, _run_stream(spark, sf_dir, replays=2, dedup=True).quarantine)
+    refused = ingest.read_quarantine(spark, _run_stream(spark, sf_dir, replays=2, dedup=True))
     corrupt = F.col(validate.REASON) == ingest.CORRUPT
     return refused.select(
         *ORDER_COLUMNS, validate.REASON, "message_key", F.when(corrupt, F.col("message_value")).alias("corrupt_text")
     )
 
 
-def q_stream_monthly_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
-    targets = _run_stream(spark, sf_dir, with_mart=True)
-    return as_result(ingest.read_monthly_sales(spark, targets.monthly_sales))
+def q_stream_batch_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Messages read, repeated, accepted and rejected over all batches of a feed published in two parts."""
+    counted = ingest.read_batches(spark, _run_stream(spark, sf_dir, batches=2))
+    return counted.agg(F.count(F.lit(1)).alias("batches"), *[F.sum(c).alias(c) for c in ingest.COUNTS])
+
+
+def _stream_mart_query(name: str) -> Query:
+    """A revenue mart kept up to date over three batches."""
+
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        return as_result(ingest.read_mart(spark, _run_stream(spark, sf_dir, marts=(name,), batches=3), name))
+
+    return run
 
 
 def q_stream_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return as_result(ingest.read_landed(spark, _run_stream(spark, sf_dir, replays=2, dedup=True).landing))
+    return as_result(ingest.read_landed(spark, _run_stream(spark, sf_dir, replays=2, dedup=True)))
 
 
 CONNECTOR_QUERIES: dict[str, Query] = {
@@ -269,7 +283,8 @@ CONNECTOR_QUERIES: dict[str, Query] = {
     "landing_by_month": q_landing_by_month,
     "stream_ingest": q_stream_ingest,
     "stream_quarantine": q_stream_quarantine,
-    "stream_monthly_sales": q_stream_monthly_sales,
+    "stream_batch_counts": q_stream_batch_counts,
+    **{f"stream_{name}": _stream_mart_query(name) for name in REVENUE_MARTS},
     "stream_dedup": q_stream_dedup,
 }
 
@@ -277,7 +292,7 @@ CONNECTOR_QUERIES: dict[str, Query] = {
 def queries() -> dict[str, Query]:
     registry: dict[str, Query] = {
         "clean_orders": q_clean_orders,
-        "order_summary": lambda spark, d: as_result(order_totals(mart_lines(spark, d))),
+        "order_summary": lambda spark, d: as_result(orders_of(mart_lines(spark, d))),
     }
     for name, mart in REVENUE_MARTS.items():
         registry[name] = _mart_query(mart)

@@ -49,8 +49,9 @@ REQUIRED_IN_CLEAN = ["order_id", "user_id", "product_id", "quantity", "unit_pric
 
 RAW_SCHEMA = StructType([StructField(c, StringType(), True) for c in ORDER_COLUMNS])
 
-#: Prices: 24 digits before the point, 6 after.
-PRICE_TYPE = DecimalType(30, 6)
+#: Prices: 20 digits before the point, 6 after. A larger price is no price (validation rejects it, cleaning drops
+#: and counts it): quantity x price is then exact in 38 digits, so no accepted line can overflow a mart.
+PRICE_TYPE = DecimalType(26, 6)
 
 _TYPES: dict[str, DataType] = {
     **{c: LongType() for c in ("order_id", "user_id", "product_id")},

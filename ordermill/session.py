@@ -63,10 +63,26 @@ def work_path(spark: SparkSession, name: str) -> str:
     return f"{shared_root(spark)}/{name}-{uuid.uuid4().hex}"
 
 
-def remove_path(spark: SparkSession, path: str) -> None:
-    """Remove a work folder of ``work_path``; other folders are refused."""
-    if not path.startswith(shared_root(spark) + "/"):
-        raise ValueError(f"{path} is no work folder")
+def _file_system(spark: SparkSession, path: str):
     jvm = spark.sparkContext._jvm
     target = jvm.org.apache.hadoop.fs.Path(path)
-    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
+    return target, target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+
+def folders(spark: SparkSession, path: str) -> list[str]:
+    """Names of the folders in a folder; none if it does not exist."""
+    target, store = _file_system(spark, path)
+    return [f.getPath().getName() for f in store.listStatus(target) if f.isDirectory()] if store.exists(target) else []
+
+
+def delete_below(spark: SparkSession, root: str, path: str) -> None:
+    """Remove a folder below ``root``; others are refused."""
+    if not path.startswith(root.rstrip("/") + "/"):
+        raise ValueError(f"{path} is not below {root}")
+    target, store = _file_system(spark, path)
+    store.delete(target, True)
+
+
+def remove_path(spark: SparkSession, path: str) -> None:
+    """Remove a work folder of ``work_path``; other folders are refused."""
+    delete_below(spark, shared_root(spark), path)

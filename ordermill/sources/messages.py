@@ -13,7 +13,7 @@ are cast to text first; message_id travels as a header).
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
@@ -42,19 +42,39 @@ def encode_messages(lines: DataFrame, key: str = "order_id") -> DataFrame:
     )
 
 
+def one_object(text: Column) -> Column:
+    """Whether a text is one JSON object and nothing else.
+
+    The parser reads one value and looks no further, so the text is checked inside
+    an array, which it must fill as its only element, and inside an object, as its
+    only value: what follows a first object cannot go on in both ways.
+    """
+    alone = F.json_array_length(F.concat(F.lit("["), text, F.lit("]"))) == 1
+    only = F.size(F.json_object_keys(F.concat(F.lit('{"v":'), text, F.lit("}")))) == 1
+    return F.coalesce(F.ltrim(text).startswith("{") & alone & only, F.lit(False))
+
+
+def identity(messages: DataFrame) -> Column:
+    """The message's own identity, or the hash of its value if it has none."""
+    text = F.coalesce(F.col("value").cast("string"), F.lit(""))
+    given = F.col("message_id") if "message_id" in messages.columns else F.lit(None).cast("string")
+    return F.coalesce(given, F.sha2(text, 256)).alias("message_id")
+
+
 def decode_messages(messages: DataFrame, schema: StructType) -> DataFrame:
-    """Parse ``value`` with ``schema``; adds ``corrupt`` (value is not a JSON object). Key, value and all other
-    columns are kept. A message without an identity gets the hash of its value."""
+    """Parse ``value`` with ``schema``; adds ``corrupt`` (value is not one JSON object, or has anything beside it;
+    its fields are then null). Key, value and all other columns are kept. A message without an identity gets the
+    hash of its value."""
     text = F.col("value").cast("string")
-    parsed = F.from_json(text, schema)
-    given = F.col("message_id") if "message_id" in messages.columns else F.lit(None).cast("string")
+    corrupt = ~one_object(text)
+    parsed = F.when(~corrupt, F.from_json(text, schema))
     extra = [c for c in messages.columns if c not in ("key", "value", "message_id")]
     return messages.select(
         F.col("key").cast("string").alias("key"),
         text.alias("value"),
         *[parsed.getField(f.name).alias(f.name) for f in schema.fields],
-        (~F.coalesce(F.ltrim(text).startswith("{"), F.lit(False)) | F.get_json_object(text, "$").isNull()).alias("corrupt"),
-        F.coalesce(given, F.sha2(F.coalesce(text, F.lit("")), 256)).alias("message_id"),
+        corrupt.alias("corrupt"),
+        identity(messages),
         *extra,
     )
 

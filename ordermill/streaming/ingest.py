@@ -1,36 +1,48 @@
-"""Streaming ingest: messages -> decode -> validate -> landing table / quarantine,
-with the monthly sales mart refreshed for the months each micro-batch touches.
+"""Streaming ingest: messages -> decode -> validate -> landing table / quarantine, and the marts kept up to date.
 
 Every micro-batch is processed with batch DataFrame operations in
-``foreachBatch``. Writes replace the partitions of their own batch id, so a batch
-replayed after a failure replaces its output instead of adding to it. With
-``dedup`` a message whose identity was landed or quarantined before is dropped.
-
-The mart is not recomputed from lines: each batch writes its sums per (month,
-order), and a refresh merges the sums of the touched months.
-
-usage: python -m ordermill.streaming.ingest --inbox DIR --out DIR [--files-per-trigger N] [--dedup]
+``foreachBatch`` and becomes visible as a whole (``commits``): landing,
+quarantine, the marts and what they rest on are committed together, after all is
+written. A batch that fails leaves readers on the batch before and runs again; a
+batch that was committed is not run a second time.
+
+A batch's rows are decoded and validated once and staged; all tables are written
+from there. Marts are not recomputed from lines: each batch adds sums and distinct
+values (``mart_state``), and the mart rows of the keys it touches are made from
+the merged state.
+
+With ``dedup`` a message counts once. Repeats that arrive within ``RECENT`` are
+dropped by the stream's own state, which is bounded by that time; older ones by
+an index of message identities, cut into buckets by hash, of which a batch reads
+the buckets its messages fall into.
+
+usage: python -m ordermill.streaming.ingest --inbox DIR --out DIR [--files-per-trigger N] [--dedup] [--marts a,b]
        python -m ordermill.streaming.ingest --source CSV --inbox DIR    (publish order lines as message files)
 """
 
 from __future__ import annotations
 
 import argparse
+import logging
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
-from pyspark.sql.types import LongType, StringType, StructField, StructType
+from pyspark.sql.types import BinaryType, IntegerType, LongType, StringType, StructField, StructType
 
-from ..operators.clean import clean_orders
-from ..operators.marts import REVENUE_MARTS, from_orders, merged_orders, orders_of
+from ..operators.clean import clean_orders, mart_input
+from ..operators.mart_state import MartState
+from ..operators.marts import REVENUE_MARTS
 from ..operators.validate import REASON, annotate
-from ..schema import ORDER_COLUMNS, ORDER_SCHEMA, RAW_SCHEMA
+from ..schema import ORDER_COLUMNS, ORDER_SCHEMA, RAW_SCHEMA, mart_schema
 from ..session import build_session
 from ..sources.contracts import conform
-from ..sources.files import by_partition, path_exists, read_order_text
-from ..sources.messages import MESSAGE_SCHEMA, decode_messages, encode_messages
+from ..sources.files import read_order_text
+from ..sources.messages import MESSAGE_SCHEMA, decode_messages, encode_messages, identity
+from .commits import StreamTables, Table, Version
+
+log = logging.getLogger("ordermill.ingest")
 
 CORRUPT = "corrupt_message"
 
@@ -61,107 +73,155 @@ def write_message_files(messages: DataFrame, path: str) -> None:
     messages.write.mode("append").json(path)
 
 
-@dataclass
+#: Time within which the stream's own state drops repeated messages.
+RECENT = "10 minutes"
+#: Buckets of the identity index.
+ID_BUCKETS = 32
+
+LANDING = Table("landing", LANDED_SCHEMA, lambda rows: rows, ("sales_month",), ("order_id",))
+QUARANTINE = Table("quarantine", QUARANTINE_SCHEMA, lambda rows: rows)
+#: The first 16 bytes of an identity's SHA-256: two of 10^12 identities share them with a chance of about 10^-15.
+IDS = Table("ids", StructType().add("id", BinaryType()).add("bucket", IntegerType()), lambda rows: rows, ("bucket",), ("id",))
+COUNTS = ("read_messages", "repeated_messages", "accepted_lines", "rejected_lines")
+BATCHES = Table(
+    "batches",
+    StructType([StructField("batch_id", LongType()), *(StructField(c, LongType()) for c in COUNTS)]),
+    lambda rows: rows.coalesce(1),
+)
+
+
+@dataclass(frozen=True)
 class IngestTargets:
-    landing: str
-    quarantine: str
-    monthly_sales: str | None = None
+    """``root`` holds all tables of one stream; ``marts`` names the marts that are kept up to date."""
+
+    root: str
+    marts: tuple[str, ...] = ()
     dedup: bool = False
 
-    @property
-    def orders(self) -> str:
-        """Sums per (month, order) of each batch, from which the mart is refreshed."""
-        return f"{self.monthly_sales}-orders"
 
+def mart_table(name: str) -> Table:
+    """A mart: rows by the batch that made them; of one key the newest counts."""
+    keys = REVENUE_MARTS[name].keys
+    columns = [*mart_schema(name).fieldNames(), "batch_id"]
 
-def _overwrite_partitions(df: DataFrame, path: str, by: list[str]) -> None:
-    (
-        by_partition(df, *by)
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(*by)
-        .parquet(path)
-    )
+    def newest(rows: DataFrame) -> DataFrame:
+        last = rows.groupBy(*keys).agg(F.max_by(F.struct(*columns), "batch_id").alias("row"))
+        return last.select("row.*")
+
+    return Table(name, StructType([*mart_schema(name).fields, StructField("batch_id", LongType())]), newest)
+
+
+def state_table(state: MartState, name: str, rows: DataFrame) -> Table:
+    by = ("sales_month",) if state.mart.per_order else ()
+    return Table(name, rows.schema, lambda parts: state.merged(name, parts), by)
 
 
-def _unseen(rows: DataFrame, path: str, schema: StructType, batch_id: int) -> DataFrame:
-    """Rows, one per message identity, whose identity no earlier batch wrote to ``path``."""
-    rows = rows.dropDuplicates(["message_id"])
-    if not path_exists(rows.sparkSession, path):
-        return rows
-    earlier = rows.sparkSession.read.schema(schema).parquet(path).filter(F.col("batch_id") != batch_id)
-    return rows.join(earlier.select("message_id"), "message_id", "left_anti")
+def id_column() -> Column:
+    return F.substring(F.unhex(F.sha2("message_id", 256)), 1, 16)
+
+
+def with_bucket(ids: DataFrame) -> DataFrame:
+    return ids.withColumn("bucket", F.pmod(F.conv(F.hex(F.substring("id", 1, 2)), 16, 10).cast("int"), F.lit(ID_BUCKETS)))
+
+
+def indexed(tables: StreamTables, version: Version, buckets: list[int]) -> DataFrame:
+    """Identities of committed batches that lie in ``buckets``."""
+    return tables.read(IDS, version).filter(F.col("bucket").isin(buckets) if buckets else F.lit(False))
+
+
+def unseen(messages: DataFrame, tables: StreamTables, version: Version) -> DataFrame:
+    """One message per identity that no committed batch holds; adds id and bucket."""
+    known = with_bucket(messages.withColumn("message_id", identity(messages)).withColumn("id", id_column()))
+    fresh = known.dropDuplicates(["message_id"])
+    if not version.of(IDS.name):
+        return fresh
+    # At most ID_BUCKETS numbers.
+    hit = [r.bucket for r in known.select("bucket").distinct().collect()]
+    return fresh.join(indexed(tables, version, hit).select("id"), "id", "left_anti")
 
 
 def process_batch(targets: IngestTargets):
     """The ``foreachBatch`` function for one set of targets."""
 
     def run(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
-        decoded = decode_messages(batch, RAW_SCHEMA)
-        annotated = annotate(decoded).withColumn(REASON, F.when(F.col("corrupt"), F.lit(CORRUPT)).otherwise(F.col(REASON)))
-        annotated = annotated.withColumn("batch_id", F.lit(batch_id).cast("long")).persist()
-        try:
-            refused = annotated.filter(F.col(REASON).isNotNull()).select(
-                *ORDER_COLUMNS, REASON, F.col("key").alias("message_key"), F.col("value").alias("message_value"),
-                "message_id", "batch_id",
-            )
-            accepted = annotated.filter(F.col(REASON).isNull()).select(
-                *[F.col(f"v_{c}").alias(c) for c in ORDER_COLUMNS], "message_id", "batch_id"
-            )
-            if targets.dedup:
-                refused = _unseen(refused, targets.quarantine, QUARANTINE_SCHEMA, batch_id)
-                accepted = _unseen(accepted, targets.landing, LANDED_SCHEMA, batch_id)
-            _overwrite_partitions(refused, targets.quarantine, ["batch_id"])
-            accepted = accepted.withColumn("sales_month", F.trunc("order_date", "month"))
-            _overwrite_partitions(accepted, targets.landing, ["sales_month", "batch_id"])
-            if targets.monthly_sales:
-                landed = _landed(spark, targets.landing).filter(F.col("batch_id") == batch_id)
-                months = touched_months(landed)
-                sums = orders_of(clean_orders(landed.select(*ORDER_COLUMNS))).withColumn(
-                    "batch_id", F.lit(batch_id).cast("long")
-                )
-                _overwrite_partitions(sums, targets.orders, ["sales_month", "batch_id"])
-                refresh_monthly_sales(spark, targets.orders, targets.monthly_sales, months)
-        finally:
-            annotated.unpersist()
+        tables = StreamTables(batch.sparkSession, targets.root)
+        base = tables.live()
+        if batch_id <= base.batch:
+            return
+        staged, counts = _stage_batch(tables, base, batch, batch_id, targets.dedup)
+        refused = staged.filter(F.col(REASON).isNotNull()).select(
+            *ORDER_COLUMNS, REASON, F.col("key").alias("message_key"), F.col("value").alias("message_value"),
+            "message_id", "batch_id",
+        )
+        accepted = staged.filter(F.col(REASON).isNull()).select(
+            *[F.col(f"v_{c}").alias(c) for c in ORDER_COLUMNS], "message_id", "batch_id"
+        )
+        known: list[Table] = [LANDING, QUARANTINE, BATCHES]
+        added = {
+            QUARANTINE.name: tables.write(QUARANTINE, refused),
+            LANDING.name: tables.write(LANDING, accepted.withColumn("sales_month", F.trunc("order_date", "month"))),
+            BATCHES.name: tables.write(BATCHES, _one_row(batch.sparkSession, batch_id, counts)),
+        }
+        if targets.dedup:
+            known.append(IDS)
+            added[IDS.name] = tables.write(IDS, staged.select("id", "bucket"))
+        lines = mart_input(clean_orders(accepted.select(*ORDER_COLUMNS)))
+        for name in targets.marts:
+            made = _refresh(tables, base, MartState(name, REVENUE_MARTS[name]), lines, batch_id)
+            known += [table for table, _ in made]
+            added.update({table.name: segment for table, segment in made})
+        tables.commit(batch_id, base, known, added)
+        log.info("batch %d: %s", batch_id, counts)
 
     return run
 
 
-def touched_months(lines: DataFrame) -> list:
-    """Distinct ``sales_month`` values of a micro-batch that have a date.
-
-    Months form a calendar-bounded set, so the list stays small however large the
-    batch; as literals they prune tables partitioned by month.
-    """
-    known = lines.filter(F.col("order_date").isNotNull())
-    return [r.m for r in known.select(F.trunc("order_date", "month").alias("m")).distinct().collect()]
-
-
-def month_in(months: list) -> Column:
-    return F.col("sales_month").isin([m.isoformat() for m in months]) if months else F.lit(False)
-
-
-def refresh_monthly_sales(spark: SparkSession, orders_path: str, mart_path: str, months: list) -> None:
-    """Rebuild the monthly sales rows of ``months`` from the batches' sums per order, and replace just those
-    month partitions of the mart."""
-    if not months or not path_exists(spark, orders_path):
-        return
-    schema = StructType(
-        [
-            StructField("order_id", LongType()),
-            StructField("user_id", LongType()),
-            StructField("order_items", LongType()),
-            StructField("order_cents", LongType()),
-            StructField("sales_month", StringType()),
-            StructField("batch_id", LongType()),
-        ]
+def _stage_batch(
+    tables: StreamTables, base: Version, batch: DataFrame, batch_id: int, dedup: bool
+) -> tuple[DataFrame, dict[str, int]]:
+    """The batch's new messages, decoded and annotated, written once; counts observed while they are written."""
+    read, kept = Observation("read"), Observation("kept")
+    rows = batch.observe(read, F.count(F.lit(1)).alias("n"))
+    if dedup:
+        # The batch itself is read once: it may come out of the stream's own state.
+        rows = unseen(tables.stage(rows), tables, base)
+    annotated = annotate(decode_messages(rows, RAW_SCHEMA))
+    reason = F.when(F.col("corrupt"), F.lit(CORRUPT)).otherwise(F.col(REASON))
+    annotated = annotated.withColumn(REASON, reason).withColumn("batch_id", F.lit(batch_id).cast("long"))
+    refused = F.col(REASON).isNotNull()
+    staged = tables.stage(
+        annotated.observe(kept, F.count_if(~refused).alias("accepted"), F.count_if(refused).alias("rejected"))
     )
-    sums = spark.read.schema(schema).parquet(orders_path).filter(month_in(months))
-    sums = sums.withColumn("sales_month", F.col("sales_month").cast("date"))
-    mart = from_orders(merged_orders(sums), REVENUE_MARTS["monthly_sales"])
-    _overwrite_partitions(conform(mart, "monthly_sales"), mart_path, ["sales_month"])
+    n, accepted, rejected = read.get["n"], kept.get["accepted"], kept.get["rejected"]
+    return staged, dict(zip(COUNTS, (n, n - accepted - rejected, accepted, rejected)))
+
+
+def _one_row(spark: SparkSession, batch_id: int, counts: dict[str, int]) -> DataFrame:
+    return spark.createDataFrame([(batch_id, *(counts[c] for c in COUNTS))], BATCHES.schema)
+
+
+def _refresh(
+    tables: StreamTables, base: Version, state: MartState, lines: DataFrame, batch_id: int
+) -> list[tuple[Table, str]]:
+    """Write what the batch adds to a mart's state, and the mart rows of the keys it touches."""
+    keys, made, merged = list(state.mart.keys), [], {}
+    touched = None
+    for name, rows in state.added(lines).items():
+        table = state_table(state, name, rows)
+        made.append((table, tables.write(table, rows)))
+        own = tables.segment(*made[-1])
+        touched = own.select(*keys).distinct() if touched is None else touched
+        before = tables.read(table, base)
+        if state.mart.per_order:
+            # Months are few: as literals they prune partitions.
+            months = [r[0] for r in touched.collect()]
+            before = before.filter(F.col("sales_month").isin(months) if months else F.lit(False))
+        else:
+            before = before.join(touched, keys, "left_semi")
+        merged[name] = state.merged(name, own.unionByName(before))
+    mart = conform(state.rows(merged), state.name).withColumn("batch_id", F.lit(batch_id).cast("long"))
+    table = mart_table(state.name)
+    return [*made, (table, tables.write(table, mart))]
 
 
 def start_ingest(
@@ -172,6 +232,9 @@ def start_ingest(
     processing_time: str | None = None,
 ) -> StreamingQuery:
     """Start the ingest stream. ``available_now`` drains what is there and stops."""
+    if targets.dedup:
+        known = messages.withColumn("message_id", identity(messages)).withColumn("arrived", F.current_timestamp())
+        messages = known.withWatermark("arrived", RECENT).dropDuplicatesWithinWatermark(["message_id"])
     writer = messages.writeStream.foreachBatch(process_batch(targets)).option("checkpointLocation", checkpoint)
     if available_now:
         writer = writer.trigger(availableNow=True)
@@ -180,43 +243,42 @@ def start_ingest(
     return writer.start()
 
 
-def _landed(spark: SparkSession, landing: str) -> DataFrame:
-    return spark.read.schema(LANDED_SCHEMA).parquet(landing)
+def read_landed(spark: SparkSession, root: str) -> DataFrame:
+    """All accepted lines of committed batches."""
+    return StreamTables(spark, root).read(LANDING).select(*ORDER_COLUMNS)
 
 
-def read_landed(spark: SparkSession, landing: str) -> DataFrame:
-    """All accepted lines; none if no batch accepted any."""
-    if not path_exists(spark, landing):
-        return spark.createDataFrame([], ORDER_SCHEMA)
-    return _landed(spark, landing).select(*ORDER_COLUMNS)
+def read_quarantine(spark: SparkSession, root: str) -> DataFrame:
+    """All refused messages of committed batches, with their text."""
+    return StreamTables(spark, root).read(QUARANTINE)
 
 
-def read_quarantine(spark: SparkSession, quarantine: str) -> DataFrame:
-    """All refused messages with their text; none if no batch refused any."""
-    if not path_exists(spark, quarantine):
-        return spark.createDataFrame([], QUARANTINE_SCHEMA)
-    return spark.read.schema(QUARANTINE_SCHEMA).parquet(quarantine)
+def read_batches(spark: SparkSession, root: str) -> DataFrame:
+    """Per committed batch: messages read, repeats among them, lines accepted and rejected."""
+    return StreamTables(spark, root).read(BATCHES)
 
 
-def read_monthly_sales(spark: SparkSession, mart_path: str) -> DataFrame:
-    return spark.read.parquet(mart_path).withColumn("sales_month", F.col("sales_month").cast("date"))
+def read_mart(spark: SparkSession, root: str, name: str) -> DataFrame:
+    """A mart as of the last committed batch."""
+    table = mart_table(name)
+    return table.merge(StreamTables(spark, root).read(table)).drop("batch_id")
 
 
 def main(argv: list[str] | None = None) -> None:
     parser = argparse.ArgumentParser(description="order-line ingest")
     parser.add_argument("--inbox", required=True, help="folder of message files")
     parser.add_argument("--source", help="order-line CSV to publish to the inbox")
-    parser.add_argument("--out", help="folder of landing, quarantine, mart and checkpoint")
+    parser.add_argument("--out", help="folder of the stream's tables and checkpoint")
     parser.add_argument("--files-per-trigger", type=int, default=None)
     parser.add_argument("--dedup", action="store_true")
+    parser.add_argument("--marts", default=",".join(REVENUE_MARTS), help="marts to keep up to date")
     args = parser.parse_args(argv)
+    logging.basicConfig(level=logging.INFO, format="%(asctime)s %(levelname)s %(message)s")
     spark = build_session()
     if args.source:
         write_message_files(encode_messages(read_order_text(spark, args.source)), args.inbox)
     if args.out:
-        targets = IngestTargets(
-            f"{args.out}/landing", f"{args.out}/quarantine", f"{args.out}/monthly_sales", args.dedup
-        )
+        targets = IngestTargets(f"{args.out}/tables", tuple(m for m in args.marts.split(",") if m), args.dedup)
         stream = message_file_stream(spark, args.inbox, args.files_per_trigger)
         start_ingest(stream, targets, f"{args.out}/checkpoint").awaitTermination()
     spark.stop()

@@ -1,4 +1,5 @@
-"""Streaming ingest equals batch validation; no genuine line is lost; replays add nothing."""
+"""Streaming ingest equals batch work; no genuine line is lost; replays add nothing; a batch is visible whole or not
+at all; the files that readers open stay few."""
 
 from __future__ import annotations
 
@@ -10,13 +11,17 @@ from pyspark.sql import functions as F
 from ordermill.operators import validate
 from ordermill.operators.clean import clean_orders
 from ordermill.operators.marts import REVENUE_MARTS, build
-from ordermill.schema import ORDER_COLUMNS
+from ordermill.schema import ORDER_COLUMNS, RAW_SCHEMA
+from ordermill.session import folders
 from ordermill.sources import files, messages
 from ordermill.sources.contracts import conform
-from ordermill.streaming import ingest
+from ordermill.streaming import commits, ingest
+from ordermill.streaming.commits import StreamTables
 
 from .conftest import FIXTURES
 
+ALL = tuple(REVENUE_MARTS)
+
 
 def _feed(spark):
     """Nine good lines, one of them twice, and two without a quantity."""
@@ -31,31 +36,55 @@ def _messages(spark):
     return messages.encode_messages(_feed(spark)).unionByName(corrupt)
 
 
-def _run(spark, root, replays=1, dedup=False, feed=None):
-    targets = ingest.IngestTargets(f"{root}/landing", f"{root}/quarantine", f"{root}/monthly", dedup=dedup)
+def _drain(spark, root, targets):
+    q = ingest.start_ingest(ingest.message_file_stream(spark, f"{root}/inbox", 3), targets, f"{root}/chk")
+    q.awaitTermination()
+    assert q.exception() is None
+
+
+def _run(spark, root, replays=1, dedup=False, feed=None, marts=("monthly_sales",)):
+    targets = ingest.IngestTargets(f"{root}/tables", marts, dedup)
     for _ in range(replays):
         ingest.write_message_files(feed if feed is not None else _messages(spark), f"{root}/inbox")
-        q = ingest.start_ingest(ingest.message_file_stream(spark, f"{root}/inbox", 3), targets, f"{root}/chk")
-        q.awaitTermination()
-        assert q.exception() is None
-    return targets
+        _drain(spark, root, targets)
+    return targets.root
+
+
+def same(x, y):
+    return x.count() == y.count() and x.exceptAll(y).isEmpty() and y.exceptAll(x).isEmpty()
+
+
+def check_marts(spark, root, accepted, marts):
+    for name in marts:
+        want = conform(build(clean_orders(accepted), REVENUE_MARTS[name]), name)
+        assert same(ingest.read_mart(spark, root, name), want), name
 
 
 @pytest.mark.parametrize("replays,dedup", [(1, False), (1, True), (2, True)])
 def test_stream_equals_batch(spark, scratch, replays, dedup):
-    targets = _run(spark, scratch, replays, dedup)
+    root = _run(spark, scratch, replays, dedup)
     accepted, rejected = validate.validate(_feed(spark))
-    landed = ingest.read_landed(spark, targets.landing)
-    want = accepted.select(*ORDER_COLUMNS)
-    assert landed.count() == 10
-    assert landed.exceptAll(want).isEmpty() and want.exceptAll(landed).isEmpty()
-    refused = ingest.read_quarantine(spark, targets.quarantine)
+    assert same(ingest.read_landed(spark, root), accepted.select(*ORDER_COLUMNS))
+    refused = ingest.read_quarantine(spark, root)
     assert refused.count() == rejected.count() + 2 == 4
     corrupt = refused.filter(F.col(validate.REASON) == ingest.CORRUPT).select("message_key", "message_value").collect()
     assert sorted(map(tuple, corrupt)) == [("9", "not json"), ("9", '{"order_id": "1')]
-    mart = ingest.read_monthly_sales(spark, targets.monthly_sales)
-    want = conform(build(clean_orders(accepted), REVENUE_MARTS["monthly_sales"]), "monthly_sales")
-    assert mart.select(*want.columns).exceptAll(want).isEmpty() and mart.count() == 3
+    check_marts(spark, root, accepted, ["monthly_sales"])
+    counts = ingest.read_batches(spark, root).agg(*[F.sum(c).alias(c) for c in ingest.COUNTS]).first()
+    assert (counts.accepted_lines, counts.rejected_lines) == (10, 4)
+
+
+def test_all_marts_follow_the_batches(spark, scratch):
+    """Lines of one order, product and customer in different batches; a month touched again."""
+    step = ingest.process_batch(ingest.IngestTargets(scratch, ALL))
+    feed = messages.encode_messages(_feed(spark)).collect()
+    parts = [feed[i::3] for i in range(3)]
+    seen = []
+    for n, part in enumerate(parts):
+        step(spark.createDataFrame(part, messages.MESSAGE_SCHEMA), n)
+        seen += part
+        lines = messages.decode_messages(spark.createDataFrame(seen, messages.MESSAGE_SCHEMA), RAW_SCHEMA)
+        check_marts(spark, scratch, validate.validate(lines.select(*ORDER_COLUMNS))[0], ALL)
 
 
 def test_identity_survives_another_publication(spark):
@@ -65,29 +94,143 @@ def test_identity_survives_another_publication(spark):
     assert first.exceptAll(second).isEmpty() and second.exceptAll(first).isEmpty()
 
 
-def test_batch_rerun_is_idempotent(spark, scratch):
-    targets = ingest.IngestTargets(f"{scratch}/landing", f"{scratch}/quarantine", f"{scratch}/monthly", dedup=True)
-    step = ingest.process_batch(targets)
+def test_a_committed_batch_is_not_run_again(spark, scratch):
+    step = ingest.process_batch(ingest.IngestTargets(scratch, ("monthly_sales",), dedup=True))
     step(_messages(spark), 0)
-    step(_messages(spark), 0)  # the same batch id again after a failure
-    assert ingest.read_landed(spark, targets.landing).count() == 10
-    assert ingest.read_quarantine(spark, targets.quarantine).count() == 4
-    assert ingest.read_monthly_sales(spark, targets.monthly_sales).agg(F.sum("item_count")).first()[0] == 28
+    step(_messages(spark), 0)  # the same batch id again: committed, but not known to the checkpoint
+    step(_messages(spark), 1)  # a replay
+    assert ingest.read_landed(spark, scratch).count() == 10
+    assert ingest.read_quarantine(spark, scratch).count() == 4
+    assert ingest.read_mart(spark, scratch, "monthly_sales").agg(F.sum("item_count")).first()[0] == 28
+    counts = [tuple(r) for r in ingest.read_batches(spark, scratch).orderBy("batch_id").collect()]
+    assert counts == [(0, 14, 0, 10, 4), (1, 14, 14, 0, 0)]
+
+
+@pytest.mark.parametrize("lost", ["landing", "customer_metrics_sets", "commit"])
+def test_a_crash_leaves_readers_on_the_batch_before(spark, scratch, monkeypatch, lost):
+    marts = ("customer_metrics",)
+    step = ingest.process_batch(ingest.IngestTargets(scratch, marts, dedup=True))
+    rows = _messages(spark).collect()
+    frames = [spark.createDataFrame(part, messages.MESSAGE_SCHEMA) for part in (rows[:7], rows[7:])]
+    step(frames[0], 0)
+
+    def visible():
+        read = [ingest.read_landed, ingest.read_quarantine, ingest.read_batches]
+        out = [sorted(map(str, f(spark, scratch).collect())) for f in read]
+        return out + [sorted(map(str, ingest.read_mart(spark, scratch, m).collect())) for m in marts]
+
+    before, write = visible(), StreamTables.write
+
+    def broken(self, table, rows):
+        segment = write(self, table, rows)
+        if table.name == lost:
+            raise OSError("lost")
+        return segment
+
+    if lost == "commit":
+        monkeypatch.setattr(StreamTables, "_merged", lambda *a: (_ for _ in ()).throw(OSError("lost")))
+    else:
+        monkeypatch.setattr(StreamTables, "write", broken)
+    with pytest.raises(OSError):
+        step(frames[1], 1)
+    assert visible() == before
+    monkeypatch.undo()
+    step(frames[1], 1)
+    assert ingest.read_landed(spark, scratch).count() == 10
+    accepted, _ = validate.validate(_feed(spark))
+    check_marts(spark, scratch, accepted, marts)
+    # What the crash left is gone, and so is the staged batch.
+    live = StreamTables(spark, scratch).live()
+    for name in folders(spark, scratch):
+        if name != commits.LOG:
+            assert len(folders(spark, f"{scratch}/{name}")) == len(live.of(name)), name
+
+
+def test_few_files_after_many_batches(spark, scratch, monkeypatch):
+    monkeypatch.setattr(commits, "FANOUT", 3)
+    step = ingest.process_batch(ingest.IngestTargets(scratch, ("top_products",), dedup=True))
+    line = files.read_order_text(spark, os.path.join(FIXTURES, "shop_lines.csv")).filter("order_id = '504'").first()
+    most = 0
+    for n in range(12):
+        text = spark.createDataFrame([{**line.asDict(), "order_id": str(n), "order_date": "2025-01-03"}], RAW_SCHEMA)
+        step(messages.encode_messages(text), n)
+        if n % 4 == 3:
+            landed = ingest.read_landed(spark, scratch)
+            most = max(most, len(landed.inputFiles()))
+            assert sorted(r.order_id for r in landed.collect()) == list(range(n + 1))
+    # At most FANOUT - 1 segments of each level, with a file per month.
+    assert most <= 6
+    live = StreamTables(spark, scratch).live()
+    assert all(len(live.of(t)) <= 6 for t in ("landing", "ids", "top_products", "top_products_sums", "top_products_sets"))
+    assert len(folders(spark, f"{scratch}/commits")) == commits.KEPT
+    mart = ingest.read_mart(spark, scratch, "top_products").first()
+    assert (mart.order_count, mart.total_quantity) == (12, 12 * int(line.quantity))
+    step(messages.encode_messages(text), 12)  # an old message after merges
+    assert ingest.read_landed(spark, scratch).count() == 12
+
+
+def test_the_index_is_read_in_the_buckets_that_are_hit(spark, scratch):
+    step = ingest.process_batch(ingest.IngestTargets(scratch, dedup=True))
+    many = spark.range(400).select(F.lit("1").alias("key"), F.lit("{}").alias("value"), F.col("id").cast("string").alias("message_id"))
+    step(many, 0)
+    tables = StreamTables(spark, scratch)
+    version = tables.live()
+    few = many.filter("message_id in ('3', '77')")
+    hit = {r.bucket for r in ingest.with_bucket(few.withColumn("id", ingest.id_column())).collect()}
+    index = ingest.indexed(tables, version, sorted(hit))
+    plan = index._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [" in plan and "bucket" in plan.split("PartitionFilters: [")[1].split("]")[0]
+    read = {int(f.split("bucket=")[1].split("/")[0]) for f in index.select(F.input_file_name().alias("f")).distinct().toPandas()["f"]}
+    assert read == hit and len(hit) < ingest.ID_BUCKETS
+    assert ingest.unseen(few, tables, version).count() == 0
+
+
+def test_replay_across_restarts(spark, scratch):
+    """The state of the stream is lost with its checkpoint; the index is not."""
+    targets = ingest.IngestTargets(f"{scratch}/tables", (), dedup=True)
+    for _ in range(2):
+        ingest.write_message_files(_messages(spark), f"{scratch}/inbox")
+        _drain(spark, scratch, targets)
+    step = ingest.process_batch(targets)
+    step(_messages(spark), 99)
+    assert ingest.read_landed(spark, targets.root).count() == 10
+    assert ingest.read_quarantine(spark, targets.root).count() == 4
 
 
 def test_every_line_rejected(spark, scratch):
     feed = messages.encode_messages(_feed(spark).withColumn("quantity", F.lit("none")))
-    targets = _run(spark, scratch, feed=feed)
-    assert ingest.read_landed(spark, targets.landing).count() == 0
-    assert ingest.read_quarantine(spark, targets.quarantine).count() == 12
+    root = _run(spark, scratch, feed=feed, marts=ALL)
+    assert ingest.read_landed(spark, root).count() == 0
+    assert ingest.read_quarantine(spark, root).count() == 12
+    assert all(ingest.read_mart(spark, root, m).count() == 0 for m in ALL)
 
 
 def test_few_landing_files(spark, scratch):
-    targets = ingest.IngestTargets(f"{scratch}/landing", f"{scratch}/quarantine")
-    ingest.process_batch(targets)(_messages(spark).repartition(16), 0)
-    folder = targets.landing.removeprefix("file:")
-    found = [f for _, _, names in os.walk(folder) for f in names if f.endswith(".parquet")]
-    assert len(found) <= 3
+    ingest.process_batch(ingest.IngestTargets(scratch))(_messages(spark).repartition(16), 0)
+    assert len(ingest.read_landed(spark, scratch).inputFiles()) <= 3
+
+
+def test_nothing_to_read_before_the_first_batch(spark, scratch):
+    assert ingest.read_landed(spark, scratch).count() == ingest.read_quarantine(spark, scratch).count() == 0
+    assert ingest.read_mart(spark, scratch, "top_products").count() == 0
+
+
+@pytest.mark.parametrize(
+    "text,corrupt",
+    [
+        ('{"order_id": "1"}', False), (' {"order_id": "1", "aisle": "]}"}\n', False), ("{}", False),
+        ('{"order_id": "1"} trailing', True), ('{"order_id": "1"}{"order_id": "2"}', True),
+        ('{"order_id": "1"},{"order_id": "2"}', True), ('{"order_id": "1"} {"order_id": "2"}', True),
+        ('{"order_id": "1"}] x', True), ('{"order_id": "1"}} x', True), ('{"order_id": "1"}}', True),
+        ('{"order_id": "1"},"b": 2', True), ('{"order_id": "1"', True), ('[{"order_id": "1"}]', True), ('"x"', True),
+        ("", True), (None, True),
+    ],
+)
+def test_messages_hold_one_object(spark, text, corrupt):
+    rows = spark.createDataFrame([("k", text, "m")], messages.MESSAGE_SCHEMA)
+    got = messages.decode_messages(rows, RAW_SCHEMA).first()
+    assert got.corrupt is corrupt and got.value == text
+    assert got.order_id == (None if corrupt or text == "{}" else "1")
 
 
 def test_publish_and_ingest_from_the_command_line(spark, scratch, monkeypatch):
@@ -95,4 +238,5 @@ def test_publish_and_ingest_from_the_command_line(spark, scratch, monkeypatch):
     monkeypatch.setattr(type(spark), "stop", lambda self: None)
     ingest.main(["--inbox", f"{scratch}/in", "--source", os.path.join(FIXTURES, "shop_lines.csv")])
     ingest.main(["--inbox", f"{scratch}/in", "--out", f"{scratch}/out", "--dedup"])
-    assert ingest.read_landed(spark, f"{scratch}/out/landing").count() == 9
+    assert ingest.read_landed(spark, f"{scratch}/out/tables").count() == 9
+    assert ingest.read_mart(spark, f"{scratch}/out/tables", "category_performance").count() == 3
