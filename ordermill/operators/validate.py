@@ -1,6 +1,8 @@
 """Row validation of text order lines: accept with typed columns or reject with a reason.
 
 Rules, first failing rule wins:
+  0. a row read from CSV has too few or too many cells, or a quote that is never closed
+                                          -> ``malformed_row``
   1. a required field is NULL or empty   -> ``missing_required:<fields>`` (all missing, sorted)
   2. quantity not an integer, or unit_price not a decimal number -> ``invalid_numeric``
   3. quantity <= 0 or unit_price < 0     -> ``out_of_range``
@@ -17,11 +19,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.parse import blank, parse_date, parse_decimal, parse_int, parse_long, parse_truncated_int
-from ..schema import ORDER_COLUMNS, REQUIRED_AT_INGEST
+from ..schema import CORRUPT_ROW, ORDER_COLUMNS, REQUIRED_AT_INGEST
 
 REASON = "reject_reason"
 
 # Reason codes (fixed values).
+MALFORMED = "malformed_row"
 MISSING = "missing_required:"
 INVALID_NUMERIC = "invalid_numeric"
 OUT_OF_RANGE = "out_of_range"
@@ -70,7 +73,10 @@ def annotate(raw: DataFrame) -> DataFrame:
     typed = typed_columns()
     with_typed = raw.select("*", *[expr.alias(f"v_{name}") for name, expr in typed.items()])
     # The reason refers to the typed columns by name, so each text is parsed once.
-    return with_typed.withColumn(REASON, reject_reason({name: F.col(f"v_{name}") for name in typed}))
+    reason = reject_reason({name: F.col(f"v_{name}") for name in typed})
+    if CORRUPT_ROW in raw.columns:
+        reason = F.when(F.col(CORRUPT_ROW).isNotNull(), F.lit(MALFORMED)).otherwise(reason)
+    return with_typed.withColumn(REASON, reason)
 
 
 def _carried(frame: DataFrame) -> list[str]:
@@ -96,8 +102,9 @@ def validate(raw: DataFrame) -> tuple[DataFrame, DataFrame]:
     return accepted(annotated), rejected(annotated)
 
 
-def reject_summary(rejected_lines: DataFrame) -> DataFrame:
-    return rejected_lines.groupBy(REASON).agg(F.count(F.lit(1)).alias("rejected_lines"))
+def reject_summary(rejected_lines: DataFrame, by: tuple[str, ...] = ()) -> DataFrame:
+    """Rejected lines by reason, and by further columns, such as the file they came from."""
+    return rejected_lines.groupBy(REASON, *by).agg(F.count(F.lit(1)).alias("rejected_lines"))
 
 
 def ingest_counts(annotated: DataFrame) -> DataFrame:

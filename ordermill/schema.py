@@ -47,6 +47,9 @@ REQUIRED_AT_INGEST = [
 # Fields a cleaned line must carry (fixed values).
 REQUIRED_IN_CLEAN = ["order_id", "user_id", "product_id", "quantity", "unit_price", "order_date"]
 
+#: Raw text of a CSV row that has too few or too many cells, or a quote that is never closed; NULL for whole rows.
+CORRUPT_ROW = "corrupt_row"
+
 RAW_SCHEMA = StructType([StructField(c, StringType(), True) for c in ORDER_COLUMNS])
 
 #: Prices: 20 digits before the point, 6 after. A larger price is no price (validation rejects it, cleaning drops

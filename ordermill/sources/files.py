@@ -2,36 +2,97 @@
 
 from __future__ import annotations
 
+import csv
+
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import LongType, StringType, StructField, StructType
 
 from ..operators.baskets import require_unique
 from ..operators.validate import typed_columns
-from ..schema import BASKET_FILES, ORDER_COLUMNS
+from ..schema import BASKET_FILES, CORRUPT_ROW, ORDER_COLUMNS, RAW_SCHEMA
+from .records import PLACE, SOURCE_BLOCK, SOURCE_FILE, records
 
 # Quotes inside a quoted cell are doubled ("say ""hi"""), as spreadsheet tools write them.
 CSV_OPTIONS = {"header": "true", "quote": '"', "escape": '"', "inferSchema": "false", "mode": "PERMISSIVE"}
 
+#: Different headers that the files of one read may have.
+MAX_HEADERS = 100
 
-def read_order_text(spark: SparkSession, path: str, multi_line: bool = False) -> DataFrame:
-    """Order lines as text, columns bound by header name; absent columns are NULL.
 
-    ``multi_line`` allows line breaks inside quoted cells but makes each file one split.
+def _text_schema(columns: list[str]) -> StructType:
+    return StructType([*(StructField(c, StringType()) for c in columns), StructField(CORRUPT_ROW, StringType())])
+
+
+def read_order_rows(spark: SparkSession, path: str, multi_line: bool = False) -> DataFrame:
+    """Order lines as text with ``corrupt_row``, ``source_file`` and ``source_block`` (first byte of the split a row
+    was read in). A row with too few or too many cells has its cells as far as they go and its whole text in
+    ``corrupt_row``; validation rejects it.
+
+    ``multi_line`` allows line breaks inside quoted cells. Files are read in splits
+    either way (``records``), and files may then differ in their headers.
     """
-    raw = spark.read.options(**CSV_OPTIONS).option("multiLine", str(multi_line).lower()).csv(path)
-    present = set(raw.columns)
-    return raw.select(
-        *[(F.col(c) if c in present else F.lit(None).cast("string")).alias(c) for c in ORDER_COLUMNS]
+    if multi_line:
+        return _split_records(spark, path)
+    header = spark.read.options(**CSV_OPTIONS).csv(path).columns
+    # A pruned scan would not count the cells of a row.
+    whole = {"columnNameOfCorruptRecord": CORRUPT_ROW, "columnPruning": "false"}
+    reader = spark.read.options(**CSV_OPTIONS, **whole)
+    # A header cell that names the capture column itself would be taken for it.
+    if CORRUPT_ROW in header:
+        raise ValueError(f"{path}: a column is named {CORRUPT_ROW}")
+    rows = reader.schema(_text_schema(header)).csv(path)
+    source = [F.col("_metadata.file_path").alias(SOURCE_FILE), F.col("_metadata.file_block_start").alias(SOURCE_BLOCK)]
+    return rows.select(
+        *[(F.col(c) if c in header else F.lit(None).cast("string")).alias(c) for c in ORDER_COLUMNS],
+        CORRUPT_ROW,
+        *source,
     )
 
 
+def _split_records(spark: SparkSession, path: str) -> DataFrame:
+    found = records(spark, path)
+    # The first record of a file is its header: one short row per file, few different ones.
+    place = F.struct(SOURCE_BLOCK, PLACE)
+    first = found.groupBy(SOURCE_FILE).agg(F.min_by(F.struct("record", PLACE), place).alias("header"))
+    headers = [r.record for r in first.select("header.record").distinct().limit(MAX_HEADERS + 1).collect()]
+    if len(headers) > MAX_HEADERS:
+        raise ValueError(f"{path}: more than {MAX_HEADERS} different headers")
+    rows = found.join(first, SOURCE_FILE).filter((F.col(PLACE) != F.col("header")[PLACE]) & (F.col("record") != ""))
+    options = {k: v for k, v in CSV_OPTIONS.items() if k != "header"} | {"columnNameOfCorruptRecord": CORRUPT_ROW}
+    parsed = None
+    for header in headers:
+        columns = next(csv.reader([header]))
+        ddl = ", ".join(f"`{c}` string" for c in [*columns, CORRUPT_ROW])
+        cells = F.from_csv("record", ddl, {**options, "multiLine": "true"})
+        own = rows.filter(F.col("header.record") == header).withColumn("cells", F.when(~F.col("open"), cells))
+        part = own.select(
+            *[(F.col(f"cells.`{c}`") if c in columns else F.lit(None).cast("string")).alias(c) for c in ORDER_COLUMNS],
+            F.when(F.col("open"), F.col("record")).otherwise(F.col(f"cells.{CORRUPT_ROW}")).alias(CORRUPT_ROW),
+            SOURCE_FILE,
+            SOURCE_BLOCK,
+        )
+        parsed = part if parsed is None else parsed.unionByName(part)
+    if parsed is None:
+        schema = StructType([*RAW_SCHEMA.fields, *_text_schema([]).fields]).add(SOURCE_FILE, StringType())
+        return spark.createDataFrame([], schema.add(SOURCE_BLOCK, LongType()))
+    return parsed
+
+
+def read_order_text(spark: SparkSession, path: str, multi_line: bool = False) -> DataFrame:
+    """Order lines as text, columns bound by header name; absent columns are NULL. Rows of the wrong number of cells
+    come as far as they go: ``read_order_rows`` names them."""
+    return read_order_rows(spark, path, multi_line).select(*ORDER_COLUMNS)
+
+
 def read_order_csv(spark: SparkSession, path: str, multi_line: bool = False) -> DataFrame:
-    """Typed order lines; a cell that does not parse becomes NULL (the cleaning step drops it)."""
-    text = read_order_text(spark, path, multi_line)
+    """Typed order lines of the whole rows; a cell that does not parse becomes NULL (cleaning drops and counts the
+    line), and so do all cells of a row that is no whole row."""
+    rows = read_order_rows(spark, path, multi_line)
     typed = typed_columns()
-    return text.select(*[typed[c].alias(c) for c in ORDER_COLUMNS])
+    whole = F.col(CORRUPT_ROW).isNull()
+    return rows.select(*[F.when(whole, typed[c]).alias(c) for c in ORDER_COLUMNS])
 
 
 def write_csv(df: DataFrame, path: str, fields: list[str] | None = None) -> None:
