@@ -4,7 +4,7 @@ aisles, departments), which carry no prices: every order product counts as one i
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.parse import blank, parse_truncated_int
@@ -13,6 +13,11 @@ from .running import blocked_running_sum
 # First order date of every customer's reconstructed calendar (fixed value).
 CALENDAR_START = "2025-01-01"
 
+# Longest gap between two orders that counts as one, in days, and last day of the calendar.
+MAX_GAP_DAYS = 3660
+LAST_DAY = "9999-12-31"
+
+# Columns of a resolved basket line (fixed values of the input format, with the calendar's columns).
 LINE_COLUMNS = [
     "split", "order_id", "user_id", "eval_set", "product_id", "product_name", "aisle", "department",
     "reordered", "order_date", "sales_month",
@@ -21,26 +26,29 @@ LINE_COLUMNS = [
 
 def with_gap_days(orders: DataFrame) -> DataFrame:
     """Adds ``gap_days``: whole days (decimals truncated) from the customer's order before, 0 on the first order
-    and where no gap is given, NULL where a gap is given that is no number. Gaps may be text or numbers."""
+    and where no gap is given, NULL where a gap is given that is no number from 0 to MAX_GAP_DAYS. Gaps may be text
+    or numbers."""
     text = F.col("days_since_prior_order").cast("string")
+    days = parse_truncated_int(text)
     return orders.withColumn(
         "gap_days",
-        F.when((F.col("order_number") == 1) | blank(F.trim(text)), F.lit(0)).otherwise(parse_truncated_int(text)),
+        F.when((F.col("order_number") == 1) | blank(F.trim(text)), F.lit(0)).when(days.between(0, MAX_GAP_DAYS), days),
     )
 
 
 def unreadable_gaps(orders: DataFrame) -> DataFrame:
-    """Orders whose gap is given but is no number: the dates of that customer's later orders rest on it."""
+    """Orders whose gap is given but is no number of days that can be: the dates of that customer's later orders
+    rest on it."""
     return with_gap_days(orders).filter(F.col("gap_days").isNull()).drop("gap_days")
 
 
 def order_calendar(orders: DataFrame) -> DataFrame:
     """Rebuild each order's date from day gaps: every customer starts on CALENDAR_START and each later order
     adds its gap, in order_number order. An unreadable gap adds nothing; ``unreadable_gaps`` reports them,
-    and ``check_references`` callers treat them as faults."""
+    and ``check_references`` callers treat them as faults. A date after LAST_DAY is NULL; lines of such an order are
+    orphans."""
     with_gap = with_gap_days(orders).withColumn("gap_days", F.coalesce("gap_days", F.lit(0)))
     summed = blocked_running_sum(with_gap, ["user_id"], "order_number", ["order_id"], "gap_days", "day")
-    order_date = F.date_add(F.lit(CALENDAR_START).cast("date"), F.col("day").cast("int"))
     return summed.select(
         "order_id",
         "user_id",
@@ -48,11 +56,18 @@ def order_calendar(orders: DataFrame) -> DataFrame:
         "order_number",
         "order_dow",
         "order_hour_of_day",
-        order_date.alias("order_date"),
-        F.trunc(order_date, "month").alias("sales_month"),
+        calendar_date(F.col("day")).alias("order_date"),
+        F.trunc(calendar_date(F.col("day")), "month").alias("sales_month"),
     )
 
 
+def calendar_date(day: Column) -> Column:
+    """The date that many days after CALENDAR_START, NULL after LAST_DAY."""
+    start = F.lit(CALENDAR_START).cast("date")
+    fits = day <= F.datediff(F.lit(LAST_DAY).cast("date"), start)
+    return F.when(fits, F.date_add(start, F.when(fits, day).cast("int")))
+
+
 def union_order_products(prior: DataFrame, train: DataFrame) -> DataFrame:
     """Both order-product files as one frame with a ``split`` column."""
     return prior.withColumn("split", F.lit("prior")).unionByName(train.withColumn("split", F.lit("train")))
@@ -87,20 +102,25 @@ def named_products(products: DataFrame, aisles: DataFrame, departments: DataFram
 
 def resolved_lines(order_products: DataFrame, calendar: DataFrame, named: DataFrame) -> DataFrame:
     """Order products of known orders (others are skipped), with calendar, names and ``missing``: the reference
-    (product, department or aisle) that does not resolve, NULL where all do. No line is lost on the way."""
+    (product, department, aisle or a date within the calendar) that does not resolve, NULL where all do. No line is lost on the way."""
     known = named.withColumn("has_product", F.lit(True))
     return (
         order_products.join(
             calendar.select("order_id", "user_id", "eval_set", "order_date", "sales_month"), "order_id"
         )
         .join(known, "product_id", "left")
-        .withColumn("missing", F.when(F.col("has_product").isNull(), F.lit("product")).otherwise(F.col("missing")))
+        .withColumn(
+            "missing",
+            F.when(F.col("has_product").isNull(), F.lit("product"))
+            .when(F.col("missing").isNotNull(), F.col("missing"))
+            .when(F.col("order_date").isNull(), F.lit("order_date")),
+        )
         .select(*LINE_COLUMNS, "missing")
     )
 
 
 def orphan_lines(resolved: DataFrame) -> DataFrame:
-    """Lines with an unknown product, department or aisle, and which of them."""
+    """Lines with an unknown product, department, aisle or date, and which of them."""
     return resolved.filter(F.col("missing").isNotNull()).select(
         "split", "order_id", "product_id", F.col("missing").alias("missing_reference")
     )

@@ -3,10 +3,15 @@
 Lines are written once, as Parquet partitioned by month under the shared folder
 (``spark.checkpoint.dir``), and every mart reads that table: a lost executor
 re-reads Parquet instead of re-running reads and joins, and each mart prunes to
-its columns. The stage is replaced as a whole and removed at the end. A mart's
-contract is checked before anything of it is written.
+its columns. What was read, kept and lost, by reason, is observed while the stage
+is written; the source is read once.
 
-usage: python -m ordermill.plans.batch --source PATH [--format csv|parquet]
+Marts are built side by side in pools of their own and staged, all contracts are
+checked, and only then is anything published: a fault in one mart publishes none.
+The Parquet sink publishes all marts of a run with one commit, so readers see one
+run's marts together. The stages are removed at the end.
+
+usage: python -m ordermill.plans.batch --source PATH [--format csv|parquet] [--multi-line]
                                       [--sink parquet|csv|jdbc] [--out DIR] [--marts a,b]
        python -m ordermill.plans.batch --baskets FOLDER [--lenient] [--sink parquet|csv] [--out DIR]
 """
@@ -16,79 +21,122 @@ from __future__ import annotations
 import argparse
 import logging
 from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark import inheritable_thread_target
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import baskets
-from ..operators.clean import clean_orders, mart_input
-from ..operators.marts import ALL_MARTS, BASKET_MARTS, REVENUE_MARTS, build, present
+from ..operators.clean import LINE_RULES, clean_orders, exact_prices, line_counts, mart_input
+from ..operators.marts import ALL_MARTS, BASKET_MARTS, REVENUE_MARTS, build, money, present
 from ..session import build_session, remove_path, work_path
 from ..sources import contracts, files, jdbc
+from ..streaming.commits import StreamTables, Table, Version
 
 log = logging.getLogger("ordermill.batch")
 
-Sink = Callable[[str, DataFrame], None]
+#: Takes all tables of a run, after every contract held.
+Sink = Callable[[dict[str, DataFrame]], None]
+#: Marts that are built at a time.
+AT_ONCE = 4
+
+
+def published_table(name: str, mart: DataFrame | None = None) -> Table:
+    return Table(name, mart.schema if mart is not None else None, lambda rows: rows)
 
 
 def parquet_sink(root: str) -> Sink:
-    def write(name: str, mart: DataFrame) -> None:
-        contracts.stamp(mart).write.mode("overwrite").parquet(f"{root}/{name}")
+    """One commit for all tables of a run; ``read_published`` reads those of the last one."""
+
+    def write(tables: dict[str, DataFrame]) -> None:
+        spark = next(iter(tables.values())).sparkSession
+        store = StreamTables(spark, root)
+        stamped = {name: contracts.stamp(table) for name, table in tables.items()}
+        added = {name: store.write(published_table(name, table), table) for name, table in stamped.items()}
+        last = store.live().batch
+        # Only this run's tables are live: a table it does not have is no longer published.
+        store.commit(last + 1, Version(last), [], added)
 
     return write
 
 
+def read_published(spark: SparkSession, root: str, name: str) -> DataFrame:
+    """A table of the last published run."""
+    store = StreamTables(spark, root)
+    segments = store.live().of(name)
+    if not segments:
+        raise ValueError(f"{root}: no table {name} is published")
+    return spark.read.parquet(*[f"{store.root}/{s}" for s in segments])
+
+
 def csv_sink(root: str) -> Sink:
-    """A CSV folder per mart, in the mart's display order: its files, by name, follow each other."""
+    """A CSV folder per table, marts in their display order: their files, by name, follow each other."""
 
-    def write(name: str, mart: DataFrame) -> None:
-        files.write_csv(present(name, mart) if name in ALL_MARTS else mart, f"{root}/{name}")
+    def write(tables: dict[str, DataFrame]) -> None:
+        for name, table in tables.items():
+            files.write_csv(present(name, table) if name in ALL_MARTS else table, f"{root}/{name}")
 
     return write
 
 
 def jdbc_sink(conn: dict[str, str] | None = None) -> Sink:
-    def write(name: str, mart: DataFrame) -> None:
-        jdbc.write_jdbc(mart, name, conn)
+    def write(tables: dict[str, DataFrame]) -> None:
+        for name, table in tables.items():
+            jdbc.write_jdbc(table, name, conn)
 
     return write
 
 
-def _write_marts(staged: DataFrame, names: list[str], sink: Sink, stage: str) -> dict[str, int]:
-    """Build each mart from staged lines, check it, write it; rows per mart."""
-    spark = staged.sparkSession
-    rows = {}
-    for name in names:
-        log.info("building mart %s", name)
-        mart = build(staged, ALL_MARTS[name])
-        path = f"{stage}-{name}"
-        try:
-            if name in REVENUE_MARTS:
-                contracts.conform(mart, name).write.mode("overwrite").parquet(path)
-                mart = spark.read.parquet(path)
-                rows[name] = contracts.require_contract(mart, name)
-            sink(name, mart)
-        finally:
-            remove_path(spark, path)
-    return rows
+def _staged_mart(lines: DataFrame, name: str, stage: str) -> tuple[DataFrame, int]:
+    """A mart written below ``stage``, once its contract holds, and its rows."""
+    spark = lines.sparkSession
+    spark.sparkContext.setLocalProperty("spark.scheduler.pool", name)
+    log.info("building mart %s", name)
+    mart = build(lines, ALL_MARTS[name])
+    if name in REVENUE_MARTS:
+        mart = contracts.conform(mart, name)
+    rows = Observation(name)
+    path = f"{stage}/{name}"
+    mart.observe(rows, F.count(F.lit(1)).alias("n")).write.parquet(path)
+    written = spark.read.parquet(path)
+    return written, contracts.require_contract(written, name) if name in REVENUE_MARTS else rows.get["n"]
+
+
+def _staged_marts(lines: DataFrame, names: list[str], stage: str) -> tuple[dict[str, DataFrame], dict[str, int]]:
+    """All marts, built side by side; fails if any breaks its contract."""
+    with ThreadPoolExecutor(AT_ONCE) as pool:
+        spark = lines.sparkSession
+        one = inheritable_thread_target(spark)(_staged_mart)
+        running = {name: pool.submit(one, lines, name, stage) for name in names}
+    done = {name: job.result() for name, job in running.items()}
+    return {name: mart for name, (mart, _) in done.items()}, {name: rows for name, (_, rows) in done.items()}
 
 
 def run_batch(spark: SparkSession, lines: DataFrame, sink: Sink, marts: list[str] | None = None) -> dict[str, object]:
-    """Clean ``lines`` once and write each requested mart through ``sink``.
+    """Clean ``lines`` once and publish the requested marts through ``sink``, all or none.
 
-    Returns lines read, kept and dropped by cleaning, revenue, and rows per mart.
+    Returns lines read, kept and dropped by cleaning, dropped lines by reason, revenue, and rows per mart.
     """
     stage = work_path(spark, "cleaned")
+    read, kept = Observation("read"), Observation("kept")
     try:
-        files.write_landing(mart_input(clean_orders(lines)), stage, only_present=False)
-        staged = files.read_landing(spark, stage)
-        kept = staged.agg(F.count(F.lit(1)).alias("n"), F.sum("line_revenue").alias("revenue")).first()
-        read = lines.count()
+        cleaned = mart_input(clean_orders(exact_prices(lines).observe(read, *line_counts())))
+        total = money(F.sum("line_revenue")).alias("revenue")
+        cleaned = cleaned.observe(kept, F.count(F.lit(1)).alias("lines"), total)
+        files.write_landing(cleaned, f"{stage}/lines", only_present=False)
+        staged = files.read_landing(spark, f"{stage}/lines")
+        seen, clean = read.get, kept.get
         metrics = {
-            "lines": read, "clean_lines": kept.n, "dropped_lines": read - kept.n, "clean_revenue": kept.revenue,
-        }
+            "lines": seen["lines"],
+            "clean_lines": clean["lines"],
+            "dropped_lines": seen["lines"] - clean["lines"],
+            "dropped_by_reason": {r: seen[r] for r in LINE_RULES if seen[r]},
+            "clean_revenue": clean["revenue"],
+        }
         log.info("cleaned lines: %s", metrics)
-        metrics["marts"] = _write_marts(staged, marts or list(REVENUE_MARTS), sink, stage)
+        built, metrics["marts"] = _staged_marts(staged, marts or list(REVENUE_MARTS), f"{stage}/marts")
+        sink(built)
     finally:
         remove_path(spark, stage)
     return metrics
@@ -123,19 +171,19 @@ def basket_tables(files_by_name: dict[str, DataFrame]) -> dict[str, DataFrame]:
 def run_baskets(
     spark: SparkSession, tables: dict[str, DataFrame], sink: Sink, strict: bool = True, marts: list[str] | None = None
 ) -> dict[str, object]:
-    """Resolve the basket lines and write each basket mart through ``sink``.
+    """Resolve the basket lines and publish the basket marts through ``sink``, all or none.
 
     ``strict`` fails on unknown references and unreadable gaps; otherwise these
     lines and orders are written through ``sink`` as well, under their own names.
     """
     stage = work_path(spark, "basket-lines")
     try:
-        parts = stage_basket_lines(spark, tables, stage, strict)
+        parts = stage_basket_lines(spark, tables, f"{stage}/lines", strict)
         metrics: dict[str, object] = {name: part.count() for name, part in parts.items()}
-        if not strict:
-            for name in ("orphan_lines", "unreadable_gaps"):
-                sink(name, parts[name])
-        _write_marts(baskets.mart_input(parts["lines"]), marts or list(BASKET_MARTS), sink, stage)
+        lines = baskets.mart_input(parts["lines"])
+        built, _ = _staged_marts(lines, marts or list(BASKET_MARTS), f"{stage}/marts")
+        left = {} if strict else {name: parts[name] for name in ("orphan_lines", "unreadable_gaps")}
+        sink({**built, **left})
     finally:
         remove_path(spark, stage)
     log.info("baskets: %s", metrics)
@@ -148,6 +196,7 @@ def main(argv: list[str] | None = None) -> None:
     parser.add_argument("--baskets", help="folder with the six normalised basket files")
     parser.add_argument("--lenient", action="store_true", help="quarantine unknown references instead of failing")
     parser.add_argument("--format", choices=["csv", "parquet"], default="csv")
+    parser.add_argument("--multi-line", action="store_true", help="line breaks inside quoted CSV cells")
     parser.add_argument("--sink", choices=["parquet", "csv", "jdbc"], default="parquet")
     parser.add_argument("--out", default=None, help="output folder for parquet/csv sinks")
     parser.add_argument("--marts", default=None, help="comma-separated subset")
@@ -165,8 +214,11 @@ def main(argv: list[str] | None = None) -> None:
         metrics = run_baskets(spark, tables, sink, not args.lenient, chosen)
     else:
         files.require_sources(spark, [args.source], args.format)
-        read = files.read_order_csv if args.format == "csv" else lambda s, path: s.read.parquet(path)
-        metrics = run_batch(spark, read(spark, args.source), sink, chosen)
+        if args.format == "csv":
+            lines = files.read_order_csv(spark, args.source, args.multi_line)
+        else:
+            lines = spark.read.parquet(args.source)
+        metrics = run_batch(spark, lines, sink, chosen)
     log.info("batch finished: %s", metrics)
     spark.stop()
 

@@ -137,7 +137,8 @@ rw AS (
          ELSE CAST(quantity AS VARCHAR) END AS quantity,
     CASE WHEN order_id % 23 = 0 THEN 'abc' WHEN order_id % 37 = 0 THEN '-1' WHEN order_id % 59 = 0 THEN 'NaN'
          WHEN order_id % 61 = 0 THEN 'Infinity' WHEN order_id % 73 = 0 THEN '1e3' WHEN order_id % 79 = 0 THEN '5.'
-         WHEN order_id % 101 = 0 THEN '1000000000000.5'
+         WHEN order_id % 101 = 0 THEN '1000000000000.5' WHEN order_id % 103 = 0 THEN '100000000000000000.25'
+         WHEN order_id % 107 = 0 THEN '1e21'
          ELSE CAST(CAST(unit_price AS DECIMAL(12,2)) AS VARCHAR) END AS unit_price,
     CASE WHEN order_id % 47 = 0 THEN '' ELSE CAST(reordered AS VARCHAR) END AS reordered,
     CASE WHEN order_id % 31 = 0 THEN 'notadate'
@@ -155,6 +156,7 @@ rw AS (
     CASE WHEN order_id % 23 = 0 THEN NULL WHEN order_id % 37 = 0 THEN -1 WHEN order_id % 59 = 0 THEN NULL
          WHEN order_id % 61 = 0 THEN NULL WHEN order_id % 73 = 0 THEN 1000 WHEN order_id % 79 = 0 THEN 5
          WHEN order_id % 101 = 0 THEN 1000000000000.5
+         WHEN order_id % 103 = 0 THEN CAST('100000000000000000.25' AS DECIMAL(26,6)) WHEN order_id % 107 = 0 THEN NULL
          ELSE CAST(CAST(unit_price AS DECIMAL(12,2)) AS DECIMAL(26,6)) END AS v_unit_price,
     CASE WHEN order_id % 47 = 0 THEN 0 ELSE reordered END AS v_reordered,
     CASE WHEN order_id % 31 <> 0 THEN order_date END AS v_order_date
@@ -283,6 +285,23 @@ def with_baskets(body: str) -> str:
     return with_base(body, BASKETS)
 
 
+# Gaps that cannot be count as no days; first orders have no gap.
+_BAD_GAP = "order_number > 1 AND (order_id % 7 = 0 OR order_id % 11 = 0 OR order_id % 13 = 0 OR order_id % 17 = 0)"
+BAD_GAP_SQL = {
+    "unreadable_gaps": f"""
+SELECT order_id, user_id, eval_set, order_number, order_dow, order_hour_of_day,
+       CASE WHEN order_id % 7 = 0 THEN '99999999' WHEN order_id % 11 = 0 THEN '-5' WHEN order_id % 13 = 0 THEN 'soon'
+            ELSE '2000000000000' END AS days_since_prior_order
+FROM bo WHERE {_BAD_GAP}""",
+    "calendar_with_bad_gaps": f"""
+SELECT order_id, user_id, eval_set, order_number, order_dow, order_hour_of_day, order_date,
+       CAST(date_trunc('month', order_date) AS DATE) AS sales_month
+FROM (SELECT *, DATE '2025-01-01' + CAST(sum(CASE WHEN {_BAD_GAP} THEN 0 ELSE gap END)
+                OVER (PARTITION BY user_id ORDER BY order_number, order_id
+                      ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS INTEGER) AS order_date FROM gaps)""",
+}
+
+
 # ---- connectors, contracts, streaming -------------------------------------------------------
 
 TYPED_COLS = ", ".join(
@@ -340,7 +359,26 @@ _RAW_JSON = " || ',' || ".join(
     f"'\"{c}\":' || coalesce('\"' || replace({c}, '\"', '\\\"') || '\"', 'null')" for c in COLUMNS
 )
 
+_FEED_KEY = "coalesce(TRY_CAST(replace(order_id, 'x', '') AS BIGINT), 0)"
+_FEED_REASON = (
+    f"CASE WHEN {_FEED_KEY} % 127 = 0 OR {_FEED_KEY} % 131 = 0 THEN 'malformed_row' ELSE reject_reason END"
+)
+
 CONNECTOR_SQL = {
+    "csv_rejects_by_source": (
+        "validation",
+        f"SELECT 'feed=' || CAST({_FEED_KEY} % 8 AS VARCHAR) AS source, {_FEED_REASON} AS reject_reason,"
+        f" count(*) AS rejected_lines FROM vt WHERE {_FEED_REASON} IS NOT NULL GROUP BY ALL",
+    ),
+    "csv_accepted_lines": (
+        "validation",
+        VALIDATION_SQL["validate_accepted"].replace(
+            "v_product_name AS product_name",
+            f"CASE WHEN {_FEED_KEY} % 5 = 0 THEN v_product_name || chr(10) || 'second line' ELSE v_product_name END"
+            " AS product_name",
+        )
+        + f" AND {_FEED_KEY} % 127 <> 0 AND {_FEED_KEY} % 131 <> 0",
+    ),
     "src_csv_orders": ("validation", f"SELECT {TYPED_COLS} FROM vt0"),
     "sink_csv_roundtrip": ("base", MART_SQL["top_products"]),
     "encode_messages": ("validation", _ENCODED),
@@ -391,7 +429,7 @@ def oracle_sql() -> dict[str, str]:
         sql[name] = with_base(body)
     for name, body in VALIDATION_SQL.items():
         sql[name] = with_validation(body)
-    for name, body in BASKET_SQL.items():
+    for name, body in {**BASKET_SQL, **BAD_GAP_SQL}.items():
         sql[name] = with_baskets(body)
     for name, (kind, body) in CONNECTOR_SQL.items():
         sql[name] = _connector_sql(kind, body, name)

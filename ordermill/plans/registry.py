@@ -14,7 +14,7 @@ from ..operators.clean import clean_orders, mart_input
 from ..operators.marts import BASKET_MARTS, REVENUE_MARTS, Mart, build, distinct_measures, orders_of
 from ..schema import ORDER_COLUMNS, ORDER_SCHEMA, mart_schema
 from ..session import work_path
-from ..sources import contracts, files, messages, testdata
+from ..sources import contracts, files, messages, records, testdata
 from ..streaming import ingest
 from .batch import basket_tables
 
@@ -103,6 +103,14 @@ def q_order_calendar(spark: SparkSession, sf_dir: str) -> DataFrame:
     return baskets.order_calendar(testdata.build_baskets(spark, sf_dir, ["orders"])["orders"])
 
 
+def q_unreadable_gaps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return baskets.unreadable_gaps(testdata.with_bad_gaps(testdata.build_baskets(spark, sf_dir, ["orders"])["orders"]))
+
+
+def q_calendar_with_bad_gaps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return baskets.order_calendar(testdata.with_bad_gaps(testdata.build_baskets(spark, sf_dir, ["orders"])["orders"]))
+
+
 def q_orders_without_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     tables = testdata.build_baskets(spark, sf_dir, ["orders", "order_products"])
     return baskets.orders_without_lines(tables["orders"], tables["order_products"])
@@ -147,6 +155,8 @@ BASKET_QUERIES: dict[str, Query] = {
     ),
     "basket_union": q_basket_union,
     "order_calendar": q_order_calendar,
+    "unreadable_gaps": q_unreadable_gaps,
+    "calendar_with_bad_gaps": q_calendar_with_bad_gaps,
     "basket_lines": all_basket_lines,
     "orphan_lines": q_orphan_lines,
     "resolved_lines": q_resolved_lines,
@@ -165,6 +175,22 @@ def q_src_csv_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     return as_result(files.read_order_csv(spark, path))
 
 
+def feed_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The lines of a CSV feed with line breaks in cells and malformed rows, annotated; ``source`` is the folder."""
+    path = work_path(spark, "order-feed")
+    testdata.write_order_feed(spark, sf_dir, path)
+    rows = validate.annotate(files.read_order_rows(spark, path, multi_line=True))
+    return rows.withColumn("source", F.regexp_extract(records.SOURCE_FILE, "/(feed=[0-9]+)/", 1))
+
+
+def q_csv_rejects_by_source(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return validate.reject_summary(validate.rejected(feed_rows(spark, sf_dir)), ("source",))
+
+
+def q_csv_accepted_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return as_result(validate.accepted(feed_rows(spark, sf_dir)).select(*ORDER_COLUMNS))
+
+
 def q_sink_csv_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = work_path(spark, "top-products-csv")
     mart = contracts.conform(build(mart_lines(spark, sf_dir), REVENUE_MARTS["top_products"]), "top_products")
@@ -276,6 +302,8 @@ def q_stream_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 CONNECTOR_QUERIES: dict[str, Query] = {
     "src_csv_orders": q_src_csv_orders,
+    "csv_rejects_by_source": q_csv_rejects_by_source,
+    "csv_accepted_lines": q_csv_accepted_lines,
     "sink_csv_roundtrip": q_sink_csv_roundtrip,
     "encode_messages": q_encode_messages,
     "decode_messages": q_decode_messages,

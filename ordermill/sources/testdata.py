@@ -173,6 +173,8 @@ def raw_order_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
         .when(hit(73), F.lit("1e3"))
         .when(hit(79), F.lit("5."))
         .when(hit(101), F.lit("1000000000000.5"))
+        .when(hit(103), F.lit("100000000000000000.25"))
+        .when(hit(107), F.lit("1e21"))
         .otherwise(price_text),
         "reordered": F.when(hit(47), F.lit("")).otherwise(text["reordered"]),
         "days_since_prior_order": F.when(hit(53) & F.col("days_since_prior_order").isNotNull(),
@@ -262,3 +264,54 @@ def with_unknown_references(tables: dict[str, DataFrame]) -> dict[str, DataFrame
         F.when(F.col("product_id") % 61 == 0, -1 - F.col("product_id")).otherwise(F.col("product_id")),
     )
     return {**tables, "products": products, "order_products": lines}
+
+
+def with_bad_gaps(orders: DataFrame) -> DataFrame:
+    """Orders with day gaps that can't be, by fixed arithmetic on keys."""
+    key = F.col("order_id")
+    gap = (
+        F.when(key % 7 == 0, F.lit("99999999"))
+        .when(key % 11 == 0, F.lit("-5"))
+        .when(key % 13 == 0, F.lit("soon"))
+        .when(key % 17 == 0, F.lit("2000000000000"))
+        .otherwise(F.col("days_since_prior_order"))
+    )
+    return orders.withColumn("days_since_prior_order", gap)
+
+
+#: Files that the feed of malformed rows is dealt to.
+FEEDS = 8
+
+
+def write_order_feed(spark: SparkSession, sf_dir: str, path: str) -> None:
+    """The raw lines as CSV text, a folder per feed, with header lines, line breaks inside names and, by fixed
+    arithmetic on the order key, rows that lack their last cell or have one too many."""
+    lines = csv_cells(raw_order_lines(spark, sf_dir))
+    feed = (F.coalesce(F.regexp_replace("order_id", "^x", "").try_cast("bigint"), F.lit(0)) % FEEDS).cast("int")
+    key = F.regexp_replace("order_id", "^x", "").try_cast("bigint")
+    cells = [F.col(f"cell_{c}") for c in ORDER_COLUMNS]
+    text = (
+        F.when(key % 127 == 0, F.concat_ws(",", *cells[:-1]))
+        .when(key % 131 == 0, F.concat_ws(",", *cells, F.lit("more")))
+        .otherwise(F.concat_ws(",", *cells))
+    )
+    rows = lines.select(feed.alias("feed"), F.lit(1).alias("place"), text.alias("value"))
+    headers = spark.range(FEEDS).select(
+        F.col("id").cast("int").alias("feed"), F.lit(0).alias("place"), F.lit(",".join(ORDER_COLUMNS)).alias("value")
+    )
+    whole = rows.unionByName(headers).repartition(FEEDS, "feed").sortWithinPartitions("feed", "place")
+    whole.select("feed", "value").write.partitionBy("feed").text(path)
+
+
+def csv_cells(lines: DataFrame) -> DataFrame:
+    """Each column as CSV text (``cell_<name>``): quoted where it must be, empty for NULL; names of some orders get
+    a line break."""
+    key = F.regexp_replace("order_id", "^x", "").try_cast("bigint")
+    name = F.when(key % 5 == 0, F.concat("product_name", F.lit("\nsecond line"))).otherwise(F.col("product_name"))
+
+    def cell(value):
+        quoted = F.concat(F.lit('"'), F.replace(value, F.lit('"'), F.lit('""')), F.lit('"'))
+        return F.coalesce(F.when(value.rlike('[",\n\r]'), quoted).otherwise(value), F.lit(""))
+
+    values = {c: name if c == "product_name" else F.col(c) for c in ORDER_COLUMNS}
+    return lines.select("order_id", *[cell(v).alias(f"cell_{c}") for c, v in values.items()])

@@ -13,6 +13,7 @@ from ordermill.operators import baskets
 from ordermill.operators.marts import BASKET_MARTS, build, present
 from ordermill.operators.running import blocked_running_sum
 from ordermill.plans.batch import basket_tables, csv_sink, run_baskets
+from ordermill.schema import BASKET_FILES
 from ordermill.sources import files
 
 ORDERS = "order_id long, user_id long, eval_set string, order_number int, order_dow int, order_hour_of_day int, days_since_prior_order {}"
@@ -163,9 +164,9 @@ def test_files_job_strict_and_lenient(spark, six, scratch):
     tables = basket_tables(files.read_baskets(spark, scratch))
     written = {}
     with pytest.raises(ValueError, match="product 1"):
-        run_baskets(spark, tables, lambda n, df: written.update({n: df.collect()}))
+        run_baskets(spark, tables, lambda tables: written.update({n: df.collect() for n, df in tables.items()}))
     assert written == {}
-    run_baskets(spark, tables, lambda n, df: written.update({n: df.collect()}), strict=False)
+    run_baskets(spark, tables, lambda tables: written.update({n: df.collect() for n, df in tables.items()}), strict=False)
     assert [r.product_id for r in written["orphan_lines"]] == [999] and len(written["basket_products"]) == 2
 
 
@@ -177,3 +178,25 @@ def test_files_are_checked(spark, six, scratch):
     files.write_csv(six["aisles"].select("aisle"), f"{scratch}/aisles.csv")
     with pytest.raises(ValueError, match="no column aisle_id"):
         files.read_baskets(spark, scratch)
+
+
+def test_gaps_that_cannot_be_are_reported_and_add_nothing(spark):
+    gaps = ["99999999", "-5", "2000000000000", "soon", "3660", "3661", None, "7.9"]
+    rows = [(i + 1, 1, "prior", i + 1, 0, 0, g) for i, g in enumerate([None, *gaps])]
+    orders = spark.createDataFrame(rows, BASKET_FILES["orders"])
+    found = {r.days_since_prior_order for r in baskets.unreadable_gaps(orders).collect()}
+    assert found == {"99999999", "-5", "2000000000000", "soon", "3661"}
+    days = {r.order_number: str(r.order_date) for r in baskets.order_calendar(orders).collect()}
+    assert days[5] == "2025-01-01" and days[6] == days[7] == "2035-01-09" and days[9] == "2035-01-16"
+
+
+def test_dates_beyond_the_calendar_are_orphans(spark):
+    rows = [(i, 1, "prior", i, 0, 0, "3660") for i in range(1, 900)]
+    calendar = baskets.order_calendar(spark.createDataFrame(rows, BASKET_FILES["orders"]))
+    last = calendar.filter("order_date is not null").agg({"order_date": "max"}).first()[0]
+    assert last.year > 9980 and calendar.filter("order_date is null").count() > 50
+    lines = spark.createDataFrame([(i, 5, 0, "prior") for i in (1, 899)], "order_id long, product_id long, reordered int, split string")
+    named = spark.createDataFrame([(5, "p", "a", "d", None)], "product_id long, product_name string, aisle string, department string, missing string")
+    resolved = baskets.resolved_lines(lines, calendar, named)
+    assert [tuple(r) for r in baskets.orphan_lines(resolved).collect()] == [("prior", 899, 5, "order_date")]
+    assert [r.order_id for r in baskets.basket_lines(resolved).collect()] == [1]

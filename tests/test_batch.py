@@ -26,8 +26,12 @@ def test_a_second_run_has_only_its_own_months(spark, shop, scratch):
     later = shop.filter(F.col("order_date") >= "2025-01-01")
     metrics = batch.run_batch(spark, later, sink)
     assert metrics["lines"] == metrics["clean_lines"] == 3
-    months = [str(r.sales_month) for r in spark.read.parquet(f"{out}/monthly_sales").collect()]
+    months = [str(r.sales_month) for r in batch.read_published(spark, out, "monthly_sales").collect()]
     assert months == ["2025-01-01"]
+    batch.run_batch(spark, shop, sink, ["top_products"])
+    with pytest.raises(ValueError):
+        batch.read_published(spark, out, "monthly_sales")
+    assert batch.read_published(spark, out, "top_products").count() == 5
     # Stages are removed.
     left = [p for p in os.listdir(shared_root(spark).removeprefix("file:")) if p.startswith("cleaned-")]
     assert left == []
@@ -35,19 +39,41 @@ def test_a_second_run_has_only_its_own_months(spark, shop, scratch):
 
 def test_lines_lost_in_cleaning_are_counted(spark, shop):
     broken = shop.withColumn("unit_price", F.when(F.col("order_id") != 503, F.col("unit_price")))
-    metrics = batch.run_batch(spark, broken, lambda name, mart: None, ["monthly_sales"])
-    assert (metrics["lines"], metrics["clean_lines"], metrics["dropped_lines"]) == (9, 8, 1)
-    assert metrics["marts"] == {"monthly_sales": 3}
+    broken = broken.withColumn("quantity", F.when(F.col("order_id") == 504, F.lit(0)).otherwise(F.col("quantity")))
+    metrics = batch.run_batch(spark, broken, lambda tables: None, ["monthly_sales"])
+    lost = shop.filter("order_id = 504").count()
+    assert (metrics["lines"], metrics["clean_lines"], metrics["dropped_lines"]) == (9, 8 - lost, 1 + lost)
+    assert metrics["dropped_by_reason"] == {"no_unit_price": 1, "quantity_not_positive": lost}
+    assert list(metrics["marts"]) == ["monthly_sales"]
 
 
-def test_nothing_is_written_of_a_mart_that_breaks_its_contract(spark, shop):
+def test_nothing_is_published_when_one_mart_breaks_its_contract(spark, shop, scratch):
     double = shop.withColumn(
         "department", F.when(F.col("order_id") == 503, F.lit("garden")).otherwise(F.col("department"))
     )
-    written = []
+    out = f"{scratch}/out"
+    batch.run_batch(spark, shop, batch.parquet_sink(out))
+    before = sorted(map(str, batch.read_published(spark, out, "monthly_sales").collect()))
     with pytest.raises(contracts.ContractError, match="top_products: 0 rows with a NULL, 1 rows with a key"):
-        batch.run_batch(spark, double, lambda name, mart: written.append(name), ["monthly_sales", "top_products"])
-    assert written == ["monthly_sales"]
+        batch.run_batch(spark, double, batch.parquet_sink(out), ["monthly_sales", "top_products"])
+    assert sorted(map(str, batch.read_published(spark, out, "monthly_sales").collect())) == before
+    written = []
+    with pytest.raises(contracts.ContractError):
+        batch.run_batch(spark, double, written.append, ["monthly_sales", "top_products"])
+    assert written == []
+
+
+def test_the_source_is_read_once(spark, shop, scratch):
+    """Rows that leave the source are counted as they are read."""
+    seen = spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        for rows in batches:
+            seen.add(rows.num_rows)
+            yield rows
+
+    metrics = batch.run_batch(spark, shop.mapInArrow(count, shop.schema), lambda tables: None)
+    assert metrics["lines"] == seen.value == 9 and len(metrics["marts"]) == 5
 
 
 def test_csv_files_are_in_mart_order(spark, shop, scratch):
