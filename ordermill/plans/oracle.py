@@ -255,6 +255,8 @@ BASKET_SQL = {
     "basket_union": "SELECT order_id, product_id, reordered, split FROM opu",
     "order_calendar": "SELECT order_id, user_id, eval_set, order_number, order_dow, order_hour_of_day, order_date,"
                       " sales_month FROM calm",
+    "calendar_increments": "SELECT order_id, user_id, eval_set, order_number, order_dow, order_hour_of_day, order_date,"
+                           " sales_month FROM calm",
     "basket_lines": "SELECT * FROM bl",
     "orphan_lines": """
 SELECT split, order_id, CASE WHEN product_id % 61 = 0 THEN -1 - product_id ELSE product_id END AS product_id,

@@ -15,7 +15,8 @@ from ..operators.marts import BASKET_MARTS, REVENUE_MARTS, Mart, build, distinct
 from ..schema import ORDER_COLUMNS, ORDER_SCHEMA, mart_schema
 from ..session import work_path
 from ..sources import contracts, files, messages, records, testdata
-from ..streaming import ingest
+from ..streaming import calendar, ingest
+from ..streaming.commits import StreamTables
 from .batch import basket_tables
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -111,6 +112,16 @@ def q_calendar_with_bad_gaps(spark: SparkSession, sf_dir: str) -> DataFrame:
     return baskets.order_calendar(testdata.with_bad_gaps(testdata.build_baskets(spark, sf_dir, ["orders"])["orders"]))
 
 
+def q_calendar_increments(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The calendar after three increments: orders in the order of their numbers, every seventh one late."""
+    orders = testdata.build_baskets(spark, sf_dir, ["orders"])["orders"]
+    part = F.when(F.col("order_id") % 7 == 0, 2).when(F.col("order_number") <= 4, 0).when(F.col("order_number") <= 8, 1).otherwise(2)
+    store = StreamTables(spark, work_path(spark, "calendar"))
+    for number in range(3):
+        calendar.add_orders(store, orders.filter(part == number), number)
+    return calendar.read_calendar(spark, store.root)
+
+
 def q_orders_without_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     tables = testdata.build_baskets(spark, sf_dir, ["orders", "order_products"])
     return baskets.orders_without_lines(tables["orders"], tables["order_products"])
@@ -155,6 +166,7 @@ BASKET_QUERIES: dict[str, Query] = {
     ),
     "basket_union": q_basket_union,
     "order_calendar": q_order_calendar,
+    "calendar_increments": q_calendar_increments,
     "unreadable_gaps": q_unreadable_gaps,
     "calendar_with_bad_gaps": q_calendar_with_bad_gaps,
     "basket_lines": all_basket_lines,
