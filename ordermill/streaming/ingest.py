@@ -16,14 +16,15 @@ dropped by the stream's own state, which is bounded by that time; older ones by
 an index of message identities, cut into buckets by hash, of which a batch reads
 the buckets its messages fall into.
 
-usage: python -m ordermill.streaming.ingest --inbox DIR --out DIR [--files-per-trigger N] [--dedup] [--marts a,b]
-       python -m ordermill.streaming.ingest --source CSV --inbox DIR    (publish order lines as message files)
+usage: python -m ordermill.streaming.ingest (--inbox DIR | --kafka SERVERS) --out DIR [--dedup] [--marts a,b]
+       python -m ordermill.streaming.ingest (--inbox DIR | --kafka SERVERS) --source CSV [--rejects DIR]
 """
 
 from __future__ import annotations
 
 import argparse
 import logging
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
@@ -34,12 +35,14 @@ from pyspark.sql.types import BinaryType, IntegerType, LongType, StringType, Str
 from ..operators.clean import clean_orders, mart_input
 from ..operators.mart_state import MartState
 from ..operators.marts import REVENUE_MARTS
-from ..operators.validate import REASON, annotate
+from ..operators.validate import REASON, annotate, rejected
 from ..schema import ORDER_COLUMNS, ORDER_SCHEMA, RAW_SCHEMA, mart_schema
-from ..session import build_session
+from ..session import build_session, remove_path, work_path
 from ..sources.contracts import conform
-from ..sources.files import read_order_text
-from ..sources.messages import MESSAGE_SCHEMA, decode_messages, encode_messages, identity
+from ..sources.files import read_order_rows, require_sources
+from ..sources.messages import (
+    DEFAULT_TOPIC, MESSAGE_SCHEMA, decode_messages, encode_messages, identity, publish_kafka, read_kafka,
+)
 from .commits import StreamTables, Table, Version
 
 log = logging.getLogger("ordermill.ingest")
@@ -264,22 +267,60 @@ def read_mart(spark: SparkSession, root: str, name: str) -> DataFrame:
     return table.merge(StreamTables(spark, root).read(table)).drop("batch_id")
 
 
+def publish(
+    spark: SparkSession, source: str, send: Callable[[DataFrame], None], rejects: str | None = None, multi_line: bool = False
+) -> dict[str, int]:
+    """Read order lines from CSV, ``send`` the accepted ones as messages and write the refused ones, each with its
+    reason, its file and the split it was read in, below ``rejects``. Lines are read once; returns the counts."""
+    stage, counts = work_path(spark, "publish"), Observation("publish")
+    try:
+        annotated = annotate(read_order_rows(spark, source, multi_line))
+        refused = F.col(REASON).isNotNull()
+        annotated.observe(
+            counts, F.count(F.lit(1)).alias("lines"), F.count_if(~refused).alias("accepted"), F.count_if(refused).alias("rejected")
+        ).write.parquet(stage)
+        staged = spark.read.schema(annotated.schema).parquet(stage)
+        # Messages carry the lines as they were written, not as they were understood.
+        send(encode_messages(staged.filter(~refused).select(*ORDER_COLUMNS)))
+        if rejects:
+            rejected(staged).write.mode("append").parquet(rejects)
+    finally:
+        remove_path(spark, stage)
+    log.info("published %s: %s", source, counts.get)
+    return dict(counts.get)
+
+
 def main(argv: list[str] | None = None) -> None:
     parser = argparse.ArgumentParser(description="order-line ingest")
-    parser.add_argument("--inbox", required=True, help="folder of message files")
-    parser.add_argument("--source", help="order-line CSV to publish to the inbox")
+    parser.add_argument("--inbox", help="folder of message files")
+    parser.add_argument("--kafka", help="bootstrap servers, instead of a folder of message files")
+    parser.add_argument("--topic", default=DEFAULT_TOPIC)
+    parser.add_argument("--source", help="order-line CSV to publish")
+    parser.add_argument("--multi-line", action="store_true", help="line breaks inside quoted CSV cells")
+    parser.add_argument("--rejects", help="folder for refused lines of the source")
     parser.add_argument("--out", help="folder of the stream's tables and checkpoint")
     parser.add_argument("--files-per-trigger", type=int, default=None)
+    parser.add_argument("--offsets-per-trigger", type=int, default=None)
     parser.add_argument("--dedup", action="store_true")
     parser.add_argument("--marts", default=",".join(REVENUE_MARTS), help="marts to keep up to date")
     args = parser.parse_args(argv)
+    if bool(args.inbox) == bool(args.kafka):
+        parser.error("give either --inbox or --kafka")
     logging.basicConfig(level=logging.INFO, format="%(asctime)s %(levelname)s %(message)s")
     spark = build_session()
     if args.source:
-        write_message_files(encode_messages(read_order_text(spark, args.source)), args.inbox)
+        require_sources(spark, [args.source], "csv")
+        if args.kafka:
+            send = lambda messages: publish_kafka(messages, args.kafka, args.topic)
+        else:
+            send = lambda messages: write_message_files(messages, args.inbox)
+        publish(spark, args.source, send, args.rejects, args.multi_line)
     if args.out:
         targets = IngestTargets(f"{args.out}/tables", tuple(m for m in args.marts.split(",") if m), args.dedup)
-        stream = message_file_stream(spark, args.inbox, args.files_per_trigger)
+        if args.kafka:
+            stream = read_kafka(spark, args.kafka, args.topic, max_offsets_per_trigger=args.offsets_per_trigger)
+        else:
+            stream = message_file_stream(spark, args.inbox, args.files_per_trigger)
         start_ingest(stream, targets, f"{args.out}/checkpoint").awaitTermination()
     spark.stop()
 

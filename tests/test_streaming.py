@@ -233,10 +233,44 @@ def test_messages_hold_one_object(spark, text, corrupt):
     assert got.order_id == (None if corrupt or text == "{}" else "1")
 
 
-def test_publish_and_ingest_from_the_command_line(spark, scratch, monkeypatch):
+@pytest.fixture
+def command(spark, monkeypatch):
     monkeypatch.setattr(ingest, "build_session", lambda: spark)
     monkeypatch.setattr(type(spark), "stop", lambda self: None)
-    ingest.main(["--inbox", f"{scratch}/in", "--source", os.path.join(FIXTURES, "shop_lines.csv")])
-    ingest.main(["--inbox", f"{scratch}/in", "--out", f"{scratch}/out", "--dedup"])
+    return ingest.main
+
+
+def test_publish_and_ingest_from_the_command_line(spark, scratch, command):
+    """Refused lines stay behind, with their reason, file and split."""
+    text = files.read_order_text(spark, os.path.join(FIXTURES, "shop_lines.csv"))
+    broken = text.filter("order_id = '505'").withColumn("quantity", F.lit("none"))
+    files.write_csv(text.unionByName(broken).coalesce(1), f"{scratch}/csv")
+    command(["--inbox", f"{scratch}/in", "--source", f"{scratch}/csv", "--rejects", f"{scratch}/rejects"])
+    command(["--inbox", f"{scratch}/in", "--out", f"{scratch}/out", "--dedup", "--marts", "category_performance"])
     assert ingest.read_landed(spark, f"{scratch}/out/tables").count() == 9
     assert ingest.read_mart(spark, f"{scratch}/out/tables", "category_performance").count() == 3
+    left = spark.read.parquet(f"{scratch}/rejects").collect()
+    assert [(r.order_id, r.reject_reason, r.source_block) for r in left] == [("505", "invalid_numeric", 0)] * len(left)
+    assert left and all("/csv/part-" in r.source_file for r in left)
+    counts = ingest.publish(spark, f"{scratch}/csv", lambda messages: None)
+    assert counts == {"lines": 9 + len(left), "accepted": 9, "rejected": len(left)}
+
+
+def test_kafka_from_the_command_line(spark, scratch, command, monkeypatch):
+    """Up to the connector's options: no broker runs here."""
+    sent, read = {}, {}
+    monkeypatch.setattr(ingest, "publish_kafka", lambda m, servers, topic: sent.update(n=m.count(), to=(servers, topic)))
+
+    def stream(session, servers, topic, **kw):
+        read.update(options=messages.kafka_reader_options(servers, topic, **kw))
+        return ingest.message_file_stream(session, f"{scratch}/in")
+
+    monkeypatch.setattr(ingest, "read_kafka", stream)
+    source = os.path.join(FIXTURES, "shop_lines.csv")
+    ingest.write_message_files(_messages(spark), f"{scratch}/in")
+    command(["--kafka", "h:9092", "--topic", "t", "--source", source, "--out", f"{scratch}/out", "--offsets-per-trigger", "7", "--marts", ""])
+    assert sent == {"n": 9, "to": ("h:9092", "t")}
+    assert read["options"]["maxOffsetsPerTrigger"] == "7" and read["options"]["subscribe"] == "t"
+    assert ingest.read_landed(spark, f"{scratch}/out/tables").count() == 10
+    with pytest.raises(SystemExit):
+        command(["--source", source])
