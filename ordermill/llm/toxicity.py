@@ -4,16 +4,16 @@ A text becomes the set of its words' features: the word itself and its inner
 letter n-grams (3 to 5, with word ends marked), A-Z lower-cased, ASCII
 punctuation removed. Words of any length give all their n-grams; one of more
 than LONG_WORD characters is named by its hash as a whole word. From a bounded labelled sample Spark counts each feature's
-documents per class; features of significant association, and the identity
-terms, form a vocabulary of at most ``max_features``. A logistic model over it
+documents per class; all features of significant association, and the identity
+terms, form the vocabulary. A logistic model over it
 is fitted by accelerated gradient descent with a second penalty: in each
-labelled sentence that holds identity terms, these are swapped for other terms
-of their group, and the squared difference of the two sentences' scores (logits)
+labelled sentence that holds identity terms, these are swapped for each other
+term of their group, and the squared difference of the two sentences' scores (logits)
 is charged. A mention of a group by itself thus hardly moves a score, however
 unevenly the labels mention it.
 
 Fitting reads at most ``max_rows`` labelled documents; every text is scored
-whole, where it lies, with a model of ``max_features`` weights that every task gets.
+whole, where it lies, with the model's weights, one per feature of the sample's vocabulary, that every task gets.
 
 Defined cases: null or empty texts score the model's bias; without labelled rows
 of both classes every score is the share of label 1 (0 without any); null and
@@ -134,14 +134,14 @@ class Swaps:
                 self.next[term.encode()] = [t.encode() for t in group[at + 1 :] + group[:at]]
 
     def counterfactuals(self, text: str) -> Iterator[tuple[list[bytes], list[bytes]]]:
-        """(words, swapped words) of every sentence with identity terms; each term takes each of two others."""
+        """(words, swapped words) of every sentence with identity terms; each term takes every other of its group
+        (terms of smaller groups go round again until the largest group is through)."""
         for sentence in SENTENCE.split(text):
             words = plain_words(sentence)
-            if any(w in self.next for w in words):
-                for shift in (0, 1):
-                    yield words, [
-                        self.next[w][shift % len(self.next[w])] if w in self.next and self.next[w] else w for w in words
-                    ]
+            for shift in range(max((len(self.next[w]) for w in words if w in self.next), default=0)):
+                yield words, [
+                    self.next[w][shift % len(self.next[w])] if w in self.next and self.next[w] else w for w in words
+                ]
 
 
 class ToxicityModel:
@@ -222,9 +222,9 @@ def _counted(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             yield sent(held)
 
 
-def vocabulary_of(sample: DataFrame, max_features: int, least_z: float, swaps: Swaps) -> dict[str, int]:
-    """Features whose shares in the two classes differ by ``least_z`` standard errors or more, the most
-    significant first, and the identity terms themselves."""
+def vocabulary_of(sample: DataFrame, least_z: float, swaps: Swaps) -> dict[str, int]:
+    """All features of three documents or more whose shares in the two classes differ by ``least_z`` standard errors
+    or more, and the identity terms themselves. They are features of the bounded sample."""
     totals = sample.agg(F.sum(1 - F.col("label")), F.sum("label")).first()
     zeros, ones = max(1, totals[0] or 0), max(1, totals[1] or 0)
     counts = (
@@ -239,9 +239,8 @@ def vocabulary_of(sample: DataFrame, max_features: int, least_z: float, swaps: S
     chosen = (
         counts.withColumn("z", z)
         .filter((F.col("z") >= least_z) & (F.col("n0") + F.col("n1") >= 3))
-        .orderBy(F.desc("z"), "feature")
-        .limit(max_features)
         .select("feature")
+        .orderBy("feature")
         .toArrow()
     )
     features = dict.fromkeys(chosen.column("feature").to_pylist())
@@ -276,7 +275,6 @@ def fit_toxicity(
     label: str = "toxic",
     learn: Column | None = None,
     max_rows: int = 20_000,
-    max_features: int = 20_000,
     least_z: float = 4.0,
     penalty: float = 5.0,
     groups=IDENTITY_GROUPS,
@@ -284,7 +282,7 @@ def fit_toxicity(
     """Fit on at most ``max_rows`` labelled rows that meet ``learn`` (a column over doc_id)."""
     sample = staged(labelled_sample(docs, labels, label, F.lit(True) if learn is None else learn, max_rows), "toxic-sample")
     swaps = Swaps(groups)
-    vocabulary = vocabulary_of(sample, max_features, least_z, swaps)
+    vocabulary = vocabulary_of(sample, least_z, swaps)
 
     def features(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         made = WordFeatures(vocabulary)
