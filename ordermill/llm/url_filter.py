@@ -120,7 +120,7 @@ class Segmenter:
         for part, mark in ((host, "h:"), (path.lower(), "p:")):
             for name in NAME.findall(part):
                 if name[0].isdigit():
-                    out.append(f"{mark}#{min(len(name), 32)}")
+                    out.append(f"{mark}#{len(name)}")
                 else:
                     out += [mark + (w if w in self.known else UNKNOWN) for w in self.split(name)]
         return out
