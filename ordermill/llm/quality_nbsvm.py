@@ -22,6 +22,7 @@ names are replaced.
 
 from __future__ import annotations
 
+import pickle
 import re
 from collections.abc import Iterator
 
@@ -197,9 +198,18 @@ def fit_quality(
                 }
             )
 
-    rows = sample.mapInPandas(indicators, "doc_id long, label int, ids binary").orderBy("doc_id").toArrow()
-    ids = [np.frombuffer(x.as_py(), np.int32) for x in rows.column("ids")]
-    return QualityModel(ids, np.array(rows.column("label").to_pylist(), np.int64))
+    def fitted(frame: pd.DataFrame) -> pd.DataFrame:
+        frame = frame.sort_values("doc_id", kind="stable")
+        ids = [np.frombuffer(x, np.int32) for x in frame["ids"]]
+        return pd.DataFrame({"model": [pickle.dumps(vars(QualityModel(ids, frame["label"].to_numpy(np.int64))))]})
+
+    rows = sample.mapInPandas(indicators, "doc_id long, label int, ids binary")
+    # The sample is bounded by max_rows, so one task can hold it; the driver gets the weights only.
+    found = rows.withColumn("one", F.lit(0)).groupBy("one").applyInPandas(fitted, "model binary").first()
+    model = QualityModel([], np.empty(0, np.int64))
+    if found:
+        vars(model).update(pickle.loads(bytes(found.model)))
+    return model
 
 
 def score_quality(
