@@ -62,7 +62,7 @@ CONTEXTS, POSITIONS = 512, 1 << 18
 #: Reducers of the tasks' models.
 REDUCERS = 16
 #: Text bytes of a block: larger ones repeat fewer words.
-WORD_BLOCK = 16 << 20
+WORD_BLOCK = 8 << 20
 #: Bytes at a word's end that name its class.
 ENDING = 3
 SMOOTH = 0.1
@@ -190,14 +190,15 @@ class Trainer:
         g_true = -size / (1 + np.exp(np.clip(true, -30, 30)))
         g_false = size / (1 + np.exp(-np.clip(false, -30, 30)))
         g_q = g_true[:, None] * w_true + g_false @ w_noise
-        rows, g_w = self._summed(np.r_[unit, noise], np.vstack([g_true[:, None] * q, g_false.T @ q]))
-        _, g_b = self._summed(np.r_[unit, noise], np.r_[g_true, g_false.sum(0)])
+        # The bias goes along as one more column.
+        q_one = np.hstack([q, np.ones((len(q), 1), np.float32)])
+        rows, g_wb = self._summed(np.r_[unit, noise], np.vstack([g_true[:, None] * q_one, g_false.T @ q_one]))
         rows_r, g_r = self._summed(np.r_[first, second], np.vstack([g_q * m.c[0], g_q * m.c[1]]))
         g_c = np.stack([(g_q * r1).sum(0), (g_q * r2).sum(0)])
         self._step(0, np.arange(2), g_c)
         self._step(1, rows_r, g_r)
-        self._step(2, rows, g_w)
-        self._step(3, rows, g_b)
+        self._step(2, rows, g_wb[:, :-1])
+        self._step(3, rows, g_wb[:, -1])
         self.tokens += len(unit)
 
     def pass_over(self, unit: np.ndarray, first: np.ndarray, second: np.ndarray) -> None:
