@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import xxhash
@@ -31,10 +32,26 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` to the shared work folder and read it back: cuts lineage, survives lost executors."""
     spark = df.sparkSession
     path = work_path(spark, name)
+    for paths in _noted:
+        paths.append(path)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+_noted: list[list[str]] = []
+
+
+@contextmanager
+def noted() -> Iterator[list[str]]:
+    """The folders that ``staged`` writes meanwhile, for a caller that can tell when they are no longer read."""
+    paths: list[str] = []
+    _noted.append(paths)
+    try:
+        yield paths
+    finally:
+        _noted.pop()
+
+
 def id_text(column: str) -> Column:
     """A bigint id as text: pandas holds bigints beside nulls as floats, which lose ids from 2^53 on."""
     return F.col(column).cast("long").cast("string").alias(column)
