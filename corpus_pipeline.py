@@ -4,7 +4,8 @@
 
 Each stage is a function (spark, docs, sf_dir) -> DataFrame. All but the last
 return the columns of ``documents``; the last returns where each document lies.
-Stages are written as Parquet to the shared work folder and read again.
+Stages are written as Parquet to the shared work folder and read again; ``run``
+removes what is no longer read.
 
 Defined cases, beyond those of the operators: documents without words are
 near duplicates of nothing and stay, row by row; of equal rows with words one
@@ -19,12 +20,13 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ordermill.llm.common import fresh_names, staged, table
+from ordermill.llm.common import fresh_names, noted, staged, table
 from ordermill.llm.jaccard_join import near_duplicates
 from ordermill.llm.line_dedup import dedup_lines
 from ordermill.llm.packing import count_words, pack_documents
 from ordermill.llm.string_tiling import decontaminate
 from ordermill.llm.toxicity import fit_toxicity, score_toxicity
+from ordermill.session import remove_path
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
@@ -98,9 +100,15 @@ ORACLE_SQL: str | None = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents")
+    """The rows of the last stage; what a stage has written is removed once the next one's rows are there."""
+    docs, before = table(spark, sf_dir, "documents"), []
     for name, stage in STAGES:
-        docs = staged(stage(spark, docs, sf_dir), name)
+        with noted() as written:
+            docs = staged(stage(spark, docs, sf_dir), name)
+        *between, last = written
+        for path in [*before, *between]:
+            remove_path(spark, path)
+        before = [last]
     return docs
 
 

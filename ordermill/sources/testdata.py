@@ -142,7 +142,12 @@ def order_lines(spark: SparkSession, sf_dir: str, sequence: bool = True) -> Data
 
 
 def raw_order_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Order lines as text, the way a CSV feed delivers them, with faults injected; written once.
+    """``faulted_lines``, written once."""
+    return staged(faulted_lines(spark, sf_dir), "raw-lines")
+
+
+def faulted_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Order lines as text, the way a CSV feed delivers them, with faults injected.
 
     The driver's data is clean, so faults are placed by fixed arithmetic on the
     order key; every line is kept and only the listed cells are altered.
@@ -186,7 +191,7 @@ def raw_order_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
         .when(hit(89), F.concat(text["order_date"], F.lit("T10:00:00")))
         .otherwise(text["order_date"]),
     }
-    return staged(typed.select(*[faulted.get(c, text[c]).alias(c) for c in ORDER_COLUMNS]), "raw-lines")
+    return typed.select(*[faulted.get(c, text[c]).alias(c) for c in ORDER_COLUMNS])
 
 
 # ---- normalised basket tables -------------------------------------------------------------
@@ -286,7 +291,7 @@ FEEDS = 8
 def write_order_feed(spark: SparkSession, sf_dir: str, path: str) -> None:
     """The raw lines as CSV text, a folder per feed, with header lines, line breaks inside names and, by fixed
     arithmetic on the order key, rows that lack their last cell or have one too many."""
-    lines = csv_cells(raw_order_lines(spark, sf_dir))
+    lines = csv_cells(faulted_lines(spark, sf_dir))
     feed = (F.coalesce(F.regexp_replace("order_id", "^x", "").try_cast("bigint"), F.lit(0)) % FEEDS).cast("int")
     key = F.regexp_replace("order_id", "^x", "").try_cast("bigint")
     cells = [F.col(f"cell_{c}") for c in ORDER_COLUMNS]
