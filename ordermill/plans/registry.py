@@ -284,7 +284,7 @@ def _run_stream(
     for _ in range(replays):
         for number in range(batches):
             some = feed.filter(F.col("part") == number).drop("part")
-            ingest.write_message_files(some.coalesce(FILES_A_BATCH) if batches > 1 else some, inbox)
+            ingest.write_message_files(some.repartition(FILES_A_BATCH) if batches > 1 else some, inbox)
         stream = ingest.message_file_stream(spark, inbox, FILES_A_BATCH if batches > 1 else None)
         query = ingest.start_ingest(stream, targets, checkpoint=f"{root}/checkpoint")
         query.awaitTermination()
