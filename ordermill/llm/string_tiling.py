@@ -4,8 +4,8 @@ A document covers a benchmark item as far as non-overlapping runs of at least
 ``min_match`` equal words (tiles) can be laid over both, longest first, in any
 order: a passage cut up and reordered still counts. Per document:
 
-1. seeds: the item's ``min_match``-word hashes are joined with the document's;
-   an item whose seeds cannot cover ``percent`` % of its words is out;
+1. seeds: the item's ``min_match``-word hashes are joined with the documents';
+   a pair that shares too few of them for ``percent`` % of the item is out;
 2. tiling: running Karp-Rabin hashes of the seeded stretches find the greatest
    length at which unmarked words of both still match (by bisection, matches of
    a length imply matches of every smaller one); all matches of that length are
@@ -16,9 +16,16 @@ order: a passage cut up and reordered still counts. Per document:
 Words are separated by ``[\\x20\\x09-\\x0D]``; A-Z are lower-cased and ASCII
 punctuation is removed before comparing, words left empty do not count.
 
-Benchmark items are the stated query set. They are dealt into blocks of a
-bounded size, each of which is sent to all tasks and meets every document in one pass;
-a benchmark of any size is therefore handled exactly, in more passes.
+Spark joins and the driver holds neither items nor documents. A bitmap of the
+seeds' hashes (16 MB at most, whatever the benchmark's size) goes to all tasks;
+the one pass over the texts sends on only what hits it: a document's *stretches*
+(positions and word hashes) and its hit seeds, once per distinct text. The
+bitmap lets some strangers through and the join drops them. Tiles of W words
+in all, each of ``min_match`` words or more, hold at least W / ``min_match`` seeds,
+so a pair needs that many: an item leaves up to half as many of its seeds, those
+that most texts hold, out of the join (a phrase that many items and documents share
+pairs nobody by itself), and asks for the rest of that number. Only the pairs
+that are left meet with their words, a row each, and are tiled.
 
 Defined cases: null or empty texts, and items without words, match nothing;
 items of fewer than ``min_match`` words match as a whole; repeated documents or
@@ -32,17 +39,19 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import WordHashes, chunked, gram_hashes, id_text
+from .common import WordHashes, chunked, fresh_names, gram_hashes, signed, staged
 
 PUNCTUATION = b"!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
-#: Bytes of item text in one block sent to all tasks (on average).
-BLOCK_BYTES = 8 << 20
+#: Bits of the seeds' bitmap: about 64 a seed, within these powers of two.
+BITMAP_BITS = (16, 27)
 
-MATCHES = "doc_id string, item_id string, item_words int, covered_words int, n_tiles int, coverage double, tiles array<struct<item_start:int,doc_start:int,words:int>>"
+ITEM = "item_key binary, size int, item array<bigint>"
+STRETCHES = "doc_key binary, places array<int>, words array<bigint>, seeds array<bigint>"
+TILES = "tiles array<struct<item_start:int,doc_start:int,words:int>>"
+COVERED = f"doc_key binary, item_key binary, item_words bigint, covered_words bigint, {TILES}"
 
 
 def plain_words(text: str | None) -> list[bytes]:
@@ -97,113 +106,184 @@ def tile(item: np.ndarray, doc: np.ndarray, min_match: int) -> list[tuple[int, i
                 tiles.append((i, j, top))
 
 
-class ItemBlock:
-    """Items of one block with their seeds, sorted by hash for each seed length."""
+def item_tiles(item: np.ndarray, places: np.ndarray, words: np.ndarray, size: int) -> list[tuple[int, int, int]]:
+    """Greedy tiles of an item and a document of which ``words`` at ``places`` (rising) are known."""
+    own = gram_hashes(words, size)
+    whole = places[size - 1 :] - places[: len(own)] == size - 1
+    hit = np.flatnonzero(whole & np.isin(own, gram_hashes(item, size)))
+    if not len(hit):
+        return []
+    # Only stretches with the item's seeds can match; they are kept apart by a marker no word has.
+    spots = np.unique((hit[:, None] + np.arange(size)).ravel())
+    text, back = [], []
+    for n, piece in enumerate(np.split(spots, np.flatnonzero(np.diff(places[spots]) > 1) + 1)):
+        text += [words[piece], np.array([n], np.uint64)]
+        back += [places[piece], np.array([-1])]
+    at = np.concatenate(back)
+    return [(i, int(at[j]), n) for i, j, n in tile(item, np.concatenate(text), size)]
 
-    def __init__(self, items: list[tuple[int | None, str | None]], min_match: int, percent: int):
-        self.min_match, self.percent = min_match, percent
-        hasher = WordHashes()
-        self.items = [(i, hasher.of(w)) for i, t in items if (w := plain_words(t))]
-        by_size: dict[int, list[tuple[np.ndarray, int]]] = {}
-        for at, (_, hashes) in enumerate(self.items):
-            size = min(min_match, len(hashes))
-            by_size.setdefault(size, []).append((gram_hashes(hashes, size), at))
-        self.seeds = {}
-        for size, parts in by_size.items():
-            grams = np.concatenate([g for g, _ in parts])
-            owner = np.concatenate([np.full(len(g), at, np.int32) for g, at in parts])
-            place = np.concatenate([np.arange(len(g), dtype=np.int32) for g, _ in parts])
-            order = np.argsort(grams, kind="stable")
-            self.seeds[size] = (grams[order], owner[order], place[order])
-
-    def found(self, hashes: np.ndarray) -> Iterator[tuple]:
-        """(item_id, words, covered, tiles) for every item found in a document's word hashes."""
-        for size, (grams, owner, place) in self.seeds.items():
-            own = gram_hashes(hashes, size)
-            lo = np.searchsorted(grams, own, "left")
-            hit = np.flatnonzero((lo < len(grams)) & (grams[np.minimum(lo, len(grams) - 1)] == own))
-            if not len(hit):
-                continue
-            lo = lo[hit]
-            counts = np.searchsorted(grams, own[hit], "right") - lo
-            seed = np.repeat(lo - np.r_[0, np.cumsum(counts)[:-1]], counts) + np.arange(counts.sum())
-            at = np.repeat(hit, counts)
-            for which in np.unique(owner[seed]):
-                mine = owner[seed] == which
-                item_id, item = self.items[which]
-                reach = np.zeros(len(item), bool)
-                doc_reach = np.unique(at[mine])
-                for j in range(size):
-                    reach[place[seed[mine]] + j] = True
-                if reach.sum() * 100 < self.percent * len(item):
-                    continue
-                # Only stretches with seeds can match; stretches are kept apart by a marker no word has.
-                spots = np.unique((doc_reach[:, None] + np.arange(size)).ravel())
-                breaks = np.flatnonzero(np.diff(spots) > 1) + 1
-                pieces = np.split(spots, breaks)
-                text, back = [], []
-                for n, piece in enumerate(pieces):
-                    text += [hashes[piece], np.array([n], np.uint64)]
-                    back += [piece, np.array([-1])]
-                back_all = np.concatenate(back)
-                tiles = [(i, int(back_all[j]), n) for i, j, n in tile(item, np.concatenate(text), size)]
-                covered = sum(n for _, _, n in tiles)
-                if covered * 100 >= self.percent * len(item):
-                    yield item_id, len(item), covered, tiles
 
+def text_key(text: Column) -> Column:
+    """128-bit name of a text."""
+    return F.unhex(F.md5(text))
 
-def item_blocks(benchmark: DataFrame, min_match: int, percent: int, block_bytes: int = BLOCK_BYTES):
-    """Blocks of the items, each about ``block_bytes`` of text."""
-    items = benchmark.select(F.col("item_id").cast("long").alias("item_id"), F.col("text").cast("string").alias("text"))
-    size = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    blocks = max(1, -(-size // block_bytes))
-    for n in range(blocks):
-        rows = items.filter(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == n).collect()
-        yield ItemBlock([(r.item_id, r.text) for r in rows], min_match, percent)
 
+def _texts(rows: DataFrame) -> DataFrame:
+    text = F.col("text").cast("string")
+    return rows.filter(F.length(text) > 0).select(text_key(text).alias("key"), text.alias("text"))
 
-def _matching(block):
+
+def _item_words(min_match: int):
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         hasher = WordHashes()
-        for rows in chunked(frames, lambda r: len(r[1] or ""), 4 << 20):
+        for rows in chunked(frames, lambda r: len(r[1]), 4 << 20):
+            found = [(key, hasher.of(words)) for key, text in rows if (words := plain_words(text))]
+            out = [(key, min(min_match, len(item)), signed(item)) for key, item in found]
+            yield pd.DataFrame(out, columns=["item_key", "size", "item"])
+
+    return run
+
+
+def _item_seeds(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    for rows in chunked(frames, lambda r: len(r[2]), 1 << 19):
+        for key, size, item in rows:
+            seeds, times = np.unique(gram_hashes(np.asarray(item, np.int64).view(np.uint64), size), return_counts=True)
+            yield pd.DataFrame({"seed": signed(seeds), "item_key": key, "words": len(item), "size": size, "times": times})
+
+
+def _position(seed: Column, bits: int) -> Column:
+    """Place of a seed in a bitmap of 2^bits, from 1."""
+    return F.shiftrightunsigned(seed, 64 - bits) + 1
+
+
+def seed_bitmap(seeds: DataFrame) -> tuple[np.ndarray, int]:
+    """Bits of all seeds' places and the bitmap's size as a power of two; its size has a bound, the table's has none."""
+    least, most = BITMAP_BITS
+    bits = min(most, max(least, (64 * seeds.count()).bit_length()))
+    place = _position(F.col("seed"), bits)
+    filled = (
+        seeds.groupBy(F.bitmap_bucket_number(place).alias("bucket"))
+        .agg(F.bitmap_construct_agg(F.bitmap_bit_position(place)).alias("bits"))
+        .collect()
+    )
+    out = np.zeros(1 << (bits - 3), np.uint8)
+    for bucket, part in filled:
+        start = (bucket - 1) * len(part)
+        out[start : start + len(part)] = np.frombuffer(part, np.uint8)[: len(out) - start]
+    return out, bits
+
+
+def _stretches(bitmap, bits: int, sizes: list[int]):
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        hasher, filled = WordHashes(), bitmap.value
+        for rows in chunked(frames, lambda r: len(r[1]), 4 << 20):
             out = []
-            for doc_id, text in rows:
-                doc = None if pd.isna(doc_id) else doc_id
-                for item_id, size, covered, tiles in block.found(hasher.of(plain_words(text))):
-                    item = None if item_id is None else str(item_id)
-                    out.append((doc, item, size, covered, len(tiles), covered / size, tiles))
-            yield pd.DataFrame(
-                out, columns=["doc_id", "item_id", "item_words", "covered_words", "n_tiles", "coverage", "tiles"]
-            )
+            for key, text in rows:
+                words = hasher.of(plain_words(text))
+                met, spots = [], []
+                for size in sizes:
+                    grams = gram_hashes(words, size)
+                    place = grams >> np.uint64(64 - bits)
+                    hit = np.flatnonzero(filled[place >> np.uint64(3)] >> (place & np.uint64(7)).astype(np.uint8) & 1)
+                    met.append(grams[hit])
+                    spots.append((hit[:, None] + np.arange(size)).ravel())
+                places = np.unique(np.concatenate(spots))
+                if len(places):
+                    seeds = np.unique(np.concatenate(met))
+                    out.append((key, places.astype(np.int32), signed(words[places]), signed(seeds)))
+            yield pd.DataFrame(out, columns=["doc_key", "places", "words", "seeds"])
 
     return run
 
 
-def _unmatched(block):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hasher = WordHashes()
-        for batch in batches:
-            texts = batch.column("text")
-            clean = [
-                next(block.found(hasher.of(plain_words(t.as_py()))), None) is None for t in texts
-            ]
-            yield batch.filter(pa.array(clean, pa.bool_()))
+def _covered(percent: int):
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for rows in chunked(frames, lambda r: 12 * len(r[2]) + 8 * len(r[5]), 4 << 20):
+            out = []
+            for doc_key, item_key, places, words, size, item in rows:
+                item = np.asarray(item, np.int64).view(np.uint64)
+                tiles = item_tiles(item, np.asarray(places), np.asarray(words, np.int64).view(np.uint64), size)
+                covered = sum(n for _, _, n in tiles)
+                if tiles and covered * 100 >= percent * len(item):
+                    out.append((doc_key, item_key, len(item), covered, tiles))
+            yield pd.DataFrame(out, columns=["doc_key", "item_key", "item_words", "covered_words", "tiles"])
 
     return run
 
 
+def covered_items(docs: DataFrame, benchmark: DataFrame, min_match: int = 5, percent: int = 60) -> DataFrame:
+    """Staged doc_key, item_key, item_words, covered_words, tiles: a row per text of ``docs`` and item text it covers."""
+    spark = docs.sparkSession
+    items = staged(
+        _texts(benchmark).dropDuplicates(["key"]).mapInPandas(_item_words(min_match), ITEM), "benchmark-words"
+    )
+    seeds = staged(
+        items.mapInPandas(_item_seeds, "seed bigint, item_key binary, words int, size int, times int"),
+        "benchmark-seeds",
+    )
+    sizes = sorted(r[0] for r in items.select("size").distinct().collect())  # at most min_match numbers
+    if not sizes:
+        return staged(spark.createDataFrame([], COVERED), "covered-items")
+    filled, bits = seed_bitmap(seeds)
+    bitmap = spark.sparkContext.broadcast(filled)
+    stretches = staged(
+        _texts(docs).mapInPandas(_stretches(bitmap, bits, sizes), STRETCHES).dropDuplicates(["doc_key"]), "stretches"
+    )
+    hits = stretches.select("doc_key", F.explode("seeds").alias("seed"))
+    # Seeds wanted of an item: its least covered words / seed size; up to half of them are left out, the commonest first.
+    wanted = F.greatest(F.lit(1), F.ceil(F.ceil(F.col("words") * percent / 100) / F.col("size")))
+    spared = F.floor(wanted / 2)
+    commonest = Window.partitionBy("item_key").orderBy(F.desc("texts"), "seed")
+    chosen = staged(
+        seeds.join(hits.groupBy("seed").agg(F.count(F.lit(1)).alias("texts")), "seed")
+        .withColumn("run", F.sum("times").over(commonest.rowsBetween(Window.unboundedPreceding, 0)))
+        .filter(F.col("run") > spared)
+        .select("seed", "item_key", "times", (wanted - spared).alias("least")),
+        "chosen-seeds",
+    )
+    pairs = (
+        hits.join(chosen, "seed")
+        .groupBy("doc_key", "item_key", "least")
+        .agg(F.sum("times").alias("met"))
+        .filter(F.col("met") >= F.col("least"))
+    )
+    met = pairs.join(stretches, "doc_key").join(items, "item_key")
+    return staged(
+        met.select("doc_key", "item_key", "places", "words", "size", "item").mapInPandas(_covered(percent), COVERED),
+        "covered-items",
+    )
+
+
 def benchmark_matches(docs: DataFrame, benchmark: DataFrame, min_match: int = 5, percent: int = 60) -> DataFrame:
     """A row per document and item it covers: doc_id, item_id, item_words, covered_words, n_tiles, coverage, tiles."""
-    rows = docs.select(id_text("doc_id"), F.col("text").cast("string").alias("text"))
-    out = None
-    for block in item_blocks(benchmark, min_match, percent):
-        found = rows.mapInPandas(_matching(block), MATCHES)
-        out = found if out is None else out.unionByName(found)
-    return out.withColumns({c: F.col(c).cast("long") for c in ("doc_id", "item_id")})
+    found = covered_items(docs, benchmark, min_match, percent)
+    owners = docs.select(
+        F.col("doc_id").cast("long").alias("doc_id"), text_key(F.col("text").cast("string")).alias("doc_key")
+    )
+    items = benchmark.select(
+        F.col("item_id").cast("long").alias("item_id"), text_key(F.col("text").cast("string")).alias("item_key")
+    )
+    return (
+        found.join(items, "item_key")
+        .join(owners, "doc_key")
+        .select(
+            "doc_id",
+            "item_id",
+            F.col("item_words").cast("int").alias("item_words"),
+            F.col("covered_words").cast("int").alias("covered_words"),
+            F.size("tiles").alias("n_tiles"),
+            (F.col("covered_words") / F.col("item_words")).alias("coverage"),
+            "tiles",
+        )
+    )
 
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame, min_match: int = 5, percent: int = 60) -> DataFrame:
     """Rows of ``docs`` that cover no benchmark item, all columns unchanged."""
-    for block in item_blocks(benchmark, min_match, percent):
-        docs = docs.mapInArrow(_unmatched(block), docs.schema)
-    return docs
+    key = fresh_names(docs, ["doc_key"])["doc_key"]
+    found = staged(
+        covered_items(docs, benchmark, min_match, percent).select(F.col("doc_key").alias(key)).distinct(),
+        "contaminated-texts",
+    )
+    keyed = docs.withColumn(key, text_key(F.col("text").cast("string")))
+    return keyed.join(found, key, "left_anti").select(*docs.columns)

@@ -88,9 +88,29 @@ def test_equals_all_places(spark, monkeypatch):
     want = brute(docs, items)
     assert len(want) > 20 and any(len(t) > 1 for *_, t in want)
     assert got(spark, docs, items) == want
-    monkeypatch.setattr(string_tiling, "BLOCK_BYTES", 300)
-    blocks = list(string_tiling.item_blocks(spark.createDataFrame(items, "item_id long, text string"), 5, 60, 300))
-    assert len(blocks) > 3 and sum(len(b.items) for b in blocks) == 14
+    # A bitmap so small that it lets most strangers through changes nothing.
+    monkeypatch.setattr(string_tiling, "BITMAP_BITS", (4, 4))
+    assert got(spark, docs, items) == want
+
+
+def test_bitmap_holds_every_seed(spark):
+    rng = np.random.default_rng(3)
+    seeds = np.r_[rng.integers(-(1 << 63), 1 << 63, 3000), [0, -1, 1, (1 << 63) - 1, -(1 << 63)]].astype(np.int64)
+    bitmap, bits = string_tiling.seed_bitmap(spark.createDataFrame([(int(s),) for s in seeds], "seed long"))
+    place = seeds.view(np.uint64) >> np.uint64(64 - bits)
+    want = np.zeros(1 << bits, np.uint8)
+    want[place] = 1
+    assert bits == 18 and (np.unpackbits(bitmap, bitorder="little") == want).all()
+
+
+def test_phrase_of_all_items_and_documents(spark):
+    """A phrase that everything shares pairs nobody by itself; whole items are still found, also repeated words."""
+    phrase = "which of the following is the best answer to"
+    items = [(i, f"{phrase} " + " ".join(f"i{i}w{j}" for j in range(12))) for i in range(30)]
+    items += [(90, "la " * 40), (91, phrase)]
+    docs = [(i, f"{phrase} " + " ".join(f"d{i}w{j}" for j in range(20))) for i in range(60)]
+    docs += [(100 + i, f"so {items[i][1]} yes") for i in range(30)] + [(200, "la " * 30), (201, "la " * 20)]
+    assert got(spark, docs, items) == brute(docs, items)
 
 
 def test_reordered_passage_is_found(spark):
