@@ -45,7 +45,7 @@ from pyspark.sql import functions as F
 from .common import WordHashes, chunked, fresh_names, gram_hashes, signed, staged
 
 PUNCTUATION = b"!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
-#: Bits of the seeds' bitmap: about 64 a seed, within these powers of two.
+#: Bits of the seeds' bitmap: about 1,024 a seed, within these powers of two.
 BITMAP_BITS = (16, 27)
 
 ITEM = "item_key binary, size int, item array<bigint>"
@@ -159,7 +159,7 @@ def _position(seed: Column, bits: int) -> Column:
 def seed_bitmap(seeds: DataFrame) -> tuple[np.ndarray, int]:
     """Bits of all seeds' places and the bitmap's size as a power of two; its size has a bound, the table's has none."""
     least, most = BITMAP_BITS
-    bits = min(most, max(least, (64 * seeds.count()).bit_length()))
+    bits = min(most, max(least, (1024 * seeds.count()).bit_length()))
     place = _position(F.col("seed"), bits)
     filled = (
         seeds.groupBy(F.bitmap_bucket_number(place).alias("bucket"))

@@ -100,7 +100,7 @@ def test_bitmap_holds_every_seed(spark):
     place = seeds.view(np.uint64) >> np.uint64(64 - bits)
     want = np.zeros(1 << bits, np.uint8)
     want[place] = 1
-    assert bits == 18 and (np.unpackbits(bitmap, bitorder="little") == want).all()
+    assert bits == 22 and (np.unpackbits(bitmap, bitorder="little") == want).all()
 
 
 def test_phrase_of_all_items_and_documents(spark):
