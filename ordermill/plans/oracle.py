@@ -115,7 +115,7 @@ FROM cl GROUP BY user_id""",
 }
 
 
-# ---- text lines with faults, and validation (mirrors sources.testdata.raw_order_lines) ----
+# ---- text lines with faults, and validation (mirrors sources.testdata.faulted_lines) ----
 
 RAW = """
 rw AS (
