@@ -11,8 +11,9 @@ from pyspark.sql import functions as F
 from ordermill.operators import validate
 from ordermill.operators.clean import clean_orders
 from ordermill.operators.marts import REVENUE_MARTS, build
+from ordermill.plans import registry
 from ordermill.schema import ORDER_COLUMNS, RAW_SCHEMA
-from ordermill.session import folders
+from ordermill.session import SHUFFLE_CLEANUP, folders, short_shuffles
 from ordermill.sources import files, messages
 from ordermill.sources.contracts import conform
 from ordermill.streaming import commits, ingest
@@ -83,6 +84,45 @@ def test_all_marts_follow_the_batches(spark, scratch):
     check_marts(spark, scratch, validate.validate(_feed(spark))[0], ALL)
 
 
+def test_a_feed_in_parts_leaves_only_the_streams_tables(spark, scratch, monkeypatch):
+    """Twelve orders of two equal lines each in three parts, replayed: equal lines stay two, the replay adds no
+    segments, and neither waiting lines nor message files are kept."""
+    date = "timestamp'2025-01-05 10:00:00'"
+    orders = f"id o_orderkey, 1L + id % 2 o_custkey, 'O' o_orderstatus, {date} o_orderdate"
+    tables = {
+        "part": spark.range(1, 4).selectExpr("id p_partkey", "'p' p_name", "'a' p_type", "'d' p_brand", "2.5D p_retailprice"),
+        "orders": spark.range(1, 13).selectExpr(*orders.split(", ")),
+        "lineitem": spark.range(2, 26).selectExpr("id div 2 l_orderkey", "1 + (id div 2) % 3 l_partkey", "3.0D l_quantity"),
+    }
+    for name, rows in tables.items():
+        rows.write.parquet(f"{scratch}/{name}.parquet")
+    monkeypatch.setattr(registry, "_feed_parts", lambda *a: 3)
+    root = registry._run_stream(spark, scratch, replays=2, dedup=True)
+    landed = ingest.read_landed(spark, root).groupBy("order_id").count().collect()
+    assert sorted(map(tuple, landed)) == [(n, 2) for n in range(1, 13)]
+    counts = ingest.read_batches(spark, root).orderBy("batch_id").select("accepted_lines").collect()
+    filled = sum(r[0] > 0 for r in counts)
+    assert sum(r[0] for r in counts) == 24 and filled <= 3 < 6 <= len(counts)
+    live = StreamTables(spark, root).live()
+    assert len(live.of("landing")) == len(live.of("ids")) == filled
+    stream = root.removesuffix("/tables")
+    assert "inbox" not in folders(spark, stream) and not folders(spark, f"{stream}/lines")
+
+
+def test_shuffle_files_go_with_their_query(spark, scratch):
+    def shuffled():
+        disk = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+        files = disk.getAllFiles()
+        return {files.apply(i).getName() for i in range(files.size()) if files.apply(i).getName().startswith("shuffle_")}
+
+    before = spark.conf.get(SHUFFLE_CLEANUP)
+    known = shuffled()
+    with short_shuffles(spark):
+        spark.range(1000).repartition(3).write.parquet(f"{scratch}/rows")
+    assert not shuffled() - known
+    assert spark.conf.get(SHUFFLE_CLEANUP) == before
+
+
 def test_identity_survives_another_publication(spark):
     first = messages.encode_messages(_feed(spark)).select("message_id")
     second = messages.encode_messages(_feed(spark).repartition(7)).select("message_id")
