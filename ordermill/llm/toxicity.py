@@ -25,7 +25,7 @@ from __future__ import annotations
 
 import re
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from hashlib import blake2b
 
 import numpy as np
@@ -57,6 +57,8 @@ CACHED_WORDS, CACHED_GRAMS = 200_000, 10_000
 LONG_WORD = 256
 #: Documents counted at once, and features after which counts are sent on.
 COUNTED_ROWS, COUNTED_FEATURES = 500, 500_000
+#: Features of the labelled documents that a step of the fit works on at a time.
+BLOCK_FEATURES = 1 << 18
 SENTENCE = re.compile(r"[.!?\n]+")
 
 
@@ -155,9 +157,37 @@ class ToxicityModel:
         return float(1 / (1 + np.exp(-np.clip(logit, -30, 30))))
 
 
-def _flat(rows: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
-    sizes = [len(r) for r in rows]
-    return np.repeat(np.arange(len(rows)), sizes), np.concatenate([*rows, np.empty(0, np.int64)]).astype(np.int64)
+class Ragged:
+    """Rows of feature positions, 4 bytes each, read in blocks of about BLOCK_FEATURES: temporaries stay that small."""
+
+    def __init__(self, rows: Iterable[np.ndarray]):
+        rows = list(rows)
+        self.ends = np.cumsum([0, *map(len, rows)])
+        self.flat = np.concatenate([np.empty(0, np.int32), *rows], dtype=np.int32)
+        self.n = len(rows)
+
+    def blocks(self) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
+        """first row, row behind the last, the features of these rows, and of each the row it is in, from the first."""
+        first = 0
+        while first < self.n:
+            most = int(np.searchsorted(self.ends, self.ends[first] + BLOCK_FEATURES, "right")) - 1
+            end = min(self.n, max(first + 1, most))
+            sizes = np.diff(self.ends[first : end + 1])
+            yield first, end, self.flat[self.ends[first] : self.ends[end]], np.repeat(np.arange(end - first), sizes)
+            first = end
+
+    def row_sums(self, of_feature: np.ndarray) -> np.ndarray:
+        out = np.zeros(self.n)
+        for first, end, feature, owner in self.blocks():
+            out[first:end] = np.bincount(owner, of_feature[feature], end - first)
+        return out
+
+    def feature_sums(self, of_row: np.ndarray, size: int) -> np.ndarray:
+        # Each block's sums go on from those before, so the order of additions does not depend on the blocks.
+        out, places = np.zeros(size), np.arange(size)
+        for first, end, feature, owner in self.blocks():
+            out = np.bincount(np.r_[places, feature], np.r_[out, of_row[first:end][owner]], size)
+        return out
 
 
 def fit_counterfactual(
@@ -171,23 +201,22 @@ def fit_counterfactual(
 ) -> tuple[np.ndarray, float]:
     """Weights and bias of least mean log-loss + ridge |w|^2 / 2 + penalty * mean squared counterfactual change.
 
-    ``pairs`` are the features of sentences and of their swapped forms. Both
-    classes weigh the same.
+    ``pairs`` are the features of sentences and of their swapped forms; those
+    that both have may be left out. Both classes weigh the same.
     """
-    owner, feature = _flat(rows)
-    here, gained = _flat([np.setdiff1d(a, b, True) for a, b in pairs])
-    there, lost = _flat([np.setdiff1d(b, a, True) for a, b in pairs])
+    held = Ragged(rows)
+    here, there = Ragged(np.setdiff1d(a, b, True) for a, b in pairs), Ragged(np.setdiff1d(b, a, True) for a, b in pairs)
     weight = np.where(labels == 1, 0.5 / max(1, (labels == 1).sum()), 0.5 / max(1, (labels == 0).sum()))
     w, bias = np.zeros(size), 0.0
     first, second, bias_first, bias_second = np.zeros(size), np.zeros(size), 0.0, 0.0
     for step in range(1, steps + 1):
-        logits = np.bincount(owner, w[feature], len(rows)) + bias
+        logits = held.row_sums(w) + bias
         slope = weight * (1 / (1 + np.exp(-np.clip(logits, -30, 30))) - labels)
-        gradient = np.bincount(feature, slope[owner], size) + ridge * w
-        if pairs:
-            change = np.bincount(here, w[gained], len(pairs)) - np.bincount(there, w[lost], len(pairs))
-            change *= 2 * penalty / len(pairs)
-            gradient += np.bincount(gained, change[here], size) - np.bincount(lost, change[there], size)
+        gradient = held.feature_sums(slope, size) + ridge * w
+        if here.n:
+            change = here.row_sums(w) - there.row_sums(w)
+            change *= 2 * penalty / here.n
+            gradient += here.feature_sums(change, size) - there.feature_sums(change, size)
         bias_gradient = float(slope.sum())
         first = 0.9 * first + 0.1 * gradient
         second = 0.999 * second + 0.001 * gradient**2
@@ -250,20 +279,19 @@ def vocabulary_of(sample: DataFrame, least_z: float, swaps: Swaps) -> dict[str,
 
 
 def _fitted(size: int, penalty: float):
-    """Weights and bias from the features of all labelled documents (label 0 or 1) and sentence pairs (label -1)."""
+    """Weights and bias from the features of all labelled documents (label 0 or 1) and of sentence pairs (label -1:
+    those that only the sentence has, and only its swapped form)."""
 
     def run(frame: pd.DataFrame) -> pd.DataFrame:
         frame = frame.sort_values(["doc_id", "label", "ids", "swapped"], kind="stable")
-        ids = [np.frombuffer(x, np.int64) for x in frame["ids"]]
-        swapped = [np.frombuffer(x, np.int64) for x in frame["swapped"]]
         kinds = frame["label"].to_numpy(np.int64)
-        own = np.flatnonzero(kinds >= 0)
-        known = kinds[own]
+        known = kinds[kinds >= 0]
+        rows = lambda column, some: [np.frombuffer(x, np.int32) for x in frame[column].array[some]]
         if len(set(known.tolist())) < 2:
             weights, bias = np.zeros(size), 30.0 * (2 * float(known.mean()) - 1)
         else:
-            pairs = [(ids[i], swapped[i]) for i in np.flatnonzero(kinds < 0)]
-            weights, bias = fit_counterfactual([ids[i] for i in own], known, pairs, size, penalty)
+            pairs = list(zip(rows("ids", kinds < 0), rows("swapped", kinds < 0), strict=True))
+            weights, bias = fit_counterfactual(rows("ids", kinds >= 0), known, pairs, size, penalty)
         return pd.DataFrame({"weights": [weights.tobytes()], "bias": [float(bias)]})
 
     return run
@@ -286,12 +314,14 @@ def fit_toxicity(
 
     def features(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         made = WordFeatures(vocabulary)
+        packed = lambda positions: positions.astype(np.int32).tobytes()
         for frame in frames:
             out = []
             for doc_id, kind, text in zip(frame["doc_id"], frame["label"], frame["text"], strict=True):
-                out.append((doc_id, kind, made.of(plain_words(text)).tobytes(), b""))
+                out.append((doc_id, kind, packed(made.of(plain_words(text))), b""))
                 for words, swapped in swaps.counterfactuals(text):
-                    out.append((doc_id, -1, made.of(words).tobytes(), made.of(swapped).tobytes()))
+                    a, b = made.of(words), made.of(swapped)
+                    out.append((doc_id, -1, packed(np.setdiff1d(a, b, True)), packed(np.setdiff1d(b, a, True))))
             yield pd.DataFrame(out, columns=["doc_id", "label", "ids", "swapped"])
 
     rows = sample.select("doc_id", "label", "text").mapInPandas(

@@ -4,11 +4,13 @@ from __future__ import annotations
 
 import os
 import random
+import tracemalloc
 
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from ordermill.llm import toxicity
 from ordermill.llm.quality_nbsvm import Indicators, dual_coordinate_descent, fit_quality, log_count_ratios, score_quality
 from ordermill.llm.queries import op3_quality_nbsvm, op4_counterfactual_toxicity
 from ordermill.llm.toxicity import (
@@ -176,3 +178,18 @@ def test_shapes_of_long_words_are_whole():
     assert set(made.of(long + "x")) != set(made.of(long + "(X)"))
     assert Indicators().shapes[(long + "!!!!!").encode()] == "a,0-" * 1000 + "!!!"
     assert not made.shapes and not any(len(s) > 4096 for gram in made.ids for s in gram)
+
+
+def test_fit_holds_features_in_small_numbers(monkeypatch):
+    rnd = np.random.default_rng(3)
+    rows = [np.sort(rnd.choice(6000, 5000, False)) for _ in range(400)]
+    labels = np.arange(400) % 2
+    pairs = [(rows[i], rows[i + 1]) for i in range(20)]
+    tracemalloc.start()
+    weights, bias = fit_counterfactual(rows, labels, pairs, 6000, steps=3)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 12 * 400 * 5000
+    monkeypatch.setattr(toxicity, "BLOCK_FEATURES", 3)  # a row a block
+    other, other_bias = fit_counterfactual(rows, labels, pairs, 6000, steps=3)
+    assert np.array_equal(weights, other) and bias == other_bias

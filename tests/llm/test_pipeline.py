@@ -4,9 +4,12 @@ from __future__ import annotations
 
 import random
 
+import pyarrow as pa
+
 import corpus_pipeline
 from corpus_pipeline import BIN_WORDS, STAGES
 from ordermill.llm.toxicity import fit_toxicity, score_toxicity
+from ordermill.session import BATCH_BYTES, BATCH_SIZE, bound_batches
 
 from .test_jaccard_join import shingles
 from .test_line_dedup import brute as lines_kept
@@ -134,3 +137,30 @@ def test_documents_without_words_stay_row_by_row(spark):
     docs = spark.createDataFrame(bare + worded + worded[:1], SCHEMA)
     out = corpus_pipeline.one_of_near_duplicates(spark, docs, "").collect()
     assert sorted(map(tuple, out), key=str) == sorted(bare + worded[:1], key=str)
+
+
+def test_texts_reach_python_in_bounded_batches(spark, scratch):
+    spark.createDataFrame([(1, 1, 1), (2, 1, 0)], LABELS).write.parquet(f"{scratch}/labels.parquet")
+    spark.createDataFrame([(1, "no such words in any text")], "item_id long, text string").write.parquet(
+        f"{scratch}/benchmark.parquet"
+    )
+    docs = spark.range(0, 2000, 1, 1).selectExpr("id as doc_id", "repeat(concat('w', id, ' '), 2000) as text", "'a' as source")
+
+    def sizes(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_pydict({"size": [batch.nbytes]})
+
+    before = spark.conf.get(BATCH_SIZE, None)
+    try:
+        for name, stage in STAGES:
+            if name == "line_dedup":  # has no Python
+                continue
+            spark.conf.unset(BATCH_SIZE)
+            stage(spark, docs.limit(3), scratch)
+            got = [r.size for r in docs.mapInArrow(sizes, "size long").collect()]
+            assert sum(got) > 3 * BATCH_BYTES and max(got) < 1.1 * BATCH_BYTES, name
+        spark.conf.set(BATCH_SIZE, "1000000")
+        bound_batches(spark)
+        assert spark.conf.get(BATCH_SIZE) == "1000000"
+    finally:
+        spark.conf.unset(BATCH_SIZE) if before is None else spark.conf.set(BATCH_SIZE, before)
