@@ -13,7 +13,7 @@ from ordermill.operators.clean import clean_orders
 from ordermill.operators.marts import REVENUE_MARTS, build
 from ordermill.plans import registry
 from ordermill.schema import ORDER_COLUMNS, RAW_SCHEMA
-from ordermill.session import SHUFFLE_CLEANUP, folders, short_shuffles
+from ordermill.session import SHUFFLE_CLEANUP, STATE_PROVIDER, folders, short_shuffles
 from ordermill.sources import files, messages
 from ordermill.sources.contracts import conform
 from ordermill.streaming import commits, ingest
@@ -241,6 +241,31 @@ def test_every_line_rejected(spark, scratch):
     assert all(ingest.read_mart(spark, root, m).count() == 0 for m in ALL)
 
 
+def test_a_streams_own_state_is_kept_in_files(spark, scratch):
+    """Not as objects on the heap; the session's own setting is as it was, and a provider that it names stays."""
+    before = spark.conf.get(STATE_PROVIDER)
+    for kind, ends in ((None, ".zip"), (before, ".delta")):
+        root = f"{scratch}/{ends[1:]}"
+        if kind:
+            spark.conf.set(STATE_PROVIDER, kind)
+        _run(spark, root, replays=2, dedup=True, marts=())
+        kept = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(f"{root}/chk/state/0/0/")
+        names = [r.path for r in kept.select("path").collect()]
+        assert any(n.endswith(ends) for n in names), names
+        assert ingest.read_landed(spark, f"{root}/tables").count() == 10
+        assert spark.conf.get(STATE_PROVIDER) == before
+    spark.conf.unset(STATE_PROVIDER)
+
+
+def test_few_landing_files_of_a_stream_with_state(spark, scratch):
+    root = _run(spark, scratch, dedup=True, marts=())
+    landed = ingest.read_landed(spark, root)
+    months = landed.select(F.trunc("order_date", "month")).distinct().count()
+    assert len(landed.inputFiles()) <= months
+    ids = StreamTables(spark, root).read(ingest.IDS)
+    assert len(ids.inputFiles()) <= ids.select("bucket").distinct().count()
+
+
 def test_few_landing_files(spark, scratch):
     ingest.process_batch(ingest.IngestTargets(scratch))(_messages(spark).repartition(16), 0)
     assert len(ingest.read_landed(spark, scratch).inputFiles()) <= 3
