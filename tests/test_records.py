@@ -8,8 +8,10 @@ import pytest
 from pyspark.sql import functions as F
 
 from ordermill.operators import validate
+from ordermill.plans import registry
 from ordermill.schema import CORRUPT_ROW, ORDER_COLUMNS
-from ordermill.sources import files, records
+from ordermill.session import folders, shared_root
+from ordermill.sources import files, records, testdata
 
 
 @pytest.fixture
@@ -109,3 +111,45 @@ def test_empty_files(spark, scratch):
     assert files.read_order_rows(spark, scratch, multi_line=True).count() == 0
     write(spark, f"{scratch}-b/a.csv", "")
     assert files.read_order_rows(spark, f"{scratch}-b", multi_line=True).count() == 0
+
+
+def test_lines_are_shuffled_in_parts_of_the_files(spark, scratch, small_splits, monkeypatch):
+    """Records that go over splits, in parts of the files and in all of them; the files are not read again."""
+    for n in range(5):
+        write(spark, f"{scratch}/f{n}.csv", sample(100 + n)[1])
+    get = lambda: sorted(str(tuple(r)[:14]) for r in files.read_order_rows(spark, scratch, multi_line=True).collect())
+    whole = get()
+    assert len(whole) == 510
+    monkeypatch.setattr(records, "PART_BYTES", 9_000)
+    assert records._parts(spark, scratch) > 2
+    got = records.physical_lines(spark, scratch, 0, 3)
+    assert got.select(records.SOURCE_FILE).distinct().count() < 5
+    assert get() == whole
+    rows = files.read_order_rows(spark, scratch, multi_line=True)
+    spark._jvm.org.apache.hadoop.fs.Path(scratch).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(
+        spark._jvm.org.apache.hadoop.fs.Path(scratch), True
+    )
+    assert rows.count() == 510
+
+
+def test_a_feed_is_written_without_a_shuffle_of_its_text_and_removed_when_read(spark, scratch):
+    """A header for every file, whichever task wrote it; the lines of one order in five have names of two lines."""
+    orders = "id o_orderkey, 1L + id % 2 o_custkey, 'O' o_orderstatus, timestamp'2025-01-05 10:00:00' o_orderdate"
+    tables = {
+        "part": spark.range(1, 4).selectExpr("id p_partkey", "'p' p_name", "'a' p_type", "'d' p_brand", "2.5D p_retailprice"),
+        "orders": spark.range(50).selectExpr(*orders.split(", ")),
+        "lineitem": spark.range(100).selectExpr("id div 2 l_orderkey", "1 + id % 3 l_partkey", "3.0D l_quantity"),
+    }
+    for name, rows in tables.items():
+        rows.write.parquet(f"{scratch}/{name}.parquet")
+    testdata.write_order_feed(spark, scratch, f"{scratch}/feed")
+    text = spark.read.text(f"{scratch}/feed").select("value", F.col("_metadata.file_path").alias("f"))
+    headers = text.filter(F.col("value") == ",".join(ORDER_COLUMNS)).groupBy("f").count().collect()
+    assert {r["count"] for r in headers} == {1} and len(headers) == text.select("f").distinct().count()
+    assert set(folders(spark, f"{scratch}/feed")) == {f"feed={n}" for n in range(testdata.FEEDS)}
+    before = set(folders(spark, shared_root(spark)))
+    rows = registry.feed_rows(spark, scratch)
+    made = {f.rsplit("-", 1)[0] for f in set(folders(spark, shared_root(spark))) - before}
+    assert "order-feed" not in made
+    assert rows.count() == 100 and rows.select("source").distinct().count() == testdata.FEEDS
+    assert rows.filter(F.col("product_name") == "p\nsecond line").count() == 20
