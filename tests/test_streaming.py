@@ -142,6 +142,33 @@ def test_a_committed_batch_is_not_run_again(spark, scratch):
     assert counts == [(0, 14, 0, 10, 4), (1, 14, 14, 0, 0)]
 
 
+def test_state_of_many_keys_is_not_cut_down_before_it_is_merged(spark, scratch, monkeypatch):
+    """Its rows go through one exchange by key, and what comes out of an aggregation is written from there; keys that a
+    batch doesn't touch get no new mart row."""
+    dealt, plans, write = [], [], StreamTables.write
+
+    def watched(self, table, rows):
+        if table.name in ALL:
+            plans.append((table.name, rows._jdf.queryExecution().optimizedPlan().toString().count("LeftSemi")))
+        return write(self, table, rows)
+
+    rebalanced = commits.by_partition
+    monkeypatch.setattr(commits, "by_partition", lambda rows, *by: (dealt.append(rows.columns), rebalanced(rows, *by))[1])
+    monkeypatch.setattr(StreamTables, "write", watched)
+    monkeypatch.setattr(ingest, "FEW_KEYS", 1, raising=False)
+    marts = ("top_products", "customer_metrics", "ml_customer_features")
+    step = ingest.process_batch(ingest.IngestTargets(scratch, marts))
+    feed = messages.encode_messages(_feed(spark)).collect()
+    for n in range(3):
+        step(spark.createDataFrame(feed[n::3], messages.MESSAGE_SCHEMA), n)
+    assert dict(plans) == dict.fromkeys(marts, 1)
+    assert not [columns for columns in dealt if "measure" in columns]
+    check_marts(spark, scratch, validate.validate(_feed(spark))[0], marts)
+    made = StreamTables(spark, scratch).read(ingest.mart_table("customer_metrics")).groupBy("batch_id").count().collect()
+    own = [{messages_of["key"] for messages_of in feed[n::3]} for n in range(3)]
+    assert all(r["count"] <= len(own[r.batch_id]) for r in made)
+
+
 @pytest.mark.parametrize("lost", ["landing", "customer_metrics_sets", "commit"])
 def test_a_crash_leaves_readers_on_the_batch_before(spark, scratch, monkeypatch, lost):
     marts = ("customer_metrics",)
